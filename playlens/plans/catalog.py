@@ -673,6 +673,43 @@ def _forecast_chart(spark, sf):
     return charts.observed_and_forecast(s, fc, KEYS, "timestamp_month", SERIES_Y, "forecast")
 
 
+# ===========================================================================
+# Pooled tree ensembles (pyspark.ml; no SQL oracle - rows only)
+# ===========================================================================
+
+TREE_QUERIES = ("random_forest", "gbt", "tree_model_sink")
+
+
+@register("random_forest", None)
+def _random_forest(spark, sf):
+    from playlens.operators import trees
+
+    return trees.tree_test_metrics(_series(spark, sf), KEYS, T, SERIES_Y, "random_forest", full_grid=True)
+
+
+@register("gbt", None)
+def _gbt(spark, sf):
+    from playlens.operators import trees
+
+    return trees.tree_test_metrics(_series(spark, sf), KEYS, T, SERIES_Y, "gbt", full_grid=True)
+
+
+@register("tree_model_sink", None)
+def _tree_sink(spark, sf):
+    """Fit the forest (first grid setting), save it to the shared folder, load
+    it back and predict the held-out rows with the loaded model."""
+    from pyspark.ml.regression import RandomForestRegressionModel
+
+    from playlens.operators import trees
+
+    model, _best, frame = trees.fit_tree_model(_series(spark, sf), KEYS, T, SERIES_Y, "random_forest", full_grid=False)
+    path = scratch_path(spark, "rf_model")
+    model.write().overwrite().save(path)
+    loaded = RandomForestRegressionModel.load(path)
+    pred = loaded.transform(frame.filter(F.col("split") == "test"))
+    return pred.select(SERIES_KEY, T, F.col("label").alias(SERIES_Y), F.col("prediction"))
+
+
 def queries() -> dict[str, Builder]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
