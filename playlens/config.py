@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -33,6 +33,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/playlens-scratch/{name}-{uuid.uuid4().hex}"
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and
+    return a frame that reads it back.
+
+    This is the lineage cut for a small intermediate that several branches of
+    a plan consume: one job computes it, every branch scans the written files
+    (with column pruning and real size statistics for AQE), and a lost
+    executor costs a re-read rather than a recomputation from the raw tables.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A local session for tests and the benchmark (UTC, AQE on, no UI)."""
     builder = (

@@ -51,6 +51,20 @@ def user_sessions(
     )
 
 
+def user_sessions_from_index(
+    index: DataFrame, userid: str | None = None, user_col: str = "userid", session_col: str = "session_id"
+) -> DataFrame:
+    """U2 from a session index (``sessions.session_index``): the same rows as
+    ``user_sessions`` without revisiting the plays."""
+    from playlens.operators.sessions import sessions_from_index
+
+    if userid is not None:
+        index = index.filter(F.col(user_col) == F.lit(userid))
+    return sessions_from_index(index, user_col, session_col).select(
+        user_col, session_col, "session_start", "session_duration_sec"
+    )
+
+
 def monthly_session_duration(
     user_sessions_df: DataFrame,
     key_cols: list[str] | tuple[str, ...] = ("userid",),
@@ -82,15 +96,23 @@ def add_month_counter(
 
 
 def top_user_monthly_series(
-    sessions: DataFrame, user_col: str = "userid", ts_col: str = "timestamp", session_col: str = "session_id"
+    sessions: DataFrame,
+    user_col: str = "userid",
+    ts_col: str = "timestamp",
+    session_col: str = "session_id",
+    per_session: DataFrame | None = None,
 ) -> DataFrame:
     """U1 -> U2 -> U3 -> U4 for the top user, kept lazy.
 
     The top user is a one-row frame joined as a broadcast semi join (one row:
-    a fixed size), so nothing is collected to the driver.
+    a fixed size), so nothing is collected to the driver. ``sessions`` may be
+    sessionized plays or a session index; ``per_session`` (U2 rows) skips
+    recomputing the sessions from plays.
     """
     top = top_user(sessions, user_col, session_col).select(user_col)
-    us = user_sessions(sessions, None, user_col, ts_col, session_col).join(
+    if per_session is None:
+        per_session = user_sessions(sessions, None, user_col, ts_col, session_col)
+    us = per_session.join(
         F.broadcast(top), on=user_col, how="left_semi"
     )
     monthly = monthly_session_duration(us, (user_col,))
@@ -100,12 +122,19 @@ def top_user_monthly_series(
 
 
 def user_with_longest_session(
-    sessions: DataFrame, user_col: str = "userid", ts_col: str = "timestamp", session_col: str = "session_id"
+    sessions: DataFrame | None,
+    user_col: str = "userid",
+    ts_col: str = "timestamp",
+    session_col: str = "session_id",
+    per_session: DataFrame | None = None,
 ) -> DataFrame:
     """The user whose single longest session is longest
-    (ties: larger total session time, then smallest user id)."""
+    (ties: larger total session time, then smallest user id).
+    ``per_session`` (U2 rows) may replace ``sessions``."""
+    if per_session is None:
+        per_session = user_sessions(sessions, None, user_col, ts_col, session_col)
     per_user = (
-        user_sessions(sessions, None, user_col, ts_col, session_col)
+        per_session
         .groupBy(user_col)
         .agg(
             F.max("session_duration_sec").alias("longest_session_sec"),

@@ -5,47 +5,48 @@ previous play (by time) is strictly greater than ``session_gap_sec``; a gap
 equal to the limit stays in the session. ``session_id`` is 0-based per user.
 Plays with a NULL timestamp sort first and belong to session 0.
 
-Scale design of ``add_session_ids``
------------------------------------
+Scale design: the session index
+-------------------------------
 The textbook plan (``lag`` + running ``sum`` over ``Window.partitionBy(user)``)
-sends every play of a user to one task, so one heavy user (a third of all
-rows, say) becomes one giant sort. Here the window is partitioned by
-``(user, time bucket)`` instead (``bucket_sec``, default one hour):
-
-1. per ``(user, bucket)``: ``lag`` of the epoch second and a running count
-   of the gaps found *inside* the bucket;
-2. the same partitions aggregate to one row per bucket (min and max second,
-   number of inner gaps) - no new shuffle;
-3. a window over that small bucket table, per user ordered by bucket, decides
-   whether the bucket's first play opens a session (its distance to the
-   previous bucket's last play) and turns the counts into an exclusive
-   running offset;
-4. the offsets join back on ``(user, bucket)``; the play side is already
-   hash-partitioned and sorted on that key, so only the bucket table moves.
-
-A heavy user is thus spread over as many tasks as it has active hours, and
-the per-user window only sees one row per active bucket.
+sorts every play of a user in one task, so one heavy user (a third of all
+rows, say) becomes one giant sort. Here no window ever runs over plays.
+
+Cut each user's time line into buckets exactly ``gap`` seconds wide. Two plays
+in the same bucket are at most ``gap - 1`` whole seconds apart, so a session
+can never start *inside* a bucket: it can only start at the first play of a
+bucket, when that play is more than ``gap`` seconds after the last play of
+the user's previous non-empty bucket. Hence:
+
+1. ``session_index``: a hash aggregate per (user, bucket) - first and last
+   second, first timestamp, play count. Map-side partial aggregation makes a
+   heavy user cost the same as a light one; the shuffle carries one row per
+   (user, bucket, task).
+2. A window over that index, per user ordered by bucket, flags the buckets
+   that open a session and numbers them with a running sum. A user has at
+   most (time span / gap) buckets, however many plays fall in them.
+3. Durations, counts, per-user statistics and session rankings are
+   aggregates of the index; plays are only revisited to label rows
+   (``add_session_ids``: an equi-join on (user, bucket) that AQE may
+   broadcast or split when skewed) or to count tracks of a few selected
+   sessions (``top_tracks_by_index``: a broadcast join on user and bucket
+   range).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from playlens.functions.time import epoch_seconds
 
 DEFAULT_GAP_SEC = 20 * 60
-DEFAULT_BUCKET_SEC = 3600
 
 # Internal column names (dropped before returning).
 _SEC = "__pl_sec"
-_UNULL = "__pl_user_is_null"
-_UKEY = "__pl_user_key"
 _BKT = "__pl_bucket"
 _FLAG = "__pl_flag"
-_CUM = "__pl_cum"
-_OFF = "__pl_offset"
+_IU = "__pl_index_user"
+_IB = "__pl_index_bucket"
 _NULL_BUCKET = -(2**63)  # bucket of NULL timestamps: sorts before every real bucket
 
 
@@ -56,67 +57,83 @@ def _check_gap(session_gap_sec: int) -> int:
     return gap
 
 
-def _user_key(df: DataFrame, user_col: str) -> tuple[Column, Column]:
-    """NULL-free stand-ins for the user key: (is_null flag, value or zero)."""
-    dtype = df.schema[user_col].dataType
-    zero = F.lit("") if isinstance(dtype, StringType) else F.lit(0).cast(dtype)
-    return F.col(user_col).isNull(), F.coalesce(F.col(user_col), zero)
+def _bucket(ts_col: str, gap: int) -> Column:
+    width = max(gap, 1)  # gap 0: plays in the same second never split
+    return F.coalesce(F.floor(epoch_seconds(ts_col) / F.lit(width)), F.lit(_NULL_BUCKET).cast("long"))
 
 
-def add_session_ids(
+def session_index(
     plays: DataFrame,
     session_gap_sec: int = DEFAULT_GAP_SEC,
     user_col: str = "userid",
     ts_col: str = "timestamp",
     session_col: str = "session_id",
-    bucket_sec: int = DEFAULT_BUCKET_SEC,
 ) -> DataFrame:
-    """Add a 0-based per-user ``session_id`` (BIGINT). See module docstring."""
+    """One row per (user, gap-wide bucket) holding plays, with its session.
+
+    Columns: ``user_col``, ``bucket``, ``first_sec``, ``last_sec`` (whole
+    epoch seconds), ``first_ts`` (earliest timestamp), ``n_plays`` and
+    ``session_col``. NULL timestamps form the bucket that sorts first.
+    """
     gap = _check_gap(session_gap_sec)
-    if int(bucket_sec) <= 0:
-        raise ValueError("bucket_sec must be > 0")
-    unull, ukey = _user_key(plays, user_col)
-    keyed = (
-        plays.withColumn(_SEC, epoch_seconds(ts_col))
-        .withColumn(_UNULL, unull)
-        .withColumn(_UKEY, ukey)
-        .withColumn(
-            _BKT,
-            F.coalesce(F.floor(F.col(_SEC) / F.lit(int(bucket_sec))), F.lit(_NULL_BUCKET).cast("long")),
-        )
-    )
-    part = [_UNULL, _UKEY, _BKT]
-    w_in = Window.partitionBy(*part).orderBy(F.col(ts_col).asc_nulls_first())
-    prev = F.lag(_SEC).over(w_in)
-    flagged = keyed.withColumn(
-        _FLAG, F.when(prev.isNotNull() & ((F.col(_SEC) - prev) > F.lit(gap)), 1).otherwise(0)
-    ).withColumn(_CUM, F.sum(_FLAG).over(w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-
-    w_b = Window.partitionBy(_UNULL, _UKEY).orderBy(_BKT)
-    prev_max = F.lag("bmax").over(w_b)
-    offsets = (
-        flagged.groupBy(*part)
-        .agg(F.min(_SEC).alias("bmin"), F.max(_SEC).alias("bmax"), F.sum(_FLAG).alias("bflags"))
-        .withColumn(
-            "bfirst", F.when(prev_max.isNotNull() & ((F.col("bmin") - prev_max) > F.lit(gap)), 1).otherwise(0)
-        )
-        .withColumn(
-            _OFF,
-            F.coalesce(
-                F.sum(F.col("bfirst") + F.col("bflags")).over(w_b.rowsBetween(Window.unboundedPreceding, -1)),
-                F.lit(0).cast("long"),
-            )
-            + F.col("bfirst"),
-        )
-        .select(*part, _OFF)
+    sec = epoch_seconds(ts_col)
+    idx = plays.groupBy(F.col(user_col), _bucket(ts_col, gap).alias("bucket")).agg(
+        F.min(sec).alias("first_sec"),
+        F.max(sec).alias("last_sec"),
+        F.min(F.col(ts_col)).alias("first_ts"),
+        F.count(F.lit(1)).alias("n_plays"),
     )
-    return (
-        flagged.join(offsets, on=part, how="inner")
-        .withColumn(session_col, (F.col(_OFF) + F.col(_CUM)).cast("long"))
-        .drop(_SEC, _UNULL, _UKEY, _BKT, _FLAG, _CUM, _OFF)
+    w = Window.partitionBy(user_col).orderBy(F.col("bucket").asc())
+    prev_last = F.lag("last_sec").over(w)
+    opens = F.when(prev_last.isNotNull() & ((F.col("first_sec") - prev_last) > F.lit(gap)), 1).otherwise(0)
+    return idx.withColumn(_FLAG, opens).withColumn(
+        session_col,
+        F.sum(_FLAG).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("long"),
+    ).drop(_FLAG)
+
+
+def sessions_from_index(
+    idx: DataFrame, user_col: str = "userid", session_col: str = "session_id"
+) -> DataFrame:
+    """One row per session from the index: ``session_start`` (timestamp),
+    ``session_duration_sec`` (last - first play start, whole seconds; NULL if
+    no timestamp), ``n_plays`` and the session's bucket range
+    (``first_bucket``, ``last_bucket``). The index is already partitioned by
+    user, so this aggregate adds no shuffle."""
+    return idx.groupBy(user_col, session_col).agg(
+        F.min("first_ts").alias("session_start"),
+        (F.max("last_sec") - F.min("first_sec")).alias("session_duration_sec"),
+        F.sum("n_plays").alias("n_plays"),
+        F.min("bucket").alias("first_bucket"),
+        F.max("bucket").alias("last_bucket"),
     )
 
 
+def add_session_ids(
+    plays: DataFrame,
+    session_gap_sec: int = DEFAULT_GAP_SEC,
+    user_col: str = "userid",
+    ts_col: str = "timestamp",
+    session_col: str = "session_id",
+    index: DataFrame | None = None,
+) -> DataFrame:
+    """Every play with its 0-based per-user ``session_id`` (BIGINT).
+
+    The plays join the session index on (user, bucket); NULL users match
+    NULL users (null-safe key). The index is small next to the plays - one
+    row per user and active gap-length period - so AQE broadcasts it when its
+    measured size allows, and otherwise shuffles both sides on (user,
+    bucket), splitting skewed partitions.
+    """
+    gap = _check_gap(session_gap_sec)
+    if index is None:
+        index = session_index(plays, gap, user_col, ts_col, session_col)
+    labels = index.select(F.col(user_col).alias(_IU), F.col("bucket").alias(_IB), session_col)
+    keyed = plays.withColumn(_BKT, _bucket(ts_col, gap))
+    cond = F.col(user_col).eqNullSafe(F.col(_IU)) & (F.col(_BKT) == F.col(_IB))
+    return keyed.join(labels, on=cond, how="inner").drop(_IU, _IB, _BKT)
+
+
 def add_session_ids_per_user_window(
     plays: DataFrame,
     session_gap_sec: int = DEFAULT_GAP_SEC,
@@ -263,3 +280,58 @@ def top_tracks_from_longest_sessions(sessions: DataFrame, top_n_sessions: int =
 def top_tracks_from_most_played_sessions(sessions: DataFrame, top_n_sessions: int = 50, top_n_tracks: int = 10, **kw):
     """The prose's question - tracks of the sessions with the most plays."""
     return top_tracks_from_sessions(sessions, top_n_sessions, top_n_tracks, rank_by="plays", **kw)
+
+
+def _rank_sessions(per_session: DataFrame, n: int, rank_by: str, user_col: str, session_col: str) -> DataFrame:
+    order = [F.col("session_duration_sec").desc_nulls_last()]
+    if rank_by == "plays":
+        order = [F.col("n_plays").desc()] + order
+    return per_session.orderBy(*order, F.col(user_col).asc_nulls_first(), F.col(session_col).asc()).limit(int(n))
+
+
+def top_tracks_by_index(
+    plays: DataFrame,
+    session_gap_sec: int = DEFAULT_GAP_SEC,
+    top_n_sessions: int = 50,
+    top_n_tracks: int = 10,
+    rank_by: str = "duration",
+    user_col: str = "userid",
+    ts_col: str = "timestamp",
+    session_col: str = "session_id",
+    track_col: str = "track_name",
+    index: DataFrame | None = None,
+) -> DataFrame:
+    """E8/E9 without labelling every play: same result as
+    ``top_tracks_from_sessions(add_session_ids(plays, gap), ...)``.
+
+    Sessions are ranked from the session index; the N winners (N <= 500,
+    a fixed bound) are broadcast with their bucket range, and the plays are
+    matched on user and bucket range inside the scan's tasks - no shuffle of
+    the plays. Track counts aggregate map-side before the only shuffle. A
+    NULL user never matches (as in the reference's inner join).
+    """
+    if not 1 <= int(top_n_sessions) <= MAX_TOP_SESSIONS:
+        raise ValueError(f"top_n_sessions must be in 1..{MAX_TOP_SESSIONS}")
+    if not 1 <= int(top_n_tracks) <= MAX_TOP_TRACKS:
+        raise ValueError(f"top_n_tracks must be in 1..{MAX_TOP_TRACKS}")
+    if rank_by not in ("duration", "plays"):
+        raise ValueError("rank_by must be 'duration' or 'plays'")
+    gap = _check_gap(session_gap_sec)
+    if index is None:
+        index = session_index(plays, gap, user_col, ts_col, session_col)
+    top = _rank_sessions(sessions_from_index(index, user_col, session_col), top_n_sessions, rank_by, user_col,
+                         session_col)
+    ranges = top.select(F.col(user_col).alias(_IU), "first_bucket", "last_bucket")
+    keyed = plays.select(F.col(user_col), F.col(track_col), _bucket(ts_col, gap).alias(_BKT))
+    cond = (
+        (F.col(user_col) == F.col(_IU))
+        & (F.col(_BKT) >= F.col("first_bucket"))
+        & (F.col(_BKT) <= F.col("last_bucket"))
+    )
+    return (
+        keyed.join(F.broadcast(ranges), on=cond, how="inner")
+        .groupBy(F.col(track_col))
+        .agg(F.count(F.lit(1)).alias("play_count"))
+        .orderBy(F.col("play_count").desc(), F.col(track_col).asc_nulls_first())
+        .limit(int(top_n_tracks))
+    )

@@ -163,105 +163,142 @@ def fit_lasso(train: DataFrame, key_cols: list[str], x: str, y: str) -> DataFram
 
 
 # ---------------------------------------------------------------------------
-# M8: grid search with contiguous k-fold CV
+# Grid search, held-out metrics, leaderboard - one scoring pass
 # ---------------------------------------------------------------------------
 
+_FULL_FIT = -1  # fold id of the model fitted on all train rows
 
-def grid_search(
+
+def model_scores(
     series: DataFrame,
     key_cols: list[str],
     x: str = "count_months",
     y: str = "y",
     train_ratio: float = DEFAULT_TRAIN_RATIO,
     n_folds: int = DEFAULT_FOLDS,
-    all_settings: bool = False,
 ) -> DataFrame:
-    """M8: for every key and every linear model, the grid setting with the
-    lowest mean validation MSE over ``n_folds`` contiguous folds of the train
-    rows (ties: first in grid order). Keys with fewer train rows than folds
-    are skipped (no CV is possible).
-
-    Fold models: each train row is emitted once for every fold it is *not*
-    in (``explode`` of a k-element array, so k-1 copies) and the fit sums are
-    aggregated per (key, held-out fold) directly - no subtraction of sums.
-    Validation: the held-out rows join their fold's 10 models on
-    (key, fold); squared errors average per fold, folds average per setting.
+    """Every linear setting of every key, fitted and scored in one pass.
+
+    * Fits: each train row is emitted once for every fold it is *not* in
+      (the cross-validation fits) and once more for the fit on all train rows
+      (fold id -1) - an ``explode`` of a k-element array, no self join. The
+      fit sums are aggregated per (key, fold) directly (no subtraction of
+      sums, so no cancellation) and expanded to the 10 grid settings.
+    * Scores: train rows meet the model of their own fold, test rows the
+      full-train model, in a single equi-join on (key, fold); squared errors
+      aggregate per (key, fold, setting).
+
+    Output per (key, setting): ``cv_mse`` (mean of the per-fold MSEs), the
+    full-train ``slope``/``intercept``, and the test-tail ``n_test``,
+    ``mse``, ``sse``, ``sst``. Keys with fewer train rows than folds are
+    skipped: no cross-validation is possible for them.
     """
     split = train_test_split(series, key_cols, x, train_ratio)
-    train = split.filter(F.col("split") == "train")
     w_all = Window.partitionBy(*key_cols)
-    train = train.withColumn("_ntrain", F.count(F.lit(1)).over(w_all)).filter(F.col("_ntrain") >= n_folds)
-    folded = kfold(train, key_cols, x, n_folds).select(*key_cols, x, y, "fold")
-    folds = F.array(*[F.lit(k) for k in range(n_folds)])
-    fit_rows = folded.withColumn("k", F.explode(F.filter(folds, lambda k: k != F.col("fold"))))
-    sums = fit_sums(fit_rows, [*key_cols, "k"], x, y)
+    split = split.withColumn(
+        "_ntrain", F.sum(F.when(F.col("split") == "train", 1).otherwise(0)).over(w_all)
+    ).filter(F.col("_ntrain") >= n_folds)
+    train = kfold(split.filter(F.col("split") == "train"), key_cols, x, n_folds)
+    rows = train.unionByName(split.filter(F.col("split") == "test").withColumn("fold", F.lit(_FULL_FIT)))
+    rows = rows.select(*key_cols, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"), "fold")
+
+    fit_ids = F.array(*[F.lit(k) for k in [*range(n_folds), _FULL_FIT]])
+    fit_rows = rows.filter(F.col("fold") != _FULL_FIT).withColumn(
+        "k", F.explode(F.filter(fit_ids, lambda k: k != F.col("fold")))
+    )
     models = coefficients(
-        sums.withColumn("s", F.explode(_settings_array())).select("*", "s.*").drop("s"),
+        fit_sums(fit_rows, [*key_cols, "k"], "_x", "_y")
+        .withColumn("s", F.explode(_settings_array()))
+        .select("*", "s.*")
+        .drop("s"),
         F.col("model"),
         F.col("fit_intercept"),
         F.col("alpha"),
-    ).select(*key_cols, "k", "model", "grid_pos", "params", "slope", "intercept")
-    held_out = folded.withColumnRenamed("fold", "k")
-    scored = (
-        held_out.join(models, on=[*key_cols, "k"], how="inner")
-        .withColumn("err", F.col(y) - (F.col("intercept") + F.col("slope") * F.col(x)))
-        .groupBy(*key_cols, "k", "model", "grid_pos", "params")
-        .agg(F.avg(F.col("err") * F.col("err")).alias("fold_mse"))
-        .groupBy(*key_cols, "model", "grid_pos", "params")
-        .agg(F.avg("fold_mse").alias("cv_mse"))
-    )
-    if all_settings:
-        return scored.withColumn("cv_mse", rounded(F.col("cv_mse")))
-    w_best = Window.partitionBy(*key_cols, "model").orderBy(
-        F.round(F.col("cv_mse"), DOUBLE_DECIMALS).asc(), F.col("grid_pos").asc()
+    ).select(*key_cols, "k", "model", "grid_pos", "params", "fit_intercept", "alpha", "slope", "intercept", "n")
+
+    err = F.col("_y") - (F.col("intercept") + F.col("slope") * F.col("_x"))
+    per_fold = (
+        rows.withColumnRenamed("fold", "k")
+        .join(models, on=[*key_cols, "k"], how="inner")
+        .withColumn("_e", err)
+        .groupBy(*key_cols, "k", "model", "grid_pos")
+        .agg(
+            F.count(F.lit(1)).alias("m"),
+            F.avg(F.col("_e") * F.col("_e")).alias("mse"),
+            F.sum(F.col("_e") * F.col("_e")).alias("sse"),
+            (F.var_pop("_y") * F.count(F.lit(1))).alias("sst"),
+            F.first("params").alias("params"),
+            F.first("fit_intercept").alias("fit_intercept"),
+            F.first("alpha").alias("alpha"),
+            F.first("slope").alias("slope"),
+            F.first("intercept").alias("intercept"),
+            F.first("n").alias("n"),
+        )
     )
+    # One reader of ``models``: the full-train coefficients (fold -1) ride
+    # along with the test-tail scores, which every key has (n_test >= 1).
+    cv, full = F.col("k") != _FULL_FIT, F.col("k") == _FULL_FIT
     return (
-        scored.withColumn("_r", F.row_number().over(w_best))
-        .filter(F.col("_r") == 1)
-        .select(
-            *key_cols,
-            "model",
-            "grid_pos",
-            F.col("params").alias("best_params"),
-            rounded(F.col("cv_mse")).alias("cv_mse"),
+        per_fold.groupBy(*key_cols, "model", "grid_pos")
+        .agg(
+            F.first("params").alias("params"),
+            F.first("fit_intercept").alias("fit_intercept"),
+            F.first("alpha").alias("alpha"),
+            F.avg(F.when(cv, F.col("mse"))).alias("cv_mse"),
+            F.max(F.when(full, F.col("m"))).alias("n_test"),
+            F.max(F.when(full, F.col("mse"))).alias("mse"),
+            F.max(F.when(full, F.col("sse"))).alias("sse"),
+            F.max(F.when(full, F.col("sst"))).alias("sst"),
+            F.max(F.when(full, F.col("slope"))).alias("slope"),
+            F.max(F.when(full, F.col("intercept"))).alias("intercept"),
+            F.max(F.when(full, F.col("n"))).alias("n"),
         )
+        .filter(F.col("cv_mse").isNotNull() & F.col("slope").isNotNull())
     )
 
 
-def _setting_of(winners: DataFrame) -> DataFrame:
-    """Attach fit_intercept/alpha of each (model, grid_pos) winner."""
-    grid = winners.sparkSession.createDataFrame(
-        [(m, pos, fi, alpha) for m, pos, _p, fi, alpha in LINEAR_GRID],
-        "model string, grid_pos int, fit_intercept boolean, alpha double",
+def _winners(scores: DataFrame, key_cols: list[str]) -> DataFrame:
+    """Per (key, model): the setting with the lowest CV MSE (ties: grid order)."""
+    w_best = Window.partitionBy(*key_cols, "model").orderBy(
+        F.round(F.col("cv_mse"), DOUBLE_DECIMALS).asc(), F.col("grid_pos").asc()
     )
-    return winners.join(F.broadcast(grid), on=["model", "grid_pos"], how="inner")
+    return scores.withColumn("_r", F.row_number().over(w_best)).filter(F.col("_r") == 1).drop("_r")
 
 
-def refit(
+def grid_search(
     series: DataFrame,
-    settings: DataFrame,
     key_cols: list[str],
     x: str = "count_months",
     y: str = "y",
     train_ratio: float = DEFAULT_TRAIN_RATIO,
-    fit_on: str = "train",
+    n_folds: int = DEFAULT_FOLDS,
+    all_settings: bool = False,
 ) -> DataFrame:
-    """Refit each (key, setting) row of ``settings`` (columns model,
-    fit_intercept, alpha, ...) on the key's train rows (``fit_on="train"``,
-    as the reference does) or on all rows (``"all"``)."""
-    if fit_on not in ("train", "all"):
-        raise ValueError("fit_on must be 'train' or 'all'")
-    rows = train_test_split(series, key_cols, x, train_ratio)
-    if fit_on == "train":
-        rows = rows.filter(F.col("split") == "train")
-    sums = fit_sums(rows, key_cols, x, y)
-    joined = settings.join(sums, on=key_cols, how="inner")
-    return coefficients(joined, F.col("model"), F.col("fit_intercept"), F.col("alpha"))
+    """M8: for every key and every linear model, the grid setting with the
+    lowest mean validation MSE over ``n_folds`` contiguous folds of the train
+    rows (ties: first in grid order). Output ``(keys, model, grid_pos,
+    best_params, cv_mse)``; ``all_settings=True`` keeps every setting."""
+    scores = model_scores(series, key_cols, x, y, train_ratio, n_folds)
+    if not all_settings:
+        scores = _winners(scores, key_cols)
+    return scores.select(
+        *key_cols, "model", "grid_pos", F.col("params").alias("best_params"), rounded(F.col("cv_mse")).alias("cv_mse")
+    )
 
 
-# ---------------------------------------------------------------------------
-# Held-out metrics and leaderboard
-# ---------------------------------------------------------------------------
+def _r2(n: Column, sse: Column, sst: Column) -> Column:
+    return (
+        F.when(n < 2, F.lit(None).cast("double"))
+        .when(sst == 0, F.when(sse == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
+        .otherwise(F.lit(1.0) - F.try_divide(sse, sst))
+    )
+
+
+def _winner_metrics(series, key_cols, x, y, train_ratio, n_folds) -> DataFrame:
+    w = _winners(model_scores(series, key_cols, x, y, train_ratio, n_folds), key_cols)
+    return w.withColumn("rmse", F.sqrt(F.col("mse"))).withColumn(
+        "r2", _r2(F.col("n_test"), F.col("sse"), F.col("sst"))
+    )
 
 
 def test_metrics(
@@ -275,36 +312,23 @@ def test_metrics(
     """M9: each model's grid winner, refitted on all train rows, scored on
     the held-out tail: ``mse``, ``rmse``, ``r2`` (1 - SSE/SST; SST = 0 gives
     1 when SSE = 0 else 0; fewer than 2 test rows give NULL)."""
-    winners = grid_search(series, key_cols, x, y, train_ratio, n_folds)
-    fitted = refit(series, _setting_of(winners), key_cols, x, y, train_ratio).select(
-        *key_cols, "model", "best_params", "slope", "intercept"
-    )
-    test = train_test_split(series, key_cols, x, train_ratio).filter(F.col("split") == "test")
-    err = F.col(y) - (F.col("intercept") + F.col("slope") * F.col(x))
-    agg = (
-        test.join(fitted, on=key_cols, how="inner")
-        .withColumn("err", err)
-        .groupBy(*key_cols, "model", "best_params")
-        .agg(
-            F.count(F.lit(1)).alias("n_test"),
-            F.avg(F.col("err") * F.col("err")).alias("mse"),
-            F.sum(F.col("err") * F.col("err")).alias("sse"),
-            (F.var_pop(F.col(y)) * F.count(F.lit(1))).alias("sst"),
-        )
-    )
-    r2 = (
-        F.when(F.col("n_test") < 2, F.lit(None).cast("double"))
-        .when(F.col("sst") == 0, F.when(F.col("sse") == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
-        .otherwise(F.lit(1.0) - F.try_divide(F.col("sse"), F.col("sst")))
-    )
-    return agg.select(
+    m = _winner_metrics(series, key_cols, x, y, train_ratio, n_folds)
+    return m.select(
         *key_cols,
         "model",
-        "best_params",
+        F.col("params").alias("best_params"),
         rounded(F.col("mse")).alias("mse"),
-        rounded(F.sqrt(F.col("mse"))).alias("rmse"),
-        rounded(r2).alias("r2"),
+        rounded(F.col("rmse")).alias("rmse"),
+        rounded(F.col("r2")).alias("r2"),
+    )
+
+
+def _ranked(series, key_cols, x, y, train_ratio, n_folds) -> DataFrame:
+    m = _winner_metrics(series, key_cols, x, y, train_ratio, n_folds)
+    w = Window.partitionBy(*key_cols).orderBy(
+        F.round(F.col("rmse"), DOUBLE_DECIMALS).asc_nulls_last(), F.col("model").asc()
     )
+    return m.withColumn("rank", F.row_number().over(w).cast("int"))
 
 
 def leaderboard(
@@ -317,13 +341,38 @@ def leaderboard(
 ) -> DataFrame:
     """Per key, one row per model ``(model, best_params, rmse, r2)`` with
     ``rank`` 1 = lowest test RMSE (ties: model name)."""
-    m = test_metrics(series, key_cols, x, y, train_ratio, n_folds)
-    w = Window.partitionBy(*key_cols).orderBy(F.col("rmse").asc_nulls_last(), F.col("model").asc())
-    return m.select(*key_cols, "model", "best_params", "rmse", "r2").withColumn(
-        "rank", F.row_number().over(w).cast("int")
+    return _ranked(series, key_cols, x, y, train_ratio, n_folds).select(
+        *key_cols,
+        "model",
+        F.col("params").alias("best_params"),
+        rounded(F.col("rmse")).alias("rmse"),
+        rounded(F.col("r2")).alias("r2"),
+        "rank",
     )
 
 
+def refit(
+    series: DataFrame,
+    settings: DataFrame,
+    key_cols: list[str],
+    x: str = "count_months",
+    y: str = "y",
+    train_ratio: float = DEFAULT_TRAIN_RATIO,
+    fit_on: str = "train",
+) -> DataFrame:
+    """Refit each (key, setting) row of ``settings`` (columns model,
+    fit_intercept, alpha, ...) on the key's train rows (``fit_on="train"``,
+    as the reference does) or on all rows (``"all"``)."""
+    if fit_on not in ("train", "all"):
+        raise ValueError("fit_on must be 'train' or 'all'")
+    rows = train_test_split(series, key_cols, x, train_ratio)
+    if fit_on == "train":
+        rows = rows.filter(F.col("split") == "train")
+    sums = fit_sums(rows, key_cols, x, y)
+    joined = settings.drop("slope", "intercept", "n").join(sums, on=key_cols, how="inner")
+    return coefficients(joined, F.col("model"), F.col("fit_intercept"), F.col("alpha"))
+
+
 # ---------------------------------------------------------------------------
 # forecasts
 # ---------------------------------------------------------------------------
@@ -375,24 +424,26 @@ def best_settings(
     family: str = "best",
     train_ratio: float = DEFAULT_TRAIN_RATIO,
 ) -> DataFrame:
-    """The setting to forecast with, per key.
+    """The setting to forecast with, per key, with its train-fit coefficients.
 
     ``family="best"``: the leaderboard's first model with its own settings.
     ``family="ridge"``: the reference's behaviour - a Ridge built from the
     winner's parameters (alpha if it has one, else 1.0; its fit_intercept if
-    it has one, else True).
+    it has one, else True); its coefficients are then refitted.
     """
     if family not in ("best", "ridge"):
         raise ValueError("family must be 'best' or 'ridge'")
-    lb = leaderboard(series, key_cols, x, y, train_ratio).filter(F.col("rank") == 1)
-    winners = grid_search(series, key_cols, x, y, train_ratio).join(
-        lb.select(*key_cols, "model"), on=[*key_cols, "model"], how="left_semi"
-    )
-    chosen = _setting_of(winners)
+    chosen = _ranked(series, key_cols, x, y, train_ratio, DEFAULT_FOLDS).filter(F.col("rank") == 1)
+    chosen = chosen.select(*key_cols, "model", "grid_pos", "params", "fit_intercept", "alpha", "slope", "intercept")
     if family == "ridge":
-        chosen = chosen.withColumn("alpha", F.coalesce(F.col("alpha"), F.lit(RIDGE_DEFAULT_ALPHA))).withColumn(
-            "fit_intercept", F.when(F.col("model") == "LinearRegression", F.col("fit_intercept")).otherwise(True)
-        ).withColumn("model", F.lit("Ridge"))
+        chosen = (
+            chosen.withColumn("alpha", F.coalesce(F.col("alpha"), F.lit(RIDGE_DEFAULT_ALPHA)))
+            .withColumn(
+                "fit_intercept", F.when(F.col("model") == "LinearRegression", F.col("fit_intercept")).otherwise(True)
+            )
+            .withColumn("model", F.lit("Ridge"))
+        )
+        chosen = refit(series, chosen, key_cols, x, y, train_ratio)
     return chosen
 
 
@@ -408,12 +459,14 @@ def best_model_forecast(
     unit_factor: float | None = None,
     unit_col: str | None = None,
 ) -> DataFrame:
-    """Leaderboard -> best setting -> refit -> forecast with month labels.
-    ``unit_factor`` adds the forecast in a second unit (``value * factor``)."""
+    """Leaderboard -> best setting -> (refit) -> forecast with month
+    labels. With the defaults the leaderboard's own train-fit coefficients
+    are used, so the grid is searched once. ``unit_factor`` adds the
+    forecast in a second unit (``value * factor``)."""
     chosen = best_settings(series, key_cols, x, y, family)
-    coefs = refit(series, chosen, key_cols, x, y, fit_on=fit_on).select(
-        *key_cols, "model", "slope", "intercept"
-    )
+    if fit_on != "train":
+        chosen = refit(series, chosen, key_cols, x, y, fit_on=fit_on)
+    coefs = chosen.select(*key_cols, "model", "slope", "intercept")
     fc = forecast_future_periods(series, coefs, key_cols, x, n_periods, carry=("model",))
     extra: list = ["model"]
     if unit_factor is not None and unit_col:

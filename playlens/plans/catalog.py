@@ -22,9 +22,10 @@ from playlens.plans.inputs import (
     ORDER_GAP,
     SERIES_KEY,
     SERIES_Y,
+    event_index,
     event_sessions,
     keyed_series,
-    order_sessions,
+    order_index,
 )
 from playlens.sources import sinks
 from playlens.sources.plays import (
@@ -77,24 +78,31 @@ SELECT {O.PLAY_COLS}, session_id FROM sessions""")
         @register(f"session_count{suffix}", f"""{S}
 SELECT count(*) AS session_count FROM (SELECT DISTINCT userid, session_id FROM sessions)""")
         def _session_count(spark, sf, gap=gap):
-            return sessions.session_count(event_sessions(spark, sf, gap))
+            return sessions.session_count(event_index(spark, sf, gap))
 
         @register(f"avg_tracks_per_session{suffix}", f"""{S}
 SELECT CAST(sum(n_plays) AS BIGINT) AS n_plays, count(*) AS n_sessions,
   round(sum(n_plays) / count(*), 6) AS avg_tracks_per_session FROM durations""")
         def _avg_tracks(spark, sf, gap=gap):
-            return sessions.avg_tracks_per_session(event_sessions(spark, sf, gap))
+            per = sessions.sessions_from_index(event_index(spark, sf, gap))
+            return per.agg(
+                F.sum("n_plays").alias("n_plays"),
+                F.count(F.lit(1)).alias("n_sessions"),
+                F.round(F.try_divide(F.sum("n_plays").cast("double"), F.count(F.lit(1))), 6).alias(
+                    "avg_tracks_per_session"
+                ),
+            )
 
         @register(f"session_durations{suffix}", f"""{S}
 SELECT userid, session_id, session_duration_sec FROM durations""")
         def _durations(spark, sf, gap=gap):
-            return sessions.compute_session_duration(event_sessions(spark, sf, gap))
+            return _durations_idx(spark, sf, gap)
 
         @register(f"longest_sessions{suffix}", f"""{S}
 SELECT userid, session_id, session_duration_sec FROM durations
 ORDER BY session_duration_sec DESC NULLS LAST, userid ASC NULLS FIRST, session_id LIMIT 10""")
         def _longest(spark, sf, gap=gap):
-            return sessions.longest_sessions(sessions.compute_session_duration(event_sessions(spark, sf, gap)), 10)
+            return sessions.longest_sessions(_durations_idx(spark, sf, gap), 10)
 
         @register(f"top_tracks_longest_sessions{suffix}", f"""{S},
 top AS (SELECT userid, session_id FROM durations
@@ -102,7 +110,7 @@ top AS (SELECT userid, session_id FROM durations
 SELECT s.track_name, count(*) AS play_count FROM sessions s JOIN top USING (userid, session_id)
 GROUP BY s.track_name ORDER BY play_count DESC, s.track_name ASC NULLS FIRST LIMIT 10""")
         def _top_long(spark, sf, gap=gap):
-            return sessions.top_tracks_from_longest_sessions(event_sessions(spark, sf, gap), 50, 10)
+            return sessions.top_tracks_by_index(event_plays(spark, sf), gap, 50, 10, rank_by="duration")
 
         @register(f"top_tracks_most_played_sessions{suffix}", f"""{S},
 top AS (SELECT userid, session_id FROM durations
@@ -110,19 +118,25 @@ top AS (SELECT userid, session_id FROM durations
 SELECT s.track_name, count(*) AS play_count FROM sessions s JOIN top USING (userid, session_id)
 GROUP BY s.track_name ORDER BY play_count DESC, s.track_name ASC NULLS FIRST LIMIT 10""")
         def _top_plays(spark, sf, gap=gap):
-            return sessions.top_tracks_from_most_played_sessions(event_sessions(spark, sf, gap), 50, 10)
+            return sessions.top_tracks_by_index(event_plays(spark, sf), gap, 50, 10, rank_by="plays")
 
     _mk()
 
 _S20 = O.event_sessions(EVENT_GAP)
 
 
+def _durations_idx(spark, sf, gap=EVENT_GAP):
+    """E4 from the session index: no per-play sort or join."""
+    per = sessions.sessions_from_index(event_index(spark, sf, gap))
+    return per.select("userid", "session_id", "session_duration_sec")
+
+
 @register("session_duration_stats", f"""{_S20}
 SELECT count(session_duration_sec) AS count, round(avg(session_duration_sec), 6) AS mean,
   round(stddev_samp(session_duration_sec), 6) AS stddev,
   min(session_duration_sec) AS min, max(session_duration_sec) AS max FROM durations""")
 def _duration_stats(spark, sf):
-    return numeric_summary(sessions.compute_session_duration(event_sessions(spark, sf)), "session_duration_sec")
+    return numeric_summary(_durations_idx(spark, sf), "session_duration_sec")
 
 
 @register("session_duration_stats_hours", f"""{_S20}
@@ -130,9 +144,7 @@ SELECT count(h) AS count, round(avg(h), 6) AS mean, round(stddev_samp(h), 6) AS
   round(min(h), 6) AS min, round(max(h), 6) AS max
 FROM (SELECT CAST(session_duration_sec AS DOUBLE) / 3600.0 AS h FROM durations)""")
 def _duration_stats_hours(spark, sf):
-    d = sessions.compute_session_duration(event_sessions(spark, sf)).select(
-        seconds_to("session_duration_sec", "hours").alias("h")
-    )
+    d = _durations_idx(spark, sf).select(seconds_to("session_duration_sec", "hours").alias("h"))
     s = numeric_summary(d, "h")
     return s.select("count", "mean", "stddev", rounded(F.col("min")).alias("min"), rounded(F.col("max")).alias("max"))
 
@@ -143,7 +155,7 @@ SELECT userid, session_id, session_duration_sec,
   round(CAST(session_duration_sec AS DOUBLE) / 3600.0, 6) AS session_duration_hours
 FROM durations""")
 def _duration_units(spark, sf):
-    d = sessions.compute_session_duration(event_sessions(spark, sf))
+    d = _durations_idx(spark, sf)
     return d.select(
         "userid",
         "session_id",
@@ -157,8 +169,11 @@ def _duration_units(spark, sf):
 SELECT userid, "timestamp", track_name, session_id FROM sessions
 ORDER BY userid ASC NULLS FIRST, "timestamp" ASC NULLS FIRST, musicbrainz_track_id ASC NULLS FIRST LIMIT 10""")
 def _preview(spark, sf):
-    s = event_sessions(spark, sf)
-    head = sinks.preview(s, ["userid", "timestamp", "musicbrainz_track_id"], 10)
+    # take the 10 plays first, then label only them: session ids come from
+    # the index of the whole table
+    plays = event_plays(spark, sf)
+    head = sinks.preview(plays, ["userid", "timestamp", "musicbrainz_track_id"], 10)
+    head = sessions.add_session_ids(head, EVENT_GAP, index=event_index(spark, sf))
     return head.select("userid", as_wall_clock("timestamp").alias("timestamp"), "track_name", "session_id")
 
 
@@ -166,8 +181,9 @@ def _preview(spark, sf):
 SELECT userid, "timestamp", track_name, session_id FROM sessions
 ORDER BY userid DESC NULLS LAST, "timestamp" DESC NULLS LAST, musicbrainz_track_id DESC NULLS LAST LIMIT 10""")
 def _preview_tail(spark, sf):
-    s = event_sessions(spark, sf)
-    tail = sinks.preview(s, ["userid", "timestamp", "musicbrainz_track_id"], 10, tail=True)
+    plays = event_plays(spark, sf)
+    tail = sinks.preview(plays, ["userid", "timestamp", "musicbrainz_track_id"], 10, tail=True)
+    tail = sessions.add_session_ids(tail, EVENT_GAP, index=event_index(spark, sf))
     return tail.select("userid", as_wall_clock("timestamp").alias("timestamp"), "track_name", "session_id")
 
 
@@ -182,20 +198,20 @@ _SOU = _SO + ",\n" + O.user_sessions_cte()
 @register("sessions_per_user", f"""{_SO}
 SELECT userid, count(*) AS n_sessions FROM (SELECT DISTINCT userid, session_id FROM sessions) GROUP BY userid""")
 def _sessions_per_user(spark, sf):
-    return series.sessions_per_user(order_sessions(spark, sf))
+    return series.sessions_per_user(order_index(spark, sf))
 
 
 @register("top_user", f"""{_SO}
 SELECT userid, count(*) AS n_sessions FROM (SELECT DISTINCT userid, session_id FROM sessions) GROUP BY userid
 ORDER BY n_sessions DESC, userid ASC NULLS FIRST LIMIT 1""")
 def _top_user(spark, sf):
-    return series.top_user(order_sessions(spark, sf))
+    return series.top_user(order_index(spark, sf))
 
 
 @register("user_sessions", f"""{_SOU}
 SELECT userid, session_id, session_start, session_duration_sec FROM user_sessions""")
 def _user_sessions(spark, sf):
-    us = series.user_sessions(order_sessions(spark, sf))
+    us = series.user_sessions_from_index(order_index(spark, sf))
     return us.select("userid", "session_id", as_wall_clock("session_start").alias("session_start"), "session_duration_sec")
 
 
@@ -209,7 +225,7 @@ _MONTHLY = """monthly AS (
 {_MONTHLY}
 SELECT userid, timestamp_month, round(avg_session_duration_sec, 6) AS avg_session_duration_sec FROM monthly""")
 def _monthly(spark, sf):
-    m = series.monthly_session_duration(series.user_sessions(order_sessions(spark, sf)))
+    m = series.monthly_session_duration(series.user_sessions_from_index(order_index(spark, sf)))
     return m.select("userid", "timestamp_month", rounded(F.col("avg_session_duration_sec")).alias("avg_session_duration_sec"))
 
 
@@ -219,7 +235,7 @@ SELECT userid, timestamp_month, round(avg_session_duration_sec, 6) AS avg_sessio
   CAST(row_number() OVER (PARTITION BY userid ORDER BY timestamp_month) - 1 AS INTEGER) AS count_months
 FROM monthly""")
 def _month_counter(spark, sf):
-    m = series.monthly_session_duration(series.user_sessions(order_sessions(spark, sf)))
+    m = series.monthly_session_duration(series.user_sessions_from_index(order_index(spark, sf)))
     return series.add_month_counter(m).select(
         "userid", "timestamp_month", rounded(F.col("avg_session_duration_sec")).alias("avg_session_duration_sec"),
         "count_months",
@@ -235,7 +251,8 @@ SELECT userid, timestamp_month,
   round(avg_session_duration_sec, 6) AS avg_session_duration_sec
 FROM monthly WHERE userid IN (SELECT userid FROM top)""")
 def _top_user_series(spark, sf):
-    s = series.top_user_monthly_series(order_sessions(spark, sf))
+    idx = order_index(spark, sf)
+    s = series.top_user_monthly_series(idx, per_session=series.user_sessions_from_index(idx))
     return s.select("userid", "timestamp_month", "count_months", rounded(F.col("avg_session_duration_sec")).alias("avg_session_duration_sec"))
 
 
@@ -245,7 +262,7 @@ SELECT userid, max(session_duration_sec) AS longest_session_sec,
 FROM user_sessions GROUP BY userid
 ORDER BY longest_session_sec DESC NULLS LAST, total_session_sec DESC NULLS LAST, userid ASC NULLS FIRST LIMIT 1""")
 def _user_longest(spark, sf):
-    return series.user_with_longest_session(order_sessions(spark, sf))
+    return series.user_with_longest_session(None, per_session=series.user_sessions_from_index(order_index(spark, sf)))
 
 
 # ===========================================================================
@@ -404,7 +421,7 @@ SELECT s.track_name, count(*) AS play_count FROM sessions s JOIN top USING (user
 GROUP BY s.track_name ORDER BY play_count DESC, s.track_name ASC NULLS FIRST LIMIT 10""")
 def _tsv_sink(spark, sf):
     path = scratch_path(spark, "tsv_sink")
-    top = sessions.top_tracks_from_longest_sessions(event_sessions(spark, sf), 50, 10)
+    top = sessions.top_tracks_by_index(event_plays(spark, sf), EVENT_GAP, 50, 10)
     sinks.write_tsv(top, path, single_file=True)
     return sinks.read_tsv(spark, path, "track_name string, play_count bigint")
 
@@ -416,8 +433,12 @@ def _tsv_sink(spark, sf):
 _KS = O.keyed_series(ORDER_GAP)
 
 
-def _series(spark, sf):
-    return keyed_series(spark, sf)
+def _series(spark, sf, shared: bool = False):
+    """The keyed series. ``shared=True`` for plans that read it in several
+    differently-pruned branches: it is then written once to the shared
+    checkpoint folder instead of being recomputed per branch
+    (``keyed_series(materialize=True)``)."""
+    return keyed_series(spark, sf, materialize=shared)
 
 
 @register("keyed_series", f"""{_KS}
@@ -479,7 +500,7 @@ _GS = f"{_KS},\n{O.grid_search_ctes()}"
 @register("grid_search", f"""{_GS}
 SELECT series_key, model, grid_pos, best_params, round(cv_mse_raw, 6) AS cv_mse FROM winners""")
 def _grid_search(spark, sf):
-    return trend.grid_search(_series(spark, sf), KEYS, T, SERIES_Y)
+    return trend.grid_search(_series(spark, sf, shared=True), KEYS, T, SERIES_Y)
 
 
 _MET = _GS + O.metrics_ctes()
@@ -489,19 +510,19 @@ _MET = _GS + O.metrics_ctes()
 SELECT series_key, model, best_params, round(mse, 6) AS mse, round(rmse, 6) AS rmse, round(r2, 6) AS r2
 FROM metrics""")
 def _test_metrics(spark, sf):
-    return trend.test_metrics(_series(spark, sf), KEYS, T, SERIES_Y)
+    return trend.test_metrics(_series(spark, sf, shared=True), KEYS, T, SERIES_Y)
 
 
 @register("leaderboard", f"{_MET}\nSELECT series_key, model, best_params, rmse, r2, rank FROM board")
 def _leaderboard(spark, sf):
-    return trend.leaderboard(_series(spark, sf), KEYS, T, SERIES_Y)
+    return trend.leaderboard(_series(spark, sf, shared=True), KEYS, T, SERIES_Y)
 
 
 @register("model_comparison", f"""{_MET}
 SELECT series_key, model, 'rmse' AS metric, rmse AS value FROM board
 UNION ALL SELECT series_key, model, 'r2' AS metric, r2 AS value FROM board""")
 def _model_comparison(spark, sf):
-    return charts.model_comparison(trend.leaderboard(_series(spark, sf), KEYS, T, SERIES_Y), KEYS)
+    return charts.model_comparison(trend.leaderboard(_series(spark, sf, shared=True), KEYS, T, SERIES_Y), KEYS)
 
 
 _OLS_FC = f"""{_KS},
@@ -516,7 +537,7 @@ fc AS (
 
 
 def _ols_forecast(spark, sf):
-    s = _series(spark, sf)
+    s = _series(spark, sf, shared=True)
     tr = trend.train_test_split(s, KEYS, T).filter(F.col("split") == "train")
     sums = trend.fit_sums(tr, KEYS, T, SERIES_Y)
     coefs = trend.coefficients(sums, F.lit("LinearRegression"), F.lit(True), F.lit(None).cast("double"))
@@ -554,7 +575,7 @@ SELECT series_key, CAST(CAST(last_month AS DATE) + to_months(CAST(h AS INTEGER))
 FROM bfc""")
 def _best_forecast(spark, sf):
     return trend.best_model_forecast(
-        _series(spark, sf), KEYS, T, SERIES_Y, 3, value_col=f"forecast_{SERIES_Y}",
+        _series(spark, sf, shared=True), KEYS, T, SERIES_Y, 3, value_col=f"forecast_{SERIES_Y}",
         unit_factor=24.0, unit_col="forecast_avg_session_duration_hours",
     )
 
@@ -563,7 +584,7 @@ def _best_forecast(spark, sf):
 SELECT series_key, model, slope, intercept FROM (
   SELECT series_key, model, round(slope, 6) AS slope, round(intercept, 6) AS intercept FROM bcoef)""")
 def _coef_sink(spark, sf):
-    s = _series(spark, sf)
+    s = _series(spark, sf, shared=True)
     chosen = trend.best_settings(s, KEYS, T, SERIES_Y)
     coefs = trend.refit(s, chosen, KEYS, T, SERIES_Y).select(
         SERIES_KEY, "model", rounded(F.col("slope")).alias("slope"), rounded(F.col("intercept")).alias("intercept")
@@ -660,7 +681,7 @@ pairs AS (SELECT f.series_key, f.fc - s.y AS e FROM h_fc f JOIN series s ON f.se
 SELECT series_key, count(*) AS n_compared, round(avg(abs(e)), 6) AS mae, round(avg(e * e), 6) AS mse,
   round(sqrt(avg(e * e)), 6) AS rmse FROM pairs GROUP BY series_key""")
 def _forecast_eval(spark, sf):
-    return seasonal.forecast_evaluation(_series(spark, sf), KEYS, T, SERIES_Y)
+    return seasonal.forecast_evaluation(_series(spark, sf, shared=True), KEYS, T, SERIES_Y)
 
 
 @register("forecast_chart", f"""{_KS},
@@ -668,7 +689,7 @@ def _forecast_eval(spark, sf):
 SELECT series_key, timestamp_month AS month, round(y, 6) AS value, 'observed' AS series FROM series
 UNION ALL SELECT series_key, month, round(fc, 6) AS value, 'forecast' AS series FROM s_fc""")
 def _forecast_chart(spark, sf):
-    s = _series(spark, sf)
+    s = _series(spark, sf, shared=True)
     fc = seasonal.seasonal_forecast(s, KEYS, T, SERIES_Y)
     return charts.observed_and_forecast(s, fc, KEYS, "timestamp_month", SERIES_Y, "forecast")
 

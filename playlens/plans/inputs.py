@@ -6,8 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlens.operators.series import add_month_counter, monthly_session_duration, user_sessions
-from playlens.operators.sessions import add_session_ids
+from playlens.config import materialize as materialize_df
+from playlens.operators.series import add_month_counter, monthly_session_duration, user_sessions_from_index
+from playlens.operators.sessions import add_session_ids, session_index
 from playlens.sources.plays import event_plays, order_plays, table
 
 EVENT_GAP = 20 * 60  # the reference's default: 20 minutes
@@ -25,18 +26,36 @@ def order_sessions(spark: SparkSession, sf_dir: str, gap: int = ORDER_GAP) -> Da
     return add_session_ids(order_plays(spark, sf_dir), gap)
 
 
-def keyed_series(spark: SparkSession, sf_dir: str, gap: int = ORDER_GAP) -> DataFrame:
+def event_index(spark: SparkSession, sf_dir: str, gap: int = EVENT_GAP) -> DataFrame:
+    return session_index(event_plays(spark, sf_dir), gap)
+
+
+def order_index(spark: SparkSession, sf_dir: str, gap: int = ORDER_GAP) -> DataFrame:
+    return session_index(order_plays(spark, sf_dir), gap)
+
+
+def keyed_series(spark: SparkSession, sf_dir: str, gap: int = ORDER_GAP, materialize: bool = False) -> DataFrame:
     """Monthly mean session duration (days) per customer market segment.
 
-    Sessions are reduced to one row each before the customer join, so the
-    join moves one row per session, not per order; the customer side is a
+    Sessions come from the session index (no per-order sort) and are reduced
+    to one row each before the customer join, so the join moves one row per
+    session, not per order; the customer side is a
     dimension that grows with the data, so Spark (AQE) chooses the join
     strategy from measured sizes.
+
+    ``materialize=True`` writes the series (keys x months rows - small next
+    to the plays it summarises) once to the shared checkpoint folder and
+    returns a frame reading it: model pipelines consume the series in many
+    branches, and without the cut each branch would re-read and re-sessionize
+    the whole order history. The checkpoint also survives executor loss.
     """
-    us = user_sessions(order_sessions(spark, sf_dir, gap))
+    us = user_sessions_from_index(order_index(spark, sf_dir, gap))
     cust = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").cast("string").alias("userid"), F.col("c_mktsegment").alias(SERIES_KEY)
     )
     keyed = us.join(cust, on="userid", how="inner")
     monthly = monthly_session_duration(keyed, (SERIES_KEY,), out_col=SERIES_Y, scale=86400.0)
-    return add_month_counter(monthly, (SERIES_KEY,))
+    series = add_month_counter(monthly, (SERIES_KEY,))
+    if materialize:
+        series = materialize_df(series, "keyed_series")
+    return series
