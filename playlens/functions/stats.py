@@ -11,7 +11,9 @@ DOUBLE_DECIMALS = 6
 
 
 def rounded(c: Column, decimals: int = DOUBLE_DECIMALS) -> Column:
-    return F.round(c.cast("double"), decimals)
+    """Round to ``decimals`` and fold -0.0 into 0.0 (``+ 0.0``), so that a
+    tiny negative value reads the same in every engine."""
+    return F.round(c.cast("double"), decimals) + F.lit(0.0)
 
 
 def numeric_summary(df: DataFrame, column: str, value: Column | None = None) -> DataFrame:

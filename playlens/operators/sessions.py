@@ -37,6 +37,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from playlens.functions.stats import rounded
 from playlens.functions.time import epoch_seconds
 
 DEFAULT_GAP_SEC = 20 * 60
@@ -170,7 +171,7 @@ def avg_tracks_per_session(
     return per.agg(
         F.sum("n").alias("n_plays"),
         F.count(F.lit(1)).alias("n_sessions"),
-        F.round(F.try_divide(F.sum("n").cast("double"), F.count(F.lit(1))), 6).alias("avg_tracks_per_session"),
+        rounded(F.try_divide(F.sum("n").cast("double"), F.count(F.lit(1)))).alias("avg_tracks_per_session"),
     )
 
 

@@ -49,7 +49,7 @@ def register(name: str, sql: str | None):
     def deco(fn: Builder) -> Builder:
         if name in REGISTRY:
             raise KeyError(f"duplicate query {name}")
-        REGISTRY[name] = (fn, sql)
+        REGISTRY[name] = (fn, None if sql is None else O.fold_negative_zero(sql))
         return fn
 
     return deco
@@ -88,7 +88,7 @@ SELECT CAST(sum(n_plays) AS BIGINT) AS n_plays, count(*) AS n_sessions,
             return per.agg(
                 F.sum("n_plays").alias("n_plays"),
                 F.count(F.lit(1)).alias("n_sessions"),
-                F.round(F.try_divide(F.sum("n_plays").cast("double"), F.count(F.lit(1))), 6).alias(
+                rounded(F.try_divide(F.sum("n_plays").cast("double"), F.count(F.lit(1)))).alias(
                     "avg_tracks_per_session"
                 ),
             )

@@ -37,7 +37,7 @@ def _norm_value(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6) + 0.0
+        return repr(round(v, 6))  # textual: -0.0 and 0.0 differ, as in a value hash
     if isinstance(v, pd.Timestamp):
         return v.tz_localize(None) if v.tzinfo else v
     if hasattr(v, "item"):
