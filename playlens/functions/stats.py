@@ -40,28 +40,23 @@ def string_summary(df: DataFrame, columns: list[str] | tuple[str, ...]) -> DataF
     lexicographic min and max. All columns are aggregated in a single
     ``agg`` and then unpivoted, so the table is scanned once.
     """
+    def q(c: str) -> str:
+        return "`" + c.replace("`", "``") + "`"
+
     aggs = []
-    for c in columns:
-        num = F.col(c).try_cast("double")
+    for i, c in enumerate(columns):
+        num = f"try_cast({q(c)} AS DOUBLE)"
         aggs += [
-            F.count(F.col(c)).alias(f"{c}__count"),
-            rounded(F.avg(num)).alias(f"{c}__mean"),
-            rounded(F.stddev_samp(num)).alias(f"{c}__stddev"),
-            F.min(F.col(c)).alias(f"{c}__min"),
-            F.max(F.col(c)).alias(f"{c}__max"),
-        ]
-    wide = df.agg(*aggs)
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column"),
-                F.col(f"`{c}__count`").alias("count"),
-                F.col(f"`{c}__mean`").alias("mean"),
-                F.col(f"`{c}__stddev`").alias("stddev"),
-                F.col(f"`{c}__min`").alias("min"),
-                F.col(f"`{c}__max`").alias("max"),
-            )
-            for c in columns
+            f"count({q(c)}) AS c{i}_count",
+            f"round(avg({num}), {DOUBLE_DECIMALS}) + 0.0D AS c{i}_mean",
+            f"round(stddev_samp({num}), {DOUBLE_DECIMALS}) + 0.0D AS c{i}_stddev",
+            f"min({q(c)}) AS c{i}_min",
+            f"max({q(c)}) AS c{i}_max",
         ]
-    )
-    return wide.select(F.inline(rows))
+    wide = df.agg(*[F.expr(a) for a in aggs])
+    rows = "array(" + ", ".join(
+        f"named_struct('column', '{c.replace(chr(39), chr(92) + chr(39))}', 'count', c{i}_count, 'mean', c{i}_mean, "
+        f"'stddev', c{i}_stddev, 'min', c{i}_min, 'max', c{i}_max)"
+        for i, c in enumerate(columns)
+    ) + ")"
+    return wide.selectExpr(f"inline({rows})")

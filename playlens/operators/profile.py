@@ -10,10 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlens.functions.stats import numeric_summary, rounded, string_summary
+from playlens.functions.stats import numeric_summary, string_summary
 from playlens.functions.time import as_wall_clock, calendar_start
 
 
+def _sql_text(s: str) -> str:
+    return s.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def row_count(plays: DataFrame) -> DataFrame:
     """Total number of plays."""
     return plays.agg(F.count(F.lit(1)).alias("n_rows"))
@@ -26,22 +30,15 @@ def null_report(plays: DataFrame, columns: list[str] | None = None) -> DataFrame
     (two expressions per column) and unpivoted.
     """
     cols = list(columns or plays.columns)
-    total = F.count(F.lit(1))
-    wide = plays.agg(
-        total.alias("__total"),
-        *[F.count(F.when(F.col(c).isNull(), 1)).alias(f"{c}__nulls") for c in cols],
-    )
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column"),
-                F.col(f"`{c}__nulls`").alias("null_count"),
-                rounded(F.try_divide(F.col(f"`{c}__nulls`") * F.lit(100.0), F.col("__total"))).alias("null_pct"),
-            )
-            for c in cols
-        ]
+    wide = plays.selectExpr(*[f"`{c}` IS NULL AS n{i}" for i, c in enumerate(cols)]).agg(
+        F.expr("count(1) AS total"), *[F.expr(f"count_if(n{i}) AS n{i}") for i in range(len(cols))]
     )
-    return wide.select(F.inline(rows))
+    rows = "array(" + ", ".join(
+        f"named_struct('column', '{_sql_text(c)}', 'null_count', n{i}, "
+        f"'null_pct', round(try_divide(n{i} * 100.0D, total), 6) + 0.0D)"
+        for i, c in enumerate(cols)
+    ) + ")"
+    return wide.selectExpr(f"inline({rows})")
 
 
 def column_summary(plays: DataFrame, columns: list[str] | None = None) -> DataFrame:

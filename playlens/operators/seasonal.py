@@ -47,16 +47,15 @@ def differencing(series: DataFrame, key_cols: list[str], t_col: str, y_col: str,
 
 
 def _acf_wide(series: DataFrame, key_cols: list[str], t_col: str, y_col: str, nlags: int) -> DataFrame:
-    """Per key: n and the lag-k cross products of the demeaned series."""
-    w = _w(key_cols, t_col)
-    dev = series.withColumn("_dev", F.col(y_col) - F.avg(y_col).over(Window.partitionBy(*key_cols)))
-    return (
-        dev.select(*key_cols, "_dev", *[F.lead("_dev", k).over(w).alias(f"_l{k}") for k in range(nlags + 1)])
-        .groupBy(*key_cols)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            *[F.sum(F.col("_dev") * F.col(f"_l{k}")).alias(f"c{k}") for k in range(nlags + 1)],
-        )
+    """Per key: n and the lag-k cross products ``c{k}`` of the demeaned series."""
+    keys = ", ".join(f"`{k}`" for k in key_cols)
+    w = f"OVER (PARTITION BY {keys} ORDER BY `{t_col}`)"
+    dev = series.selectExpr(*[f"`{k}`" for k in key_cols], f"`{t_col}`",
+                            f"`{y_col}` - avg(`{y_col}`) OVER (PARTITION BY {keys}) AS _dev")
+    leads = dev.selectExpr(*[f"`{k}`" for k in key_cols], "_dev",
+                           *[f"lead(_dev, {k}) {w} AS _l{k}" for k in range(nlags + 1)])
+    return leads.groupBy(*key_cols).agg(
+        F.expr("count(1) AS n"), *[F.expr(f"sum(_dev * _l{k}) AS c{k}") for k in range(nlags + 1)]
     )
 
 
@@ -66,11 +65,11 @@ def acf(series: DataFrame, key_cols: list[str], t_col: str, y_col: str, nlags: i
 
     Implemented with ``lead`` over one window per key (no self join)."""
     wide = _acf_wide(series, key_cols, t_col, y_col, nlags)
-    rows = F.array(
-        *[F.struct(F.lit(k).alias("lag"), F.try_divide(F.col(f"c{k}"), F.col("c0")).alias("acf")) for k in range(nlags + 1)]
-    )
+    rows = "array(" + ", ".join(
+        f"named_struct('lag', {k}, 'acf', try_divide(c{k}, c0))" for k in range(nlags + 1)
+    ) + ")"
     return (
-        wide.select(*key_cols, "n", F.inline(rows))
+        wide.selectExpr(*[f"`{k}`" for k in key_cols], "n", f"inline({rows})")
         .filter(F.col("lag") <= F.col("n") - 1)
         .select(*key_cols, F.col("lag").cast("int").alias("lag"), rounded(F.col("acf")).alias("acf"))
     )
@@ -98,8 +97,8 @@ def pacf(series: DataFrame, key_cols: list[str], t_col: str, y_col: str, nlags:
     solved by Durbin-Levinson), k = 1..min(nlags, n // 2 - 1).
     Long form ``(keys, lag, pacf)``."""
     wide = _acf_wide(series, key_cols, t_col, y_col, nlags)
-    r = F.array(*[F.try_divide(F.col(f"c{k}"), F.col("c0")) for k in range(nlags + 1)])
-    out = wide.withColumn("_r", r).withColumn("_p", F.expr(_durbin_levinson_sql("_r", nlags)))
+    r = "array(" + ", ".join(f"try_divide(c{k}, c0)" for k in range(nlags + 1)) + ")"
+    out = wide.withColumn("_r", F.expr(r)).withColumn("_p", F.expr(_durbin_levinson_sql("_r", nlags)))
     return (
         out.select(*key_cols, "n", F.posexplode("_p").alias("pos", "pacf"))
         .withColumn("lag", (F.col("pos") + 1).cast("int"))

@@ -48,19 +48,26 @@ DEFAULT_FOLDS = 3
 RIDGE_DEFAULT_ALPHA = 1.0
 
 
+def _sql_value(v) -> str:
+    if v is None:
+        return "CAST(NULL AS DOUBLE)"
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"CAST({v!r} AS DOUBLE)" if isinstance(v, float) else str(int(v))
+
+
 def _settings_array(grid=LINEAR_GRID) -> Column:
-    return F.array(
-        *[
-            F.struct(
-                F.lit(m).alias("model"),
-                F.lit(pos).alias("grid_pos"),
-                F.lit(params).alias("params"),
-                F.lit(fi).alias("fit_intercept"),
-                F.lit(alpha).cast("double").alias("alpha"),
-            )
-            for m, pos, params, fi, alpha in grid
-        ]
-    )
+    """The grid as one array-of-structs literal (a single expression, so the
+    plan is built with one JVM call instead of one per field)."""
+    structs = [
+        "named_struct('model', {}, 'grid_pos', {}, 'params', {}, 'fit_intercept', {}, 'alpha', {})".format(
+            _sql_value(m), _sql_value(pos), _sql_value(params), _sql_value(fi), _sql_value(alpha)
+        )
+        for m, pos, params, fi, alpha in grid
+    ]
+    return F.expr("array(" + ", ".join(structs) + ")")
 
 
 def fit_sums(df: DataFrame, group_cols: list[str], x: str, y: str) -> DataFrame:
@@ -77,25 +84,31 @@ def fit_sums(df: DataFrame, group_cols: list[str], x: str, y: str) -> DataFrame:
     )
 
 
-def _safe_div(num: Column, den: Column) -> Column:
-    return F.when(den == 0, F.lit(0.0)).otherwise(F.try_divide(num, den))
+def _safe_div(num: str, den: str) -> str:
+    return f"CASE WHEN ({den}) = 0 THEN 0.0D ELSE try_divide({num}, {den}) END"
 
 
-def coefficients(sums: DataFrame, model: Column, fit_intercept: Column, alpha: Column) -> DataFrame:
-    """Add ``slope`` and ``intercept`` for each row of ``sums`` (closed forms)."""
-    sxx, sxy, n = F.col("sxx"), F.col("sxy"), F.col("n")
-    sum_xx, sum_xy = F.col("sum_xx"), F.col("sum_xy")
-    a = F.coalesce(alpha, F.lit(0.0))
+def coefficients(
+    sums: DataFrame, model: str = "model", fit_intercept: str = "fit_intercept", alpha: str = "alpha"
+) -> DataFrame:
+    """Add ``slope`` and ``intercept`` for each row of ``sums`` (closed forms).
+
+    ``model``, ``fit_intercept`` and ``alpha`` are SQL expressions over
+    ``sums`` - column names, or literals such as ``"'Ridge'"``.
+    """
+    a = f"coalesce({alpha}, 0.0D)"
+    ridge = f"CASE WHEN {model} = 'Ridge' THEN {a} ELSE 0.0D END"
     slope = (
-        F.when((model == "Lasso"), _safe_div(F.signum(sxy) * F.greatest(F.abs(sxy) - n * a, F.lit(0.0)), sxx))
-        .when(fit_intercept, _safe_div(sxy, sxx + F.when(model == "Ridge", a).otherwise(0.0)))
-        .otherwise(_safe_div(sum_xy, sum_xx + F.when(model == "Ridge", a).otherwise(0.0)))
-    )
-    with_slope = sums.withColumn("slope", slope)
-    intercept = F.when(fit_intercept | (model == "Lasso"), F.col("avgy") - F.col("slope") * F.col("avgx")).otherwise(
-        F.lit(0.0)
+        f"CASE WHEN {model} = 'Lasso' THEN "
+        + _safe_div(f"signum(sxy) * greatest(abs(sxy) - n * {a}, 0.0D)", "sxx")
+        + f" WHEN {fit_intercept} THEN "
+        + _safe_div("sxy", f"sxx + {ridge}")
+        + " ELSE "
+        + _safe_div("sum_xy", f"sum_xx + {ridge}")
+        + " END"
     )
-    return with_slope.withColumn("intercept", intercept)
+    intercept = f"CASE WHEN {fit_intercept} OR {model} = 'Lasso' THEN avgy - slope * avgx ELSE 0.0D END"
+    return sums.withColumn("slope", F.expr(slope)).withColumn("intercept", F.expr(intercept))
 
 
 # ---------------------------------------------------------------------------
@@ -134,7 +147,7 @@ def _fit_grid(train: DataFrame, key_cols: list[str], x: str, y: str, models: tup
     sums = fit_sums(train, key_cols, x, y)
     grid = [g for g in LINEAR_GRID if g[0] in models]
     exploded = sums.withColumn("s", F.explode(_settings_array(grid))).select("*", "s.*").drop("s")
-    return coefficients(exploded, F.col("model"), F.col("fit_intercept"), F.col("alpha"))
+    return coefficients(exploded)
 
 
 def _coef_out(df: DataFrame, key_cols: list[str], extra: list[str]) -> DataFrame:
@@ -210,10 +223,7 @@ def model_scores(
         fit_sums(fit_rows, [*key_cols, "k"], "_x", "_y")
         .withColumn("s", F.explode(_settings_array()))
         .select("*", "s.*")
-        .drop("s"),
-        F.col("model"),
-        F.col("fit_intercept"),
-        F.col("alpha"),
+        .drop("s")
     ).select(*key_cols, "k", "model", "grid_pos", "params", "fit_intercept", "alpha", "slope", "intercept", "n")
 
     err = F.col("_y") - (F.col("intercept") + F.col("slope") * F.col("_x"))
@@ -370,7 +380,7 @@ def refit(
         rows = rows.filter(F.col("split") == "train")
     sums = fit_sums(rows, key_cols, x, y)
     joined = settings.drop("slope", "intercept", "n").join(sums, on=key_cols, how="inner")
-    return coefficients(joined, F.col("model"), F.col("fit_intercept"), F.col("alpha"))
+    return coefficients(joined)
 
 
 # ---------------------------------------------------------------------------

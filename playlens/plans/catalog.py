@@ -540,7 +540,7 @@ def _ols_forecast(spark, sf):
     s = _series(spark, sf, shared=True)
     tr = trend.train_test_split(s, KEYS, T).filter(F.col("split") == "train")
     sums = trend.fit_sums(tr, KEYS, T, SERIES_Y)
-    coefs = trend.coefficients(sums, F.lit("LinearRegression"), F.lit(True), F.lit(None).cast("double"))
+    coefs = trend.coefficients(sums, model="'LinearRegression'", fit_intercept="true", alpha="CAST(NULL AS DOUBLE)")
     return trend.forecast_future_periods(s, coefs, KEYS, T, 3)
 
 
