@@ -5,8 +5,9 @@ month counter, followed by grouped aggregates on the same key - one shuffle
 per plan, and any number of series in one job. Lags count rows of the
 counted series (months present), as the reference's series does.
 
-Re-aimed pieces (see README): the stationarity test is the Dickey-Fuller
-regression without lagged differences, judged against the 5% critical value;
+Re-aimed pieces (see README): the stationarity test chooses between zero
+and one lagged difference by AIC (not up to 12) and is judged against the 5%
+critical value instead of an exact p-value;
 the seasonal forecast is SARIMA(1,1,0)(0,1,0)_12 fitted by conditional least
 squares (closed form), in place of a state-space maximum-likelihood fit.
 """
@@ -107,41 +108,78 @@ def pacf(series: DataFrame, key_cols: list[str], t_col: str, y_col: str, nlags:
     )
 
 
-def stationarity(series: DataFrame, key_cols: list[str], t_col: str, y_col: str) -> DataFrame:
-    """T4: Dickey-Fuller test with constant, per key.
+def stationarity(series: DataFrame, key_cols: list[str], t_col: str, y_col: str, max_lag: int = 1) -> DataFrame:
+    """T4: augmented Dickey-Fuller test with constant, per key.
 
-    Regress dy_t on y_{t-1}; statistic = slope / se(slope); ``is_stationary``
-    when the statistic is below the 5% critical value for the regression's
-    number of observations."""
+    Regress dy_t on [1, y_{t-1}] (lag 0) and on [1, y_{t-1}, dy_{t-1}]
+    (lag 1). With ``max_lag=1`` both are fitted on the common sample (rows
+    where dy_{t-1} exists) and the lower AIC picks the lag (ties: lag 0);
+    the chosen regression is then refitted on its own full sample. The
+    statistic is the t value of the y_{t-1} coefficient; ``is_stationary``
+    when it is below the 5% critical value for the final number of
+    observations. Two-regressor fits use centred covariance sums, so the
+    whole test is one window pass and one aggregate per key.
+    """
+    if max_lag not in (0, 1):
+        raise ValueError("max_lag must be 0 or 1")
     w = _w(key_cols, t_col)
     d = series.select(
         *key_cols,
+        t_col,
         F.lag(y_col, 1).over(w).alias("x"),
         (F.col(y_col) - F.lag(y_col, 1).over(w)).alias("dy"),
-    )
+    ).withColumn("dl", F.lag("dy", 1).over(w))
+    common = F.col("dl").isNotNull()
+
+    def c(e):  # restrict an aggregate's input to the common sample
+        return F.when(common, e)
+
     s = d.groupBy(*key_cols).agg(
-        F.regr_count("dy", "x").alias("n_obs"),
-        F.regr_slope("dy", "x").alias("beta"),
-        F.regr_sxx("dy", "x").alias("sxx"),
-        F.regr_sxy("dy", "x").alias("sxy"),
-        F.regr_syy("dy", "x").alias("syy"),
+        # lag 0 on its full sample
+        F.regr_count("dy", "x").alias("n0"),
+        F.regr_slope("dy", "x").alias("b0"),
+        F.regr_sxx("dy", "x").alias("sxx0"),
+        F.regr_sxy("dy", "x").alias("sxy0"),
+        F.regr_syy("dy", "x").alias("syy0"),
+        # both lags on the common sample (centred sums = n * population moments)
+        F.count(c(F.col("dy") + F.col("x") + F.col("dl"))).alias("nc"),
+        F.var_pop(c(F.col("x"))).alias("v11"),
+        F.var_pop(c(F.col("dl"))).alias("v22"),
+        F.covar_pop(c(F.col("x")), c(F.col("dl"))).alias("v12"),
+        F.covar_pop(c(F.col("x")), c(F.col("dy"))).alias("v1y"),
+        F.covar_pop(c(F.col("dl")), c(F.col("dy"))).alias("v2y"),
+        F.var_pop(c(F.col("dy"))).alias("vyy"),
+    )
+    n0, nc = F.col("n0").cast("double"), F.col("nc").cast("double")
+    # lag 0, full sample
+    ssr0 = F.col("syy0") - F.try_divide(F.col("sxy0") * F.col("sxy0"), F.col("sxx0"))
+    t0 = F.try_divide(F.col("b0"), F.sqrt(F.try_divide(F.try_divide(ssr0, n0 - 2), F.col("sxx0"))))
+    # common sample: lag 0 and lag 1 residual sums of squares
+    det = F.col("v11") * F.col("v22") - F.col("v12") * F.col("v12")
+    b1 = F.try_divide(F.col("v22") * F.col("v1y") - F.col("v12") * F.col("v2y"), det)
+    b2 = F.try_divide(F.col("v11") * F.col("v2y") - F.col("v12") * F.col("v1y"), det)
+    ssr1 = nc * (F.col("vyy") - b1 * F.col("v1y") - b2 * F.col("v2y"))
+    ssr0c = nc * (F.col("vyy") - F.try_divide(F.col("v1y") * F.col("v1y"), F.col("v11")))
+    aic0 = F.when(ssr0c > 0, nc * F.log(F.try_divide(ssr0c, nc)) + F.lit(4.0))
+    aic1 = F.when(ssr1 > 0, nc * F.log(F.try_divide(ssr1, nc)) + F.lit(6.0))
+    t1 = F.try_divide(b1, F.sqrt(F.try_divide(F.try_divide(ssr1, nc - 3) * F.col("v22"), nc * det)))
+    use1 = F.lit(max_lag == 1) & (F.col("nc") >= 4) & aic1.isNotNull() & aic0.isNotNull() & (aic1 < aic0)
+    chosen = s.select(
+        *key_cols,
+        F.when(use1, 1).otherwise(0).alias("used_lag"),
+        F.when(use1, F.col("nc")).otherwise(F.col("n0")).alias("n_obs"),
+        F.when(use1, t1).otherwise(t0).alias("adf_statistic"),
     )
-    ssr = F.col("syy") - F.try_divide(F.col("sxy") * F.col("sxy"), F.col("sxx"))
-    se = F.sqrt(F.try_divide(F.try_divide(ssr, F.col("n_obs") - 2), F.col("sxx")))
-    stat = F.try_divide(F.col("beta"), se)
     n = F.col("n_obs").cast("double")
-    b0, b1, b2, b3 = DF_CRIT_5PCT
-    crit = F.lit(b0) + F.lit(b1) / n + F.lit(b2) / (n * n) + F.lit(b3) / (n * n * n)
-    return (
-        s.filter(F.col("n_obs") >= 3)
-        .select(*key_cols, "n_obs", stat.alias("adf_statistic"), crit.alias("critical_5pct"))
-        .select(
-            *key_cols,
-            F.col("n_obs").cast("long").alias("n_obs"),
-            rounded(F.col("adf_statistic")).alias("adf_statistic"),
-            rounded(F.col("critical_5pct")).alias("critical_5pct"),
-            (F.col("adf_statistic") < F.col("critical_5pct")).alias("is_stationary"),
-        )
+    b0c, b1c, b2c, b3c = DF_CRIT_5PCT
+    crit = F.lit(b0c) + F.lit(b1c) / n + F.lit(b2c) / (n * n) + F.lit(b3c) / (n * n * n)
+    return chosen.filter(F.col("n_obs") >= 3).select(
+        *key_cols,
+        F.col("used_lag").cast("int").alias("used_lag"),
+        F.col("n_obs").cast("long").alias("n_obs"),
+        rounded(F.col("adf_statistic")).alias("adf_statistic"),
+        rounded(crit).alias("critical_5pct"),
+        (F.col("adf_statistic") < crit).alias("is_stationary"),
     )
 
 

@@ -650,18 +650,36 @@ def _pacf(spark, sf):
 
 
 @register("stationarity", f"""{_KS},
-d AS (SELECT series_key, lag(y, 1) OVER w AS x, y - lag(y, 1) OVER w AS dy
-      FROM series WINDOW w AS (PARTITION BY series_key ORDER BY count_months)),
-s AS (SELECT series_key, regr_count(dy, x) AS n_obs, regr_slope(dy, x) AS beta, regr_sxx(dy, x) AS sxx,
-        regr_sxy(dy, x) AS sxy, regr_syy(dy, x) AS syy FROM d GROUP BY series_key),
-st AS (SELECT series_key, n_obs,
-         beta / sqrt((syy - sxy * sxy / sxx) / (n_obs - 2) / sxx) AS adf_statistic,
-         {seasonal.DF_CRIT_5PCT[0]} + ({seasonal.DF_CRIT_5PCT[1]}) / CAST(n_obs AS DOUBLE)
+d0 AS (SELECT series_key, count_months, lag(y, 1) OVER w AS x, y - lag(y, 1) OVER w AS dy
+       FROM series WINDOW w AS (PARTITION BY series_key ORDER BY count_months)),
+d AS (SELECT *, lag(dy, 1) OVER (PARTITION BY series_key ORDER BY count_months) AS dl FROM d0),
+s AS (SELECT series_key,
+        regr_count(dy, x) AS n0, regr_slope(dy, x) AS b0, regr_sxx(dy, x) AS sxx0,
+        regr_sxy(dy, x) AS sxy0, regr_syy(dy, x) AS syy0,
+        count(*) FILTER (WHERE dl IS NOT NULL AND dy IS NOT NULL AND x IS NOT NULL) AS nc,
+        var_pop(x) FILTER (WHERE dl IS NOT NULL) AS v11, var_pop(dl) FILTER (WHERE dl IS NOT NULL) AS v22,
+        covar_pop(x, dl) FILTER (WHERE dl IS NOT NULL) AS v12, covar_pop(x, dy) FILTER (WHERE dl IS NOT NULL) AS v1y,
+        covar_pop(dl, dy) FILTER (WHERE dl IS NOT NULL) AS v2y, var_pop(dy) FILTER (WHERE dl IS NOT NULL) AS vyy
+      FROM d GROUP BY series_key),
+f AS (SELECT *, (v22 * v1y - v12 * v2y) / (v11 * v22 - v12 * v12) AS b1,
+        (v11 * v2y - v12 * v1y) / (v11 * v22 - v12 * v12) AS b2, v11 * v22 - v12 * v12 AS det FROM s),
+g AS (SELECT *, nc * (vyy - b1 * v1y - b2 * v2y) AS ssr1, nc * (vyy - v1y * v1y / v11) AS ssr0c,
+        b0 / sqrt((syy0 - sxy0 * sxy0 / sxx0) / (n0 - 2) / sxx0) AS t0 FROM f),
+h AS (SELECT *, CASE WHEN ssr0c > 0 THEN nc * ln(ssr0c / nc) + 4.0 END AS aic0,
+        CASE WHEN ssr1 > 0 THEN nc * ln(ssr1 / nc) + 6.0 END AS aic1,
+        b1 / sqrt(ssr1 / (nc - 3) * v22 / (nc * det)) AS t1 FROM g),
+k AS (SELECT series_key,
+        CASE WHEN nc >= 4 AND aic1 IS NOT NULL AND aic0 IS NOT NULL AND aic1 < aic0 THEN 1 ELSE 0 END AS used_lag,
+        n0, nc, t0, t1 FROM h),
+st AS (SELECT series_key, used_lag, CASE WHEN used_lag = 1 THEN nc ELSE n0 END AS n_obs,
+         CASE WHEN used_lag = 1 THEN t1 ELSE t0 END AS adf_statistic FROM k),
+cr AS (SELECT *, {seasonal.DF_CRIT_5PCT[0]} + ({seasonal.DF_CRIT_5PCT[1]}) / CAST(n_obs AS DOUBLE)
            + ({seasonal.DF_CRIT_5PCT[2]}) / (CAST(n_obs AS DOUBLE) * n_obs)
            + ({seasonal.DF_CRIT_5PCT[3]}) / (CAST(n_obs AS DOUBLE) * n_obs * n_obs) AS critical_5pct
-       FROM s WHERE n_obs >= 3)
-SELECT series_key, CAST(n_obs AS BIGINT) AS n_obs, round(adf_statistic, 6) AS adf_statistic,
-  round(critical_5pct, 6) AS critical_5pct, adf_statistic < critical_5pct AS is_stationary FROM st""")
+       FROM st WHERE n_obs >= 3)
+SELECT series_key, CAST(used_lag AS INTEGER) AS used_lag, CAST(n_obs AS BIGINT) AS n_obs,
+  round(adf_statistic, 6) AS adf_statistic, round(critical_5pct, 6) AS critical_5pct,
+  adf_statistic < critical_5pct AS is_stationary FROM cr""")
 def _stationarity(spark, sf):
     return seasonal.stationarity(_series(spark, sf), KEYS, T, SERIES_Y)
 

@@ -174,18 +174,34 @@ def test_acf_pacf_match_numpy(series_df, series_pdf):
             assert abs(pacf[(key, k)] - phi[-1]) < 1e-6, (key, k)
 
 
+def _ols_t(X, yv):
+    beta, *_ = np.linalg.lstsq(X, yv, rcond=None)
+    resid = yv - X @ beta
+    ssr = float(resid @ resid)
+    se = np.sqrt(ssr / (len(yv) - X.shape[1]) * np.linalg.inv(X.T @ X)[1, 1])
+    return beta[1] / se, ssr
+
+
 def test_dickey_fuller_matches_numpy(series_df, series_pdf):
     got = {r[SERIES_KEY]: r for r in seasonal.stationarity(series_df, KEYS, T, SERIES_Y).collect()}
     for key, g in series_pdf.items():
         y = g[SERIES_Y].to_numpy(float)
-        dy, yl = np.diff(y), y[:-1]
-        X = np.c_[np.ones(len(yl)), yl]
-        beta, *_ = np.linalg.lstsq(X, dy, rcond=None)
-        resid = dy - X @ beta
-        s2 = resid @ resid / (len(dy) - 2)
-        se = np.sqrt(s2 * np.linalg.inv(X.T @ X)[1, 1])
-        assert abs(got[key]["adf_statistic"] - beta[1] / se) < 1e-5
-        assert got[key]["n_obs"] == len(dy)
+        dy = np.diff(y)
+        # common sample for the AIC choice: t >= 2
+        yl_c, dy_c, dl_c = y[1:-1], dy[1:], dy[:-1]
+        n = len(dy_c)
+        _, ssr0 = _ols_t(np.c_[np.ones(n), yl_c], dy_c)
+        t1, ssr1 = _ols_t(np.c_[np.ones(n), yl_c, dl_c], dy_c)
+        aic0 = n * np.log(ssr0 / n) + 4
+        aic1 = n * np.log(ssr1 / n) + 6
+        if aic1 < aic0:
+            lag, stat, nobs = 1, t1, n
+        else:
+            lag, nobs = 0, len(dy)
+            stat, _ = _ols_t(np.c_[np.ones(len(dy)), y[:-1]], dy)
+        r = got[key]
+        assert (r["used_lag"], r["n_obs"]) == (lag, nobs), key
+        assert abs(r["adf_statistic"] - stat) < 1e-5
 
 
 def test_seasonal_forecast_matches_recursion(series_df, series_pdf):
