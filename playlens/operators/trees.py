@@ -197,3 +197,28 @@ def tree_test_metrics(
         rounded(F.sqrt("mse")).alias("rmse"),
         rounded(r2).alias("r2"),
     )
+
+
+def leaderboard_with_trees(
+    series: DataFrame,
+    key_cols: list[str],
+    x: str,
+    y: str,
+    full_grid: bool = True,
+) -> DataFrame:
+    """M10 with the pooled ensembles appended: per key, the linear family's
+    winners and the random forest / gradient boosting models, ranked by
+    held-out RMSE (ties: model name). Output ``(keys, model, best_params,
+    rmse, r2, rank)``."""
+    from playlens.operators.trend import test_metrics
+
+    parts = [test_metrics(series, key_cols, x, y)]
+    for kind in ("random_forest", "gbt"):
+        parts.append(tree_test_metrics(series, key_cols, x, y, kind, full_grid))
+    allm = parts[0]
+    for p in parts[1:]:
+        allm = allm.unionByName(p)
+    w = Window.partitionBy(*key_cols).orderBy(F.col("rmse").asc_nulls_last(), F.col("model").asc())
+    return allm.select(*key_cols, "model", "best_params", "rmse", "r2").withColumn(
+        "rank", F.row_number().over(w).cast("int")
+    )

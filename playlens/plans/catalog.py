@@ -716,7 +716,7 @@ def _forecast_chart(spark, sf):
 # Pooled tree ensembles (pyspark.ml; no SQL oracle - rows only)
 # ===========================================================================
 
-TREE_QUERIES = ("random_forest", "gbt", "tree_model_sink")
+TREE_QUERIES = ("random_forest", "gbt", "tree_model_sink", "leaderboard_all_models")
 
 
 @register("random_forest", None)
@@ -733,6 +733,13 @@ def _gbt(spark, sf):
     return trees.tree_test_metrics(_series(spark, sf), KEYS, T, SERIES_Y, "gbt", full_grid=True)
 
 
+@register("leaderboard_all_models", None)
+def _leaderboard_all(spark, sf):
+    from playlens.operators import trees
+
+    return trees.leaderboard_with_trees(_series(spark, sf, shared=True), KEYS, T, SERIES_Y, full_grid=True)
+
+
 @register("tree_model_sink", None)
 def _tree_sink(spark, sf):
     """Fit the forest (first grid setting), save it to the shared folder, load
