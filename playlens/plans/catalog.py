@@ -370,7 +370,7 @@ def _top_tracks(spark, sf):
 
 @register("filter_user", f"{_EP}\nSELECT {O.PLAY_COLS} FROM plays WHERE userid = '{FILTER_USER}'")
 def _filter_user(spark, sf):
-    return _out_plays(profile.filter_user(event_plays(spark, sf), FILTER_USER))
+    return _out_plays(profile.filter_user(event_plays(spark, sf, FILTER_USER), FILTER_USER))
 
 
 @register("epoch_seconds", f"""{_EP}

@@ -125,8 +125,28 @@ def orders_to_plays(orders: DataFrame) -> DataFrame:
     )
 
 
-def event_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events_to_plays(table(spark, sf_dir, "events"))
+def _canonical_int(text: str) -> bool:
+    try:
+        return str(int(text)) == text
+    except ValueError:
+        return False
+
+
+def event_plays(spark: SparkSession, sf_dir: str, userid: str | None = None) -> DataFrame:
+    """``events`` as plays; ``userid`` keeps one user's plays.
+
+    ``userid`` is a STRING in the plays layout but a BIGINT in ``events``: a
+    comparison on the cast string cannot reach the Parquet reader, so when
+    the id is a canonical integer the equality is also applied to the native
+    column, where it becomes a pushed filter (row-group skipping). The string
+    equality stays on top, so the result is the same for any input.
+    """
+    ev = table(spark, sf_dir, "events")
+    if userid is None:
+        return events_to_plays(ev)
+    if _canonical_int(userid):
+        ev = ev.filter(F.col("user_id") == F.lit(int(userid)))
+    return events_to_plays(ev).filter(F.col("userid") == F.lit(userid))
 
 
 def order_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
