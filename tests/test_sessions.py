@@ -124,3 +124,56 @@ def test_longest_user_and_top_user(make_plays):
     assert [tuple(r) for r in top_user(s).collect()] == [("a", 3)]
     r = user_with_longest_session(s).collect()[0]
     assert (r["userid"], r["longest_session_sec"]) == ("b", 900)
+
+
+def test_hot_user_index_is_bounded_by_time_not_plays(spark):
+    """A third of all plays moved to one user: the session index keeps one
+    row per active gap-length bucket for that user, and results still equal
+    the textbook per-user window."""
+    from playlens.sources.plays import event_plays
+
+    plays = event_plays(spark, "/root/testdata/sf0.01")
+    hot = plays.withColumn(
+        "userid",
+        F.when(F.abs(F.hash("musicbrainz_track_id")) % 3 == 0, F.lit("hot")).otherwise(F.col("userid")),
+    )
+    gap = 1200
+    idx = S.session_index(hot, gap)
+    hot_rows = idx.filter(F.col("userid") == "hot").count()
+    hot_plays = hot.filter(F.col("userid") == "hot").count()
+    span = hot.filter(F.col("userid") == "hot").agg(
+        (F.max(F.col("timestamp").cast("long")) - F.min(F.col("timestamp").cast("long"))).alias("s")
+    ).collect()[0]["s"]
+    assert hot_plays > 3000
+    assert hot_rows <= span // gap + 1 < hot_plays
+    a = S.add_session_ids(hot, gap).select("musicbrainz_track_id", "session_id")
+    b = S.add_session_ids_per_user_window(hot, gap).select("musicbrainz_track_id", "session_id")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    fast = S.top_tracks_by_index(hot, gap, 50, 10).collect()
+    slow = S.top_tracks_from_sessions(S.add_session_ids_per_user_window(hot, gap), 50, 10).collect()
+    assert fast == slow
+
+
+def test_session_index_property(spark):
+    """Property test: for random plays and gaps, the index plan equals the
+    textbook window plan."""
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from conftest import PLAYS_DDL, ts
+
+    play = st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(0, 5000)))
+
+    @settings(max_examples=15, deadline=None)
+    @given(st.lists(play, min_size=0, max_size=40), st.integers(0, 1500))
+    def check(rows, gap):
+        data = [(u, None if s is None else ts(s), None, "x", f"id{i}", "t") for i, (u, s) in enumerate(rows)]
+        p = spark.createDataFrame(data, PLAYS_DDL)
+        a = sorted(tuple(r) for r in S.add_session_ids(p, gap).select("musicbrainz_track_id", "session_id").collect())
+        b = sorted(
+            tuple(r)
+            for r in S.add_session_ids_per_user_window(p, gap).select("musicbrainz_track_id", "session_id").collect()
+        )
+        assert a == b
+
+    check()
