@@ -580,6 +580,32 @@ def _best_forecast(spark, sf):
     )
 
 
+_RIDGE_FC = f"""{_MET},
+chosen AS (
+  SELECT w.series_key, 'Ridge' AS model,
+    CASE WHEN w.model = 'LinearRegression' THEN g.fit_intercept ELSE TRUE END AS fit_intercept,
+    coalesce(g.alpha, 1.0) AS alpha
+  FROM winners w JOIN board b ON w.series_key = b.series_key AND w.model = b.model AND b.rank = 1
+  JOIN grid g ON w.model = g.model AND w.grid_pos = g.grid_pos),
+bcoef AS ({O.with_coefficients("(SELECT c.*, s.n, s.sxx, s.sxy, s.avgx, s.avgy, s.sum_xx, s.sum_xy FROM chosen c JOIN trsums s ON c.series_key = s.series_key)")}),
+last AS (SELECT series_key, max(count_months) AS last_t, max(timestamp_month) AS last_month FROM series GROUP BY series_key),
+bfc AS (
+  SELECT l.series_key, c.model, h.h, CAST(l.last_t + h.h AS INTEGER) AS t, l.last_month,
+    c.intercept + c.slope * CAST(l.last_t + h.h AS INTEGER) AS forecast
+  FROM last l JOIN bcoef c ON l.series_key = c.series_key CROSS JOIN (VALUES (1), (2), (3)) h(h))"""
+
+
+@register("best_model_forecast_ridge", f"""{_RIDGE_FC}
+SELECT series_key, CAST(CAST(last_month AS DATE) + to_months(CAST(h AS INTEGER)) AS TIMESTAMP) AS month, t,
+  round(forecast, 6) AS forecast_{SERIES_Y}, model FROM bfc""")
+def _best_forecast_ridge(spark, sf):
+    """The reference's own behaviour (R5): a Ridge built from the winner's
+    parameters, whatever model won."""
+    return trend.best_model_forecast(
+        _series(spark, sf, shared=True), KEYS, T, SERIES_Y, 3, family="ridge", value_col=f"forecast_{SERIES_Y}"
+    )
+
+
 @register("coefficient_sink", f"""{_BEST_FC}
 SELECT series_key, model, slope, intercept FROM (
   SELECT series_key, model, round(slope, 6) AS slope, round(intercept, 6) AS intercept FROM bcoef)""")
@@ -702,6 +728,20 @@ def _forecast_eval(spark, sf):
     return seasonal.forecast_evaluation(_series(spark, sf, shared=True), KEYS, T, SERIES_Y)
 
 
+@register("forecast_evaluation_reference", f"""{_KS},
+{O.seasonal_ctes()},
+bigt AS (SELECT series_key, max(count_months) AS big_t FROM series GROUP BY series_key),
+obs AS (SELECT s.series_key, CAST(s.count_months + 3 AS INTEGER) AS t, s.y
+        FROM series s JOIN bigt b USING (series_key) WHERE s.count_months > b.big_t - 3),
+pairs AS (SELECT f.series_key, f.fc - o.y AS e FROM s_fc f JOIN obs o ON f.series_key = o.series_key AND f.t = o.t)
+SELECT series_key, count(*) AS n_compared, round(avg(abs(e)), 6) AS mae, round(avg(e * e), 6) AS mse,
+  round(sqrt(avg(e * e)), 6) AS rmse FROM pairs GROUP BY series_key""")
+def _forecast_eval_ref(spark, sf):
+    """The reference's own comparison (R6): forecasts for T+1..T+n against the
+    observations T-n+1..T, by position."""
+    return seasonal.forecast_evaluation(_series(spark, sf, shared=True), KEYS, T, SERIES_Y, align="reference")
+
+
 @register("forecast_chart", f"""{_KS},
 {O.seasonal_ctes()}
 SELECT series_key, timestamp_month AS month, round(y, 6) AS value, 'observed' AS series FROM series
