@@ -219,19 +219,15 @@ def top_tracks_from_sessions(
     session_col: str = "session_id",
     track_col: str = "track_name",
 ) -> DataFrame:
-    """E8 (``rank_by="duration"``) / E9 (``rank_by="plays"``).
+    """E8 (``rank_by="duration"``) / E9 (``rank_by="plays"``) on labelled plays.
 
     Rank all sessions by duration (or by number of plays), keep the top
     ``top_n_sessions`` (ties: user, session id), inner-join their plays and
     return the ``top_n_tracks`` most played ``track_name`` values with
     ``play_count`` (ties: track name). A NULL track is a group; plays of a
-    NULL user never match the join.
-
-    Plan: plays are first reduced to one row per (user, session, track) with
-    count and time bounds; both the session ranking and the track count read
-    that table, so the sessionized plays are produced once (the shuffle is
-    reused) and the join sees pre-aggregated rows. The N selected sessions
-    are broadcast: N is bounded by ``MAX_TOP_SESSIONS``.
+    NULL user never match the join. The N selected sessions are broadcast
+    (N is bounded by ``MAX_TOP_SESSIONS``). For unlabelled plays,
+    ``top_tracks_by_index`` gives the same result without labelling them.
     """
     if not 1 <= int(top_n_sessions) <= MAX_TOP_SESSIONS:
         raise ValueError(f"top_n_sessions must be in 1..{MAX_TOP_SESSIONS}")
@@ -239,35 +235,12 @@ def top_tracks_from_sessions(
         raise ValueError(f"top_n_tracks must be in 1..{MAX_TOP_TRACKS}")
     if rank_by not in ("duration", "plays"):
         raise ValueError("rank_by must be 'duration' or 'plays'")
-    sec = epoch_seconds(ts_col)
-    per_track = sessions.groupBy(user_col, session_col, track_col).agg(
-        F.count(F.lit(1)).alias("n"), F.min(sec).alias("smin"), F.max(sec).alias("smax")
-    )
-    per_session = per_track.groupBy(user_col, session_col).agg(
-        (F.max("smax") - F.min("smin")).alias("session_duration_sec"), F.sum("n").alias("n_plays")
-    )
-    order = [F.col("session_duration_sec").desc_nulls_last()]
-    if rank_by == "plays":
-        order = [F.col("n_plays").desc()] + order
-    top = (
-        per_session.orderBy(*order, F.col(user_col).asc_nulls_first(), F.col(session_col).asc())
-        .limit(int(top_n_sessions))
-        .select(F.col(user_col).alias("_tu"), F.col(session_col).alias("_ts"), "session_duration_sec")
-    )
-    pt = per_track.alias("pt")
-    # The last conjunct always holds (a track's time span lies inside its
-    # session's span; NULL spans pass). It makes this reader of ``per_track``
-    # use the same aggregate as the ranking reader, so Spark plans one
-    # ``per_track`` and reuses its shuffle instead of sessionizing twice.
-    cond = (
-        (F.col(f"pt.{user_col}") == F.col("_tu"))
-        & (F.col(f"pt.{session_col}") == F.col("_ts"))
-        & F.coalesce((F.col("pt.smax") - F.col("pt.smin")) <= F.col("session_duration_sec"), F.lit(True))
-    )
+    per_session = compute_session_duration(sessions, user_col, ts_col, session_col, with_play_count=True)
+    top = _rank_sessions(per_session, top_n_sessions, rank_by, user_col, session_col).select(user_col, session_col)
     return (
-        pt.join(F.broadcast(top), on=cond, how="inner")
-        .groupBy(F.col(f"pt.{track_col}").alias(track_col))
-        .agg(F.sum("n").alias("play_count"))
+        sessions.join(F.broadcast(top), on=[user_col, session_col], how="inner")
+        .groupBy(track_col)
+        .agg(F.count(F.lit(1)).alias("play_count"))
         .orderBy(F.col("play_count").desc(), F.col(track_col).asc_nulls_first())
         .limit(int(top_n_tracks))
     )
