@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlens.config import materialize as materialize_df
-from playlens.operators.series import add_month_counter, monthly_session_duration, user_sessions_from_index
+from playlens.functions.time import as_wall_clock, calendar_start
+from playlens.operators.series import add_month_counter, user_sessions_from_index
 from playlens.operators.sessions import add_session_ids, session_index
 from playlens.sources.plays import event_plays, order_plays, table
 
@@ -37,9 +38,9 @@ def order_index(spark: SparkSession, sf_dir: str, gap: int = ORDER_GAP) -> DataF
 def keyed_series(spark: SparkSession, sf_dir: str, gap: int = ORDER_GAP, materialize: bool = False) -> DataFrame:
     """Monthly mean session duration (days) per customer market segment.
 
-    Sessions come from the session index (no per-order sort) and are reduced
-    to one row each before the customer join, so the join moves one row per
-    session, not per order; the customer side is a
+    Sessions come from the session index (no per-order sort) and are summed
+    per (user, month) before the customer join, so the join moves one row
+    per user and month, not per order or session; the customer side is a
     dimension that grows with the data, so Spark (AQE) chooses the join
     strategy from measured sizes.
 
@@ -50,11 +51,21 @@ def keyed_series(spark: SparkSession, sf_dir: str, gap: int = ORDER_GAP, materia
     the whole order history. The checkpoint also survives executor loss.
     """
     us = user_sessions_from_index(order_index(spark, sf_dir, gap))
+    # pre-aggregate to (user, month) before the customer join: a heavy user
+    # then brings one row per month to the join, not one per session; the
+    # mean stays exact (total seconds / sessions)
+    per_user_month = us.groupBy("userid", calendar_start("session_start", "month").alias("m")).agg(
+        F.sum("session_duration_sec").alias("total_sec"), F.count("session_duration_sec").alias("n")
+    )
     cust = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").cast("string").alias("userid"), F.col("c_mktsegment").alias(SERIES_KEY)
     )
-    keyed = us.join(cust, on="userid", how="inner")
-    monthly = monthly_session_duration(keyed, (SERIES_KEY,), out_col=SERIES_Y, scale=86400.0)
+    monthly = (
+        per_user_month.join(cust, on="userid", how="inner")
+        .groupBy(SERIES_KEY, "m")
+        .agg((F.try_divide(F.sum("total_sec").cast("double"), F.sum("n")) / F.lit(86400.0)).alias(SERIES_Y))
+        .select(SERIES_KEY, as_wall_clock("m").alias("timestamp_month"), SERIES_Y)
+    )
     series = add_month_counter(monthly, (SERIES_KEY,))
     if materialize:
         series = materialize_df(series, "keyed_series")
