@@ -16,6 +16,7 @@ sys.path.insert(0, ROOT)
 def audit(df) -> dict:
     df.collect()  # executes this DataFrame's own plan, so AQE's final plan is shown
     plan = df._jdf.queryExecution().executedPlan().toString()
+    plan = plan.split("== Initial Plan ==")[0]  # AQE prints both; count the executed one
     return {
         "scans": len(re.findall(r"FileScan|Scan parquet|Scan csv|Scan ExistingRDD", plan)),
         "shuffles": len(re.findall(r"Exchange hashpartitioning|Exchange rangepartitioning|Exchange SinglePartition|Exchange RoundRobin", plan)),
