@@ -212,9 +212,12 @@ def leaderboard_with_trees(
     rmse, r2, rank)``."""
     from playlens.operators.trend import test_metrics
 
-    parts = [test_metrics(series, key_cols, x, y)]
-    for kind in ("random_forest", "gbt"):
-        parts.append(tree_test_metrics(series, key_cols, x, y, kind, full_grid))
+    # the two ensemble searches are independent driver-side fit loops: run
+    # them side by side so their Spark jobs share the cluster
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        trees = list(pool.map(lambda k: tree_test_metrics(series, key_cols, x, y, k, full_grid),
+                              ("random_forest", "gbt")))
+    parts = [test_metrics(series, key_cols, x, y), *trees]
     allm = parts[0]
     for p in parts[1:]:
         allm = allm.unionByName(p)
