@@ -163,16 +163,24 @@ def session_count(sessions: DataFrame, user_col: str = "userid", session_col: st
     return sessions.select(user_col, session_col).distinct().agg(F.count(F.lit(1)).alias("session_count"))
 
 
+def session_totals(per_session: DataFrame) -> DataFrame:
+    """E3 from one row per session with ``n_plays`` (``sessions_from_index``
+    or ``compute_session_duration(..., with_play_count=True)``): total plays,
+    sessions and plays per session."""
+    return per_session.agg(
+        F.sum("n_plays").alias("n_plays"),
+        F.count(F.lit(1)).alias("n_sessions"),
+        rounded(F.try_divide(F.sum("n_plays").cast("double"), F.count(F.lit(1)))).alias("avg_tracks_per_session"),
+    )
+
+
 def avg_tracks_per_session(
     sessions: DataFrame, user_col: str = "userid", session_col: str = "session_id"
 ) -> DataFrame:
-    """Plays, sessions and plays per session, in one two-level aggregate."""
-    per = sessions.groupBy(user_col, session_col).agg(F.count(F.lit(1)).alias("n"))
-    return per.agg(
-        F.sum("n").alias("n_plays"),
-        F.count(F.lit(1)).alias("n_sessions"),
-        rounded(F.try_divide(F.sum("n").cast("double"), F.count(F.lit(1)))).alias("avg_tracks_per_session"),
-    )
+    """E3 on labelled plays: plays, sessions and plays per session, in one
+    two-level aggregate."""
+    per = sessions.groupBy(user_col, session_col).agg(F.count(F.lit(1)).alias("n_plays"))
+    return session_totals(per)
 
 
 def compute_session_duration(
@@ -209,6 +217,17 @@ MAX_TOP_SESSIONS = 500
 MAX_TOP_TRACKS = 100
 
 
+def _check_top(top_n_sessions: int, top_n_tracks: int, rank_by: str) -> None:
+    """The reference's UI bounds: N in 1..500 sessions (also the broadcast
+    bound of the selected sessions), M in 1..100 tracks."""
+    if not 1 <= int(top_n_sessions) <= MAX_TOP_SESSIONS:
+        raise ValueError(f"top_n_sessions must be in 1..{MAX_TOP_SESSIONS}")
+    if not 1 <= int(top_n_tracks) <= MAX_TOP_TRACKS:
+        raise ValueError(f"top_n_tracks must be in 1..{MAX_TOP_TRACKS}")
+    if rank_by not in ("duration", "plays"):
+        raise ValueError("rank_by must be 'duration' or 'plays'")
+
+
 def top_tracks_from_sessions(
     sessions: DataFrame,
     top_n_sessions: int = 50,
@@ -229,12 +248,7 @@ def top_tracks_from_sessions(
     (N is bounded by ``MAX_TOP_SESSIONS``). For unlabelled plays,
     ``top_tracks_by_index`` gives the same result without labelling them.
     """
-    if not 1 <= int(top_n_sessions) <= MAX_TOP_SESSIONS:
-        raise ValueError(f"top_n_sessions must be in 1..{MAX_TOP_SESSIONS}")
-    if not 1 <= int(top_n_tracks) <= MAX_TOP_TRACKS:
-        raise ValueError(f"top_n_tracks must be in 1..{MAX_TOP_TRACKS}")
-    if rank_by not in ("duration", "plays"):
-        raise ValueError("rank_by must be 'duration' or 'plays'")
+    _check_top(top_n_sessions, top_n_tracks, rank_by)
     per_session = compute_session_duration(sessions, user_col, ts_col, session_col, with_play_count=True)
     top = _rank_sessions(per_session, top_n_sessions, rank_by, user_col, session_col).select(user_col, session_col)
     return (
@@ -284,12 +298,7 @@ def top_tracks_by_index(
     the plays. Track counts aggregate map-side before the only shuffle. A
     NULL user never matches (as in the reference's inner join).
     """
-    if not 1 <= int(top_n_sessions) <= MAX_TOP_SESSIONS:
-        raise ValueError(f"top_n_sessions must be in 1..{MAX_TOP_SESSIONS}")
-    if not 1 <= int(top_n_tracks) <= MAX_TOP_TRACKS:
-        raise ValueError(f"top_n_tracks must be in 1..{MAX_TOP_TRACKS}")
-    if rank_by not in ("duration", "plays"):
-        raise ValueError("rank_by must be 'duration' or 'plays'")
+    _check_top(top_n_sessions, top_n_tracks, rank_by)
     gap = _check_gap(session_gap_sec)
     if index is None:
         index = session_index(plays, gap, user_col, ts_col, session_col)

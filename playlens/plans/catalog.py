@@ -84,14 +84,7 @@ SELECT count(*) AS session_count FROM (SELECT DISTINCT userid, session_id FROM s
 SELECT CAST(sum(n_plays) AS BIGINT) AS n_plays, count(*) AS n_sessions,
   round(sum(n_plays) / count(*), 6) AS avg_tracks_per_session FROM durations""")
         def _avg_tracks(spark, sf, gap=gap):
-            per = sessions.sessions_from_index(event_index(spark, sf, gap))
-            return per.agg(
-                F.sum("n_plays").alias("n_plays"),
-                F.count(F.lit(1)).alias("n_sessions"),
-                rounded(F.try_divide(F.sum("n_plays").cast("double"), F.count(F.lit(1)))).alias(
-                    "avg_tracks_per_session"
-                ),
-            )
+            return sessions.session_totals(sessions.sessions_from_index(event_index(spark, sf, gap)))
 
         @register(f"session_durations{suffix}", f"""{S}
 SELECT userid, session_id, session_duration_sec FROM durations""")
