@@ -48,6 +48,15 @@ _BKT = "__pl_bucket"
 _FLAG = "__pl_flag"
 _IU = "__pl_index_user"
 _IB = "__pl_index_bucket"
+_SB = "__pl_super_bucket"
+_ISB = "__pl_index_super_bucket"
+_CUM = "__pl_cum"
+_OFF = "__pl_offset"
+
+# Below this gap a user's index can hold a row per active second, so the
+# session numbering gets a second level over hour-wide super-buckets.
+SMALL_GAP_SEC = 60
+SUPER_BUCKET_SEC = 3600
 _NULL_BUCKET = -(2**63)  # bucket of NULL timestamps: sorts before every real bucket
 
 
@@ -84,6 +93,8 @@ def session_index(
         F.min(F.col(ts_col)).alias("first_ts"),
         F.count(F.lit(1)).alias("n_plays"),
     )
+    if gap < SMALL_GAP_SEC:
+        return _number_two_level(idx, gap, user_col, session_col)
     w = Window.partitionBy(user_col).orderBy(F.col("bucket").asc())
     prev_last = F.lag("last_sec").over(w)
     opens = F.when(prev_last.isNotNull() & ((F.col("first_sec") - prev_last) > F.lit(gap)), 1).otherwise(0)
@@ -93,6 +104,51 @@ def session_index(
     ).drop(_FLAG)
 
 
+def _number_two_level(idx: DataFrame, gap: int, user_col: str, session_col: str) -> DataFrame:
+    """Session numbers for small gaps, where one user's index can have a row
+    per active second. Buckets are grouped into ``SUPER_BUCKET_SEC``-wide
+    super-buckets: opens and a running count are computed inside each
+    (user, super-bucket) (at most ``SUPER_BUCKET_SEC / width`` rows); a
+    per-user window over the super-bucket summaries (one row per active
+    hour) decides whether each super-bucket's first bucket opens a session
+    and turns the counts into offsets; the offsets join back on (user,
+    super-bucket)."""
+    width = max(gap, 1)
+    sb = F.when(F.col("bucket") == F.lit(_NULL_BUCKET), F.lit(_NULL_BUCKET).cast("long")).otherwise(
+        F.floor(F.col("bucket") * F.lit(width) / F.lit(SUPER_BUCKET_SEC))
+    )
+    keyed = idx.withColumn(_SB, sb)
+    w_in = Window.partitionBy(user_col, _SB).orderBy(F.col("bucket").asc())
+    prev_last = F.lag("last_sec").over(w_in)
+    local = keyed.withColumn(
+        _FLAG, F.when(prev_last.isNotNull() & ((F.col("first_sec") - prev_last) > F.lit(gap)), 1).otherwise(0)
+    ).withColumn(_CUM, F.sum(_FLAG).over(w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    w_sb = Window.partitionBy(user_col).orderBy(F.col(_SB).asc())
+    prev_sb_last = F.lag("sb_last").over(w_sb)
+    offsets = (
+        local.groupBy(user_col, _SB)
+        .agg(F.min("first_sec").alias("sb_first"), F.max("last_sec").alias("sb_last"), F.sum(_FLAG).alias("sb_opens"))
+        .withColumn(
+            "sb_open", F.when(prev_sb_last.isNotNull() & ((F.col("sb_first") - prev_sb_last) > F.lit(gap)), 1).otherwise(0)
+        )
+        .withColumn(
+            _OFF,
+            F.coalesce(
+                F.sum(F.col("sb_open") + F.col("sb_opens")).over(w_sb.rowsBetween(Window.unboundedPreceding, -1)),
+                F.lit(0).cast("long"),
+            )
+            + F.col("sb_open"),
+        )
+        .select(F.col(user_col).alias(_IU), F.col(_SB).alias(_ISB), _OFF)
+    )
+    cond = F.col(user_col).eqNullSafe(F.col(_IU)) & (F.col(_SB) == F.col(_ISB))
+    return (
+        local.join(offsets, on=cond, how="inner")
+        .withColumn(session_col, (F.col(_OFF) + F.col(_CUM)).cast("long"))
+        .drop(_IU, _ISB, _SB, _FLAG, _CUM, _OFF)
+    )
+
+
 def sessions_from_index(
     idx: DataFrame, user_col: str = "userid", session_col: str = "session_id"
 ) -> DataFrame:

@@ -177,3 +177,23 @@ def test_session_index_property(spark):
         assert a == b
 
     check()
+
+
+def test_two_level_numbering_across_super_buckets(make_plays, monkeypatch):
+    """Small gaps use a second level over super-buckets; a 17-second
+    super-bucket puts boundaries everywhere in a small fixture."""
+    monkeypatch.setattr(S, "SUPER_BUCKET_SEC", 17)
+    rng = random.Random(11)
+    rows = []
+    for i in range(700):
+        user = rng.choice(["hot", "hot", "hot", "b", None])
+        sec = None if rng.random() < 0.02 else rng.choice([rng.uniform(0, 900), rng.randint(0, 900)])
+        rows.append((user, sec, f"t{rng.randint(0, 4)}"))
+    p = make_plays(rows)
+    for gap in (0, 1, 2, 5, 9, 30, 59):
+        a = S.add_session_ids(p, gap).select("musicbrainz_track_id", "session_id")
+        b = S.add_session_ids_per_user_window(p, gap).select("musicbrainz_track_id", "session_id")
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, gap
+    fast = S.top_tracks_by_index(p, 5, 20, 5).collect()
+    slow = S.top_tracks_from_sessions(S.add_session_ids_per_user_window(p, 5), 20, 5).collect()
+    assert fast == slow
