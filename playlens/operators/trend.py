@@ -206,14 +206,25 @@ def model_scores(
     ``mse``, ``sse``, ``sst``. Keys with fewer train rows than folds are
     skipped: no cross-validation is possible for them.
     """
-    split = train_test_split(series, key_cols, x, train_ratio)
+    # One window pass: position and train size per key; the fold of a train
+    # row follows ``kfold`` (ntile: the first n_train % k folds get one extra
+    # row), test rows get the full-train fold id. No union, so the rows stay
+    # partitioned by key.
+    k = int(n_folds)
     w_all = Window.partitionBy(*key_cols)
-    split = split.withColumn(
-        "_ntrain", F.sum(F.when(F.col("split") == "train", 1).otherwise(0)).over(w_all)
-    ).filter(F.col("_ntrain") >= n_folds)
-    train = kfold(split.filter(F.col("split") == "train"), key_cols, x, n_folds)
-    rows = train.unionByName(split.filter(F.col("split") == "test").withColumn("fold", F.lit(_FULL_FIT)))
-    rows = rows.select(*key_cols, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"), "fold")
+    w_ord = Window.partitionBy(*key_cols).orderBy(F.col(x).asc())
+    pos = (F.row_number().over(w_ord) - 1).alias("_pos")
+    n_train = F.floor(F.lit(float(train_ratio)) * F.count(F.lit(1)).over(w_all)).alias("_nt")
+    fold = F.expr(
+        f"CASE WHEN _pos >= _nt THEN {_FULL_FIT} "
+        f"WHEN _pos < (_nt % {k}) * (_nt div {k} + 1) THEN _pos div (_nt div {k} + 1) "
+        f"ELSE (_nt % {k}) + (_pos - (_nt % {k}) * (_nt div {k} + 1)) div (_nt div {k}) END"
+    ).cast("int")
+    rows = (
+        series.select(*key_cols, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"), pos, n_train)
+        .filter(F.col("_nt") >= k)
+        .select(*key_cols, "_x", "_y", fold.alias("fold"))
+    )
 
     fit_ids = F.array(*[F.lit(k) for k in [*range(n_folds), _FULL_FIT]])
     fit_rows = rows.filter(F.col("fold") != _FULL_FIT).withColumn(
