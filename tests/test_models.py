@@ -220,3 +220,24 @@ def test_seasonal_forecast_matches_recursion(series_df, series_pdf):
             uu.append(uu[-1] + ww[-1])
             yy.append(yy[len(yy) - 12] + uu[-1])
             assert abs(got[(key, n - 1 + h)] - yy[-1]) < 1e-5, (key, h)
+
+
+def test_model_scores_stable_under_projection(series_df):
+    """The scores must not depend on which columns the caller selects (a
+    two-reader form of this plan returned NULL test scores under one
+    projection on Spark 4.1.2)."""
+    sc = trend.model_scores(series_df, KEYS, T, SERIES_Y)
+    key = [SERIES_KEY, "model", "grid_pos"]
+    projections = [
+        [*key, "mse"],
+        [*key, "slope", "mse"],
+        [*key, "intercept", "slope", "cv_mse", "mse"],
+        [*key, "params", "alpha", "fit_intercept", "mse", "n_test"],
+    ]
+    seen = None
+    for cols in projections:
+        got = {tuple(r[c] for c in key): r["mse"] for r in sc.select(*cols).collect()}
+        assert len(got) == 50 and all(v is not None for v in got.values()), cols
+        seen = seen or got
+        # equal up to summation order (plans differ, so float sums may too)
+        assert set(got) == set(seen) and all(abs(got[k] - seen[k]) <= 1e-9 * max(1.0, abs(seen[k])) for k in got), cols
