@@ -551,7 +551,7 @@ def _forecast_calendar(spark, sf):
 
 _BEST_FC = f"""{_MET},
 chosen AS (
-  SELECT w.series_key, w.model, g.fit_intercept, g.alpha
+  SELECT w.series_key, w.model, w.best_params AS params, g.fit_intercept, g.alpha
   FROM winners w JOIN board b ON w.series_key = b.series_key AND w.model = b.model AND b.rank = 1
   JOIN grid g ON w.model = g.model AND w.grid_pos = g.grid_pos),
 bcoef AS ({O.with_coefficients("(SELECT c.*, s.n, s.sxx, s.sxy, s.avgx, s.avgy, s.sum_xx, s.sum_xy FROM chosen c JOIN trsums s ON c.series_key = s.series_key)")}),
@@ -600,13 +600,13 @@ def _best_forecast_ridge(spark, sf):
 
 
 @register("coefficient_sink", f"""{_BEST_FC}
-SELECT series_key, model, slope, intercept FROM (
-  SELECT series_key, model, round(slope, 6) AS slope, round(intercept, 6) AS intercept FROM bcoef)""")
+SELECT series_key, model, params, round(slope, 6) AS slope, round(intercept, 6) AS intercept FROM bcoef""")
 def _coef_sink(spark, sf):
+    """The chosen model per key with its train-fit coefficients, written as
+    Parquet to the shared folder and read back."""
     s = _series(spark, sf, shared=True)
-    chosen = trend.best_settings(s, KEYS, T, SERIES_Y)
-    coefs = trend.refit(s, chosen, KEYS, T, SERIES_Y).select(
-        SERIES_KEY, "model", rounded(F.col("slope")).alias("slope"), rounded(F.col("intercept")).alias("intercept")
+    coefs = trend.best_settings(s, KEYS, T, SERIES_Y).select(
+        SERIES_KEY, "model", "params", rounded(F.col("slope")).alias("slope"), rounded(F.col("intercept")).alias("intercept")
     )
     path = scratch_path(spark, "coefficients")
     sinks.write_coefficients(coefs, path)
