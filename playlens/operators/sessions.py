@@ -86,12 +86,18 @@ def session_index(
     ``session_col``. NULL timestamps form the bucket that sorts first.
     """
     gap = _check_gap(session_gap_sec)
-    sec = epoch_seconds(ts_col)
-    idx = plays.groupBy(F.col(user_col), _bucket(ts_col, gap).alias("bucket")).agg(
-        F.min(sec).alias("first_sec"),
-        F.max(sec).alias("last_sec"),
-        F.min(F.col(ts_col)).alias("first_ts"),
-        F.count(F.lit(1)).alias("n_plays"),
+    # whole seconds are a monotone function of the timestamp, so the bucket's
+    # first/last second come from its min/max timestamp after aggregating
+    idx = (
+        plays.groupBy(F.col(user_col), _bucket(ts_col, gap).alias("bucket"))
+        .agg(
+            F.min(F.col(ts_col)).alias("first_ts"),
+            F.max(F.col(ts_col)).alias("_last_ts"),
+            F.count(F.lit(1)).alias("n_plays"),
+        )
+        .withColumn("first_sec", epoch_seconds("first_ts"))
+        .withColumn("last_sec", epoch_seconds("_last_ts"))
+        .drop("_last_ts")
     )
     if gap < SMALL_GAP_SEC:
         return _number_two_level(idx, gap, user_col, session_col)
