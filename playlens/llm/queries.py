@@ -7,16 +7,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playlens.llm import bpe
+from playlens.llm import bpe, tokenfile
 from playlens.llm.common import table
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = tokenfile.write_token_files(table(spark, sf_dir, "documents"))
+    return tokenfile.read_token_files(manifest)
+
+
 def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op10_bpe_codec": op10_bpe_codec}
+    return {"op9_token_files": op9_token_files, "op10_bpe_codec": op10_bpe_codec}
 
 
 def oracle_sql() -> dict[str, str]:
