@@ -7,10 +7,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playlens.llm import bpe, tokenfile
+from playlens.llm import bpe, packing, sharding, tokenfile
 from playlens.llm.common import table
 
 
+def op2_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.document_shards(table(spark, sf_dir, "documents"), n_shards=40)
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), capacity=1024, end_id=2)
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = tokenfile.write_token_files(table(spark, sf_dir, "documents"))
     return tokenfile.read_token_files(manifest)
@@ -21,7 +29,12 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op9_token_files": op9_token_files, "op10_bpe_codec": op10_bpe_codec}
+    return {
+        "op2_feistel_shards": op2_feistel_shards,
+        "op5_best_fit_packing": op5_best_fit_packing,
+        "op9_token_files": op9_token_files,
+        "op10_bpe_codec": op10_bpe_codec,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
