@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playlens.llm import bpe, packing, sharding, tokenfile
+from playlens.llm import bpe, minhash, packing, sharding, tokenfile
 from playlens.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), capacity=1024, end_id=2)
 
 
+def op6_minhash_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=4, threshold=0.8)
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = tokenfile.write_token_files(table(spark, sf_dir, "documents"))
     return tokenfile.read_token_files(manifest)
@@ -32,6 +36,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_feistel_shards": op2_feistel_shards,
         "op5_best_fit_packing": op5_best_fit_packing,
+        "op6_minhash_duplicates": op6_minhash_duplicates,
         "op9_token_files": op9_token_files,
         "op10_bpe_codec": op10_bpe_codec,
     }
