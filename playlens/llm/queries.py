@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from playlens.llm import bpe, minhash, packing, sharding, tokenfile
+from playlens.llm import bpe, langid, minhash, packing, quality, sharding, tokenfile
 from playlens.llm.common import table
 
 
@@ -15,6 +16,15 @@ def op2_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.document_shards(table(spark, sf_dir, "documents"), n_shards=40)
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    out = quality.score(docs, model)
+    return out.select(
+        "doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted")
+    )
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), capacity=1024, end_id=2)
 
@@ -23,6 +33,13 @@ def op6_minhash_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=4, threshold=0.8)
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(~langid.held_out()))
+    out = langid.identify(docs, model)
+    return out.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = tokenfile.write_token_files(table(spark, sf_dir, "documents"))
     return tokenfile.read_token_files(manifest)
@@ -35,8 +52,10 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_feistel_shards": op2_feistel_shards,
+        "op4_quality_classifier": op4_quality_classifier,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op6_minhash_duplicates": op6_minhash_duplicates,
+        "op8_language_id": op8_language_id,
         "op9_token_files": op9_token_files,
         "op10_bpe_codec": op10_bpe_codec,
     }
