@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlens.llm import bpe, langid, minhash, packing, quality, sharding, tokenfile
+from playlens.llm import bpe, langid, minhash, packing, quality, repeats, sharding, tokenfile
 from playlens.llm.common import table
 
 
@@ -33,6 +33,10 @@ def op6_minhash_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=4, threshold=0.8)
 
 
+def op7_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), length=100)
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs.where(~langid.held_out()))
@@ -55,6 +59,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_quality_classifier": op4_quality_classifier,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op6_minhash_duplicates": op6_minhash_duplicates,
+        "op7_repeated_strings": op7_repeated_strings,
         "op8_language_id": op8_language_id,
         "op9_token_files": op9_token_files,
         "op10_bpe_codec": op10_bpe_codec,
