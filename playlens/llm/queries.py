@@ -8,10 +8,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlens.llm import bpe, langid, minhash, packing, quality, repeats, sharding, tokenfile
+from playlens.llm import ann, bpe, hamming, langid, minhash, packing, quality, repeats, sharding, tokenfile
 from playlens.llm.common import table
 
 
+def op1_hamming_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), hamming.sign_code("embedding").alias("code"))
+    found = hamming.hamming_top_k(codes, codes.where("id % 100 = 0"), k=10)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "distance")
+
+
+def op3_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    found = ann.nearest(rows, rows.where("vec_id % 20 = 0"), k=20)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op2_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.document_shards(table(spark, sf_dir, "documents"), n_shards=40)
 
@@ -55,7 +67,9 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_hamming_top_k": op1_hamming_top_k,
         "op2_feistel_shards": op2_feistel_shards,
+        "op3_ann_search": op3_ann_search,
         "op4_quality_classifier": op4_quality_classifier,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op6_minhash_duplicates": op6_minhash_duplicates,
