@@ -181,28 +181,23 @@ def fit(
     return model
 
 
-def identify(docs: DataFrame, model: CentroidModel, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(id, lang_pred, score, rejected) and the ``keep`` columns of every row."""
-    ship(docs.sparkSession)
-    kept = [F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)]
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), *kept)
-    extra = rows.drop("id", "text").schema.fields
+def predictor(model: CentroidModel):
+    """A column function: text -> struct(lang_pred, score, rejected)."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            languages, scores, rejected = model.predict(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(languages, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())]
-                + [batch.column(2 + i) for i in range(len(keep))],
-                ["id", "lang_pred", "score", "rejected"] + [f"_k{i}" for i in range(len(keep))],
-            )
-
-    schema = "id long, lang_pred string, score double, rejected boolean"
-    schema += "".join(f", {f.name} {f.dataType.simpleString()}" for f in extra)
-    out = rows.mapInArrow(run, schema)
-    return out.select(
-        F.col("id").alias(id_col), "lang_pred", "score", "rejected", *[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)]
-    )
+    @F.arrow_udf("struct<lang_pred:string,score:double,rejected:boolean>")
+    def predict(texts: pa.Array) -> pa.Array:
+        languages, scores, rejected = model.predict(texts.to_pylist())
+        columns = [pa.array(languages, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())]
+        return pa.StructArray.from_arrays(columns, ["lang_pred", "score", "rejected"])
+
+    return predict
+
+
+def identify(docs: DataFrame, model: CentroidModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, lang_pred, score, rejected) of every row, from its whole text."""
+    ship(docs.sparkSession)
+    found = docs.select(F.col(id_col).cast("long").alias(id_col), predictor(model)(F.col(text_col).cast("string")).alias("_p"))
+    return found.select(id_col, "_p.lang_pred", "_p.score", "_p.rejected")
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -28,7 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlens.llm.common import fold, ship
@@ -245,25 +245,22 @@ def fit(
     return train(vectors, x, np.array([r["y"] for r in held], np.float64))
 
 
-def score(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(id, score) and the ``keep`` columns of every row, from its whole text."""
-    ship(docs.sparkSession)
-    kept = [F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)]
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), *kept)
-    extra = rows.drop("id", "text").schema.fields
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # a fixed few MB
+def scorer(spark: SparkSession, model: QualityModel):
+    """A column function: text -> score in 0..1."""
+    shared = spark.sparkContext.broadcast(model)  # a fixed few MB
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = shared.value.score(batch.column(1).cast(pa.binary()).fill_null(b"").to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.float64())] + [batch.column(2 + i) for i in range(len(keep))],
-                ["id", "score"] + [f"_k{i}" for i in range(len(keep))],
-            )
-
-    schema = "id long, score double" + "".join(f", {f.name} {f.dataType.simpleString()}" for f in extra)
-    out = rows.mapInArrow(run, schema)
-    return out.select(F.col("id").alias(id_col), "score", *[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)])
+    @F.arrow_udf("double")
+    def found(texts: pa.Array) -> pa.Array:
+        return pa.array(shared.value.score(texts.cast(pa.binary()).fill_null(b"").to_pylist()), pa.float64())
+
+    return found
+
+
+def score(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, score) of every row, from its whole text."""
+    ship(docs.sparkSession)
+    found = scorer(docs.sparkSession, model)(F.col(text_col).cast("string"))
+    return docs.select(F.col(id_col).cast("long").alias(id_col), found.alias("score"))
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -352,8 +352,8 @@ def _by_windows(wanted: DataFrame, length: int) -> DataFrame:
 
 def repeated_bytes(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text", hot: int = 100_000):
     """Returns (texts, intervals): texts has (d, part, n_bytes, sha, text,
-    places) per row, text and places only where an anchor repeats; intervals
-    has (d, part, a, b), byte ranges to remove, which may overlap."""
+    places, text_hash) per row, text and places only where an anchor repeats;
+    intervals has (d, part, a, b), byte ranges to remove, which may overlap."""
     ship(docs.sparkSession)
     rows = _numbered(docs, id_col, text_col)
     counted = _anchor_rows(rows, length, with_place=False).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
@@ -369,6 +369,7 @@ def repeated_bytes(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
         F.when(F.col("places").isNull(), F.sha2(raw, 256)).alias("sha"),
         F.when(F.col("places").isNotNull(), F.col("text")).alias("text"),
         "places",
+        F.xxhash64("text").alias("text_hash"),
     )
     texts = materialize(texts, "repeat-texts")
     affected = texts.where("places IS NOT NULL").dropDuplicates(["d", "part"]) if _has_repeated_rows(texts) else texts.where("places IS NOT NULL")
@@ -417,12 +418,14 @@ def merged(ranges: np.ndarray) -> list[tuple[int, int]]:
 def remove_repeats(
     docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text", with_kept: bool = False, hot: int = 100_000
 ) -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept_sha256[, kept, spans]) of every
-    row: kept are the remaining bytes (NULL where nothing is removed), spans
-    the maximal removed byte runs."""
+    """(id, n_bytes, n_removed, n_spans, kept_sha256) of every row. With
+    ``with_kept`` also the maximal removed byte runs (spans), the remaining
+    bytes (kept) and the remaining text, where a character that was cut
+    through is left out (kept_text) - these three only where a span was
+    looked for - and text_hash, the xxhash64 of the input text."""
     texts, intervals = repeated_bytes(docs, length, id_col, text_col, hot)
     lists = intervals.groupBy("d", "part").agg(F.sort_array(F.collect_set(F.struct("a", "b"))).alias("ranges"))
-    names = ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept", "spans"] * with_kept
+    names = ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept", "spans", "kept_text", "text_hash"] * with_kept
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -430,21 +433,22 @@ def remove_repeats(
                 batch = whole.slice(at, 512)
                 out = [[] for _ in names]
                 texts = batch.column(2).cast(pa.binary()).to_pylist()
-                for d, n, text, ranges in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts, batch.column(3).to_pylist()):
+                for d, n, text, ranges, text_hash in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts, *(batch.column(c).to_pylist() for c in (3, 4))):
                     spans = merged([(r["a"], r["b"]) for r in ranges or []])
                     keep, last = [], 0
                     for a, b in spans:
                         keep.append(text[last:a])
                         last = b
                     kept = b"".join([*keep, text[last:]])
-                    row = [d, n, n - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept, [list(s) for s in spans]]
+                    row = [d, n, n - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept, [list(s) for s in spans], kept.decode("utf-8", "ignore"), text_hash]
                     for column, value in zip(out, row):
                         column.append(value)
-                kinds = [pa.int64()] * 4 + [pa.string(), pa.binary(), pa.list_(pa.list_(pa.int64()))]
+                kinds = [pa.int64()] * 4 + [pa.string(), pa.binary(), pa.list_(pa.list_(pa.int64())), pa.string(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
 
-    schema = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary, spans array<array<long>>" * with_kept
-    cut = texts.where("places IS NOT NULL").join(lists, ["d", "part"], "left").select("d", "n_bytes", "text", "ranges").mapInArrow(run, schema)
+    schema = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    schema += ", kept binary, spans array<array<long>>, kept_text string, text_hash long" * with_kept
+    cut = texts.where("places IS NOT NULL").join(lists, ["d", "part"], "left").select("d", "n_bytes", "text", "ranges", "text_hash").mapInArrow(run, schema)
     zero = F.lit(0).cast("long")
     whole = texts.where("places IS NULL").select(
         F.col("d").alias("id"),
@@ -452,6 +456,6 @@ def remove_repeats(
         zero.alias("n_removed"),
         zero.alias("n_spans"),
         F.col("sha").alias("kept_sha256"),
-        *([F.lit(None).cast("binary").alias("kept"), F.lit(None).cast("array<array<long>>").alias("spans")] if with_kept else []),
+        *([F.lit(None).cast(kind).alias(c) for c, kind in (("kept", "binary"), ("spans", "array<array<long>>"), ("kept_text", "string"))] + ["text_hash"] if with_kept else []),
     )
     return cut.unionByName(whole).withColumn("id", F.when(F.col("id") != LAST_ID, F.col("id"))).withColumnRenamed("id", id_col)
