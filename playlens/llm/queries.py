@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlens.llm import ann, bpe, hamming, langid, minhash, packing, quality, repeats, sharding, tokenfile
+from playlens.llm import ann, bpe, hamming, langid, minhash, oracles, packing, quality, repeats, sharding, tokenfile
 from playlens.llm.common import table
 
 
@@ -81,4 +81,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.oracle_sql()

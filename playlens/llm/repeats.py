@@ -247,30 +247,31 @@ def _anchor_rows(rows: DataFrame, length: int, with_place: bool) -> DataFrame:
     return rows.select("d", "part", "text").mapInArrow(run, schema)
 
 
-def _context_rows(affected: DataFrame, length: int, with_symbols: bool) -> DataFrame:
-    """(gram, c1, c2, d, p, lo, hi[, symbols]) of the anchors in ``places``."""
-    names = ["gram", "c1", "c2", "d", "p", "lo", "hi"] + ["symbols"] * with_symbols
+def _context_rows(affected: DataFrame, length: int, with_bytes: bool) -> DataFrame:
+    """(gram, context, d, p, lo, hi[, bytes]) of the anchors in ``places``;
+    gram and context are independent 64-bit hashes and stand for a context
+    together."""
+    names = ["gram", "context", "d", "p", "lo", "hi"] + ["bytes"] * with_bytes
     side = length - gram_of(length)
 
     def made(held: list[tuple]) -> pa.RecordBatch:
-        rows, d, p, lo, hi = (np.concatenate(x) for x in zip(*held))
-        gram = row_hash(rows[:, side : side + gram_of(length)], 61)
-        columns = [gram, row_hash(rows, 71), row_hash(rows, 81), d, p, lo, hi]
+        rows, d, p, lo, hi = (np.concatenate(x) for x in list(zip(*held))[:5])
+        columns = [row_hash(rows[:, side : side + gram_of(length)], 61), row_hash(rows, 71), d, p, lo, hi]
         columns = [pa.array(c.astype(np.int64)) for c in columns]
-        if with_symbols:
-            columns.append(pa.array([r.tobytes() for r in rows.astype("<u2")], pa.binary()))
+        if with_bytes:
+            columns.append(pa.array([x for h in held for x in h[5]], pa.binary()))
         return pa.RecordBatch.from_arrays(columns, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for whole in batches:
             for at in range(0, whole.num_rows, 64):
-                batch = whole.slice(at, 64)
-                lists = batch.column(3).to_pylist()
-                for d, part, text, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()).to_pylist(), lists):
-                    p = np.array(places, np.int64)
+                columns = [c.to_pylist() for c in whole.slice(at, 64).columns]
+                for d, text, places in zip(columns[0], columns[1], columns[2]):
+                    text, p = text.encode(), np.array(places, np.int64)
                     rows, lo, hi = contexts(text, p & ((1 << PART) - 1), length)
-                    held.append((rows, np.full(len(p), d), p, lo, hi))
+                    own = [text[a:b] for a, b in zip(lo.tolist(), hi.tolist())] if with_bytes else []
+                    held.append((rows, np.full(len(p), d), p, lo, hi, own))
                     size += len(p)
                     if size >= 1 << 14:
                         yield made(held)
@@ -278,8 +279,20 @@ def _context_rows(affected: DataFrame, length: int, with_symbols: bool) -> DataF
         if held:
             yield made(held)
 
-    schema = "gram long, c1 long, c2 long, d long, p long, lo long, hi long" + ", symbols binary" * with_symbols
-    return affected.select("d", "part", "text", "places").mapInArrow(run, schema)
+    schema = "gram long, context long, d long, p long, lo long, hi long" + ", bytes binary" * with_bytes
+    return affected.select("d", "text", "places").mapInArrow(run, schema)
+
+
+def aligned(held: list[bytes], left: np.ndarray, length: int) -> np.ndarray:
+    """Rows of symbols of contexts given by their bytes and the number of
+    bytes in front of the anchor."""
+    side, width = length - gram_of(length), 2 * length - gram_of(length)
+    sizes = np.array([len(x) for x in held], np.int64)
+    out = np.zeros(len(held) * width, np.uint16)
+    first = np.arange(len(held)) * width + side - left
+    at = np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+    out[at] = np.frombuffer(b"".join(held), np.uint8).astype(np.uint16) + 1
+    return out.reshape(len(held), width)
 
 
 def _intervals(d: np.ndarray, p: np.ndarray, hit: np.ndarray, length: int) -> pa.RecordBatch:
@@ -302,8 +315,8 @@ def _column_wise(wanted: DataFrame, length: int) -> DataFrame:
 
     def build(tables: list[pa.Table]) -> pa.RecordBatch:
         whole = pa.concat_tables(tables)
-        d, p = (whole.column(c).to_numpy() for c in ("d", "p"))
-        rows = np.frombuffer(b"".join(whole.column("symbols").to_pylist()), "<u2").reshape(len(d), -1)
+        d, p, lo = (whole.column(c).to_numpy() for c in ("d", "p", "lo"))
+        rows = aligned(whole.column("bytes").to_pylist(), (p & ((1 << PART) - 1)) - lo, length)
         age = np.empty(len(d), np.int64)
         age[np.lexsort((p, d))] = np.arange(len(d))
         return _intervals(d, p, repeated_windows(rows, age, length), length)
@@ -321,7 +334,7 @@ def _column_wise(wanted: DataFrame, length: int) -> DataFrame:
         if held:
             yield build(held)
 
-    dealt = wanted.select("gram", "d", "p", "symbols").repartition("gram").sortWithinPartitions("gram")
+    dealt = wanted.select("gram", "d", "p", "lo", "bytes").repartition("gram").sortWithinPartitions("gram")
     return dealt.mapInArrow(run, _INTERVALS)
 
 
@@ -334,8 +347,8 @@ def _by_windows(wanted: DataFrame, length: int) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
-                rows = np.frombuffer(b"".join(batch.column(2).to_pylist()), "<u2").reshape(batch.num_rows, -1)
-                d, p = (batch.column(c).to_numpy() for c in range(2))
+                d, p, lo = (batch.column(c).to_numpy() for c in range(3))
+                rows = aligned(batch.column(3).to_pylist(), (p & ((1 << PART) - 1)) - lo, length)
                 for j in range(side + 1):
                     window = rows[:, j : j + length]
                     full = np.flatnonzero((window != 0).all(axis=1))
@@ -343,7 +356,7 @@ def _by_windows(wanted: DataFrame, length: int) -> DataFrame:
                         columns = [row_hash(window[full], 91), row_hash(window[full], 95), d[full], p[full] - side + j]
                         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["w1", "w2", "d", "s"])
 
-    windows = wanted.select("d", "p", "symbols").mapInArrow(run, "w1 long, w2 long, d long, s long")
+    windows = wanted.select("d", "p", "lo", "bytes").mapInArrow(run, "w1 long, w2 long, d long, s long")
     first = windows.groupBy("w1", "w2").agg(F.min(F.struct("d", "s")).alias("first"), F.count(F.lit(1)).alias("n"))
     later = windows.join(first.where("n > 1"), ["w1", "w2"]).where("d > first.d OR (d = first.d AND s > first.s)")
     at = F.expr(f"s & {(1 << PART) - 1}L")
@@ -360,7 +373,8 @@ def repeated_bytes(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     repeated = counted.where("n > 1").select("gram")
     placed = _anchor_rows(rows, length, with_place=True).join(repeated, "gram", "left_semi")
     part = F.shiftright("p", PART).alias("part")
-    lists = placed.groupBy("d", part).agg(F.sort_array(F.collect_set("p")).alias("places"))
+    lists = placed.groupBy("d", part).agg(F.collect_list("p").alias("places"))
+    lists = lists.withColumn("places", F.sort_array(F.array_distinct("places")))
     raw = F.col("text").cast("binary")
     texts = rows.join(lists, ["d", "part"], "left").select(
         "d",
@@ -374,29 +388,25 @@ def repeated_bytes(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     texts = materialize(texts, "repeat-texts")
     affected = texts.where("places IS NOT NULL").dropDuplicates(["d", "part"]) if _has_repeated_rows(texts) else texts.where("places IS NOT NULL")
 
-    key = ["gram", "c1", "c2"]
-    slim = _context_rows(affected, length, with_symbols=False)
+    key = ["gram", "context"]
+    slim = _context_rows(affected, length, with_bytes=False)
     first = slim.groupBy(*key).agg(F.min(F.struct("d", "p")).alias("first"), F.count(F.lit(1)).alias("n"))
     first = materialize(first.select(*key, F.col("first.d").alias("fd"), F.col("first.p").alias("fp"), "n"), "contexts")
     later = slim.where(f"hi - lo >= {length}").join(first.where("n > 1"), key).where("d <> fd OR p <> fp")
-    later = later.select("d", part, F.col("lo").alias("a"), F.col("hi").alias("b"))
+    later = materialize(later.select("d", part, F.col("lo").alias("a"), F.col("hi").alias("b")), "copied-contexts")
 
     spread = first.groupBy("gram").agg(F.count(F.lit(1)).alias("contexts")).where("contexts > 1")
     wanted = first.select("gram", F.col("fd").alias("d"), F.col("fp").alias("p")).join(spread, "gram")
-    wanted = wanted.groupBy("d", part).agg(F.sort_array(F.collect_set("p")).alias("places"))
+    wanted = wanted.groupBy("d", part).agg(F.sort_array(F.collect_list("p")).alias("places"))
     full = affected.select("d", "part", "text").join(wanted, ["d", "part"])
-    full = _context_rows(full, length, with_symbols=True).where(f"hi - lo >= {length}")
+    full = _context_rows(full, length, with_bytes=True).where(f"hi - lo >= {length}")
     crowded = spread.where(f"contexts > {hot}").select("gram")
-    found = [later]
     if crowded.isEmpty():
-        found.append(_column_wise(full, length))
+        found = _column_wise(full, length)
     else:
-        found.append(_column_wise(full.join(crowded, "gram", "left_anti"), length))
-        found.append(_by_windows(full.join(crowded, "gram", "left_semi"), length))
-    intervals = found[0]
-    for f in found[1:]:
-        intervals = intervals.unionByName(f)
-    return texts, intervals
+        found = _column_wise(full.join(crowded, "gram", "left_anti"), length)
+        found = found.unionByName(_by_windows(full.join(crowded, "gram", "left_semi"), length))
+    return texts, later.unionByName(materialize(found, "repeated-windows"))
 
 
 def _has_repeated_rows(texts: DataFrame) -> bool:
