@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Number of decimals kept on DOUBLE outputs of summaries and models, so that
-# two engines that sum in a different order report the same value.
+# Number of decimals that ``rounded`` keeps, so that two engines that sum in a
+# different order report the same value. Operators return full precision;
+# rounding is for comparison and display only.
 DOUBLE_DECIMALS = 6
 
+# Scores are ranked by this many significant digits, whatever their scale:
+# two sums of the same numbers in another order tie.
+RANK_DIGITS = 10
+
 
 def rounded(c: Column, decimals: int = DOUBLE_DECIMALS) -> Column:
     """Round to ``decimals`` and fold -0.0 into 0.0 (``+ 0.0``), so that a
@@ -16,6 +21,17 @@ def rounded(c: Column, decimals: int = DOUBLE_DECIMALS) -> Column:
     return F.round(c.cast("double"), decimals) + F.lit(0.0)
 
 
+def significant(c: Column, digits: int = RANK_DIGITS) -> Column:
+    """``c`` cut to ``digits`` significant digits; scaling by a power of ten
+    never changes the order of two values."""
+    return F.format_string(f"%.{digits - 1}e", c.cast("double")).try_cast("double")
+
+
+def present(df: DataFrame) -> DataFrame:
+    """Every DOUBLE column rounded for comparison between engines."""
+    return df.select(*[rounded(F.col(f"`{n}`")).alias(n) if t == "double" else F.col(f"`{n}`") for n, t in df.dtypes])
+
+
 def numeric_summary(df: DataFrame, column: str, value: Column | None = None) -> DataFrame:
     """count, mean, sample stddev, min, max of one numeric column, one row.
 
@@ -25,8 +41,8 @@ def numeric_summary(df: DataFrame, column: str, value: Column | None = None) ->
     v = F.col(column) if value is None else value
     return df.agg(
         F.count(v).alias("count"),
-        rounded(F.avg(v)).alias("mean"),
-        rounded(F.stddev_samp(v)).alias("stddev"),
+        F.avg(v).alias("mean"),
+        F.stddev_samp(v).alias("stddev"),
         F.min(v).alias("min"),
         F.max(v).alias("max"),
     )
@@ -48,8 +64,8 @@ def string_summary(df: DataFrame, columns: list[str] | tuple[str, ...]) -> DataF
         num = f"try_cast({q(c)} AS DOUBLE)"
         aggs += [
             f"count({q(c)}) AS c{i}_count",
-            f"round(avg({num}), {DOUBLE_DECIMALS}) + 0.0D AS c{i}_mean",
-            f"round(stddev_samp({num}), {DOUBLE_DECIMALS}) + 0.0D AS c{i}_stddev",
+            f"avg({num}) AS c{i}_mean",
+            f"stddev_samp({num}) AS c{i}_stddev",
             f"min({q(c)}) AS c{i}_min",
             f"max({q(c)}) AS c{i}_max",
         ]

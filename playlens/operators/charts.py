@@ -6,8 +6,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlens.functions.stats import rounded
-
 
 def observed_and_forecast(
     series: DataFrame,
@@ -20,7 +18,7 @@ def observed_and_forecast(
     """V1: both series on one time axis: ``(keys, month, value, series)`` with
     ``series`` in {observed, forecast}."""
     obs = series.select(
-        *key_cols, F.col(month_col).alias("month"), rounded(F.col(y_col)).alias("value"),
+        *key_cols, F.col(month_col).alias("month"), F.col(y_col).cast("double").alias("value"),
         F.lit("observed").alias("series"),
     )
     fc = forecast.select(
@@ -32,6 +30,6 @@ def observed_and_forecast(
 def model_comparison(board: DataFrame, key_cols: list[str]) -> DataFrame:
     """V2: the leaderboard unpivoted to ``(keys, model, metric, value)``,
     metric in {rmse, r2}."""
-    return board.select(*key_cols, "model", "rmse", "r2").unpivot(
+    return board.filter(F.col("model").isNotNull()).select(*key_cols, "model", "rmse", "r2").unpivot(
         [*key_cols, "model"], ["rmse", "r2"], "metric", "value"
     )

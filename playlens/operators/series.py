@@ -90,9 +90,11 @@ def add_month_counter(
     month_col: str = "timestamp_month",
     out_col: str = "count_months",
 ) -> DataFrame:
-    """U4: 0, 1, 2, ... over the months present for each key (gaps not filled)."""
-    w = Window.partitionBy(*key_cols).orderBy(F.col(month_col).asc_nulls_first())
-    return monthly.withColumn(out_col, (F.row_number().over(w) - 1).cast("int"))
+    """U4: 0, 1, 2, ... over the months present for each key (gaps not filled).
+    Rows without a month (sessions without a time) are not counted and not
+    returned: they belong to no place in the series."""
+    w = Window.partitionBy(*key_cols).orderBy(F.col(month_col).asc())
+    return monthly.filter(F.col(month_col).isNotNull()).withColumn(out_col, (F.row_number().over(w) - 1).cast("int"))
 
 
 def top_user_monthly_series(

@@ -23,7 +23,6 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from playlens.functions.stats import rounded
 from playlens.operators.trend import DEFAULT_FOLDS, DEFAULT_TRAIN_RATIO, kfold, train_test_split
 
 SEED = 42
@@ -193,9 +192,9 @@ def tree_test_metrics(
         *key_cols,
         F.lit(name).alias("model"),
         F.lit(json.dumps(best)).alias("best_params"),
-        rounded(F.col("mse")).alias("mse"),
-        rounded(F.sqrt("mse")).alias("rmse"),
-        rounded(r2).alias("r2"),
+        F.col("mse"),
+        F.sqrt("mse").alias("rmse"),
+        r2.alias("r2"),
     )
 
 
@@ -217,7 +216,8 @@ def leaderboard_with_trees(
     with ThreadPoolExecutor(max_workers=2) as pool:
         trees = list(pool.map(lambda k: tree_test_metrics(series, key_cols, x, y, k, full_grid),
                               ("random_forest", "gbt")))
-    parts = [test_metrics(series, key_cols, x, y), *trees]
+    linear = test_metrics(series, key_cols, x, y).filter(F.col("model").isNotNull()).drop("reason")
+    parts = [linear, *trees]
     allm = parts[0]
     for p in parts[1:]:
         allm = allm.unionByName(p)

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from playlens.functions.stats import DOUBLE_DECIMALS, rounded
+from playlens.functions.stats import significant
 
 # --- Fixed values: the hyper-parameter grids of the linear family, in the
 # --- reference's grid order (ties between equal scores go to the first).
@@ -79,7 +79,7 @@ def fit_sums(df: DataFrame, group_cols: list[str], x: str, y: str) -> DataFrame:
         F.regr_sxy(yc, xc).alias("sxy"),
         F.regr_avgx(yc, xc).alias("avgx"),
         F.regr_avgy(yc, xc).alias("avgy"),
-        F.sum(xc * xc).alias("sum_xx"),
+        F.sum(F.when(yc.isNotNull(), xc * xc)).alias("sum_xx"),  # the rows the other sums use
         F.sum(xc * yc).alias("sum_xy"),
     )
 
@@ -154,8 +154,8 @@ def _coef_out(df: DataFrame, key_cols: list[str], extra: list[str]) -> DataFrame
     return df.select(
         *key_cols,
         *extra,
-        rounded(F.col("slope")).alias("slope"),
-        rounded(F.col("intercept")).alias("intercept"),
+        "slope",
+        "intercept",
         F.col("n").cast("long").alias("n_train"),
     )
 
@@ -180,6 +180,18 @@ def fit_lasso(train: DataFrame, key_cols: list[str], x: str, y: str) -> DataFram
 # ---------------------------------------------------------------------------
 
 _FULL_FIT = -1  # fold id of the model fitted on all train rows
+_K, _M = "__pl_fold", "__pl_rows"
+
+#: Column names of the scores, which a key column can't have.
+_TAKEN = {
+    "model", "grid_pos", "params", "best_params", "fit_intercept", "alpha", "slope", "intercept", "n", "fold", "s",
+    "sxx", "sxy", "avgx", "avgy", "sum_xx", "sum_xy", "cv_mse", "n_test", "mse", "sse", "sst", "rmse", "r2", "rank", "reason",
+}
+
+
+def _check_keys(key_cols: list[str]) -> None:
+    if taken := sorted(_TAKEN.intersection(key_cols)):
+        raise ValueError(f"rename the key columns {taken}: the scores have columns of that name")
 
 
 def model_scores(
@@ -203,9 +215,12 @@ def model_scores(
 
     Output per (key, setting): ``cv_mse`` (mean of the per-fold MSEs), the
     full-train ``slope``/``intercept``, and the test-tail ``n_test``,
-    ``mse``, ``sse``, ``sst``. Keys with fewer train rows than folds are
-    skipped: no cross-validation is possible for them.
+    ``mse``, ``sse``, ``sst``. Keys that can't be scored (fewer train rows
+    than folds, no test rows) are not here; the functions built on the scores
+    return them with NULLs and a ``reason``. Rows with a NULL target count in
+    the split and take no part in fits and scores.
     """
+    _check_keys(key_cols)
     # One window pass: position and train size per key; the fold of a train
     # row follows ``kfold`` (ntile: the first n_train % k folds get one extra
     # row), test rows get the full-train fold id. No union, so the rows stay
@@ -226,28 +241,28 @@ def model_scores(
         .select(*key_cols, "_x", "_y", fold.alias("fold"))
     )
 
-    fit_ids = F.array(*[F.lit(k) for k in [*range(n_folds), _FULL_FIT]])
+    fit_ids = F.array(*[F.lit(i) for i in [*range(k), _FULL_FIT]])
     fit_rows = rows.filter(F.col("fold") != _FULL_FIT).withColumn(
-        "k", F.explode(F.filter(fit_ids, lambda k: k != F.col("fold")))
+        _K, F.explode(F.filter(fit_ids, lambda i: i != F.col("fold")))
     )
     models = coefficients(
-        fit_sums(fit_rows, [*key_cols, "k"], "_x", "_y")
+        fit_sums(fit_rows, [*key_cols, _K], "_x", "_y")
         .withColumn("s", F.explode(_settings_array()))
         .select("*", "s.*")
         .drop("s")
-    ).select(*key_cols, "k", "model", "grid_pos", "params", "fit_intercept", "alpha", "slope", "intercept", "n")
+    ).select(*key_cols, _K, "model", "grid_pos", "params", "fit_intercept", "alpha", "slope", "intercept", "n")
 
     err = F.col("_y") - (F.col("intercept") + F.col("slope") * F.col("_x"))
     per_fold = (
-        rows.withColumnRenamed("fold", "k")
-        .join(models, on=[*key_cols, "k"], how="inner")
+        rows.withColumnRenamed("fold", _K)
+        .join(models, on=[*key_cols, _K], how="inner")
         .withColumn("_e", err)
-        .groupBy(*key_cols, "k", "model", "grid_pos")
+        .groupBy(*key_cols, _K, "model", "grid_pos")
         .agg(
-            F.count(F.lit(1)).alias("m"),
+            F.count("_e").alias(_M),
             F.avg(F.col("_e") * F.col("_e")).alias("mse"),
             F.sum(F.col("_e") * F.col("_e")).alias("sse"),
-            (F.var_pop("_y") * F.count(F.lit(1))).alias("sst"),
+            (F.var_pop(F.when(F.col("_e").isNotNull(), F.col("_y"))) * F.count("_e")).alias("sst"),
             F.first("params").alias("params"),
             F.first("fit_intercept").alias("fit_intercept"),
             F.first("alpha").alias("alpha"),
@@ -257,8 +272,8 @@ def model_scores(
         )
     )
     # One reader of ``models``: the full-train coefficients (fold -1) ride
-    # along with the test-tail scores, which every key has (n_test >= 1).
-    cv, full = F.col("k") != _FULL_FIT, F.col("k") == _FULL_FIT
+    # along with the test-tail scores.
+    cv, full = F.col(_K) != _FULL_FIT, F.col(_K) == _FULL_FIT
     return (
         per_fold.groupBy(*key_cols, "model", "grid_pos")
         .agg(
@@ -266,7 +281,7 @@ def model_scores(
             F.first("fit_intercept").alias("fit_intercept"),
             F.first("alpha").alias("alpha"),
             F.avg(F.when(cv, F.col("mse"))).alias("cv_mse"),
-            F.max(F.when(full, F.col("m"))).alias("n_test"),
+            F.max(F.when(full, F.col(_M))).alias("n_test"),
             F.max(F.when(full, F.col("mse"))).alias("mse"),
             F.max(F.when(full, F.col("sse"))).alias("sse"),
             F.max(F.when(full, F.col("sst"))).alias("sst"),
@@ -279,13 +294,35 @@ def model_scores(
 
 
 def _winners(scores: DataFrame, key_cols: list[str]) -> DataFrame:
-    """Per (key, model): the setting with the lowest CV MSE (ties: grid order)."""
+    """Per (key, model): the setting with the lowest CV MSE, compared by
+    significant digits, so that the winner does not depend on the unit of the
+    target (ties: grid order)."""
     w_best = Window.partitionBy(*key_cols, "model").orderBy(
-        F.round(F.col("cv_mse"), DOUBLE_DECIMALS).asc(), F.col("grid_pos").asc()
+        significant(F.col("cv_mse")).asc(), F.col("grid_pos").asc()
     )
     return scores.withColumn("_r", F.row_number().over(w_best)).filter(F.col("_r") == 1).drop("_r")
 
 
+def _with_unscored(found: DataFrame, series: DataFrame, key_cols: list[str], train_ratio: float, n_folds: int) -> DataFrame:
+    """``found`` with a NULL ``reason``, and one row for each key it lacks,
+    with NULL scores and the reason."""
+    n_train = F.floor(F.lit(float(train_ratio)) * F.col("__pl_n"))
+    keys = series.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("__pl_n")).withColumn("__pl_train", n_train)
+    reason = (
+        F.when(F.col("__pl_train") < int(n_folds), F.lit("fewer train rows than folds"))
+        .when(F.col("__pl_train") >= F.col("__pl_n"), F.lit("no test rows"))
+        .otherwise(F.lit("no rows with a target to fit or to score"))
+    )
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in key_cols]
+    lacking = keys.alias("a").join(found.select(*key_cols).distinct().alias("b"), on=same, how="left_anti")
+    lacking = lacking.select(
+        *key_cols,
+        *[F.lit(None).cast(t).alias(c) for c, t in found.dtypes if c not in key_cols],
+        reason.alias("reason"),
+    )
+    return found.withColumn("reason", F.lit(None).cast("string")).unionByName(lacking)
+
+
 def grid_search(
     series: DataFrame,
     key_cols: list[str],
@@ -298,13 +335,12 @@ def grid_search(
     """M8: for every key and every linear model, the grid setting with the
     lowest mean validation MSE over ``n_folds`` contiguous folds of the train
     rows (ties: first in grid order). Output ``(keys, model, grid_pos,
-    best_params, cv_mse)``; ``all_settings=True`` keeps every setting."""
+    best_params, cv_mse, reason)``; ``all_settings=True`` keeps every setting."""
     scores = model_scores(series, key_cols, x, y, train_ratio, n_folds)
     if not all_settings:
         scores = _winners(scores, key_cols)
-    return scores.select(
-        *key_cols, "model", "grid_pos", F.col("params").alias("best_params"), rounded(F.col("cv_mse")).alias("cv_mse")
-    )
+    found = scores.select(*key_cols, "model", "grid_pos", F.col("params").alias("best_params"), "cv_mse")
+    return _with_unscored(found, series, key_cols, train_ratio, n_folds)
 
 
 def _r2(n: Column, sse: Column, sst: Column) -> Column:
@@ -334,20 +370,14 @@ def test_metrics(
     the held-out tail: ``mse``, ``rmse``, ``r2`` (1 - SSE/SST; SST = 0 gives
     1 when SSE = 0 else 0; fewer than 2 test rows give NULL)."""
     m = _winner_metrics(series, key_cols, x, y, train_ratio, n_folds)
-    return m.select(
-        *key_cols,
-        "model",
-        F.col("params").alias("best_params"),
-        rounded(F.col("mse")).alias("mse"),
-        rounded(F.col("rmse")).alias("rmse"),
-        rounded(F.col("r2")).alias("r2"),
-    )
+    found = m.select(*key_cols, "model", F.col("params").alias("best_params"), "mse", "rmse", "r2")
+    return _with_unscored(found, series, key_cols, train_ratio, n_folds)
 
 
 def _ranked(series, key_cols, x, y, train_ratio, n_folds) -> DataFrame:
     m = _winner_metrics(series, key_cols, x, y, train_ratio, n_folds)
     w = Window.partitionBy(*key_cols).orderBy(
-        F.round(F.col("rmse"), DOUBLE_DECIMALS).asc_nulls_last(), F.col("model").asc()
+        significant(F.col("rmse")).asc_nulls_last(), F.col("model").asc()
     )
     return m.withColumn("rank", F.row_number().over(w).cast("int"))
 
@@ -362,14 +392,10 @@ def leaderboard(
 ) -> DataFrame:
     """Per key, one row per model ``(model, best_params, rmse, r2)`` with
     ``rank`` 1 = lowest test RMSE (ties: model name)."""
-    return _ranked(series, key_cols, x, y, train_ratio, n_folds).select(
-        *key_cols,
-        "model",
-        F.col("params").alias("best_params"),
-        rounded(F.col("rmse")).alias("rmse"),
-        rounded(F.col("r2")).alias("r2"),
-        "rank",
+    found = _ranked(series, key_cols, x, y, train_ratio, n_folds).select(
+        *key_cols, "model", F.col("params").alias("best_params"), "rmse", "r2", "rank"
     )
+    return _with_unscored(found, series, key_cols, train_ratio, n_folds)
 
 
 def refit(
@@ -413,8 +439,8 @@ def forecast_future_periods(
     ``(keys, t, forecast)``; the last index and last month per key ride along
     as ``last_t`` / ``last_month`` for M12.
     """
-    if not 1 <= int(n_periods) <= 120:
-        raise ValueError("n_periods must be in 1..120")
+    if int(n_periods) < 1:
+        raise ValueError("n_periods must be 1 or more")
     last = series.groupBy(*key_cols).agg(
         F.max(F.col(x)).alias("last_t"), F.max(F.col("timestamp_month")).alias("last_month")
     )
@@ -433,7 +459,7 @@ def create_forecast_calendar(
     observed month. Output ``(keys, month, t, <value_col>, *extra)``."""
     month = F.add_months(F.col("last_month").cast("date"), F.col("h")).cast("timestamp_ntz")
     return forecast.select(
-        *key_cols, month.alias("month"), "t", rounded(F.col("forecast")).alias(value_col), *extra
+        *key_cols, month.alias("month"), "t", F.col("forecast").alias(value_col), *extra
     )
 
 
@@ -491,6 +517,6 @@ def best_model_forecast(
     fc = forecast_future_periods(series, coefs, key_cols, x, n_periods, carry=("model",))
     extra: list = ["model"]
     if unit_factor is not None and unit_col:
-        fc = fc.withColumn(unit_col, rounded(F.col("forecast") * F.lit(float(unit_factor))))
+        fc = fc.withColumn(unit_col, F.col("forecast") * F.lit(float(unit_factor)))
         extra.append(unit_col)
     return create_forecast_calendar(fc, key_cols, value_col, tuple(extra))

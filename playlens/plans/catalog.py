@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlens.config import scratch_path
-from playlens.functions.stats import numeric_summary, rounded
+from playlens.functions.stats import numeric_summary, present
 from playlens.functions.time import as_wall_clock, calendar_start, epoch_seconds, seconds_to
 from playlens.operators import charts, profile, seasonal, series, sessions, trend
 from playlens.plans import oracle as O
@@ -49,7 +49,8 @@ def register(name: str, sql: str | None):
     def deco(fn: Builder) -> Builder:
         if name in REGISTRY:
             raise KeyError(f"duplicate query {name}")
-        REGISTRY[name] = (fn, None if sql is None else O.fold_negative_zero(sql))
+        # operators return full precision; the comparison is made on rounded values
+        REGISTRY[name] = (lambda spark, sf: present(fn(spark, sf)), None if sql is None else O.fold_negative_zero(sql))
         return fn
 
     return deco
@@ -138,8 +139,7 @@ SELECT count(h) AS count, round(avg(h), 6) AS mean, round(stddev_samp(h), 6) AS
 FROM (SELECT CAST(session_duration_sec AS DOUBLE) / 3600.0 AS h FROM durations)""")
 def _duration_stats_hours(spark, sf):
     d = _durations_idx(spark, sf).select(seconds_to("session_duration_sec", "hours").alias("h"))
-    s = numeric_summary(d, "h")
-    return s.select("count", "mean", "stddev", rounded(F.col("min")).alias("min"), rounded(F.col("max")).alias("max"))
+    return numeric_summary(d, "h")
 
 
 @register("duration_units", f"""{_S20}
@@ -153,8 +153,8 @@ def _duration_units(spark, sf):
         "userid",
         "session_id",
         "session_duration_sec",
-        rounded(seconds_to("session_duration_sec", "minutes")).alias("session_duration_min"),
-        rounded(seconds_to("session_duration_sec", "hours")).alias("session_duration_hours"),
+        seconds_to("session_duration_sec", "minutes").alias("session_duration_min"),
+        seconds_to("session_duration_sec", "hours").alias("session_duration_hours"),
     )
 
 
@@ -219,7 +219,7 @@ _MONTHLY = """monthly AS (
 SELECT userid, timestamp_month, round(avg_session_duration_sec, 6) AS avg_session_duration_sec FROM monthly""")
 def _monthly(spark, sf):
     m = series.monthly_session_duration(series.user_sessions_from_index(order_index(spark, sf)))
-    return m.select("userid", "timestamp_month", rounded(F.col("avg_session_duration_sec")).alias("avg_session_duration_sec"))
+    return m.select("userid", "timestamp_month", F.col("avg_session_duration_sec").alias("avg_session_duration_sec"))
 
 
 @register("month_counter", f"""{_SOU},
@@ -230,7 +230,7 @@ FROM monthly""")
 def _month_counter(spark, sf):
     m = series.monthly_session_duration(series.user_sessions_from_index(order_index(spark, sf)))
     return series.add_month_counter(m).select(
-        "userid", "timestamp_month", rounded(F.col("avg_session_duration_sec")).alias("avg_session_duration_sec"),
+        "userid", "timestamp_month", F.col("avg_session_duration_sec").alias("avg_session_duration_sec"),
         "count_months",
     )
 
@@ -246,7 +246,7 @@ FROM monthly WHERE userid IN (SELECT userid FROM top)""")
 def _top_user_series(spark, sf):
     idx = order_index(spark, sf)
     s = series.top_user_monthly_series(idx, per_session=series.user_sessions_from_index(idx))
-    return s.select("userid", "timestamp_month", "count_months", rounded(F.col("avg_session_duration_sec")).alias("avg_session_duration_sec"))
+    return s.select("userid", "timestamp_month", "count_months", F.col("avg_session_duration_sec").alias("avg_session_duration_sec"))
 
 
 @register("user_with_longest_session", f"""{_SOU}
@@ -438,7 +438,7 @@ def _series(spark, sf, shared: bool = False):
 SELECT series_key, timestamp_month, count_months, round(y, 6) AS {SERIES_Y} FROM series""")
 def _keyed(spark, sf):
     s = _series(spark, sf)
-    return s.select(SERIES_KEY, "timestamp_month", T, rounded(F.col(SERIES_Y)).alias(SERIES_Y))
+    return s.select(SERIES_KEY, "timestamp_month", T, F.col(SERIES_Y).alias(SERIES_Y))
 
 
 @register("train_test_split", f"""{_KS},
@@ -446,7 +446,7 @@ def _keyed(spark, sf):
 SELECT series_key, count_months, round(y, 6) AS {SERIES_Y}, split FROM xy""")
 def _split(spark, sf):
     s = trend.train_test_split(_series(spark, sf), KEYS, T)
-    return s.select(SERIES_KEY, T, rounded(F.col(SERIES_Y)).alias(SERIES_Y), "split")
+    return s.select(SERIES_KEY, T, F.col(SERIES_Y).alias(SERIES_Y), "split")
 
 
 @register("kfold", f"""{_KS},
@@ -491,7 +491,7 @@ _GS = f"{_KS},\n{O.grid_search_ctes()}"
 
 
 @register("grid_search", f"""{_GS}
-SELECT series_key, model, grid_pos, best_params, round(cv_mse_raw, 6) AS cv_mse FROM winners""")
+SELECT series_key, model, grid_pos, best_params, round(cv_mse_raw, 6) AS cv_mse, CAST(NULL AS VARCHAR) AS reason FROM winners""")
 def _grid_search(spark, sf):
     return trend.grid_search(_series(spark, sf, shared=True), KEYS, T, SERIES_Y)
 
@@ -500,13 +500,13 @@ _MET = _GS + O.metrics_ctes()
 
 
 @register("test_metrics", f"""{_MET}
-SELECT series_key, model, best_params, round(mse, 6) AS mse, round(rmse, 6) AS rmse, round(r2, 6) AS r2
-FROM metrics""")
+SELECT series_key, model, best_params, round(mse, 6) AS mse, round(rmse, 6) AS rmse, round(r2, 6) AS r2,
+  CAST(NULL AS VARCHAR) AS reason FROM metrics""")
 def _test_metrics(spark, sf):
     return trend.test_metrics(_series(spark, sf, shared=True), KEYS, T, SERIES_Y)
 
 
-@register("leaderboard", f"{_MET}\nSELECT series_key, model, best_params, rmse, r2, rank FROM board")
+@register("leaderboard", f"{_MET}\nSELECT series_key, model, best_params, rmse, r2, rank, CAST(NULL AS VARCHAR) AS reason FROM board")
 def _leaderboard(spark, sf):
     return trend.leaderboard(_series(spark, sf, shared=True), KEYS, T, SERIES_Y)
 
@@ -539,7 +539,7 @@ def _ols_forecast(spark, sf):
 
 @register("trend_forecast", f"{_OLS_FC}\nSELECT series_key, t, round(forecast, 6) AS forecast FROM fc")
 def _trend_forecast(spark, sf):
-    return _ols_forecast(spark, sf).select(SERIES_KEY, "t", rounded(F.col("forecast")).alias("forecast"))
+    return _ols_forecast(spark, sf).select(SERIES_KEY, "t", F.col("forecast").alias("forecast"))
 
 
 @register("forecast_calendar", f"""{_OLS_FC}
@@ -606,7 +606,7 @@ def _coef_sink(spark, sf):
     Parquet to the shared folder and read back."""
     s = _series(spark, sf, shared=True)
     coefs = trend.best_settings(s, KEYS, T, SERIES_Y).select(
-        SERIES_KEY, "model", "params", rounded(F.col("slope")).alias("slope"), rounded(F.col("intercept")).alias("intercept")
+        SERIES_KEY, "model", "params", F.col("slope").alias("slope"), F.col("intercept").alias("intercept")
     )
     path = scratch_path(spark, "coefficients")
     sinks.write_coefficients(coefs, path)

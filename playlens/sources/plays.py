@@ -30,23 +30,9 @@ RAW_PLAYS_SCHEMA = StructType([StructField(c, StringType(), True) for c in PLAY_
 TSV_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
-_TABLES: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, fresh: bool = False) -> DataFrame:
-    """One driver table (Parquet) from a scale-factor folder.
-
-    The DataFrame handle (file listing and footer schema, not data) is reused
-    per session and path, so building many plans over the same tables does not
-    re-list and re-open the files each time; ``fresh=True`` re-reads.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    hit = _TABLES.get(key)
-    if fresh or hit is None or hit[0] is not spark:
-        hit = (spark, spark.read.parquet(path))
-        _TABLES[key] = hit
-    return hit[1]
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One driver table (Parquet) from a scale-factor folder, as it is now."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def read_raw_tsv(spark: SparkSession, path: str, quoting: bool = True) -> DataFrame:
