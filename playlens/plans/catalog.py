@@ -628,44 +628,64 @@ def _differencing(spark, sf):
     return seasonal.differencing(_series(spark, sf), KEYS, T, SERIES_Y)
 
 
-ACF_LAGS = 20
-PACF_LAGS = 10
+_LIM = "least(CAST(ceil(10 * log10(nn.n)) AS BIGINT), nn.n // 2, nn.n - 1)"
 
 _ACF_BASE = f"""{_KS},
 dev AS (SELECT series_key, count_months, y - avg(y) OVER (PARTITION BY series_key) AS d FROM series),
-lags AS (SELECT * FROM range(0, {ACF_LAGS + 1}) r(k)),
-prods AS (
-  SELECT a.series_key, l.k, sum(a.d * b.d) AS c
-  FROM dev a CROSS JOIN lags l JOIN dev b ON a.series_key = b.series_key AND b.count_months = a.count_months + l.k
-  GROUP BY a.series_key, l.k),
 nn AS (SELECT series_key, count(*) AS n FROM series GROUP BY series_key),
+lags AS (SELECT nn.series_key, nn.n, {_LIM} AS lim, unnest(range(0, {_LIM} + 1)) AS k FROM nn),
+prods AS (
+  SELECT a.series_key, l.k, l.n, l.lim, sum(a.d * b.d) AS c
+  FROM dev a JOIN lags l ON a.series_key = l.series_key
+  JOIN dev b ON a.series_key = b.series_key AND b.count_months = a.count_months + l.k
+  GROUP BY a.series_key, l.k, l.n, l.lim),
 acfs AS (
-  SELECT p.series_key, CAST(p.k AS INTEGER) AS lag, p.c / z.c AS acf, nn.n
-  FROM prods p JOIN prods z ON p.series_key = z.series_key AND z.k = 0 JOIN nn ON nn.series_key = p.series_key
-  WHERE p.k <= nn.n - 1)"""
+  SELECT p.series_key, CAST(p.k AS INTEGER) AS lag, p.c / z.c AS acf, p.n, p.lim
+  FROM prods p JOIN prods z ON p.series_key = z.series_key AND z.k = 0)"""
 
 
-@register("acf", f"{_ACF_BASE}\nSELECT series_key, lag, round(acf, 6) AS acf FROM acfs")
+@register("acf", f"""{_ACF_BASE}
+SELECT series_key, lag, round(acf, 6) AS acf, round(CASE WHEN lag = 0 THEN 0.0 ELSE 1.959963984540054 * sqrt((1 + 2 * coalesce(
+    sum(acf * acf) FILTER (WHERE lag >= 1) OVER (PARTITION BY series_key ORDER BY lag ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+    0.0)) / n) END, 6) AS band FROM acfs""")
 def _acf(spark, sf):
-    return seasonal.acf(_series(spark, sf), KEYS, T, SERIES_Y, ACF_LAGS)
+    return seasonal.acf(_series(spark, sf), KEYS, T, SERIES_Y)
 
 
 @register("pacf", f"""{_ACF_BASE},
-rl AS (SELECT series_key, list(acf ORDER BY lag) AS r, max(n) AS n FROM acfs WHERE lag <= {PACF_LAGS} GROUP BY series_key),
+rl AS (SELECT series_key, list(acf ORDER BY lag) AS r, max(n) AS n, least(max(lim), max(n) // 2 - 1) AS top FROM acfs GROUP BY series_key),
 dl AS (
-  SELECT series_key, r, n, 1 AS k, [r[2]] AS phi, r[2] AS pk FROM rl
+  SELECT series_key, r, n, top, 1 AS k, [r[2]] AS phi, r[2] AS pk FROM rl
   UNION ALL
-  SELECT series_key, r, n, k + 1,
+  SELECT series_key, r, n, top, k + 1,
     list_append(list_transform(phi, lambda p, i: p - pk1 * phi[k + 1 - i]), pk1), pk1
   FROM (
     SELECT *, (r[k + 2] - coalesce(list_sum(list_transform(phi, lambda p, i: p * r[k + 2 - i])), 0.0))
               / (1.0 - coalesce(list_sum(list_transform(phi, lambda p, i: p * r[i + 1])), 0.0)) AS pk1
-    FROM dl WHERE k < {PACF_LAGS}))
-SELECT series_key, CAST(k AS INTEGER) AS lag, round(pk, 6) AS pacf FROM dl WHERE k <= floor(n / 2) - 1""".replace(
-    "dl AS (", "dl(series_key, r, n, k, phi, pk) AS (", 1
+    FROM dl WHERE k < top))
+SELECT series_key, CAST(k AS INTEGER) AS lag, round(pk, 6) AS pacf, round(1.959963984540054 / sqrt(n), 6) AS band
+FROM dl WHERE k <= top""".replace(
+    "dl AS (", "dl(series_key, r, n, top, k, phi, pk) AS (", 1
 ).replace("WITH ", "WITH RECURSIVE ", 1))
 def _pacf(spark, sf):
-    return seasonal.pacf(_series(spark, sf), KEYS, T, SERIES_Y, PACF_LAGS)
+    return seasonal.pacf(_series(spark, sf), KEYS, T, SERIES_Y)
+
+
+_CDF = (
+    "CASE WHEN {z} >= 0 THEN 1 - {t} ELSE {t} END"
+)
+
+
+def _normal_sql(z: str) -> str:
+    """The normal CDF in SQL, by the same published approximation."""
+    k = f"(1 / (1 + 0.2316419 * abs({z})))"
+    series = f"{k} * (0.319381530 + {k} * (-0.356563782 + {k} * (1.781477937 + {k} * (-1.821255978 + {k} * 1.330274429))))"
+    return _CDF.format(z=f"({z})", t=f"(exp(-({z}) * ({z}) / 2) / sqrt(2 * pi()) * {series})")
+
+
+_P_VALUE = f"""CASE WHEN adf_statistic > 2.74 THEN 1.0 WHEN adf_statistic < -18.83 THEN 0.0
+    WHEN adf_statistic <= -1.61 THEN {_normal_sql("2.1659 + 1.4412 * adf_statistic + 0.038269 * adf_statistic * adf_statistic")}
+    ELSE {_normal_sql("1.7339 + 0.93202 * adf_statistic - 0.12745 * adf_statistic * adf_statistic - 0.010368 * adf_statistic * adf_statistic * adf_statistic")} END"""
 
 
 @register("stationarity", f"""{_KS},
@@ -692,20 +712,26 @@ k AS (SELECT series_key,
         n0, nc, t0, t1 FROM h),
 st AS (SELECT series_key, used_lag, CASE WHEN used_lag = 1 THEN nc ELSE n0 END AS n_obs,
          CASE WHEN used_lag = 1 THEN t1 ELSE t0 END AS adf_statistic FROM k),
-cr AS (SELECT *, {seasonal.DF_CRIT_5PCT[0]} + ({seasonal.DF_CRIT_5PCT[1]}) / CAST(n_obs AS DOUBLE)
-           + ({seasonal.DF_CRIT_5PCT[2]}) / (CAST(n_obs AS DOUBLE) * n_obs)
-           + ({seasonal.DF_CRIT_5PCT[3]}) / (CAST(n_obs AS DOUBLE) * n_obs * n_obs) AS critical_5pct
+cr AS (SELECT *, -2.86154 - 2.8903 / CAST(n_obs AS DOUBLE) - 4.234 / (CAST(n_obs AS DOUBLE) * n_obs)
+           - 40.040 / (CAST(n_obs AS DOUBLE) * n_obs * n_obs) AS critical_5pct, {_P_VALUE} AS p_value
        FROM st WHERE n_obs >= 3)
 SELECT series_key, CAST(used_lag AS INTEGER) AS used_lag, CAST(n_obs AS BIGINT) AS n_obs,
-  round(adf_statistic, 6) AS adf_statistic, round(critical_5pct, 6) AS critical_5pct,
-  adf_statistic < critical_5pct AS is_stationary FROM cr""")
+  round(adf_statistic, 6) AS adf_statistic, round(p_value, 6) AS p_value, round(critical_5pct, 6) AS critical_5pct,
+  p_value < 0.05 AS is_stationary, CAST(NULL AS VARCHAR) AS reason FROM cr""")
 def _stationarity(spark, sf):
     return seasonal.stationarity(_series(spark, sf), KEYS, T, SERIES_Y)
 
 
+@register("stationarity_autolag", None)
+def _stationarity_autolag(spark, sf):
+    """T4 with the AIC search over all lags (least squares per key; tests
+    compare it with normal equations)."""
+    return seasonal.stationarity_autolag(_series(spark, sf), KEYS, T, SERIES_Y)
+
+
 @register("seasonal_forecast", f"""{_KS},
 {O.seasonal_ctes()}
-SELECT series_key, month, t, round(fc, 6) AS forecast FROM s_fc""")
+SELECT series_key, month, t, round(fc, 6) AS forecast, CAST(NULL AS VARCHAR) AS reason FROM s_fc""")
 def _seasonal_forecast(spark, sf):
     return seasonal.seasonal_forecast(_series(spark, sf), KEYS, T, SERIES_Y)
 
@@ -741,7 +767,7 @@ SELECT series_key, timestamp_month AS month, round(y, 6) AS value, 'observed' AS
 UNION ALL SELECT series_key, month, round(fc, 6) AS value, 'forecast' AS series FROM s_fc""")
 def _forecast_chart(spark, sf):
     s = _series(spark, sf, shared=True)
-    fc = seasonal.seasonal_forecast(s, KEYS, T, SERIES_Y)
+    fc = seasonal.seasonal_forecast(s, KEYS, T, SERIES_Y).where(F.col("reason").isNull())
     return charts.observed_and_forecast(s, fc, KEYS, "timestamp_month", SERIES_Y, "forecast")
 
 
