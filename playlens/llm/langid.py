@@ -149,8 +149,14 @@ def fit(
         df[r["bucket"]] = r["n"]
     idf = np.log((1 + df[DIM]) / (1 + df[:DIM])) + 1
 
+    # The smallest hashes lie under a threshold that about three times the
+    # sample passes, so few rows of a common language reach its window.
+    share = F.least(F.lit(1.0), F.lit(3.0 * per_language) / F.count(F.lit(1)))
+    shares = rows.groupBy("lang").agg(share.alias("_share"))
+    low = (F.xxhash64("id").cast("double") / 2.0**64 + 0.5) <= F.col("_share")
+    few = rows.select("id", "lang").join(shares, "lang").where(low | F.col("id").isNull())
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    sample = rows.select("id", "lang").withColumn("_r", F.row_number().over(by_hash)).where(f"_r <= {per_language}")
+    sample = few.withColumn("_r", F.row_number().over(by_hash)).where(f"_r <= {per_language}")
     sample = sample.select("id", F.col("lang").alias("own"))
     picked = rows.join(F.broadcast(sample), "id").where("lang = own").select("lang", "text")  # bounded sample
 
