@@ -370,7 +370,9 @@ def repeated_bytes(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     ship(docs.sparkSession)
     rows = _numbered(docs, id_col, text_col)
     counted = _anchor_rows(rows, length, with_place=False).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    repeated = counted.where("n > 1").select("gram")
+    # Stored, so that the join below has plain shuffles on both sides and a
+    # very common gram is split over tasks.
+    repeated = materialize(counted.where("n > 1").select("gram"), "repeated-grams")
     placed = _anchor_rows(rows, length, with_place=True).join(repeated, "gram", "left_semi")
     part = F.shiftright("p", PART).alias("part")
     lists = placed.groupBy("d", part).agg(F.collect_list("p").alias("places"))
