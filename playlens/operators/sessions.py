@@ -25,11 +25,12 @@ the user's previous non-empty bucket. Hence:
    that open a session and numbers them with a running sum. A user has at
    most (time span / gap) buckets, however many plays fall in them.
 3. Durations, counts, per-user statistics and session rankings are
-   aggregates of the index; plays are only revisited to label rows
-   (``add_session_ids``: an equi-join on (user, bucket) that AQE may
-   broadcast or split when skewed) or to count tracks of a few selected
-   sessions (``top_tracks_by_index``: a broadcast join on user and bucket
+   aggregates of the index; plays are only revisited to count tracks of
+   selected sessions (``top_tracks_by_index``: a join on user and bucket
    range).
+
+Labelling every play (``add_session_ids``) uses the same idea without the
+index: plays are numbered inside (user, day) and get per-day offsets.
 """
 
 from __future__ import annotations
@@ -48,7 +49,6 @@ _FLAG = "__pl_flag"
 _IU = "__pl_index_user"
 _IB = "__pl_index_bucket"
 _SB = "__pl_super_bucket"
-_ISB = "__pl_index_super_bucket"
 _CUM = "__pl_cum"
 _OFF = "__pl_offset"
 
@@ -56,6 +56,8 @@ _OFF = "__pl_offset"
 # session numbering gets a second level over hour-wide super-buckets.
 SMALL_GAP_SEC = 60
 SUPER_BUCKET_SEC = 3600
+# Width of the time ranges in which plays are numbered (at least the gap).
+RANGE_SEC = 86400
 _NULL_BUCKET = -(2**63)  # bucket of NULL timestamps: sorts before every real bucket
 
 
@@ -110,47 +112,47 @@ def session_index(
 
 
 def _number_two_level(idx: DataFrame, gap: int, user_col: str, session_col: str) -> DataFrame:
-    """Session numbers for small gaps, where one user's index can have a row
-    per active second. Buckets are grouped into ``SUPER_BUCKET_SEC``-wide
-    super-buckets: opens and a running count are computed inside each
-    (user, super-bucket) (at most ``SUPER_BUCKET_SEC / width`` rows); a
-    per-user window over the super-bucket summaries (one row per active
-    hour) decides whether each super-bucket's first bucket opens a session
-    and turns the counts into offsets; the offsets join back on (user,
-    super-bucket)."""
+    """Session numbers of an index for small gaps, where one user's index can
+    have a row per active second: hour-wide ranges of buckets."""
     width = max(gap, 1)
     sb = F.when(F.col("bucket") == F.lit(_NULL_BUCKET), F.lit(_NULL_BUCKET).cast("long")).otherwise(
         F.floor(F.col("bucket") * F.lit(width) / F.lit(SUPER_BUCKET_SEC))
     )
     keyed = idx.withColumn(_SB, sb)
-    w_in = Window.partitionBy(user_col, _SB).orderBy(F.col("bucket").asc())
-    prev_last = F.lag("last_sec").over(w_in)
-    local = keyed.withColumn(
-        _FLAG, F.when(prev_last.isNotNull() & ((F.col("first_sec") - prev_last) > F.lit(gap)), 1).otherwise(0)
+    return _number_in_ranges(keyed, gap, user_col, session_col, "first_sec", "last_sec", F.col("bucket").asc())
+
+
+def _number_in_ranges(
+    keyed: DataFrame, gap: int, user_col: str, session_col: str, first: str, last: str, order: Column
+) -> DataFrame:
+    """Session numbers of rows dealt to (user, time range ``_SB``): opens and a
+    running count are computed inside each range; a per-user window over the
+    range summaries (one row per active range) decides whether each range's
+    first row opens a session and turns the counts into offsets; the offsets
+    join back on (user, range). The rows are shuffled once, on (user, range),
+    and no sort holds more than one range of one user. A struct holds the
+    user, so that NULL users are equal and the join needs no other key."""
+    rows = keyed.withColumn(_IU, F.struct(F.col(user_col)))
+    w_in = Window.partitionBy(_IU, _SB).orderBy(order)
+    prev_last = F.lag(last).over(w_in)
+    local = rows.withColumn(
+        _FLAG, F.when(prev_last.isNotNull() & ((F.col(first) - prev_last) > F.lit(gap)), 1).otherwise(0)
     ).withColumn(_CUM, F.sum(_FLAG).over(w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    w_sb = Window.partitionBy(user_col).orderBy(F.col(_SB).asc())
+    w_sb = Window.partitionBy(_IU).orderBy(F.col(_SB).asc())
     prev_sb_last = F.lag("sb_last").over(w_sb)
+    opens = F.when(prev_sb_last.isNotNull() & ((F.col("sb_first") - prev_sb_last) > F.lit(gap)), 1).otherwise(0)
+    before = F.sum(F.col("sb_open") + F.col("sb_opens")).over(w_sb.rowsBetween(Window.unboundedPreceding, -1))
     offsets = (
-        local.groupBy(user_col, _SB)
-        .agg(F.min("first_sec").alias("sb_first"), F.max("last_sec").alias("sb_last"), F.sum(_FLAG).alias("sb_opens"))
-        .withColumn(
-            "sb_open", F.when(prev_sb_last.isNotNull() & ((F.col("sb_first") - prev_sb_last) > F.lit(gap)), 1).otherwise(0)
-        )
-        .withColumn(
-            _OFF,
-            F.coalesce(
-                F.sum(F.col("sb_open") + F.col("sb_opens")).over(w_sb.rowsBetween(Window.unboundedPreceding, -1)),
-                F.lit(0).cast("long"),
-            )
-            + F.col("sb_open"),
-        )
-        .select(F.col(user_col).alias(_IU), F.col(_SB).alias(_ISB), _OFF)
+        local.groupBy(_IU, _SB)
+        .agg(F.min(first).alias("sb_first"), F.max(last).alias("sb_last"), F.sum(_FLAG).alias("sb_opens"))
+        .withColumn("sb_open", opens)
+        .withColumn(_OFF, F.coalesce(before, F.lit(0).cast("long")) + F.col("sb_open"))
+        .select(_IU, _SB, _OFF)
     )
-    cond = F.col(user_col).eqNullSafe(F.col(_IU)) & (F.col(_SB) == F.col(_ISB))
     return (
-        local.join(offsets, on=cond, how="inner")
+        local.join(offsets, on=[_IU, _SB], how="inner")
         .withColumn(session_col, (F.col(_OFF) + F.col(_CUM)).cast("long"))
-        .drop(_IU, _ISB, _SB, _FLAG, _CUM, _OFF)
+        .drop(_IU, _SB, _FLAG, _CUM, _OFF)
     )
 
 
@@ -181,42 +183,24 @@ def add_session_ids(
 ) -> DataFrame:
     """Every play with its 0-based per-user ``session_id`` (BIGINT).
 
-    The plays join the session index on (user, bucket); NULL users match
-    NULL users (null-safe key). The index is small next to the plays - one
-    row per user and active gap-length period - so AQE broadcasts it when its
-    measured size allows, and otherwise shuffles both sides on (user,
-    bucket), splitting skewed partitions.
+    The plays are dealt to (user, day-wide time range), numbered inside, and
+    get the small per-range offsets by a join on the same key: one shuffle of
+    the plays, no join with an index, and a user with a third of the rows is
+    sorted day by day. With an ``index`` (``session_index``) the plays join
+    its labels on (user, bucket) instead; NULL users match NULL users.
     """
     gap = _check_gap(session_gap_sec)
-    if index is None:
-        index = session_index(plays, gap, user_col, ts_col, session_col)
-    labels = index.select(F.col(user_col).alias(_IU), F.col("bucket").alias(_IB), session_col)
-    keyed = plays.withColumn(_BKT, _bucket(ts_col, gap))
-    cond = F.col(user_col).eqNullSafe(F.col(_IU)) & (F.col(_BKT) == F.col(_IB))
-    return keyed.join(labels, on=cond, how="inner").drop(_IU, _IB, _BKT)
-
-
-def add_session_ids_per_user_window(
-    plays: DataFrame,
-    session_gap_sec: int = DEFAULT_GAP_SEC,
-    user_col: str = "userid",
-    ts_col: str = "timestamp",
-    session_col: str = "session_id",
-) -> DataFrame:
-    """E1, textbook form: one window per user. Same result as ``add_session_ids``;
-    kept as the executable definition the bucketed plan is tested against."""
-    gap = _check_gap(session_gap_sec)
-    w = Window.partitionBy(user_col).orderBy(F.col(ts_col).asc_nulls_first())
-    sec = epoch_seconds(ts_col)
-    prev = F.lag(sec).over(w)
-    return (
-        plays.withColumn(_FLAG, F.when(prev.isNotNull() & ((sec - prev) > F.lit(gap)), 1).otherwise(0))
-        .withColumn(
-            session_col,
-            F.sum(_FLAG).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("long"),
-        )
-        .drop(_FLAG)
+    if index is not None:
+        labels = index.select(F.col(user_col).alias(_IU), F.col("bucket").alias(_IB), session_col)
+        keyed = plays.withColumn(_BKT, _bucket(ts_col, gap))
+        cond = F.col(user_col).eqNullSafe(F.col(_IU)) & (F.col(_BKT) == F.col(_IB))
+        return keyed.join(labels, on=cond, how="inner").drop(_IU, _IB, _BKT)
+    width = max(gap, RANGE_SEC)
+    keyed = plays.withColumn(_SEC, epoch_seconds(ts_col)).withColumn(
+        _SB, F.coalesce(F.floor(F.col(_SEC) / F.lit(width)), F.lit(_NULL_BUCKET).cast("long"))
     )
+    order = F.col(ts_col).asc_nulls_first()
+    return _number_in_ranges(keyed, gap, user_col, session_col, _SEC, _SEC, order).drop(_SEC)
 
 
 def session_count(sessions: DataFrame, user_col: str = "userid", session_col: str = "session_id") -> DataFrame:

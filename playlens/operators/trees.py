@@ -3,11 +3,16 @@
 One model is fitted for all series keys together (pooled): the features are
 the time index and the key's mean target over its train rows (a numeric
 encoding computed with a grouped aggregate, so the number of keys is not
-limited by a categorical index collected to the driver). The grid search is
-``CrossValidator`` with a fold column: fold k pools the k-th contiguous
-fold of every key's train rows (M2), so no row is validated on a model that
-saw later months of the same key. ``fit`` is the only action; the result is
-scored per key on the held-out tail like the linear models (M9).
+limited by a categorical index collected to the driver). The grid search
+validates on contiguous folds: fold k pools the k-th fold of every key's train
+rows (M2), the model of a fold is fitted on the other folds (which, as in the
+reference's unshuffled folds, may hold later months), and the encoding of a
+fold's fit is computed from the rows it is fitted on, so no target leaks into
+its own validation. Trees consider every feature at every split, as the
+reference's do. The rows of a fit are dealt to a fixed number of partitions by
+a hash of the key and sorted inside, so a model depends on neither the cores
+nor the number of rows. ``fit`` is the only action; the result is scored per
+key on the held-out tail like the linear models (M9).
 """
 
 from __future__ import annotations
@@ -19,7 +24,6 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +31,8 @@ from playlens.operators.trend import DEFAULT_FOLDS, DEFAULT_TRAIN_RATIO, kfold,
 
 SEED = 42
 MAX_DEPTH_UNLIMITED = 30  # Spark's deepest tree stands in for "no depth limit"
+MAX_BINS = 256  # candidate splits per feature: over 21 years of months
+TRAIN_PARTITIONS = 8  # of the rows of a fit; part of the model, like the seed
 
 # --- Fixed values: the reference's tree grids (sklearn names -> Spark params).
 # random forest: n_estimators x max_depth x min_samples_split
@@ -53,28 +59,37 @@ def tree_frame(
     train_ratio: float = DEFAULT_TRAIN_RATIO,
     n_folds: int = DEFAULT_FOLDS,
 ) -> DataFrame:
-    """Series rows with ``split``, ``fold`` (train rows), ``key_level`` and
-    the assembled ``features`` vector."""
+    """Series rows with ``split``, ``fold`` (train rows), ``key_level`` (mean
+    target of the key's train rows), the same without each fold
+    (``key_level_0``...) and the assembled ``features`` vector."""
     split = train_test_split(series, key_cols, x, train_ratio)
     train = kfold(split.filter(F.col("split") == "train"), key_cols, x, n_folds)
     test = split.filter(F.col("split") == "test").withColumn("fold", F.lit(-1))
     rows = train.unionByName(test)
     level = Window.partitionBy(*key_cols)
-    rows = rows.withColumn(
-        "key_level", F.avg(F.when(F.col("split") == "train", F.col(y))).over(level)
-    ).withColumn("label", F.col(y).cast("double"))
-    assembler = VectorAssembler(inputCols=[x, "key_level"], outputCol="features", handleInvalid="skip")
-    return assembler.transform(rows.withColumn(x, F.col(x).cast("double")))
+    train_y = F.when(F.col("split") == "train", F.col(y))
+    rows = rows.withColumn("key_level", F.avg(train_y).over(level))
+    for k in range(n_folds):
+        rows = rows.withColumn(f"key_level_{k}", F.avg(F.when(F.col("fold") != k, train_y)).over(level))
+    rows = rows.withColumn("label", F.col(y).cast("double")).withColumn(x, F.col(x).cast("double"))
+    return _assembled(rows, x, "key_level")
+
+
+def _assembled(rows: DataFrame, x: str, level: str) -> DataFrame:
+    assembler = VectorAssembler(inputCols=[x, level], outputCol="features", handleInvalid="skip")
+    return assembler.transform(rows.drop("features"))
 
 
 def _grid(kind: str, full: bool):
     if kind == "random_forest":
-        est = RandomForestRegressor(seed=SEED, featuresCol="features", labelCol="label")
+        est = RandomForestRegressor(
+            seed=SEED, featuresCol="features", labelCol="label", featureSubsetStrategy="all", maxBins=MAX_BINS
+        )
         names = ("n_estimators", "max_depth", "min_samples_split")
         values = [RF_GRID[n] for n in names]
         to_spark = lambda n, d, m: {est.numTrees: n, est.maxDepth: _depth(d), est.minInstancesPerNode: _min_instances(m)}
     elif kind == "gbt":
-        est = GBTRegressor(seed=SEED, featuresCol="features", labelCol="label")
+        est = GBTRegressor(seed=SEED, featuresCol="features", labelCol="label", featureSubsetStrategy="all", maxBins=MAX_BINS)
         names = ("n_estimators", "learning_rate", "max_depth")
         values = [GBT_GRID[n] for n in names]
         to_spark = lambda n, r, d: {est.maxIter: n, est.stepSize: r, est.maxDepth: _depth(d)}
@@ -88,17 +103,20 @@ def _grid(kind: str, full: bool):
     return est, params, maps
 
 
-def _training_rows(frame: DataFrame) -> DataFrame:
-    """Train rows, cached and packed into partitions sized by row count: the
-    ensembles run one Spark job per tree level / boosting step, so a few
-    hundred rows spread over many partitions only add task overhead."""
+def _training_rows(frame: DataFrame, key_cols: list[str], x: str, partitions: int = TRAIN_PARTITIONS) -> DataFrame:
+    """Train rows, cached, in a fixed number of partitions and a fixed order:
+    the forest's sampling goes by partition and position."""
     train = frame.filter(F.col("split") == "train")
-    n = train.count()
-    parts = max(1, min(train.sparkSession.sparkContext.defaultParallelism, -(-n // 500_000)))
-    return train.repartition(parts).persist()
+    return train.repartition(partitions, *key_cols, x).sortWithinPartitions(*key_cols, x).persist()
+
 
+def _fold_rows(train: DataFrame, x: str, k: int) -> tuple[DataFrame, DataFrame]:
+    """Rows to fit and to validate fold k, encoded without its own targets."""
+    rows = _assembled(train, x, f"key_level_{k}")
+    return rows.filter(F.col("fold") != k), rows.filter(F.col("fold") == k)
 
-def _gbt_grid_search(est, params, maps, train, n_folds, parallelism):
+
+def _gbt_grid_search(est, params, maps, train, x, n_folds, parallelism):
     """Boosting is sequential and deterministic (no subsampling), so the first
     100 trees of a 200-tree model are the 100-tree model: fit the largest
     iteration count per (rate, depth) and fold once, and read every smaller
@@ -106,17 +124,32 @@ def _gbt_grid_search(est, params, maps, train, n_folds, parallelism):
     by_shape: dict[tuple, list[int]] = {}
     for i, p in enumerate(params):
         by_shape.setdefault((p["learning_rate"], p["max_depth"]), []).append(i)
-    jobs = [(shape, k) for shape in by_shape for k in range(n_folds)]
 
     def run(job):
         shape, k = job
         idx = by_shape[shape]
         top = max(idx, key=lambda i: params[i]["n_estimators"])
-        model = est.copy(maps[top]).fit(train.filter(F.col("fold") != k))
-        losses = model.evaluateEachIteration(train.filter(F.col("fold") == k), "squared")
+        fit_rows, check = _fold_rows(train, x, k)
+        losses = est.copy(maps[top]).fit(fit_rows).evaluateEachIteration(check, "squared")
         return {i: losses[params[i]["n_estimators"] - 1] for i in idx}
 
-    totals = [0.0] * len(params)
+    return _mean_losses(run, [(shape, k) for shape in by_shape for k in range(n_folds)], len(params), n_folds, parallelism)
+
+
+def _forest_grid_search(est, params, maps, train, x, n_folds, parallelism):
+    """Validation MSE of every setting over the folds."""
+    evaluator = RegressionEvaluator(metricName="mse", labelCol="label")
+
+    def run(job):
+        i, k = job
+        fit_rows, check = _fold_rows(train, x, k)
+        return {i: evaluator.evaluate(est.copy(maps[i]).fit(fit_rows).transform(check))}
+
+    return _mean_losses(run, [(i, k) for i in range(len(params)) for k in range(n_folds)], len(params), n_folds, parallelism)
+
+
+def _mean_losses(run, jobs, n_settings, n_folds, parallelism) -> list[float]:
+    totals = [0.0] * n_settings
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         for scores in pool.map(run, jobs):
             for i, v in scores.items():
@@ -139,26 +172,14 @@ def fit_tree_model(
     train rows. Returns ``(model, best_params, frame)``."""
     frame = tree_frame(series, key_cols, x, y, n_folds=n_folds)
     est, params, maps = _grid(kind, full_grid)
-    train = _training_rows(frame)
+    train = _training_rows(frame, key_cols, x)
     try:
-        if len(maps) == 1:
-            return est.copy(maps[0]).fit(train), params[0], frame
-        if kind == "gbt":
-            metrics = _gbt_grid_search(est, params, maps, train, n_folds, parallelism)
-            best = metrics.index(min(metrics))
-            return est.copy(maps[best]).fit(train), params[best], frame
-        cv = CrossValidator(
-            estimator=est,
-            estimatorParamMaps=maps,
-            evaluator=RegressionEvaluator(metricName="mse", labelCol="label"),
-            foldCol="fold",
-            numFolds=n_folds,
-            parallelism=parallelism,
-            seed=SEED,
-        )
-        cvm = cv.fit(train)  # refits the winner (first lowest mean MSE) on all train rows
-        metrics = list(cvm.avgMetrics)
-        return cvm.bestModel, params[metrics.index(min(metrics))], frame
+        best = 0
+        if len(maps) > 1:
+            search = _gbt_grid_search if kind == "gbt" else _forest_grid_search
+            losses = search(est, params, maps, train, x, n_folds, parallelism)
+            best = losses.index(min(losses))
+        return est.copy(maps[best]).fit(train), params[best], frame
     finally:
         train.unpersist()
 

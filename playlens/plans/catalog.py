@@ -158,15 +158,20 @@ def _duration_units(spark, sf):
     )
 
 
+def _labelled_preview(plays, tail):
+    """Ten plays in order with their session ids. Ids are per user, so only
+    the plays of the users of those ten rows are indexed."""
+    rows = sinks.preview(plays, ["userid", "timestamp", "musicbrainz_track_id"], 10, tail=tail)
+    users = rows.select(F.col("userid").alias("_u")).distinct()  # ten users at most
+    own = plays.join(F.broadcast(users), F.col("userid").eqNullSafe(F.col("_u")), "left_semi")
+    return sessions.add_session_ids(rows, EVENT_GAP, index=sessions.session_index(own, EVENT_GAP))
+
+
 @register("preview", f"""{_S20}
 SELECT userid, "timestamp", track_name, session_id FROM sessions
 ORDER BY userid ASC NULLS FIRST, "timestamp" ASC NULLS FIRST, musicbrainz_track_id ASC NULLS FIRST LIMIT 10""")
 def _preview(spark, sf):
-    # take the 10 plays first, then label only them: session ids come from
-    # the index of the whole table
-    plays = event_plays(spark, sf)
-    head = sinks.preview(plays, ["userid", "timestamp", "musicbrainz_track_id"], 10)
-    head = sessions.add_session_ids(head, EVENT_GAP, index=event_index(spark, sf))
+    head = _labelled_preview(event_plays(spark, sf), tail=False)
     return head.select("userid", as_wall_clock("timestamp").alias("timestamp"), "track_name", "session_id")
 
 
@@ -174,9 +179,7 @@ def _preview(spark, sf):
 SELECT userid, "timestamp", track_name, session_id FROM sessions
 ORDER BY userid DESC NULLS LAST, "timestamp" DESC NULLS LAST, musicbrainz_track_id DESC NULLS LAST LIMIT 10""")
 def _preview_tail(spark, sf):
-    plays = event_plays(spark, sf)
-    tail = sinks.preview(plays, ["userid", "timestamp", "musicbrainz_track_id"], 10, tail=True)
-    tail = sessions.add_session_ids(tail, EVENT_GAP, index=event_index(spark, sf))
+    tail = _labelled_preview(event_plays(spark, sf), tail=True)
     return tail.select("userid", as_wall_clock("timestamp").alias("timestamp"), "track_name", "session_id")
 
 
@@ -244,7 +247,8 @@ SELECT userid, timestamp_month,
   round(avg_session_duration_sec, 6) AS avg_session_duration_sec
 FROM monthly WHERE userid IN (SELECT userid FROM top)""")
 def _top_user_series(spark, sf):
-    idx = order_index(spark, sf)
+    # the top user matches no NULL user: without them first, both branches share one shuffle
+    idx = order_index(spark, sf).where(F.col("userid").isNotNull())
     s = series.top_user_monthly_series(idx, per_session=series.user_sessions_from_index(idx))
     return s.select("userid", "timestamp_month", "count_months", F.col("avg_session_duration_sec").alias("avg_session_duration_sec"))
 
@@ -396,15 +400,15 @@ SELECT userid, strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%fZ') AS "timestamp", mu
   musicbrainz_track_id, track_name FROM plays""")
 def _tsv_scan(spark, sf):
     path = scratch_path(spark, "tsv_scan")
-    write_raw_tsv(event_plays(spark, sf), path)
-    return read_raw_tsv(spark, path)
+    write_raw_tsv(event_plays(spark, sf), path, exact=True)
+    return read_raw_tsv(spark, path, exact=True)
 
 
 @register("timestamp_parse", f"{_EP}\nSELECT musicbrainz_track_id, \"timestamp\" FROM plays")
 def _ts_parse(spark, sf):
     path = scratch_path(spark, "timestamp_parse")
-    write_raw_tsv(event_plays(spark, sf), path)
-    return load_track_data(spark, path).select("musicbrainz_track_id", as_wall_clock("timestamp").alias("timestamp"))
+    write_raw_tsv(event_plays(spark, sf), path, exact=True)
+    return load_track_data(spark, path, exact=True).select("musicbrainz_track_id", as_wall_clock("timestamp").alias("timestamp"))
 
 
 @register("tsv_sink", f"""{_S20},
@@ -801,13 +805,13 @@ def _leaderboard_all(spark, sf):
 
 @register("tree_model_sink", None)
 def _tree_sink(spark, sf):
-    """Fit the forest (first grid setting), save it to the shared folder, load
-    it back and predict the held-out rows with the loaded model."""
+    """Search the forest's grid, save the winner to the shared folder, load it
+    back and predict the held-out rows with the loaded model."""
     from pyspark.ml.regression import RandomForestRegressionModel
 
     from playlens.operators import trees
 
-    model, _best, frame = trees.fit_tree_model(_series(spark, sf), KEYS, T, SERIES_Y, "random_forest", full_grid=False)
+    model, _best, frame = trees.fit_tree_model(_series(spark, sf), KEYS, T, SERIES_Y, "random_forest", full_grid=True)
     path = scratch_path(spark, "rf_model")
     model.write().overwrite().save(path)
     loaded = RandomForestRegressionModel.load(path)

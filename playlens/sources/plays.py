@@ -10,7 +10,7 @@ all STRING except ``timestamp`` (TIMESTAMP once parsed).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -35,14 +35,61 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def read_raw_tsv(spark: SparkSession, path: str, quoting: bool = True) -> DataFrame:
+#: Escapes of the exact text form: backslash, tab, line feed, carriage return
+#: and the marks of NULL and of nothing, so that any text survives a round trip.
+NULL_MARK, EMPTY_MARK = "\\N", "\\E"
+_ESCAPES = (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r"))
+
+
+def escaped(c: Column) -> Column:
+    """A text as one TSV field: its backslashes, tabs and line breaks escaped,
+    NULL as ``\\N`` and the empty text as ``\\E``."""
+    out = c
+    for plain, mark in _ESCAPES:
+        out = F.replace(out, F.lit(plain), F.lit(mark))
+    return F.when(c == "", F.lit(EMPTY_MARK)).otherwise(F.coalesce(out, F.lit(NULL_MARK)))
+
+
+def unescaped(c: Column) -> Column:
+    """The inverse of ``escaped``: escapes are read left to right."""
+    parts = F.transform(
+        F.split(c, r"\\\\"),  # at escaped backslashes; what is left has no other double one
+        lambda p: F.replace(
+            F.replace(F.replace(p, F.lit("\\t"), F.lit("\t")), F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")
+        ),
+    )
+    return F.when(c == EMPTY_MARK, F.lit("")).when(c != NULL_MARK, F.array_join(parts, "\\"))
+
+
+def write_exact_tsv(df: DataFrame, path: str, header: bool) -> None:
+    """Every column as escaped text, one line per row and one field per column."""
+    fields = [escaped(F.col(f"`{c}`").cast("string")).alias(c) for c in df.columns]
+    writer = df.select(*fields).write.mode("overwrite").option("sep", "\t").option("header", str(header).lower())
+    writer.option("quote", "").option("escape", "").option("ignoreLeadingWhiteSpace", "false").option(
+        "ignoreTrailingWhiteSpace", "false"
+    ).csv(path)
+
+
+def read_exact_tsv(spark: SparkSession, path: str, schema: StructType, header: bool) -> DataFrame:
+    """What ``write_exact_tsv`` wrote; absent and empty fields are NULL."""
+    text = StructType([StructField(f.name, StringType(), True) for f in schema.fields])
+    reader = spark.read.schema(text).option("sep", "\t").option("header", str(header).lower()).option("quote", "")
+    raw = reader.option("escape", "").csv(path)
+    return raw.select(*[unescaped(F.col(f"`{f.name}`")).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def read_raw_tsv(spark: SparkSession, path: str, quoting: bool = True, exact: bool = False) -> DataFrame:
     """Scan a headerless, tab-separated play log with the fixed schema.
 
+    ``exact=True`` reads the escaped form of ``write_raw_tsv(exact=True)``.
+
     ``quoting=True`` keeps Spark's default CSV quoting (``"`` quotes, ``\\``
     escapes) as the reference does; ``quoting=False`` reads every field
     verbatim, so titles such as ``"Heroes"`` keep their quote marks.
     Empty fields and missing trailing fields are NULL (PERMISSIVE mode).
     """
+    if exact:
+        return read_exact_tsv(spark, path, RAW_PLAYS_SCHEMA, header=False)
     reader = (
         spark.read.schema(RAW_PLAYS_SCHEMA)
         .option("sep", "\t")
@@ -59,9 +106,9 @@ def parse_timestamps(raw: DataFrame, ts_col: str = "timestamp") -> DataFrame:
     return raw.withColumn(ts_col, F.try_to_timestamp(F.col(ts_col)))
 
 
-def load_track_data(spark: SparkSession, path: str, quoting: bool = True) -> DataFrame:
+def load_track_data(spark: SparkSession, path: str, quoting: bool = True, exact: bool = False) -> DataFrame:
     """S1 + S2: the typed plays frame from a TSV log."""
-    return parse_timestamps(read_raw_tsv(spark, path, quoting=quoting))
+    return parse_timestamps(read_raw_tsv(spark, path, quoting=quoting, exact=exact))
 
 
 def plays_to_raw(plays: DataFrame) -> DataFrame:
@@ -74,8 +121,13 @@ def plays_to_raw(plays: DataFrame) -> DataFrame:
     )
 
 
-def write_raw_tsv(plays: DataFrame, path: str, quoting: bool = True) -> None:
-    """Write plays in the log layout (headerless TSV). Partition-parallel write."""
+def write_raw_tsv(plays: DataFrame, path: str, quoting: bool = True, exact: bool = False) -> None:
+    """Write plays in the log layout (headerless TSV). Partition-parallel write.
+
+    The log layout has no escape for line breaks or tabs inside a text;
+    ``exact=True`` writes every text escaped, so that nothing is lost."""
+    if exact:
+        return write_exact_tsv(plays_to_raw(plays), path, header=False)
     writer = plays_to_raw(plays).write.mode("overwrite").option("sep", "\t").option("header", "false")
     if not quoting:
         writer = writer.option("quote", "")

@@ -9,21 +9,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from playlens.sources.plays import read_exact_tsv, write_exact_tsv
 
 
 def write_tsv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """S3: tab-separated text with a header line, no index column.
 
-    ``single_file=True`` is for bounded results (a top-k table); large tables
-    are written in parallel, one file per partition.
+    Texts are escaped (``plays.escaped``): one line per row and one field per
+    column whatever they hold. ``single_file=True`` is for bounded results (a
+    top-k table); large tables are written in parallel, one file per partition.
     """
-    out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("sep", "\t").option("header", "true").csv(path)
+    write_exact_tsv(df.coalesce(1) if single_file else df, path, header=True)
 
 
 def read_tsv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Read back a TSV written by ``write_tsv`` with an explicit schema."""
-    return spark.read.schema(schema).option("sep", "\t").option("header", "true").csv(path)
+    return read_exact_tsv(spark, path, StructType.fromDDL(schema), header=True)
 
 
 def write_coefficients(coefs: DataFrame, path: str) -> None:

@@ -6,6 +6,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from session_reference import session_ids_by_definition
+
 from playlens.operators import seasonal, series, trend
 from playlens.operators import sessions as S
 
@@ -43,8 +45,9 @@ def test_seasonal_minimum_points(spark):
     short = _series_df(spark, "short", [float(i % 5) for i in range(14)])
     ok = _series_df(spark, "ok", [float((i * 7) % 11) for i in range(15)])
     fc = seasonal.seasonal_forecast(short.unionByName(ok), [KEY], "count_months", "y", periods=3)
-    keys = {r[KEY] for r in fc.collect()}
-    assert keys == {"ok"}
+    rows = fc.collect()
+    assert {r[KEY] for r in rows if r["reason"] is None} == {"ok"}
+    assert [(r["t"], r["forecast"], r["reason"]) for r in rows if r[KEY] == "short"] == [(None, None, "fewer than 15 points")]
 
 
 def test_forecast_months_cross_year_end(spark):
@@ -73,7 +76,7 @@ def test_user_sessions_from_index_equals_rows(spark):
     plays = order_plays(spark, "/root/testdata/sf0.01")
     gap = 90 * 86400
     a = series.user_sessions_from_index(S.session_index(plays, gap))
-    b = series.user_sessions(S.add_session_ids_per_user_window(plays, gap))
+    b = series.user_sessions(session_ids_by_definition(plays, gap))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 

@@ -6,6 +6,8 @@ import random
 
 from pyspark.sql import functions as F
 
+from session_reference import session_ids_by_definition
+
 from playlens.operators import sessions as S
 from playlens.operators.series import top_user, user_with_longest_session
 
@@ -59,11 +61,11 @@ def test_index_plan_equals_per_user_window_on_random_plays(make_plays):
     p = make_plays(rows)
     for gap in (0, 1, 3, 5, 11, 40, 1000):
         a = S.add_session_ids(p, gap).select("musicbrainz_track_id", "session_id")
-        b = S.add_session_ids_per_user_window(p, gap).select("musicbrainz_track_id", "session_id")
+        b = session_ids_by_definition(p, gap).select("musicbrainz_track_id", "session_id")
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, gap
         for rank_by in ("duration", "plays"):
             fast = S.top_tracks_by_index(p, gap, 4, 10, rank_by=rank_by)
-            slow = S.top_tracks_from_sessions(S.add_session_ids_per_user_window(p, gap), 4, 10, rank_by=rank_by)
+            slow = S.top_tracks_from_sessions(session_ids_by_definition(p, gap), 4, 10, rank_by=rank_by)
             assert fast.collect() == slow.collect(), (gap, rank_by)
 
 
@@ -147,10 +149,10 @@ def test_hot_user_index_is_bounded_by_time_not_plays(spark):
     assert hot_plays > 3000
     assert hot_rows <= span // gap + 1 < hot_plays
     a = S.add_session_ids(hot, gap).select("musicbrainz_track_id", "session_id")
-    b = S.add_session_ids_per_user_window(hot, gap).select("musicbrainz_track_id", "session_id")
+    b = session_ids_by_definition(hot, gap).select("musicbrainz_track_id", "session_id")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     fast = S.top_tracks_by_index(hot, gap, 50, 10).collect()
-    slow = S.top_tracks_from_sessions(S.add_session_ids_per_user_window(hot, gap), 50, 10).collect()
+    slow = S.top_tracks_from_sessions(session_ids_by_definition(hot, gap), 50, 10).collect()
     assert fast == slow
 
 
@@ -172,7 +174,7 @@ def test_session_index_property(spark):
         a = sorted(tuple(r) for r in S.add_session_ids(p, gap).select("musicbrainz_track_id", "session_id").collect())
         b = sorted(
             tuple(r)
-            for r in S.add_session_ids_per_user_window(p, gap).select("musicbrainz_track_id", "session_id").collect()
+            for r in session_ids_by_definition(p, gap).select("musicbrainz_track_id", "session_id").collect()
         )
         assert a == b
 
@@ -192,8 +194,8 @@ def test_two_level_numbering_across_super_buckets(make_plays, monkeypatch):
     p = make_plays(rows)
     for gap in (0, 1, 2, 5, 9, 30, 59):
         a = S.add_session_ids(p, gap).select("musicbrainz_track_id", "session_id")
-        b = S.add_session_ids_per_user_window(p, gap).select("musicbrainz_track_id", "session_id")
+        b = session_ids_by_definition(p, gap).select("musicbrainz_track_id", "session_id")
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, gap
     fast = S.top_tracks_by_index(p, 5, 20, 5).collect()
-    slow = S.top_tracks_from_sessions(S.add_session_ids_per_user_window(p, 5), 20, 5).collect()
+    slow = S.top_tracks_from_sessions(session_ids_by_definition(p, 5), 20, 5).collect()
     assert fast == slow
