@@ -10,12 +10,14 @@ the library whole.
 from __future__ import annotations
 
 import json
+import os
 import struct
 from functools import lru_cache
 
 import numpy as np
 
 from playlens.llm.fragments import SEVERAL_WORDS, SINGLE_WORD, FragmentCache, split, splits_plainly
+from playlens.llm.workercache import claim
 
 
 def byte_symbols() -> dict[int, str]:
@@ -70,11 +72,15 @@ class LibraryEncoder:
         ).tobytes()
 
 
-@lru_cache(maxsize=2)
 def library_encoder(path: str) -> LibraryEncoder:
     """The worker's encoder for a tokenizer file."""
-    import os
+    encoder = _encoder(path)
+    claim(encoder.cache)
+    return encoder
+
 
+@lru_cache(maxsize=2)
+def _encoder(path: str) -> LibraryEncoder:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     return LibraryEncoder(path)
 

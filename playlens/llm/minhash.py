@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 from playlens.config import materialize
 from playlens.llm.common import ship
 from playlens.llm.components import components
+from playlens.llm.workercache import claim
 
 BANDS, ROWS, BITS = 51, 5, 4
 K = 256
@@ -54,7 +55,7 @@ CHUNK = 1 << 16
 class WordHashes(dict):
     """word -> 64-bit hash, kept per worker up to ``limit`` words."""
 
-    limit = 1_000_000
+    limit = 500_000
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
@@ -79,6 +80,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 def shingle_set(text: bytes, size: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word shingles of a UTF-8 text."""
+    claim(_WORDS)
     words = text.lower().split()
     if not words:
         return np.empty(0, np.uint64)

@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlens.llm.common import fold, ship
+from playlens.llm.workercache import claim
 
 WORDS, SHAPES, DIM, ENTRIES, REACH = 8192, 1024, 32, 4, 2
 ROWS = WORDS + SHAPES
@@ -52,7 +53,7 @@ _EDGES = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 class WordRows(dict):
     """word -> (row of the word) * ROWS + (row of its shape), per worker."""
 
-    limit = 1_000_000
+    limit = 500_000
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
@@ -73,6 +74,7 @@ _ROWS = WordRows()
 def word_rows(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """(first text, words of each text, word rows, shape rows) in runs of
     whole texts of about CHUNK words."""
+    claim(_ROWS)
     first, counts, held = 0, [], []
     total = 0
     for i, text in enumerate(texts):
