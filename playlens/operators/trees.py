@@ -32,7 +32,7 @@ from playlens.operators.trend import DEFAULT_FOLDS, DEFAULT_TRAIN_RATIO, kfold,
 SEED = 42
 MAX_DEPTH_UNLIMITED = 30  # Spark's deepest tree stands in for "no depth limit"
 MAX_BINS = 256  # candidate splits per feature: over 21 years of months
-TRAIN_PARTITIONS = 8  # of the rows of a fit; part of the model, like the seed
+TRAIN_PARTITIONS = 2  # default partitions of the rows of a fit; part of the model, like the seed
 
 # --- Fixed values: the reference's tree grids (sklearn names -> Spark params).
 # random forest: n_estimators x max_depth x min_samples_split
@@ -166,13 +166,16 @@ def fit_tree_model(
     full_grid: bool = True,
     parallelism: int = 4,
     n_folds: int = DEFAULT_FOLDS,
+    partitions: int = TRAIN_PARTITIONS,
 ):
     """Grid-search one pooled tree ensemble (mean validation MSE over the
     contiguous folds, ties: first in grid order) and refit the winner on all
-    train rows. Returns ``(model, best_params, frame)``."""
+    train rows. Returns ``(model, best_params, frame)``. ``partitions`` suits the
+    number of rows (a series has one per key and month); like the seed it is
+    part of what defines the model, and it never follows the cluster."""
     frame = tree_frame(series, key_cols, x, y, n_folds=n_folds)
     est, params, maps = _grid(kind, full_grid)
-    train = _training_rows(frame, key_cols, x)
+    train = _training_rows(frame, key_cols, x, partitions)
     try:
         best = 0
         if len(maps) > 1:
