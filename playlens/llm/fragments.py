@@ -83,7 +83,7 @@ class FragmentCache(dict):
     ``longest`` bytes are encoded but not kept.
     """
 
-    def __init__(self, encode: Callable[[bytes], bytes], limit: int = 700_000, longest: int = 48):
+    def __init__(self, encode: Callable[[bytes], bytes], limit: int = 600_000, longest: int = 48):
         super().__init__()
         self.encode, self.limit, self.longest = encode, limit, longest
         self[b""] = b""

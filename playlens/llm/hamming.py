@@ -8,9 +8,9 @@ met (pigeonhole), so a query is finished as soon as its k-th verified distance
 is within that bound. In round r a query probes only the segments it still
 needs for that proof. The result is exact.
 
-``m`` follows the size of the index (segments of about log2(n) bits), so a
-probe meets about one code and a full enumeration of a segment costs no more
-than one scan. Rows with equal codes collapse to one entry with their k + 1
+``m`` follows the size of the index: segments of about log2(n) - 5 bits, so a
+probe meets about 32 codes, whose distances are compared inside the join, and
+a full enumeration of a segment has fewer probes than the index has rows. Rows with equal codes collapse to one entry with their k + 1
 smallest ids (more can never be among the results), so a code held by a third
 of all rows is one entry. Equal query codes are searched once.
 
@@ -49,7 +49,7 @@ def sign_code(vector_col: str, bits: int = 64) -> Column:
 
 def segments(bits: int, n: int) -> list[tuple[int, int]]:
     """(first bit, width) of the segments for an index of n codes."""
-    m = max(1, min(bits // 4, round(bits / max(4.0, math.log2(max(n, 2))))))
+    m = max(1, min(bits // 4, round(bits / max(4.0, math.log2(max(n, 2)) - 5))))
     cuts = [bits * i // m for i in range(m + 1)]
     return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
@@ -82,7 +82,8 @@ def hamming_top_k(
     while True:
         probes = _probes(state, parts, radius)
         distance = F.bit_count(F.col("q").bitwiseXOR(F.col("code"))).cast("int")
-        hits = probes.join(postings, ["seg", "value"]).where(distance <= F.col("bound")).select("q", "code", distance.alias("distance"))
+        # Merged: the planner can't know how many probes a query makes and would broadcast them.
+        hits = probes.hint("merge").join(postings, ["seg", "value"]).where(distance <= F.col("bound")).select("q", "code", distance.alias("distance"))
         found = hits.distinct() if found is None else found.unionByName(hits).distinct()
         found, bounds = _tightened(found, index, k, bits)
         # Every code within m * (radius + 1) - 1 has been met by a query that probed all segments,
