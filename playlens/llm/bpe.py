@@ -24,7 +24,6 @@ import heapq
 import json
 import struct
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +33,7 @@ from pyspark.sql import functions as F
 from playlens.llm.common import ship
 from playlens.llm.fragments import SEVERAL_WORDS, SINGLE_WORD, FragmentCache, split, splits_plainly
 from playlens.llm.libtokens import byte_symbols, default_tokenizer
-from playlens.llm.workercache import claim
+from playlens.llm.workercache import hold
 
 #: The word pattern of byte-level BPE (a fixed value of the public format);
 #: white space is the Unicode property, as in the library.
@@ -173,14 +172,7 @@ def token_pairs(vocab: dict[bytes, int]) -> list[list[bool]]:
 
 def forced_boundary_bpe(path: str) -> ForcedBoundaryBpe:
     """The worker's encoder for a tokenizer file."""
-    encoder = _encoder(path)
-    claim(encoder.cache, encoder.pieces)
-    return encoder
-
-
-@lru_cache(maxsize=2)
-def _encoder(path: str) -> ForcedBoundaryBpe:
-    return ForcedBoundaryBpe(path)
+    return hold(("forced", path), lambda: ForcedBoundaryBpe(path))
 
 
 def _texts(column: pa.Array) -> list[bytes]:

@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playlens.llm.common import ship
+from playlens.llm.workercache import hold
 
 DIM = 4096
 UNDETERMINED = "und"
@@ -42,6 +43,7 @@ _KEEP = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
 def ngram_counts(texts: list[str]) -> np.ndarray:
     """Hashed bigram and trigram counts, one row of DIM per text."""
+    hold("language")
     parts = [b" " + t.lower().encode().translate(_KEEP) + b"  " for t in texts]
     raw = np.frombuffer(b"".join(parts), np.uint8).astype(np.uint32)
     row = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
@@ -196,7 +198,7 @@ def predictor(model: CentroidModel):
         columns = [pa.array(languages, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())]
         return pa.StructArray.from_arrays(columns, ["lang_pred", "score", "rejected"])
 
-    return predict
+    return predict.asNondeterministic()  # so that a filter on it is not a second evaluation
 
 
 def identify(docs: DataFrame, model: CentroidModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

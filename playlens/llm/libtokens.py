@@ -17,7 +17,7 @@ from functools import lru_cache
 import numpy as np
 
 from playlens.llm.fragments import SEVERAL_WORDS, SINGLE_WORD, FragmentCache, split, splits_plainly
-from playlens.llm.workercache import claim
+from playlens.llm.workercache import hold
 
 
 def byte_symbols() -> dict[int, str]:
@@ -74,15 +74,8 @@ class LibraryEncoder:
 
 def library_encoder(path: str) -> LibraryEncoder:
     """The worker's encoder for a tokenizer file."""
-    encoder = _encoder(path)
-    claim(encoder.cache)
-    return encoder
-
-
-@lru_cache(maxsize=2)
-def _encoder(path: str) -> LibraryEncoder:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    return LibraryEncoder(path)
+    return hold(("library", path), lambda: LibraryEncoder(path))
 
 
 @lru_cache(maxsize=1)

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from playlens.config import materialize
 from playlens.llm.common import ship
 from playlens.llm.components import components
-from playlens.llm.workercache import claim
+from playlens.llm.workercache import hold
 
 BANDS, ROWS, BITS = 51, 5, 4
 K = 256
@@ -68,9 +68,6 @@ class WordHashes(dict):
         return value
 
 
-_WORDS = WordHashes()
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finalizer."""
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
@@ -80,11 +77,10 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 def shingle_set(text: bytes, size: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word shingles of a UTF-8 text."""
-    claim(_WORDS)
     words = text.lower().split()
     if not words:
         return np.empty(0, np.uint64)
-    hashed = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    hashed = np.fromiter(map(hold("shingle-words", WordHashes).__getitem__, words), np.uint64, len(words))
     span = min(size, len(words))
     out = np.full(len(words) - span + 1, span, np.uint64)
     for k in range(span):

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlens.llm.common import fold, ship
-from playlens.llm.workercache import claim
+from playlens.llm.workercache import hold
 
 WORDS, SHAPES, DIM, ENTRIES, REACH = 8192, 1024, 32, 4, 2
 ROWS = WORDS + SHAPES
@@ -68,18 +68,15 @@ class WordRows(dict):
         return rows
 
 
-_ROWS = WordRows()
-
-
 def word_rows(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """(first text, words of each text, word rows, shape rows) in runs of
     whole texts of about CHUNK words."""
-    claim(_ROWS)
+    lookup = hold("quality-words", WordRows).__getitem__
     first, counts, held = 0, [], []
     total = 0
     for i, text in enumerate(texts):
         words = text.split()
-        held.append(np.fromiter(map(_ROWS.__getitem__, words), np.int64, len(words)))
+        held.append(np.fromiter(map(lookup, words), np.int64, len(words)))
         counts.append(len(words))
         total += len(words)
         if total >= CHUNK or i == len(texts) - 1:
@@ -255,7 +252,7 @@ def scorer(spark: SparkSession, model: QualityModel):
     def found(texts: pa.Array) -> pa.Array:
         return pa.array(shared.value.score(texts.cast(pa.binary()).fill_null(b"").to_pylist()), pa.float64())
 
-    return found
+    return found.asNondeterministic()  # so that a filter on it is not a second evaluation
 
 
 def score(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -46,6 +46,7 @@ from pyspark.sql import functions as F
 
 from playlens.config import materialize
 from playlens.llm.common import ship
+from playlens.llm.workercache import hold
 
 #: A position is part * 2**PART + byte; part numbers the texts of one id.
 PART = 40
@@ -128,6 +129,7 @@ def anchors(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np
 
 
 def _segment_anchors(parts: list[tuple[int, int, bytes]], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    hold("repeats")
     k = gram_of(length)
     raw = np.frombuffer(b"".join(p for _, _, p in parts), np.uint8)
     sizes = np.array([len(p) for _, _, p in parts])

@@ -1,19 +1,25 @@
-"""One large cache per Python worker at a time.
+"""What a Python worker keeps between tasks: one operator's state at a time.
 
-Workers are reused by the stages of a job, and every operator keeps a cache of
-its own; the caches of operators that ran before are emptied when another one
-starts, so a worker's memory is that of its largest cache, not of their sum.
+Workers are reused by the stages of a job, and operators keep tokenizers and
+caches in them. When another operator starts in a worker, the state of the one
+before is dropped, so a worker's memory is that of its largest operator and
+not of their sum.
 """
 
 from __future__ import annotations
 
-_held: tuple[dict, ...] = ()
+import gc
+from collections.abc import Callable
+from typing import Any
 
+_held: tuple[Any, Any] = (None, None)
 
-def claim(*caches: dict) -> None:
-    """Empty the caches held so far unless they are these."""
+
+def hold(key: Any, make: Callable[[], Any] = dict) -> Any:
+    """The state kept under ``key``, made if another one was kept."""
     global _held
-    if len(_held) != len(caches) or any(a is not b for a, b in zip(_held, caches)):
-        for cache in _held:
-            cache.clear()
-        _held = caches
+    if _held[0] != key:
+        _held = (None, None)
+        gc.collect()
+        _held = (key, make())
+    return _held[1]
