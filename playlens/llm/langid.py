@@ -6,7 +6,16 @@ inverse document frequency and scaled to length 1. Every language has several
 centroids, found by spherical k-means over its own documents, because one
 language holds several kinds of text. A document gets the language of the
 centroid with the highest cosine, and is *rejected* when even that cosine is
-under a floor learned from the distances of the training documents.
+under the floor of its language and its size.
+
+A text's size is the number of its distinct n-gram buckets, in powers of two: the
+fewer a text has, the lower its cosine may be. The floors are learned from the
+training documents and their beginnings of 12, 24, ... characters, each
+measured against centroids that were found without it (on the half of its
+language's sample it is not in). A floor is ``MARGIN`` of the cosine that all
+but one in a hundred of a language and size reach, so that clean documents stay
+well above it. Unseen languages of the same script share n-grams with the known
+ones; under some 64 buckets (about 60 characters) they are not told apart reliably.
 
 Document frequencies are counted over all learnable documents; the centroids
 are fitted on at most ``per_language`` documents of each language (the ones
@@ -23,6 +32,7 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,11 +41,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from playlens.config import materialize
 from playlens.llm.common import ship
 from playlens.llm.workercache import hold
 
 DIM = 4096
 UNDETERMINED = "und"
+#: Sizes of a text (log2 of its distinct n-gram buckets), and what a floor needs and leaves.
+SIZES, LEAST, MARGIN = DIM.bit_length(), 20, 0.6
 _LETTER = re.compile(r"[^\W\d_]")
 #: ASCII letters and all bytes of multi-byte characters stay, the rest is blank.
 _KEEP = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
@@ -61,6 +74,17 @@ def ngram_counts(texts: list[str]) -> np.ndarray:
     return out.reshape(-1, DIM)
 
 
+def sizes(counts: np.ndarray) -> np.ndarray:
+    """log2 of the number of buckets that a text fills, rounded down."""
+    return np.frexp(np.maximum((counts > 0).sum(axis=1), 1))[1] - 1
+
+
+def beginnings(text: str) -> list[str]:
+    """The first 12, 24, ... 3,072 characters where they have a letter, and the text."""
+    cuts = [text[: 12 << k] for k in range(9) if 12 << k < len(text)]
+    return [c for c in cuts if _LETTER.search(c)] + [text]
+
+
 def blocks(texts: list[str], target: int = 1 << 18) -> Iterator[list[str]]:
     """Runs of texts of about ``target`` characters and 64 texts at most."""
     held, size = [], 0
@@ -76,12 +100,13 @@ def blocks(texts: list[str], target: int = 1 << 18) -> Iterator[list[str]]:
 
 @dataclass
 class CentroidModel:
-    """idf weights, the centroids with their languages, the rejection floor."""
+    """idf weights, the centroids with their languages, the rejection floors
+    (a row for each centroid, a column for each size of a text)."""
 
     idf: np.ndarray
     centroids: np.ndarray
     languages: list[str]
-    floor: float
+    floors: np.ndarray
 
     def vectors(self, counts: np.ndarray) -> np.ndarray:
         v = np.log1p(counts) * self.idf
@@ -90,17 +115,20 @@ class CentroidModel:
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Languages, cosines and rejections."""
         languages, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
+        rejected = np.ones(len(texts), bool)
         real = [i for i, t in enumerate(texts) if t and _LETTER.search(t)]
         if len(self.centroids) and real:
             at = 0
             for block in blocks([texts[i] for i in real]):
-                cosine = self.vectors(ngram_counts(block)) @ self.centroids.T
+                counts = ngram_counts(block)
+                cosine = self.vectors(counts) @ self.centroids.T
                 best = cosine.argmax(axis=1)
+                floors = self.floors[best, sizes(counts)]
                 for k, c in enumerate(best):
                     i = real[at + k]
                     languages[i], scores[i] = self.languages[c], min(1.0, max(0.0, float(cosine[k, c])))
+                    rejected[i] = scores[i] < floors[k]
                 at += len(block)
-        rejected = np.array([lang == UNDETERMINED for lang in languages], bool) | (scores < self.floor)
         return languages, scores, rejected
 
 
@@ -120,6 +148,28 @@ def spherical_kmeans(x: np.ndarray, k: int, seed: int, rounds: int = 12) -> np.n
     return (found / np.maximum(np.linalg.norm(found, axis=1, keepdims=True), 1e-12)).astype(np.float32)
 
 
+def learn_floors(measured: dict[str, list[tuple[int, float]]], languages: list[str]) -> np.ndarray:
+    """A floor for every language and size from (size, cosine) of its
+    documents. Sizes with fewer than ``LEAST`` documents take those of all
+    languages, or else the floor of the size below, so no text is held to what
+    only longer ones reach."""
+    everything = [m for found in measured.values() for m in found]
+
+    def floor(found: list[tuple[int, float]], size: int) -> float | None:
+        cosines = [c for s, c in found if s == size]
+        return MARGIN * float(np.quantile(cosines, 0.01)) if len(cosines) >= LEAST else None
+
+    shared = [floor(everything, size) for size in range(SIZES)]
+    out = np.zeros((len(languages), SIZES))
+    for lang in set(languages):
+        below = 0.0
+        for size in range(SIZES):
+            own = floor(measured.get(lang, []), size)
+            below = own if own is not None else below if shared[size] is None else shared[size]
+            out[[i for i, x in enumerate(languages) if x == lang], size] = below
+    return out
+
+
 def fit(
     learnable: DataFrame,
     id_col: str = "doc_id",
@@ -161,6 +211,7 @@ def fit(
     sample = few.withColumn("_r", F.row_number().over(by_hash)).where(f"_r <= {per_language}")
     sample = sample.select("id", F.col("lang").alias("own"))
     picked = rows.join(F.broadcast(sample), "id").where("lang = own").select("lang", "text")  # bounded sample
+    picked = materialize(picked, "language-sample")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,18 +225,37 @@ def fit(
                 at += len(block)
 
     held = picked.mapInArrow(vectors, "lang string, counts binary").collect()  # at most per_language a language
-    model = CentroidModel(idf, np.empty((0, DIM), np.float32), [], 0.0)
-    cosines = []
+    model = CentroidModel(idf, np.empty((0, DIM), np.float32), [], np.zeros((0, SIZES)))
+    halves: dict[tuple[str, int], np.ndarray] = {}
     for lang in sorted({r["lang"] for r in held}):
         raw = sorted(bytes(r["counts"]) for r in held if r["lang"] == lang)
         x = model.vectors(np.stack([np.frombuffer(c, np.uint16) for c in raw]).astype(float))
+        half = np.array([zlib.crc32(c) & 1 for c in raw])
+        for h in (0, 1):
+            if (half != h).any():
+                halves[lang, h] = spherical_kmeans(x[half != h], clusters, seed=len(model.languages))
         found = spherical_kmeans(x, clusters, seed=len(model.languages))
-        cosines.append((x @ found.T).max(axis=1))
         model.centroids = np.concatenate([model.centroids, found])
         model.languages += [lang] * len(found)
-    if cosines:
-        # An eighth of the cosine that all but one in a hundred training documents reach.
-        model.floor = 0.125 * float(np.quantile(np.concatenate(cosines), 0.01))
+
+    def measures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple[str, int, float]] = []
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                counts = ngram_counts(beginnings(text))
+                own = np.minimum(counts[-1], 65535).astype(np.uint16).tobytes()
+                others = halves.get((lang, zlib.crc32(own) & 1))
+                if others is not None:
+                    cosines = (model.vectors(counts) @ others.T).max(axis=1)
+                    out += zip([lang] * len(counts), sizes(counts).tolist(), cosines.tolist())
+            columns = list(zip(*out)) or [(), (), ()]
+            kinds = (pa.string(), pa.int32(), pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["lang", "size", "cosine"])
+
+    measured: dict[str, list[tuple[int, float]]] = {}
+    for r in picked.mapInArrow(measures, "lang string, size int, cosine double").collect():  # ten a document at most
+        measured.setdefault(r["lang"], []).append((r["size"], r["cosine"]))
+    model.floors = learn_floors(measured, model.languages)
     return model
 
 
