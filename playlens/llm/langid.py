@@ -19,8 +19,8 @@ ones; under some 64 buckets (about 60 characters) they are not told apart reliab
 
 Document frequencies are counted over all learnable documents; the centroids
 are fitted on at most ``per_language`` documents of each language (the ones
-with the smallest hash of their id), which is the documented bound of the
-sample. The model is a few hundred KB whatever the corpus.
+with the smallest hash of their id and text; rows that repeat both count once), which
+is the documented bound of the sample. The model is a few hundred KB whatever the corpus.
 
 Defined results: a NULL text or a text without a letter is ``und`` with score
 0 and is rejected; a NULL id belongs to no fold and is held in (it is learned
@@ -184,6 +184,7 @@ def fit(
         F.col(id_col).cast("long").alias("id"),
         F.col(text_col).cast("string").alias("text"),
         F.col(lang_col).cast("string").alias("lang"),
+        F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string")).alias("hash"),  # of the text if the id is NULL
     ).where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,14 +204,15 @@ def fit(
 
     # The smallest hashes lie under a threshold that about three times the
     # sample passes, so few rows of a common language reach its window.
-    share = F.least(F.lit(1.0), F.lit(3.0 * per_language) / F.count(F.lit(1)))
+    share = F.least(F.lit(1.0), F.lit(3.0 * per_language) / F.approx_count_distinct("hash"))
     shares = rows.groupBy("lang").agg(share.alias("_share"))
-    low = (F.xxhash64("id").cast("double") / 2.0**64 + 0.5) <= F.col("_share")
-    few = rows.select("id", "lang").join(shares, "lang").where(low | F.col("id").isNull())
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
+    low = (F.col("hash").cast("double") / 2.0**64 + 0.5) <= F.col("_share")
+    few = rows.select("id", "hash", "lang").join(F.broadcast(shares), "lang").where(low).select("id", "hash", "lang").distinct()
+    by_hash = Window.partitionBy("lang").orderBy("hash", "id")
     sample = few.withColumn("_r", F.row_number().over(by_hash)).where(f"_r <= {per_language}")
-    sample = sample.select("id", F.col("lang").alias("own"))
-    picked = rows.join(F.broadcast(sample), "id").where("lang = own").select("lang", "text")  # bounded sample
+    sample = sample.select(F.col("id").alias("_id"), F.col("hash").alias("_hash"), F.col("lang").alias("_lang"))
+    own = F.col("id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash")) & (F.col("lang") == F.col("_lang"))
+    picked = rows.join(F.broadcast(sample), own).dropDuplicates(["lang", "id", "hash"]).select("lang", "text")  # bounded sample
     picked = materialize(picked, "language-sample")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

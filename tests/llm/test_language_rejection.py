@@ -12,6 +12,8 @@ import pytest
 HERE = os.path.dirname(os.path.abspath(__file__))
 sys.path[:0] = [HERE, os.path.dirname(HERE)]
 
+from llm_frames import make_docs  # noqa: E402
+
 from playlens.llm import langid  # noqa: E402
 
 SF = "/root/testdata/sf0.01"
@@ -73,3 +75,22 @@ def test_floors_of_sizes_without_documents():
     assert np.allclose(a[5:10], [0, 0.5, 0.5, 0.8, 0.8]) and (floors[0] == floors[1]).all()
     assert b[6] == 0.5 and 0.4 <= b[8] < 0.8  # few of its own: those of all languages
     assert not langid.learn_floors({}, ["a"]).any()
+
+
+def test_rows_without_an_id_are_learned_from(spark):
+    words = "der die das und ein Haus mit Garten am alten Fluss hinter dem kleinen Berg".split()
+    german = [" ".join(words[i:] + words[:i]) for i in range(len(words))]
+    english = [(i, f"the house with a garden near the old river number {i}", "en") for i in range(20)]
+    without = make_docs(spark, english + [(None, t, "de") for t in german])
+    model, numbered = langid.fit(without), langid.fit(make_docs(spark, english + [(100 + i, t, "de") for i, t in enumerate(german)]))
+    assert model.languages == numbered.languages and "de" in model.languages
+    assert np.allclose(model.centroids, numbered.centroids)
+    assert model.predict(german)[0] == ["de"] * len(german)
+
+
+def test_sample_holds_whole_documents_once(spark):
+    """Repeated rows without an id neither multiply in the sample nor crowd out others."""
+    rows = [(None, "das gleiche Haus am Fluss", "de")] * 40 + [(None, f"ein anderer Garten {w}", "de") for w in ("Berg", "Tal", "See")]
+    model = langid.fit(make_docs(spark, rows), per_language=4, clusters=1)
+    mean = model.vectors(langid.ngram_counts([r[1] for r in rows[39:]])).mean(axis=0)
+    assert np.allclose(model.centroids, mean / np.linalg.norm(mean), atol=1e-5)
