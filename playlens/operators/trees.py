@@ -232,7 +232,8 @@ def leaderboard_with_trees(
     """M10 with the pooled ensembles appended: per key, the linear family's
     winners and the random forest / gradient boosting models, ranked by
     held-out RMSE (ties: model name). Output ``(keys, model, best_params,
-    rmse, r2, rank)``."""
+    rmse, r2, rank, reason)``. A key that the linear family can't score has a
+    row of NULLs with the reason, beside the ensembles that do score it."""
     from playlens.operators.trend import test_metrics
 
     # the two ensemble searches are independent driver-side fit loops: run
@@ -240,12 +241,10 @@ def leaderboard_with_trees(
     with ThreadPoolExecutor(max_workers=2) as pool:
         trees = list(pool.map(lambda k: tree_test_metrics(series, key_cols, x, y, k, full_grid),
                               ("random_forest", "gbt")))
-    linear = test_metrics(series, key_cols, x, y).filter(F.col("model").isNotNull()).drop("reason")
-    parts = [linear, *trees]
-    allm = parts[0]
-    for p in parts[1:]:
-        allm = allm.unionByName(p)
-    w = Window.partitionBy(*key_cols).orderBy(F.col("rmse").asc_nulls_last(), F.col("model").asc())
-    return allm.select(*key_cols, "model", "best_params", "rmse", "r2").withColumn(
-        "rank", F.row_number().over(w).cast("int")
-    )
+    linear = test_metrics(series, key_cols, x, y)
+    allm = linear
+    for p in trees:
+        allm = allm.unionByName(p.withColumn("reason", F.lit(None).cast("string")))
+    w = Window.partitionBy(*key_cols).orderBy(F.col("rmse").asc_nulls_last(), F.col("model").asc_nulls_last())
+    rank = F.when(F.col("model").isNotNull(), F.row_number().over(w).cast("int"))
+    return allm.select(*key_cols, "model", "best_params", "rmse", "r2", rank.alias("rank"), "reason")

@@ -509,7 +509,8 @@ def best_model_forecast(
     """Leaderboard -> best setting -> (refit) -> forecast with month
     labels. With the defaults the leaderboard's own train-fit coefficients
     are used, so the grid is searched once. ``unit_factor`` adds the
-    forecast in a second unit (``value * factor``)."""
+    forecast in a second unit (``value * factor``). A key that can't be scored
+    has one row of NULLs with its ``reason``."""
     chosen = best_settings(series, key_cols, x, y, family)
     if fit_on != "train":
         chosen = refit(series, chosen, key_cols, x, y, fit_on=fit_on)
@@ -519,4 +520,5 @@ def best_model_forecast(
     if unit_factor is not None and unit_col:
         fc = fc.withColumn(unit_col, F.col("forecast") * F.lit(float(unit_factor)))
         extra.append(unit_col)
-    return create_forecast_calendar(fc, key_cols, value_col, tuple(extra))
+    found = create_forecast_calendar(fc, key_cols, value_col, tuple(extra))
+    return _with_unscored(found, series, key_cols, DEFAULT_TRAIN_RATIO, DEFAULT_FOLDS)

@@ -574,7 +574,7 @@ def _best_forecast(spark, sf):
     return trend.best_model_forecast(
         _series(spark, sf, shared=True), KEYS, T, SERIES_Y, 3, value_col=f"forecast_{SERIES_Y}",
         unit_factor=24.0, unit_col="forecast_avg_session_duration_hours",
-    )
+    ).drop("reason")  # the oracle's columns; the NULL row of an unscored key stays
 
 
 _RIDGE_FC = f"""{_MET},
@@ -600,7 +600,7 @@ def _best_forecast_ridge(spark, sf):
     parameters, whatever model won."""
     return trend.best_model_forecast(
         _series(spark, sf, shared=True), KEYS, T, SERIES_Y, 3, family="ridge", value_col=f"forecast_{SERIES_Y}"
-    )
+    ).drop("reason")
 
 
 @register("coefficient_sink", f"""{_BEST_FC}
