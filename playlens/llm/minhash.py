@@ -2,8 +2,8 @@
 
 1. Every whole text becomes its set of distinct word shingles (64-bit hashes)
    and ``K`` minima of seeded hash functions. Only the low ``BITS`` bits of a
-   minimum are kept, packed into a signature; ``ROWS`` minima at a time give
-   the keys of ``BANDS`` bands.
+   minimum are kept, packed into a signature; ``band_rows(threshold)`` minima
+   at a time give the keys of the bands.
 2. Documents with equal sets (copies) collapse to one class before anything
    is paired.
 3. Classes sharing a band key are candidates. Each bucket contributes a star
@@ -19,8 +19,9 @@
    keeps every component and is never longer than the group.
 5. The components of the confirmed links are the classes of near duplicates.
 
-A pair at the threshold 0.8 shares no band with probability
-(1 - 0.8**5)**51 < 2e-9.
+The rows of a band follow the threshold, so that a pair at the threshold shares
+no band with probability under ``MISS`` (2e-9): 51 bands of 5 at 0.8, 85 of 3
+at 0.6, 128 of 2 at 0.5. Thresholds that 256 bands of 1 don't reach raise.
 
 Words are maximal runs of bytes other than space and 0x09-0x0D after A-Z are
 lower-cased. Defined results: a NULL, empty or blank text has no shingles and
@@ -44,8 +45,10 @@ from playlens.llm.common import ship
 from playlens.llm.components import components
 from playlens.llm.workercache import hold
 
-BANDS, ROWS, BITS = 51, 5, 4
+BITS = 4
 K = 256
+#: Most minima in a band, and the largest share of pairs at the threshold without a common band.
+MOST_ROWS, MISS = 5, 2e-9
 BLOCK = 512
 #: Shingles handled at a time by one hash function (fits a core's cache).
 CHUNK = 1 << 16
@@ -89,15 +92,24 @@ def shingle_set(text: bytes, size: int) -> np.ndarray:
 
 
 # -- signatures -------------------------------------------------------------
-def _functions(seed: int = 29) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def band_rows(threshold: float) -> int:
+    """The most minima a band may have to miss under ``MISS`` of the pairs at the threshold."""
+    for rows in range(MOST_ROWS, 0, -1):
+        if (1 - threshold**rows) ** (K // rows) <= MISS:
+            return rows
+    raise ValueError(f"threshold {threshold} is too low for {K} minima")
+
+
+def _functions(rows: int = MOST_ROWS, seed: int = 29) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     rng = np.random.default_rng(seed)
     masks = rng.integers(0, 1 << 32, K, dtype=np.uint32)
     factors = rng.integers(0, 1 << 31, K, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-    band_factors = rng.integers(0, 1 << 63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    band_factors = rng.integers(0, 1 << 63, (K // rows, rows), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     return masks, factors, band_factors
 
 
-_MASKS, _FACTORS, _BAND_FACTORS = _functions()
+_MASKS, _FACTORS, _ = _functions()
+_BAND_FACTORS = {rows: _functions(rows)[2] for rows in range(1, MOST_ROWS + 1)}
 
 
 def minima(sets: list[np.ndarray]) -> np.ndarray:
@@ -120,11 +132,12 @@ def minima(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def band_keys(mins: np.ndarray) -> np.ndarray:
-    """One 64-bit key per band; the band's number is part of the key."""
-    rows = mins[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS).astype(np.uint64)
-    key = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return _mix((rows * _BAND_FACTORS).sum(axis=2, dtype=np.uint64) + key).view(np.int64)
+def band_keys(mins: np.ndarray, rows: int = MOST_ROWS) -> np.ndarray:
+    """One 64-bit key per band of ``rows`` minima; the band's number is part of the key."""
+    bands = K // rows
+    grouped = mins[:, : bands * rows].reshape(-1, bands, rows).astype(np.uint64)
+    key = np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return _mix((grouped * _BAND_FACTORS[rows]).sum(axis=2, dtype=np.uint64) + key).view(np.int64)
 
 
 def pack(mins: np.ndarray) -> np.ndarray:
@@ -151,7 +164,7 @@ def estimate_floor(threshold: float) -> float:
     return threshold - 5 * float(np.sqrt(equal * (1 - equal) / K)) / (1 - c)
 
 
-def signatures(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
+def signatures(docs: DataFrame, size: int, id_col: str, text_col: str, rows: int = MOST_ROWS) -> DataFrame:
     """(id, n, k1, k2, bands, sig) of every row; k1, k2 are two independent
     64-bit sums over the set that stand for it."""
     ship(docs.sparkSession)
@@ -169,7 +182,7 @@ def signatures(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFr
                 bands, sig = [[] for _ in sets], [b""] * len(sets)
                 if len(full):
                     mins = minima([sets[i] for i in full])
-                    found, packed = band_keys(mins), pack(mins)
+                    found, packed = band_keys(mins, rows), pack(mins)
                     for row, i in enumerate(full):
                         bands[i], sig[i] = found[row], packed[row].tobytes()
                         for k in range(2):
@@ -320,7 +333,7 @@ def near_duplicates(
 ) -> DataFrame:
     """(id, n_shingles, component_id, kept) of every row: component_id is the
     smallest id reachable over links, kept marks the row it belongs to."""
-    signed = materialize(signatures(docs, size, id_col, text_col), "signatures")
+    signed = materialize(signatures(docs, size, id_col, text_col, band_rows(threshold)), "signatures")
     key = ["k1", "k2", "n"]
     least = signed.where("n > 0 AND id IS NOT NULL").groupBy(*key).agg(F.min("id").alias("id"))
     classes = signed.join(least, [*key, "id"], "left_semi").withColumnRenamed("id", "node")
