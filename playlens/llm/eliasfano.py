@@ -73,6 +73,28 @@ class EliasFano:
         chunk = int.from_bytes(self._low[start >> 3 : (start + self.low_bits + 7) >> 3], "little")
         return (one - i) << self.low_bits | (chunk >> (start & 7)) & ((1 << self.low_bits) - 1)
 
+    def part(self, first: int, last: int) -> np.ndarray:
+        """Values ``first`` to ``last`` - 1, decoded from the sampled 1 before
+        ``first`` to the one after ``last`` only."""
+        last = min(last, self.n)
+        if first >= last:
+            return np.empty(0, np.uint64)
+        group, after = first // SAMPLE, -(-last // SAMPLE)
+        start = int(self._samples[group]) >> 3
+        stop = (int(self._samples[after]) >> 3) + 1 if after < len(self._samples) else len(self._high)
+        bits = np.unpackbits(np.frombuffer(self._high, np.uint8, stop - start, start), bitorder="little")
+        bits[: int(self._samples[group]) & 7] = 0  # 1s of values before the group
+        skip = first - group * SAMPLE
+        ones = np.flatnonzero(bits)[skip : skip + last - first] + 8 * start
+        high = (ones - np.arange(first, last)).astype(np.uint64) << np.uint64(self.low_bits)
+        if not self.low_bits:
+            return high
+        at, end = first * self.low_bits, last * self.low_bits
+        low = np.unpackbits(np.frombuffer(self._low, np.uint8, ((end + 7) >> 3) - (at >> 3), at >> 3), bitorder="little")
+        low = low[at & 7 : (at & 7) + end - at].reshape(-1, self.low_bits)
+        weights = np.uint64(1) << np.arange(self.low_bits, dtype=np.uint64)
+        return high | (low.astype(np.uint64) * weights).sum(axis=1, dtype=np.uint64)
+
     def values(self) -> np.ndarray:
         """All values at once."""
         ones = np.flatnonzero(np.unpackbits(np.frombuffer(self._high, np.uint8), bitorder="little"))[: self.n]

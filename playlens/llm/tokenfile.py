@@ -41,6 +41,8 @@ from playlens.llm.libtokens import default_tokenizer, library_encoder
 MAGIC = b"EFTOK1\0\0"
 #: magic, width of an id, documents, NULL ids, smallest id, bytes of the three sections
 _FOOTER = struct.Struct("<8sQQQqQQQ")
+#: Documents whose boundaries a sequential reader decodes at a time.
+RUN = 8192
 MANIFEST = "first_id long, first_hash long, first_row long, path string, n_docs long, n_ids long"
 
 
@@ -105,18 +107,23 @@ class ShardReader:
         start, end = self.bounds(i)
         return np.frombuffer(self.file.read_at((end - start) * self.type.itemsize, start * self.type.itemsize), self.type)
 
-    def doc_ids(self) -> list[int | None]:
-        return [None] * self.nulls + [int(v) + self.least for v in self._ids.values()]
+    def doc_ids(self, first: int, last: int) -> list[int | None]:
+        """The ids of documents ``first`` to ``last`` - 1."""
+        nulls = max(0, min(last, self.nulls) - first)
+        known = self._ids.part(max(first - self.nulls, 0), max(last - self.nulls, 0))
+        return [None] * nulls + [int(v) + self.least for v in known]
 
     def blocks(self, target: int = 1 << 21) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(first document, ends, ids) of runs of documents of about ``target``
-        ids, so that a reader holds one block at a time."""
-        ends, first, at = self.ends.values().astype(np.int64), 0, 0
+        ids and at most ``RUN`` documents. A run's ends are decoded from the
+        sampled select, so a reader holds one block at a time."""
+        first, at, width = 0, 0, self.type.itemsize
         while first < self.n_docs:
-            last = max(first + 1, int(np.searchsorted(ends, at + target, side="right")))
-            stop, width = int(ends[last - 1]), self.type.itemsize
-            yield first, ends[first:last] - at, np.frombuffer(self.file.read_at((stop - at) * width, at * width), self.type)
-            first, at = last, stop
+            ends = self.ends.part(first, first + RUN).astype(np.int64)
+            ends = ends[: max(1, int(np.searchsorted(ends, at + target, side="right")))]
+            stop = int(ends[-1])
+            yield first, ends - at, np.frombuffer(self.file.read_at((stop - at) * width, at * width), self.type)
+            first, at = first + len(ends), stop
 
 
 # -- the whole table --------------------------------------------------------
@@ -180,14 +187,13 @@ def read_token_files(manifest: DataFrame, id_col: str = "doc_id") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, path, base in zip(*(batch.column(c).to_pylist() for c in range(3))):
-                reader = ShardReader(path)
-                doc_ids, before = reader.doc_ids(), base
+                reader, before = ShardReader(path), base
                 for first, ends, ids in reader.blocks():
                     wide, bounds = ids.astype("<u4"), np.concatenate([[0], ends])
                     crcs = [zlib.crc32(wide[a:b]) for a, b in zip(bounds[:-1].tolist(), ends.tolist())]
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(doc_ids[first : first + len(ends)], pa.int64()),
+                            pa.array(reader.doc_ids(first, first + len(ends)), pa.int64()),
                             pa.array(np.full(len(ends), shard), pa.int64()),
                             pa.array(before + bounds[:-1], pa.int64()),
                             pa.array(np.diff(bounds), pa.int64()),
