@@ -3,7 +3,7 @@
 Workers are reused by the stages of a job, and operators keep tokenizers and
 caches in them. When another operator starts in a worker, the state of the one
 before is dropped, so a worker's memory is that of its largest operator and
-not of their sum.
+not of their sum. Caches are bounded by bytes.
 """
 
 from __future__ import annotations
@@ -14,12 +14,55 @@ from typing import Any
 
 _held: tuple[Any, Any] = (None, None)
 
+#: Bytes a cache holds, and what an entry takes beside its key and value.
+CACHE_BYTES, ENTRY_BYTES = 32 << 20, 160
+#: Longest key that is kept.
+KEY_BYTES = 48
+
 
 def hold(key: Any, make: Callable[[], Any] = dict) -> Any:
     """The state kept under ``key``, made if another one was kept."""
     global _held
     if _held[0] != key:
-        _held = (None, None)
-        gc.collect()
+        release()
         _held = (key, make())
     return _held[1]
+
+
+def release() -> None:
+    """Drop what is kept and give freed memory back to the system."""
+    global _held
+    _held = (None, None)
+    gc.collect()
+    give_back()
+
+
+def give_back() -> None:
+    """Return the free memory of Arrow's pool and of the C heap to the system."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+class BoundedCache(dict):
+    """A dict that is emptied when its entries take over ``limit`` bytes."""
+
+    def __init__(self, limit: int = CACHE_BYTES):
+        super().__init__()
+        self.limit, self.taken = limit, 0
+
+    def keep(self, key: bytes, value: Any, value_bytes: int = 0) -> None:
+        """Remember ``value`` unless the key is long."""
+        if len(key) > KEY_BYTES:
+            return
+        self.taken += len(key) + value_bytes + ENTRY_BYTES
+        if self.taken > self.limit:
+            self.clear()
+            self.taken = len(key) + value_bytes + ENTRY_BYTES
+        self[key] = value
