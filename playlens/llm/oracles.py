@@ -80,9 +80,41 @@ FROM sets LEFT JOIN least ON least.a = sets.doc_id
 """
 
 
+PHRASE_MINING = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS p
+  FROM documents
+), words AS (SELECT lang, regexp_extract_all(p, '[^\\x20\\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+grams AS (
+  SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+  FROM words, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE len(w) >= m
+), f AS (SELECT lang, phrase, m, count(*) AS f FROM grams GROUP BY lang, phrase, m HAVING count(*) >= 30),
+c AS (SELECT lang, phrase, m, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1),
+parts AS (
+  SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:m], ' ') AS tail
+  FROM c CROSS JOIN (SELECT unnest([1, 2, 3]) AS k) WHERE k < m
+), cuts AS (
+  SELECT p.lang, p.phrase, a, k, l.f AS l, r.f AS r, CAST((2000000::HUGEINT * a) // (l.f::HUGEINT + r.f) AS BIGINT) AS score
+  FROM parts AS p JOIN f AS l ON l.lang = p.lang AND l.phrase = head JOIN f AS r ON r.lang = p.lang AND r.phrase = tail
+), best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, a, unnest(list_transform(range(1, m - s + 2), lambda i: array_to_string(w[i:i + s - 1], ' '))) AS phrase
+  FROM c, (SELECT unnest([2, 3]) AS s) WHERE s < m
+), longest AS (SELECT lang, phrase, max(a) AS b FROM inside GROUP BY lang, phrase),
+kept AS (
+  SELECT best.* FROM best LEFT JOIN longest USING (lang, phrase) WHERE b IS NULL OR 100::HUGEINT * b < 80::HUGEINT * a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_hamming_top_k": HAMMING_TOP_K,
         "op2_feistel_shards": feistel_shards(),
         "op6_minhash_duplicates": NEAR_DUPLICATES,
+        "op12_phrase_mining": PHRASE_MINING,
     }
