@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlens.llm import ann, bpe, hamming, langid, minhash, oracles, packing, quality, repeats, sharding, tokenfile
+from playlens.llm import alignment, ann, bpe, hamming, langid, minhash, oracles, packing, phrases, quality, repeats, sharding, simhash, tokenfile
 from playlens.llm.common import table
 
 
@@ -65,6 +65,18 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"))
 
 
+def op11_simhash_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_duplicates(table(spark, sf_dir, "documents"), size=3, radius=3)
+
+
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), min_count=30, covered=80, top=2000)
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_hamming_top_k": op1_hamming_top_k,
@@ -77,6 +89,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": op8_language_id,
         "op9_token_files": op9_token_files,
         "op10_bpe_codec": op10_bpe_codec,
+        "op11_simhash_duplicates": op11_simhash_duplicates,
+        "op12_phrase_mining": op12_phrase_mining,
+        "op13_token_alignment": op13_token_alignment,
     }
 
 
