@@ -6,7 +6,7 @@ windows' rests, and a container that grows over ``BURST`` entries bursts into
 a node that leads on by the second word. A phrase's count is the sum over the
 windows that begin with it, so each position is inserted once.
 
-Subtrees leave the trie whole, as one run sorted by the bytes of their words,
+Subtrees leave the trie whole, as one run sorted word by word (by word ids),
 from which the counts of all phrases of 1 to 4 words follow.
 """
 
@@ -109,7 +109,7 @@ def windows(ids: np.ndarray, piece: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def phrase_counts(columns: list[np.ndarray], count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(rows x 4 words, words in the phrase, count) of every distinct phrase
     that a window begins with, sorted word by word, shorter ones first. The
-    columns hold ranks from 1, 0 for no word."""
+    columns hold word ids from 1, 0 for no word."""
     low = columns[2] << 32 | columns[3]
     high = columns[0] << 32 | columns[1]
     order = np.lexsort((low, high))

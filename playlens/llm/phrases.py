@@ -6,7 +6,7 @@ words and f(phrase) all contiguous occurrences inside pieces.
 
 1. **Counting.** Every task counts the windows of its texts in HAT-tries, one a
    language (``hattrie``). When they hold over ``ENTRIES`` windows, whole
-   subtrees leave as one sorted run; phrases are dealt to prefix partitions by
+   subtrees leave as one run in word-id order; phrases are dealt to prefix partitions by
    a hash of their first three words, so neither a common word nor a common
    pair lands in one task. Inside a partition a run is front coded: a phrase
    writes only the words it does not share with the one before.
@@ -27,6 +27,7 @@ ids are not read; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,11 +42,11 @@ from playlens.llm.workercache import hold
 
 UNDETERMINED = "und"
 #: Windows that the tries of a task hold, and distinct words, before subtrees leave.
-ENTRIES, VOCABULARY = 600_000, 1 << 19
-#: Words inserted at a time.
-CHUNK = 1 << 17
+ENTRIES, VOCABULARY = 1_000_000, 1 << 19
+#: Words of a language inserted at a time.
+CHUNK = 1 << 19
 #: Prefix partitions to a shuffle partition.
-SPREAD = 4
+SPREAD = 2
 #: Piece separators become line feeds.
 _PIECES = bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9)
 
@@ -60,11 +61,19 @@ class WordIds(dict):
 
 
 class TaskCounts:
-    """The tries of one task and what leaves them."""
+    """The tries of one task and what leaves them. Windows wait until ``CHUNK``
+    of a language can be dealt to its trie at once."""
 
     def __init__(self, buckets: int, entries: int = ENTRIES):
         self.buckets, self.entries = buckets, entries
-        self.ids, self.tries = WordIds(), {}
+        self._renew()
+
+    def _renew(self) -> None:
+        self.ids = WordIds()
+        self.hashes = np.zeros(1, np.uint64)
+        self.tries: dict[str, HatTrie] = {}
+        self.waiting: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        self.n_waiting: dict[str, int] = {}
 
     def add(self, lang: str, texts: list[bytes]) -> Iterator[tuple[str, int, bytes]]:
         """Count the windows of some texts; yields what leaves meanwhile."""
@@ -74,55 +83,65 @@ class TaskCounts:
             for piece in text.lower().translate(_PIECES).split(b"\n"):
                 words = piece.split()
                 while len(words) > CHUNK:  # a long piece goes in parts that know the words after them
-                    yield from self._insert(lang, words[: CHUNK + WORDS - 1], None, CHUNK)
+                    yield from self._wait(lang, words[: CHUNK + WORDS - 1], None, CHUNK)
                     words = words[CHUNK:]
                 if words:
                     held += words
                     lengths.append(len(words))
                 if len(held) > CHUNK:
-                    yield from self._insert(lang, held, lengths, len(held))
+                    yield from self._wait(lang, held, lengths, len(held))
                     held, lengths = [], []
         if held:
-            yield from self._insert(lang, held, lengths, len(held))
+            yield from self._wait(lang, held, lengths, len(held))
 
-    def _insert(self, lang: str, words: list[bytes], lengths: list[int] | None, n: int) -> Iterator[tuple[str, int, bytes]]:
+    def _wait(self, lang: str, words: list[bytes], lengths: list[int] | None, n: int) -> Iterator[tuple[str, int, bytes]]:
         ids = np.fromiter(map(self.ids.__getitem__, words), np.int64, len(words))
         pieces = np.zeros(len(ids), np.int64) if lengths is None else np.repeat(np.arange(len(lengths)), lengths)
         first, rest = windows(ids, pieces)
-        self.tries.setdefault(lang, HatTrie()).insert(first[:n], rest[:n])
+        self.waiting.setdefault(lang, []).append((first[:n], rest[:n]))
+        self.n_waiting[lang] = self.n_waiting.get(lang, 0) + n
+        if self.n_waiting[lang] >= CHUNK:
+            self._insert(lang)
+        if sum(self.n_waiting.values()) >= 4 * CHUNK or len(self.ids) > VOCABULARY:
+            for other in list(self.waiting):
+                self._insert(other)
         if self.full():
             yield from self.spill()
 
+    def _insert(self, lang: str) -> None:
+        parts = self.waiting.pop(lang, [])
+        self.n_waiting[lang] = 0
+        if parts:
+            first, rest = (np.concatenate(c) for c in zip(*parts))
+            self.tries.setdefault(lang, HatTrie()).insert(first, rest)
+
     def full(self) -> bool:
         return sum(t.size for t in self.tries.values()) > self.entries or len(self.ids) > VOCABULARY
 
     def spill(self, everything: bool = False) -> Iterator[tuple[str, int, bytes]]:
         """(language, prefix partition, front-coded run) of the subtrees that leave."""
         everything = everything or len(self.ids) > VOCABULARY
-        words = list(self.ids)
-        by_bytes = sorted(range(len(words)), key=words.__getitem__)
-        rank = np.zeros(len(words) + 1, np.int64)
-        rank[np.array(by_bytes, np.int64) + 1] = np.arange(1, len(words) + 1)
-        ordered = [b"", *[words[i] for i in by_bytes]]
-        hashes = word_hashes(ordered)
+        if everything:
+            for lang in list(self.waiting):
+                self._insert(lang)
+        words = [b"", *self.ids]
+        known = len(self.hashes)
+        self.hashes = np.concatenate([self.hashes, word_hashes(words[known:])])
         total = sum(t.size for t in self.tries.values())
-        for lang in list(self.tries):
-            trie = self.tries[lang]
+        for lang, trie in self.tries.items():
             keep = 0 if everything else trie.size // 2 if 2 * trie.size * len(self.tries) >= total else trie.size
             first, rest, count = trie.take(keep)
             if len(first):
-                columns = [rank[first]] + [rank[rest >> (ID_BITS * k) & ID_MASK] for k in range(WORDS - 1)]
-                yield from coded_runs(lang, *phrase_counts(columns, count), ordered, hashes, self.buckets)
+                columns = [first] + [rest >> (ID_BITS * k) & ID_MASK for k in range(WORDS - 1)]
+                yield from coded_runs(lang, *phrase_counts(columns, count), words, self.hashes, self.buckets)
         if everything:
-            self.ids, self.tries = WordIds(), {}
+            self._renew()
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
     from xxhash import xxh3_64_intdigest
 
-    out = np.array([xxh3_64_intdigest(w) for w in words], np.uint64)
-    out[0] = 0  # no word
-    return out
+    return np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def prefix_partition(table: np.ndarray, hashes: np.ndarray, buckets: int) -> np.ndarray:
@@ -147,39 +166,43 @@ def coded_runs(
 
 
 def encode_run(table: np.ndarray, depth: np.ndarray, count: np.ndarray, words: list[bytes]) -> bytes:
-    """Shapes (shared words and words of each phrase), counts (one byte, larger
-    ones apart) and the words that are new to each phrase, compressed."""
+    """A run as its shapes (shared words and words of each phrase), counts (one
+    byte, larger ones apart), the words that are new to each phrase as numbers
+    into the run's own word list, and that list; compressed."""
     import zstandard
 
     same = np.cumprod(table[1:] == table[:-1], axis=1).sum(axis=1)
     shared = np.concatenate([[0], np.minimum(same, depth[1:] - 1)])
     column = np.arange(WORDS)
     new = (column >= shared[:, None]) & (column < depth[:, None])
-    text = b" ".join(map(words.__getitem__, table[new].tolist()))
-    small = np.minimum(count, 255).astype(np.uint8)
+    own, codes = np.unique(table[new], return_inverse=True)
+    codes = codes.astype("<u2" if len(own) <= 1 << 16 else "<u4")
     large = count[count >= 255].astype("<i8")
-    head = np.array([len(table), len(large)], "<i8").tobytes()
-    shapes = (shared * 8 + depth).astype(np.uint8).tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(b"".join([head, large.tobytes(), shapes, small.tobytes(), text]))
-
-
-def decode_run(run: bytes, ids: WordIds) -> tuple[np.ndarray, np.ndarray]:
-    """(rows x 4 word ids, counts) of a coded run."""
-    import zstandard
-
-    raw = zstandard.ZstdDecompressor().decompress(run)
-    n, n_large = np.frombuffer(raw, "<i8", 2).tolist()
-    at = 16 + 8 * n_large
-    large = np.frombuffer(raw, "<i8", n_large, 16)
+    head = np.array([len(table), len(large), len(codes), codes.itemsize], "<i8")
+    shapes = (shared * 8 + depth).astype(np.uint8)
+    small = np.minimum(count, 255).astype(np.uint8)
+    text = b" ".join(map(words.__getitem__, own.tolist()))
+    parts = [x.tobytes() for x in (head, large, codes, shapes, small)]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join([*parts, text]))
+
+
+def decode_run(raw: bytes, words: list[bytes], ids: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(rows x 4 word ids, counts) of a run with the given word list."""
+    n, n_large, n_codes, width = np.frombuffer(raw, "<i8", 4).tolist()
+    at = 32
+    large = np.frombuffer(raw, "<i8", n_large, at)
+    at += 8 * n_large
+    codes = np.frombuffer(raw, f"<u{width}", n_codes, at)
+    at += width * n_codes
     shapes = np.frombuffer(raw, np.uint8, n, at)
     count = np.frombuffer(raw, np.uint8, n, at + n).astype(np.int64)
     count[count == 255] = large
-    words = raw[at + 2 * n :].split(b" ")
+    known = np.fromiter(map(ids.__getitem__, words), np.int32, len(words))
     shared, depth = shapes >> 3, shapes & 7
     column = np.arange(WORDS)
     new = (column >= shared[:, None]) & (column < depth[:, None])
-    table = np.zeros((n, WORDS), np.int64)
-    table[new] = np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
+    table = np.zeros((n, WORDS), np.int32)
+    table[new] = known[codes]
     # A shared word is that of the last row which wrote this column.
     rows = np.arange(n)[:, None]
     source = np.maximum.accumulate(np.where(new, rows, 0), axis=0)
@@ -188,20 +211,31 @@ def decode_run(run: bytes, ids: WordIds) -> tuple[np.ndarray, np.ndarray]:
     return table, count
 
 
+def run_words(raw: bytes) -> list[bytes]:
+    """The word list at the end of a run."""
+    n, n_large, n_codes, width = np.frombuffer(raw, "<i8", 4).tolist()
+    return raw[32 + 8 * n_large + width * n_codes + 2 * n :].split(b" ")
+
+
 def merged(runs: list[bytes], min_count: int) -> tuple[list[bytes], np.ndarray, int]:
     """Phrases of at least ``min_count`` occurrences with their counts, and the
     number of words, over all runs of one language and prefix partition."""
-    ids = WordIds()
-    parts = [decode_run(r, ids) for r in runs]
+    import zstandard
+
+    plain = list(map(zstandard.ZstdDecompressor().decompress, runs))
+    lists = list(map(run_words, plain))
+    words = [b"", *dict.fromkeys(chain.from_iterable(lists))]
+    ids = dict(zip(words, range(len(words))))
+    parts = [decode_run(r, w, ids) for r, w in zip(plain, lists)]
     table, count = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
     single = int(count[table[:, 1] == 0].sum())
-    order = np.lexsort((table[:, 2] << 32 | table[:, 3], table[:, 0] << 32 | table[:, 1]))
-    table, count = table[order], count[order]
-    starts = np.flatnonzero(np.concatenate([[True], (table[1:] != table[:-1]).any(axis=1)]))
-    totals = np.add.reduceat(count, starts)
+    low, high = (table[:, k].astype(np.int64) << 32 | table[:, k + 1] for k in (2, 0))
+    order = np.lexsort((low, high))
+    low, high = low[order], high[order]
+    starts = np.flatnonzero(np.concatenate([[True], (low[1:] != low[:-1]) | (high[1:] != high[:-1])]))
+    totals = np.add.reduceat(count[order], starts)
     often = totals >= min_count
-    words = [b"", *ids]
-    phrases = [b" ".join([words[i] for i in row if i]) for row in table[starts[often]].tolist()]
+    phrases = [b" ".join([words[i] for i in row if i]) for row in table[order[starts[often]]].tolist()]
     return phrases, totals[often], single
 
 
