@@ -30,10 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from playlens.llm.batches import text_slices
 from playlens.llm.common import ship
 from playlens.llm.fragments import SEVERAL_WORDS, SINGLE_WORD, FragmentCache, split, splits_plainly
 from playlens.llm.libtokens import byte_symbols, default_tokenizer
-from playlens.llm.workercache import hold
+from playlens.llm.workercache import CACHE_BYTES, give_back, hold
 
 #: The word pattern of byte-level BPE (a fixed value of the public format);
 #: white space is the Unicode property, as in the library.
@@ -75,7 +76,7 @@ class ForcedBoundaryBpe:
         self.specials = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.special_bytes = tuple(t.encode() for t in self.special)
         self.cache = FragmentCache(self._fragment)
-        self.pieces = FragmentCache(self._piece, limit=300_000)
+        self.pieces = FragmentCache(self._piece, CACHE_BYTES // 2)
 
     # -- encoding -----------------------------------------------------------
     def encode(self, text: bytes) -> bytes:
@@ -175,10 +176,6 @@ def forced_boundary_bpe(path: str) -> ForcedBoundaryBpe:
     return hold(("forced", path), lambda: ForcedBoundaryBpe(path))
 
 
-def _texts(column: pa.Array) -> list[bytes]:
-    return column.cast(pa.binary()).fill_null(b"").to_pylist()
-
-
 def encode_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None
 ) -> DataFrame:
@@ -188,8 +185,8 @@ def encode_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = forced_boundary_bpe(path)
-        for batch in batches:
-            coded = [bpe.encode(t) for t in _texts(batch.column(1))]
+        for batch, texts in text_slices(batches, 1):
+            coded = [bpe.encode(t) for t in texts]
             offsets = np.concatenate([[0], np.cumsum([len(c) // 4 for c in coded])]).astype(np.int32)
             ids = pa.array(np.frombuffer(b"".join(coded), dtype="<i4"))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, ids)], ["id", "ids"])
@@ -223,9 +220,9 @@ def round_trip_digests(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = forced_boundary_bpe(path)
-        for batch in batches:
+        for batch, texts in text_slices(batches, 1):
             counts, coded, decoded = [], [], []
-            for text in _texts(batch.column(1)):
+            for text in texts:
                 ids = np.frombuffer(bpe.encode(text), dtype="<u4").tolist()
                 counts.append(len(ids))
                 coded.append(hashlib.sha256(b",".join(map(bpe.decimals.__getitem__, ids))).hexdigest())
@@ -234,6 +231,7 @@ def round_trip_digests(
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())],
                 ["id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
+        give_back()
 
     out = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string"

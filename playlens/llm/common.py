@@ -12,11 +12,20 @@ from pyspark.sql import functions as F
 PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+#: Bytes of an Arrow batch, where the session doesn't say otherwise: a task holds
+#: one batch in the JVM and one in Python, whatever the length of the texts.
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
+
+
 def ship(spark: SparkSession) -> None:
     """Send the package to the executors' Python path once per application
     (what ``--py-files`` does), so that Arrow functions import it by name and
-    the caches in their modules live as long as a worker does."""
+    the caches in their modules live as long as a worker does. Also bounds the
+    session's Arrow batches by bytes, unless it has a bound of its own."""
     sc = spark.sparkContext
+    if spark.conf.get(ARROW_BYTES, None) is None:
+        spark.conf.set(ARROW_BYTES, str(BATCH_BYTES))
     if getattr(sc, "_playlens_shipped", False):
         return
     target = os.path.join(tempfile.mkdtemp(prefix="playlens-src-"), "playlens_src.zip")

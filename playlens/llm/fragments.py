@@ -22,6 +22,8 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
+from playlens.llm.workercache import CACHE_BYTES, BoundedCache
+
 #: Byte classes: W letter or digit, S white space, P full stop or comma,
 #: O other ASCII, X anything whose class needs decoding (and the marker byte).
 _WORD, _SPACE, _STOP, _OTHER, _UNKNOWN = b"WSPOX"
@@ -75,24 +77,14 @@ def split(text: bytes) -> list[bytes]:
     )
 
 
-class FragmentCache(dict):
-    """fragment -> its ids as little-endian uint32 bytes.
-
-    Lives in the worker process and is emptied when it holds ``limit``
-    entries, so its memory is bounded whatever the corpus; fragments over
-    ``longest`` bytes are encoded but not kept.
-    """
+class FragmentCache(BoundedCache):
+    """fragment -> its ids as little-endian uint32 bytes, in a bounded cache."""
 
-    def __init__(self, encode: Callable[[bytes], bytes], limit: int = 600_000, longest: int = 48):
-        super().__init__()
-        self.encode, self.limit, self.longest = encode, limit, longest
-        self[b""] = b""
+    def __init__(self, encode: Callable[[bytes], bytes], limit: int = CACHE_BYTES):
+        super().__init__(limit)
+        self.encode = encode
 
     def __missing__(self, fragment: bytes) -> bytes:
-        ids = self.encode(fragment)
-        if len(fragment) <= self.longest:
-            if len(self) >= self.limit:
-                self.clear()
-                self[b""] = b""
-            self[fragment] = ids
+        ids = self.encode(fragment) if fragment else b""
+        self.keep(fragment, ids, len(ids))
         return ids
