@@ -3,13 +3,14 @@
 1. Random indexing: every word has a fixed sparse random vector (four entries
    of +-1, from its hash); the vector of a word is the sum of the sparse
    vectors of its neighbours (two words to either side) over the whole corpus.
-   Words share ``WORDS`` hashed rows, and their shapes (case and signs, runs
-   collapsed) have ``SHAPES`` rows of their own, so the table is a fixed few MB.
+   Words share ``WORDS`` hashed rows (a vector belongs to a row, not to one
+   word), and their shapes (case and signs, runs collapsed) have ``SHAPES`` rows
+   of their own, so the table is a fixed few MB whatever the vocabulary.
    Sums are formed per task and added up by Spark.
 2. A document is the mean and the spread of the vectors of its words and
    shapes, and its length on a log scale, over its whole text.
 3. A two-layer network (numpy) is fitted on a bounded sample of the labelled
-   rows (``sample`` rows with the smallest hash of their id), and a
+   rows (``sample`` rows with the smallest hash of their id and text), and a
    temperature fitted on a part of them it has not seen calibrates its
    probabilities.
 
@@ -31,15 +32,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from playlens.llm.batches import text_slices
 from playlens.llm.common import fold, ship
-from playlens.llm.workercache import hold
+from playlens.llm.workercache import BoundedCache, hold, release
 
 WORDS, SHAPES, DIM, ENTRIES, REACH = 8192, 1024, 32, 4, 2
 ROWS = WORDS + SHAPES
 FEATURES = 4 * DIM + 1
 THRESHOLD = 0.3
-#: Words pooled at a time.
-CHUNK = 1 << 16
+#: Words counted and pooled at a time (the pooled vectors of 8,192 words fit a core's cache).
+COUNTED, POOLED = 1 << 18, 1 << 13
+#: Text that a task turns into Python objects at a time.
+TEXT_BYTES = 2 << 20
 
 
 # -- words ------------------------------------------------------------------
@@ -50,27 +54,22 @@ _RUNS = re.compile(rb"(.)\1+", re.DOTALL)
 _EDGES = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 
 
-class WordRows(dict):
+class WordRows(BoundedCache):
     """word -> (row of the word) * ROWS + (row of its shape), per worker."""
 
-    limit = 500_000
-
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
         core = word.strip(_EDGES).lower() or word
-        shape = _RUNS.sub(rb"\1", word.translate(_SHAPE))[:12]
+        shape = _RUNS.sub(rb"\1", word.translate(_SHAPE))
         rows = xxhash.xxh3_64_intdigest(core) % WORDS * ROWS + WORDS + xxhash.xxh3_64_intdigest(shape) % SHAPES
-        if len(word) <= 48:
-            if len(self) >= self.limit:
-                self.clear()
-            self[word] = rows
+        self.keep(word, rows)
         return rows
 
 
-def word_rows(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+def word_rows(texts: list[bytes], chunk: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """(first text, words of each text, word rows, shape rows) in runs of
-    whole texts of about CHUNK words."""
+    whole texts of about ``chunk`` words."""
     lookup = hold("quality-words", WordRows).__getitem__
     first, counts, held = 0, [], []
     total = 0
@@ -79,7 +78,7 @@ def word_rows(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray,
         held.append(np.fromiter(map(lookup, words), np.int64, len(words)))
         counts.append(len(words))
         total += len(words)
-        if total >= CHUNK or i == len(texts) - 1:
+        if total >= chunk or i == len(texts) - 1:
             both = np.concatenate(held)
             yield first, np.array(counts), both // ROWS, both % ROWS
             first, counts, held, total = i + 1, [], [], 0
@@ -116,14 +115,15 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, entries = np.zeros(ROWS * DIM), index_vectors()
-        for batch in batches:
-            for _, counts, words, shapes in word_rows(batch.column(0).cast(pa.binary()).to_pylist()):
+        for _, part in text_slices(batches, 0, TEXT_BYTES):
+            for _, counts, words, shapes in word_rows(part, COUNTED):
                 add_contexts(table, counts, words, shapes, entries)
         rows = table.reshape(ROWS, DIM)
         used = np.flatnonzero(rows.any(axis=1))
         flat = pa.array(rows[used].ravel())
         offsets = pa.array(np.arange(len(used) + 1) * DIM, pa.int32())
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.ListArray.from_arrays(offsets, flat)], ["row", "v"])
+        release()
 
     texts = docs.select(F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
     sums = texts.mapInArrow(run, "row int, v array<double>").select("row", array_to_vector("v").alias("v"))
@@ -137,7 +137,7 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 def pooled(texts: list[bytes], vectors: np.ndarray) -> np.ndarray:
     """Mean and spread of word and shape vectors and log length, a row a text."""
     out = np.zeros((len(texts), FEATURES), np.float32)
-    for first, counts, words, shapes in word_rows(texts):
+    for first, counts, words, shapes in word_rows(texts, POOLED):
         full = np.flatnonzero(counts)
         if not len(full):
             continue
@@ -227,18 +227,22 @@ def fit(
     labelled rows that are not held out."""
     vectors = word_vectors(docs, text_col)
     usable = labels.where(~held_out(id_col) & F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
-    usable = usable.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y"))
-    chosen = usable.join(docs.select(F.col(id_col).cast("long").alias("id")).distinct(), "id", "left_semi")
-    chosen = chosen.orderBy(F.xxhash64("id"), "id", "y").limit(sample)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    picked = rows.join(F.broadcast(chosen), "id")  # at most ``sample`` rows
+    usable = usable.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y")).distinct()
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("h"))
+    # The sample is drawn on ids and hashes, before any text is read for it;
+    # rows that repeat an id and its text are one.
+    labelled = rows.select("id", "h").join(usable, "id").distinct()
+    chosen = labelled.orderBy(F.xxhash64("id", "h"), "id", "h", "y").limit(sample)
+    picked = rows.join(F.broadcast(chosen), ["id", "h"]).dropDuplicates(["id", "h", "y"])  # at most ``sample`` rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = pooled(batch.column(1).cast(pa.binary()).fill_null(b"").to_pylist(), vectors)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([r.tobytes() for r in x], pa.binary())], ["id", "y", "x"])
+        for part, texts in text_slices(batches, 1, TEXT_BYTES):
+            x = [r.tobytes() for r in pooled(texts, vectors)]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(x, pa.binary())], ["id", "y", "x"])
+        release()
 
-    held = picked.select("id", "text", "y").mapInArrow(run, "id long, y int, x binary").limit(2 * sample).collect()
+    held = picked.select("id", "text", "y").mapInArrow(run, "id long, y int, x binary").collect()
     held.sort(key=lambda r: (r["id"], r["y"], bytes(r["x"])))
     x = np.array([np.frombuffer(r["x"], np.float32) for r in held], np.float64).reshape(-1, FEATURES)
     return train(vectors, x, np.array([r["y"] for r in held], np.float64))
@@ -249,8 +253,12 @@ def scorer(spark: SparkSession, model: QualityModel):
     shared = spark.sparkContext.broadcast(model)  # a fixed few MB
 
     @F.arrow_udf("double")
-    def found(texts: pa.Array) -> pa.Array:
-        return pa.array(shared.value.score(texts.cast(pa.binary()).fill_null(b"").to_pylist()), pa.float64())
+    def found(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            whole = pa.RecordBatch.from_arrays([column], ["text"])
+            scores = [shared.value.score(part) for _, part in text_slices(iter([whole]), 0, TEXT_BYTES)]
+            yield pa.array(np.concatenate([np.zeros(0), *scores]), pa.float64())
+        release()
 
     return found.asNondeterministic()  # so that a filter on it is not a second evaluation
 
