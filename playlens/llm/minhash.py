@@ -27,7 +27,7 @@ Words are maximal runs of bytes other than space and 0x09-0x0D after A-Z are
 lower-cased. Defined results: a NULL, empty or blank text has no shingles and
 is linked with nothing; a text with fewer words than a shingle has its whole
 word sequence as its one element; rows that repeat an id are labelled each by
-its own text; a row with a NULL id has a NULL component and is kept; an empty
+its own text (and an id links nothing by itself); a row with a NULL id has a NULL component and is kept; an empty
 table gives an empty result.
 """
 
@@ -41,9 +41,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlens.config import materialize
+from playlens.llm.batches import text_slices
 from playlens.llm.common import ship
 from playlens.llm.components import components
-from playlens.llm.workercache import hold
+from playlens.llm.workercache import BoundedCache, hold, release
 
 BITS = 4
 K = 256
@@ -55,19 +56,14 @@ CHUNK = 1 << 16
 
 
 # -- shingles ---------------------------------------------------------------
-class WordHashes(dict):
-    """word -> 64-bit hash, kept per worker up to ``limit`` words."""
-
-    limit = 500_000
+class WordHashes(BoundedCache):
+    """word -> 64-bit hash."""
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
         value = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 48:
-            if len(self) >= self.limit:
-                self.clear()
-            self[word] = value
+        self.keep(word, value)
         return value
 
 
@@ -165,43 +161,45 @@ def estimate_floor(threshold: float) -> float:
 
 
 def signatures(docs: DataFrame, size: int, id_col: str, text_col: str, rows: int = MOST_ROWS) -> DataFrame:
-    """(id, n, k1, k2, bands, sig) of every row; k1, k2 are two independent
-    64-bit sums over the set that stand for it."""
+    """(uid, id, h, n, k1, k2, bands, sig) of every row: uid is its own number
+    (once written), h the hash of its text; k1, k2 are two independent 64-bit
+    sums over the set that stand for it."""
     ship(docs.sparkSession)
-    names = ["id", "n", "k1", "k2", "bands", "sig"]
+    names = ["id", "h", "n", "k1", "k2", "bands", "sig"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1024):
-                batch = whole.slice(at, 1024)
-                texts = batch.column(1).cast(pa.binary()).fill_null(b"").to_pylist()
-                sets = [shingle_set(t, size) for t in texts]
-                sizes = np.array([len(s) for s in sets], np.int64)
-                full = np.flatnonzero(sizes)
-                keys = np.zeros((2, len(sets)), np.int64)
-                bands, sig = [[] for _ in sets], [b""] * len(sets)
-                if len(full):
-                    mins = minima([sets[i] for i in full])
-                    found, packed = band_keys(mins, rows), pack(mins)
-                    for row, i in enumerate(full):
-                        bands[i], sig[i] = found[row], packed[row].tobytes()
-                        for k in range(2):
-                            total = _mix(sets[i] + np.uint64(k + 1)).sum(dtype=np.uint64)
-                            keys[k, i] = total.view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0),
-                        pa.array(sizes),
-                        pa.array(keys[0]),
-                        pa.array(keys[1]),
-                        pa.array(bands, pa.list_(pa.int64())),
-                        pa.array(sig, pa.binary()),
-                    ],
-                    names,
-                )
-
-    out = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return out.mapInArrow(run, "id long, n long, k1 long, k2 long, bands array<long>, sig binary")
+        for batch, texts in text_slices(batches, 1, 4 << 20):
+            sets = [shingle_set(t, size) for t in texts]
+            sizes = np.array([len(s) for s in sets], np.int64)
+            full = np.flatnonzero(sizes)
+            keys = np.zeros((2, len(sets)), np.int64)
+            bands, sig = [[] for _ in sets], [b""] * len(sets)
+            if len(full):
+                mins = minima([sets[i] for i in full])
+                found, packed = band_keys(mins, rows), pack(mins)
+                for row, i in enumerate(full):
+                    bands[i], sig[i] = found[row], packed[row].tobytes()
+                    for k in range(2):
+                        total = _mix(sets[i] + np.uint64(k + 1)).sum(dtype=np.uint64)
+                        keys[k, i] = total.view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    batch.column(2),
+                    pa.array(sizes),
+                    pa.array(keys[0]),
+                    pa.array(keys[1]),
+                    pa.array(bands, pa.list_(pa.int64())),
+                    pa.array(sig, pa.binary()),
+                ],
+                names,
+            )
+        release()
+
+    text = F.col(text_col).cast("string")
+    out = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("h"))
+    found = out.mapInArrow(run, "id long, h long, n long, k1 long, k2 long, bands array<long>, sig binary")
+    return found.withColumn("uid", F.monotonically_increasing_id())
 
 
 # -- clusters and links -----------------------------------------------------
@@ -219,9 +217,11 @@ def confirmed_links(docs: DataFrame, classes: DataFrame, size: int, threshold: f
     sizes = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     members = clusters.join(sizes, "cluster").withColumn("own", own)
-    signed = members.join(classes.select("node", "n", "k1", "k2", "sig"), "node")
-    texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).cast("string").alias("text"))
-    with_text = texts.join(signed, "node")
+    signed = members.join(classes.select("node", "id", "h", "n", "k1", "sig"), "node")
+    text = F.col(text_col).cast("string")
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("h"))
+    # one row a class, however often its row is repeated
+    with_text = texts.join(signed, ["id", "h"]).dropDuplicates(["id", "h"])
     names = ["cluster", "low", "high", "node", "own", "sig", "shingles"]
     kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
 
@@ -234,7 +234,7 @@ def confirmed_links(docs: DataFrame, classes: DataFrame, size: int, threshold: f
                 for r in whole.slice(at, 256).to_pylist():
                     found = shingle_set(r["text"].encode(), size)
                     if len(found) != r["n"] or _mix(found + np.uint64(1)).sum(dtype=np.uint64).view(np.int64) != r["k1"]:
-                        continue  # another text under the same id
+                        continue  # another text with the same id and hash
                     for other in range(r["blocks"]):
                         low, high = sorted((r["own"], other))
                         for column, value in zip(out, (r["cluster"], low, high, r["node"], r["own"], r["sig"], found.tobytes())):
@@ -333,22 +333,38 @@ def near_duplicates(
 ) -> DataFrame:
     """(id, n_shingles, component_id, kept) of every row: component_id is the
     smallest id reachable over links, kept marks the row it belongs to."""
+    out = labelled(docs, size, threshold, id_col, text_col)
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", "kept")
+
+
+def labelled(
+    docs: DataFrame, size: int = 5, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """(id, h, n, component, component_id, kept) of every row, h being
+    ``xxhash64`` of its text and component the number of its group (NULL without
+    shingles), which tell the rows of a repeated id apart."""
     signed = materialize(signatures(docs, size, id_col, text_col, band_rows(threshold)), "signatures")
     key = ["k1", "k2", "n"]
-    least = signed.where("n > 0 AND id IS NOT NULL").groupBy(*key).agg(F.min("id").alias("id"))
-    classes = signed.join(least, [*key, "id"], "left_semi").withColumnRenamed("id", "node")
+    # A class is a distinct set and its node the number of one of its rows: an
+    # id may hold several texts, and a row may be repeated.
+    least = signed.where("n > 0 AND id IS NOT NULL").groupBy(*key).agg(F.min(F.struct("id", "uid")).alias("m"))
+    least = materialize(least.select(*key, F.col("m.id").alias("least"), F.col("m.uid").alias("node")), "least")
+    classes = signed.join(least.select(F.col("node").alias("uid")), "uid", "left_semi").withColumnRenamed("uid", "node")
     classes = materialize(classes, "classes")
-    links = confirmed_links(docs, classes, size, threshold, id_col, text_col)
-    found = components(links)
-    labels = least.select(*key, F.col("id").alias("node")).join(found, "node", "left")
-    labels = labels.select(*key, F.coalesce("component", "node").alias("component"))
+    found = components(confirmed_links(docs, classes, size, threshold, id_col, text_col))
+    labels = least.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    labels = materialize(labels.select(*key, "least", "component"), "labels")
+    smallest = labels.groupBy("component").agg(F.min("least").alias("smallest"))
+    labels = labels.join(smallest, "component").select(*key, "component", "smallest")
     return (
-        signed.select("id", *key)
+        signed.select("id", "h", *key)
         .join(labels, key, "left")
         .select(
-            F.col("id").alias(id_col),
-            F.col("n").alias("n_shingles"),
-            F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"),
-            F.coalesce(F.coalesce("component", "id") == F.col("id"), F.lit(True)).alias("kept"),
+            "id",
+            "h",
+            "n",
+            "component",
+            F.when(F.col("id").isNotNull(), F.coalesce("smallest", "id")).alias("component_id"),
+            F.coalesce(F.coalesce("smallest", "id") == F.col("id"), F.lit(True)).alias("kept"),
         )
     )

@@ -51,6 +51,23 @@ def word_set(text, size):
     return frozenset((span, *words[i : i + span]) for i in range(len(words) - span + 1))
 
 
+def test_an_id_with_two_texts_loses_no_link(spark):
+    """Both texts of id 7 keep their links; another id's copy counts as well."""
+    a, b = [f"a{i}" for i in range(60)], [f"b{i}" for i in range(60)]
+    rows = [(7, " ".join(a)), (7, " ".join(b)), (3, " ".join([*a[:-1], "x"])), (9, " ".join([*b[:-1], "y"]))]
+    found = minhash.labelled(make_docs(spark, rows)).select("id", "component_id", "kept").collect()
+    assert sorted(map(tuple, found)) == [(3, 3, True), (7, 3, False), (7, 7, True), (9, 7, False)]
+
+
+def test_repeats_of_one_row_are_one_class(spark):
+    """A third of the table is one row: its repeats collapse before any join."""
+    base = " ".join(f"w{i}" for i in range(40))
+    docs = make_docs(spark, [(5, base), (2, base + " end")]).select("doc_id", "text")
+    many = spark.range(100_000).selectExpr("5 AS doc_id", f"'{base}' AS text")
+    found = minhash.near_duplicates(docs.unionByName(many)).groupBy("doc_id", "component_id", "kept").count().collect()
+    assert sorted(map(tuple, found)) == [(2, 2, True, 1), (5, 2, False, 100_001)]
+
+
 def brute_components(docs, size, threshold):
     sets = {i: word_set(t, size) for i, t in docs}
     parent = {i: i for i in sets}
