@@ -43,17 +43,24 @@ from pyspark.sql import functions as F
 
 from playlens.config import materialize
 from playlens.llm.common import ship
-from playlens.llm.workercache import hold
+from playlens.llm.workercache import hold, release
 
 DIM = 4096
 UNDETERMINED = "und"
 #: Sizes of a text (log2 of its distinct n-gram buckets), and what a floor needs and leaves.
 SIZES, LEAST, MARGIN = DIM.bit_length(), 20, 0.6
-_LETTER = re.compile(r"[^\W\d_]")
+#: Word characters that may be letters; ``has_letter`` asks each kind found.
+_MAYBE = re.compile(r"[^\W\d_]+")
 #: ASCII letters and all bytes of multi-byte characters stay, the rest is blank.
 _KEEP = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
 
+def has_letter(text: str) -> bool:
+    """Whether a text has a letter (Unicode category L; superscripts,
+    fractions and letter-like numerals are none)."""
+    return any(any(map(str.isalpha, set(m.group()))) for m in _MAYBE.finditer(text))
+
+
 def ngram_counts(texts: list[str]) -> np.ndarray:
     """Hashed bigram and trigram counts, one row of DIM per text."""
     hold("language")
@@ -82,7 +89,7 @@ def sizes(counts: np.ndarray) -> np.ndarray:
 def beginnings(text: str) -> list[str]:
     """The first 12, 24, ... 3,072 characters where they have a letter, and the text."""
     cuts = [text[: 12 << k] for k in range(9) if 12 << k < len(text)]
-    return [c for c in cuts if _LETTER.search(c)] + [text]
+    return [c for c in cuts if has_letter(c)] + [text]
 
 
 def blocks(texts: list[str], target: int = 1 << 18) -> Iterator[list[str]]:
@@ -116,7 +123,7 @@ class CentroidModel:
         """Languages, cosines and rejections."""
         languages, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
         rejected = np.ones(len(texts), bool)
-        real = [i for i, t in enumerate(texts) if t and _LETTER.search(t)]
+        real = [i for i, t in enumerate(texts) if t and has_letter(t)]
         if len(self.centroids) and real:
             at = 0
             for block in blocks([texts[i] for i in real]):
@@ -219,7 +226,7 @@ def fit(
         for batch in batches:
             at = 0
             for block in blocks(batch.column(1).to_pylist()):
-                counts = np.minimum(ngram_counts(block), 65535).astype(np.uint16)
+                counts = ngram_counts(block).astype(np.uint32)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, len(block)), pa.array([c.tobytes() for c in counts], pa.binary())],
                     ["lang", "counts"],
@@ -231,7 +238,7 @@ def fit(
     halves: dict[tuple[str, int], np.ndarray] = {}
     for lang in sorted({r["lang"] for r in held}):
         raw = sorted(bytes(r["counts"]) for r in held if r["lang"] == lang)
-        x = model.vectors(np.stack([np.frombuffer(c, np.uint16) for c in raw]).astype(float))
+        x = model.vectors(np.stack([np.frombuffer(c, np.uint32) for c in raw]).astype(float))
         half = np.array([zlib.crc32(c) & 1 for c in raw])
         for h in (0, 1):
             if (half != h).any():
@@ -245,7 +252,7 @@ def fit(
             out: list[tuple[str, int, float]] = []
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 counts = ngram_counts(beginnings(text))
-                own = np.minimum(counts[-1], 65535).astype(np.uint16).tobytes()
+                own = counts[-1].astype(np.uint32).tobytes()
                 others = halves.get((lang, zlib.crc32(own) & 1))
                 if others is not None:
                     cosines = (model.vectors(counts) @ others.T).max(axis=1)
@@ -265,10 +272,12 @@ def predictor(model: CentroidModel):
     """A column function: text -> struct(lang_pred, score, rejected)."""
 
     @F.arrow_udf("struct<lang_pred:string,score:double,rejected:boolean>")
-    def predict(texts: pa.Array) -> pa.Array:
-        languages, scores, rejected = model.predict(texts.to_pylist())
-        columns = [pa.array(languages, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())]
-        return pa.StructArray.from_arrays(columns, ["lang_pred", "score", "rejected"])
+    def predict(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in columns:
+            languages, scores, rejected = model.predict(texts.to_pylist())
+            found = [pa.array(languages, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())]
+            yield pa.StructArray.from_arrays(found, ["lang_pred", "score", "rejected"])
+        release()
 
     return predict.asNondeterministic()  # so that a filter on it is not a second evaluation
 

@@ -118,14 +118,67 @@ def test_pipeline(spark):
 
 
 def test_pipeline_stages_on_odd_rows(spark):
+    """Every stage on odd rows and on an empty table."""
     docs = make_docs(spark, ODD_ROWS)
-    for name, stage in corpus_pipeline.STAGES[2:4]:
-        assert stage(spark, docs, SF).columns == corpus_pipeline.COLUMNS
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, docs, SF)
+        assert name == "packing" or found.columns == corpus_pipeline.COLUMNS
+        found.count()
         assert stage(spark, docs.where("false"), SF).count() == 0, name
     kept = corpus_pipeline.near_duplicates(spark, docs, SF).collect()
     assert sorted((r["doc_id"] or 0) for r in kept) == [-3, 0, 1, 2, 3, 4, 6, 7, 7, 8]
 
 
+def test_near_duplicate_stage_keeps_one_text_of_a_group(spark):
+    """Rows are decided by id and text, also where an id has several texts."""
+    a, b = [f"a{i}" for i in range(60)], [f"b{i}" for i in range(60)]
+    rows = [(3, " ".join(a)), (7, " ".join([*a[:-1], "x"])), (7, " ".join(b)), (7, " ".join([*b[:-1], "y"])), (7, " ".join(b))]
+    kept = corpus_pipeline.near_duplicates(spark, make_docs(spark, rows), SF).select("doc_id", F.substring("text", 1, 1)).collect()
+    assert sorted(map(tuple, kept)) == [(3, "a"), (7, "b")]
+
+
+def test_word_vectors_equal_a_plain_sum(spark):
+    texts = ["One two, three TWO four", "two three", None, "", "x", "a1 b2 (c3) d4 e5 " * 40]
+    positions, signs = quality.index_vectors()
+    want = np.zeros((quality.ROWS, quality.DIM))
+
+    def add(target, source):
+        for p, s in zip(positions[source], signs[source]):
+            want[target, p] += s
+
+    for text in texts:
+        rows = list(quality.word_rows([(text or "").encode()], 1 << 16))
+        words, shapes = (np.concatenate([r[k] for r in rows]).tolist() for k in (2, 3))
+        for i in range(len(words)):
+            for j in range(max(0, i - quality.REACH), min(len(words), i + quality.REACH + 1)):
+                if j != i:
+                    add(words[i], words[j])
+                    add(shapes[i], words[j])
+                    add(shapes[i], shapes[j])
+    want /= np.maximum(np.linalg.norm(want, axis=1, keepdims=True), 1)
+    docs = make_docs(spark, list(enumerate(texts)))
+    assert np.allclose(quality.word_vectors(docs.repartition(3)), want, atol=1e-6)
+
+
+def test_repeated_ids_train_alike(spark):
+    """The training rows don't depend on how often a row is repeated or where it lies."""
+    rows = [(i, f"word{i % 7} some text {i}") for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    once = quality.fit(make_docs(spark, rows), labels, sample=25)
+    vectors = once.vectors
+    again = quality.fit(make_docs(spark, rows[::-1] + rows[:10] * 30), labels, sample=25)
+    again.vectors = vectors
+    assert np.allclose(once.mean[-1], again.mean[-1]) and len(once.weights) == 4
+
+
+def test_texts_without_letters_are_undetermined(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langid.fit(docs.where(~langid.held_out()))
+    odd = ["² ½ Ⅷ ①", "123 !!", "", None, "_ _", "\u0301"]
+    found = langid.identify(make_docs(spark, list(enumerate(odd))), model).collect()
+    assert {(r["lang_pred"], r["score"], r["rejected"]) for r in found} == {("und", 0.0, True)}
+
+
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_oracle(spark, name):
     found = queries.queries()[name](spark, SF).toPandas()
@@ -134,7 +187,7 @@ def test_oracle(spark, name):
 
 def test_registered_with_the_driver():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(k.startswith(f"op{n}_") for k in names) == 1
     assert "pipeline" in names
 
