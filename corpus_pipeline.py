@@ -40,11 +40,17 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, the smallest id."""
     docs = docs.select(*COLUMNS)
-    kept = minhash.near_duplicates(docs, size=5, threshold=0.8).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    staying = docs.join(kept, "doc_id", "left_semi")
-    if not docs.groupBy("doc_id").count().where("doc_id IS NOT NULL AND count > 1").isEmpty():
-        staying = staying.dropDuplicates(["doc_id", "text"])
-    return staying.unionByName(docs.where("doc_id IS NULL"))
+    found = minhash.labelled(docs, size=5, threshold=0.8).where("kept AND id IS NOT NULL")
+    # A group's smallest id may hold several of its texts: the one with the
+    # smallest hash stays. Texts without shingles are in no group.
+    one = found.where("n > 0").groupBy("component").agg(F.min(F.struct("id", "h")).alias("_k")).select("_k.id", "_k.h")
+    none = found.where("n = 0").select("id", "h").distinct()
+    kept = materialize(one.unionByName(none).select(F.col("id").alias("_id"), F.col("h").alias("_h")), "kept")
+    hashed = docs.withColumn("_hash", F.xxhash64("text"))
+    staying = hashed.join(kept, (F.col("doc_id") == F.col("_id")) & (F.col("_hash") == F.col("_h")), "left_semi")
+    if not staying.groupBy("doc_id", "_hash").count().where("count > 1").isEmpty():
+        staying = staying.dropDuplicates(["doc_id", "_hash"])
+    return staying.drop("_hash").unionByName(docs.where("doc_id IS NULL"))
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
