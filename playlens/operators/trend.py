@@ -313,14 +313,14 @@ def _with_unscored(found: DataFrame, series: DataFrame, key_cols: list[str], tra
         .when(F.col("__pl_train") >= F.col("__pl_n"), F.lit("no test rows"))
         .otherwise(F.lit("no rows with a target to fit or to score"))
     )
+    # One left join from the keys: ``found``, the whole search, is evaluated once.
     same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in key_cols]
-    lacking = keys.alias("a").join(found.select(*key_cols).distinct().alias("b"), on=same, how="left_anti")
-    lacking = lacking.select(
-        *key_cols,
-        *[F.lit(None).cast(t).alias(c) for c, t in found.dtypes if c not in key_cols],
-        reason.alias("reason"),
+    joined = keys.alias("a").join(found.withColumn("__pl_hit", F.lit(True)).alias("b"), on=same, how="left")
+    return joined.select(
+        *[F.col(f"a.{c}") for c in key_cols],
+        *[F.col(f"b.{c}") for c in found.columns if c not in key_cols],
+        F.when(F.col("__pl_hit").isNull(), reason).alias("reason"),
     )
-    return found.withColumn("reason", F.lit(None).cast("string")).unionByName(lacking)
 
 
 def grid_search(

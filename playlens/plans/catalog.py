@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from playlens.config import scratch_path
 from playlens.functions.stats import numeric_summary, present
 from playlens.functions.time import as_wall_clock, calendar_start, epoch_seconds, seconds_to
-from playlens.operators import charts, profile, seasonal, series, sessions, trend
+from playlens.operators import charts, profile, sarima, seasonal, series, sessions, trees, trend
 from playlens.plans import oracle as O
 from playlens.plans.inputs import (
     EVENT_GAP,
@@ -733,9 +733,12 @@ def _stationarity_autolag(spark, sf):
     return seasonal.stationarity_autolag(_series(spark, sf), KEYS, T, SERIES_Y)
 
 
-@register("seasonal_forecast", f"""{_KS},
+_SEASONAL_SQL = f"""{_KS},
 {O.seasonal_ctes()}
-SELECT series_key, month, t, round(fc, 6) AS forecast, CAST(NULL AS VARCHAR) AS reason FROM s_fc""")
+SELECT series_key, month, t, round(fc, 6) AS forecast, CAST(NULL AS VARCHAR) AS reason FROM s_fc"""
+
+
+@register("seasonal_forecast", _SEASONAL_SQL)
 def _seasonal_forecast(spark, sf):
     return seasonal.seasonal_forecast(_series(spark, sf), KEYS, T, SERIES_Y)
 
@@ -776,47 +779,64 @@ def _forecast_chart(spark, sf):
 
 
 # ===========================================================================
-# Pooled tree ensembles (pyspark.ml; no SQL oracle - rows only)
+# Tree ensembles per series; forecasts from any winner
 # ===========================================================================
 
-TREE_QUERIES = ("random_forest", "gbt", "tree_model_sink", "leaderboard_all_models")
-
 
 @register("random_forest", None)
 def _random_forest(spark, sf):
-    from playlens.operators import trees
-
-    return trees.tree_test_metrics(_series(spark, sf), KEYS, T, SERIES_Y, "random_forest", full_grid=True)
+    return trees.tree_test_metrics(_series(spark, sf, shared=True), KEYS, T, SERIES_Y, "random_forest")
 
 
 @register("gbt", None)
 def _gbt(spark, sf):
-    from playlens.operators import trees
-
-    return trees.tree_test_metrics(_series(spark, sf), KEYS, T, SERIES_Y, "gbt", full_grid=True)
+    return trees.tree_test_metrics(_series(spark, sf, shared=True), KEYS, T, SERIES_Y, "gbt")
 
 
 @register("leaderboard_all_models", None)
 def _leaderboard_all(spark, sf):
-    from playlens.operators import trees
+    return trees.leaderboard_with_trees(_series(spark, sf, shared=True), KEYS, T, SERIES_Y)
 
-    return trees.leaderboard_with_trees(_series(spark, sf, shared=True), KEYS, T, SERIES_Y, full_grid=True)
+
+@register("best_of_all_forecast", None)
+def _best_of_all(spark, sf):
+    return trees.best_of_all_forecast(_series(spark, sf, shared=True), KEYS, T, SERIES_Y)
 
 
 @register("tree_model_sink", None)
 def _tree_sink(spark, sf):
-    """Search the forest's grid, save the winner to the shared folder, load it
-    back and predict the held-out rows with the loaded model."""
-    from pyspark.ml.regression import RandomForestRegressionModel
-
-    from playlens.operators import trees
-
-    model, _best, frame = trees.fit_tree_model(_series(spark, sf), KEYS, T, SERIES_Y, "random_forest", full_grid=True)
-    path = scratch_path(spark, "rf_model")
-    model.write().overwrite().save(path)
-    loaded = RandomForestRegressionModel.load(path)
-    pred = loaded.transform(frame.filter(F.col("split") == "test"))
-    return pred.select(SERIES_KEY, T, F.col("label").alias(SERIES_Y), F.col("prediction"))
+    """Write the forests' step functions to the shared folder, read them back
+    and predict the held-out rows with them."""
+    s = _series(spark, sf, shared=True)
+    path = scratch_path(spark, "tree_models")
+    sinks.write_coefficients(trees.fit_tree_models(s, KEYS, T, SERIES_Y, ("random_forest",)), path)
+    models = sinks.read_coefficients(spark, path).select(*KEYS, "bounds", "values")
+    test = trend.train_test_split(s, KEYS, T).where("split = 'test'").select(*KEYS, T, SERIES_Y)
+    return test.join(models, KEYS).select(*KEYS, T, SERIES_Y, trees.step_value("bounds", "values", T).alias("prediction"))
+
+
+# ===========================================================================
+# T5 with the caller's orders (iterated fit; no SQL oracle - rows only)
+# ===========================================================================
+
+
+@register("seasonal_arima_closed_form", _SEASONAL_SQL)
+def _arima_closed(spark, sf):
+    """The iterated fit at the orders that have a closed form."""
+    found = sarima.seasonal_arima_forecast(_series(spark, sf, shared=True), KEYS, T, SERIES_Y, (1, 1, 0), (0, 1, 0, 12))
+    return found.drop("lower", "upper")
+
+
+@register("seasonal_arima_fit", None)
+def _arima_fit(spark, sf):
+    found = sarima.seasonal_arima(_series(spark, sf), KEYS, T, SERIES_Y, (1, 1, 1), (1, 1, 1, 12))
+    first = lambda c: F.col(c)[0].alias(c)
+    return found.select(*KEYS, *[first(c) for c in ("ar", "seasonal_ar", "ma", "seasonal_ma")], "sse", "n_residuals", "reason")
+
+
+@register("seasonal_arima_forecast", None)
+def _arima_forecast(spark, sf):
+    return sarima.seasonal_arima_forecast(_series(spark, sf, shared=True), KEYS, T, SERIES_Y, (1, 1, 1), (1, 1, 1, 12), periods=3)
 
 
 def queries() -> dict[str, Builder]:

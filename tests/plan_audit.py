@@ -30,12 +30,11 @@ def main(argv):
     sf = argv[1] if len(argv) > 1 and argv[1].startswith("/") else "/root/testdata/sf0.01"
     names = [a for a in argv[1:] if not a.startswith("/")]
     from playlens.config import local_session
-    from playlens.plans.catalog import TREE_QUERIES
     import __spark_entry__ as entry
 
     spark = local_session(8)
     qs = entry.queries()
-    for n in names or [q for q in qs if q not in TREE_QUERIES]:
+    for n in names or list(qs):
         print("AUDIT", n, audit(qs[n](spark, sf)))
 
 
