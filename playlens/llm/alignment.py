@@ -4,11 +4,10 @@ Tokenizer A is a byte-level BPE file of the ``tokenizers`` library and encodes
 space + text; B is a ``sentencepiece`` model and encodes the text, to which it
 adds the space itself. Both give byte spans over the same bytes.
 
-1. **Spans.** A text is cut before a space that follows a printable ASCII
-   character; no token of A or B spans such a place (A's word pattern ends
-   there, and B's pieces hold a space only at their start, which is checked when
-   the model is loaded). Each distinct fragment is encoded by the libraries once
-   per worker. Fragments whose joined bytes differ leave the text without tokens.
+1. **Spans.** A text is cut where no token of A or B can span (``certain_cuts``:
+   A's word pattern ends there, and the byte pair is inside none of B's pieces).
+   Each distinct fragment is encoded by the libraries once per worker while its
+   bounded cache holds it. Fragments whose joined bytes differ leave the text without tokens.
 2. **Links.** Per batch, keyed by document, ``pandas.merge_asof`` finds for the
    start of each A token the B token that covers it, and for the start of each B
    token the covering A token. The union of both directions is every pair of
@@ -31,6 +30,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -42,12 +42,16 @@ from pyspark.sql import functions as F
 from playlens.config import materialize
 from playlens.llm.batches import text_slices
 from playlens.llm.common import ship
-from playlens.llm.libtokens import default_tokenizer
+from playlens.llm.fragments import SINGLE_WORD
+from playlens.llm.libtokens import byte_symbols, default_tokenizer
 from playlens.llm.workercache import BoundedCache, hold
 
 #: Text of a block, whose links are kept as numbers into one list of pairs.
 BLOCK_BYTES = 4 << 20
-_CUT = re.compile(rb"(?<=[!-~])(?= )")
+#: Bytes of a worker's cache of fragments.
+FRAGMENT_BYTES = 64 << 20
+_ALNUM = b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+_MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: The space of sentencepiece pieces (a fixed value of the public format).
 _SPACE = "▁"
 
@@ -66,7 +70,7 @@ class TwoEncoders(BoundedCache):
     joined bytes of either side differ from the fragment."""
 
     def __init__(self, path_a: str, path_b: str):
-        super().__init__()
+        super().__init__(FRAGMENT_BYTES)
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
@@ -75,8 +79,6 @@ class TwoEncoders(BoundedCache):
         self.a.no_padding()
         self.a.encode_special_tokens = True
         self.b = SentencePieceProcessor(model_file=path_b)
-        from playlens.llm.libtokens import byte_symbols
-
         byte_of = {s: b for b, s in byte_symbols().items()}
         vocab = self.a.get_vocab()
         self.bytes_a = [b""] * (max(vocab.values()) + 1)
@@ -85,9 +87,10 @@ class TwoEncoders(BoundedCache):
         self.bytes_b = [self._piece(i) for i in range(self.b.get_piece_size())]
         self.size_a = np.array([len(x) for x in self.bytes_a])
         self.size_b = np.array([len(x) for x in self.bytes_b])
-        inner = [self.b.id_to_piece(i).lstrip(_SPACE) for i in range(len(self.bytes_b))]
-        self.cuttable = not any(_SPACE in x for x in inner)
+        self.cut = certain_cuts(self.bytes_b)
+        self.model, self.symbols = self.a.model, str.maketrans({chr(b): c for b, c in byte_symbols().items()})
         end = self.b.encode("x ")[len(self.b.encode("x")) :]
+        self.line = self.b.encode("\n")
         self.trailing = end if b"".join(map(self.bytes_b.__getitem__, end)) == b" " else None
         n = max(len(self.bytes_a), len(self.bytes_b))
         self.written = [b"%d%c" % (i, sep) for sep in b",|;" for i in range(n)]
@@ -101,22 +104,49 @@ class TwoEncoders(BoundedCache):
 
     def __missing__(self, fragment: bytes) -> tuple[bytes, bytes] | None:
         text = fragment.decode("utf-8", "replace")
-        a = self.a.encode(text, add_special_tokens=False).ids
-        b = self.trailing if text == " " and self.trailing else self.b.encode(text[1:])
-        same = all(b"".join(map(t.__getitem__, x)) == fragment for t, x in ((self.bytes_a, a), (self.bytes_b, b)))
-        found = (np.array(a, "<u4").tobytes(), np.array(b, "<u4").tobytes()) if same else None
+        if SINGLE_WORD.fullmatch(fragment):  # one pre-token of A
+            a = [t.id for t in self.model.tokenize(fragment.decode("latin-1").translate(self.symbols))]
+        else:
+            a = self.a.encode(text, add_special_tokens=False).ids
+        b = self._b(text)
+        same = b"".join([self.bytes_a[i] for i in a]) == fragment == b"".join([self.bytes_b[i] for i in b])
+        found = (array("I", a).tobytes(), array("I", b).tobytes()) if same else None
         self.keep(fragment, found, sum(map(len, found)) if found else 0)
         return found
 
+    def _b(self, text: str) -> list[int]:
+        """B's ids of a fragment; the model adds a space to a text, so one that
+        starts without is encoded behind a sign that no piece joins to it."""
+        if text[0] == " ":
+            return self.trailing if text == " " and self.trailing else self.b.encode(text[1:])
+        ids = self.b.encode("\n" + text)
+        return ids[len(self.line) :] if ids[: len(self.line)] == self.line else self.b.encode(text)
+
     def encode(self, text: bytes) -> tuple[bytes, bytes] | None:
         """Ids of both sides, None for a text without tokens."""
         if not text:
             return None
-        whole = b" " + text
-        parts = list(map(self.__getitem__, _CUT.split(whole) if self.cuttable else [whole]))
+        parts = list(map(self.__getitem__, self.cut.split(b" " + text)))
         if None in parts:
             return None
-        return b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts])
+        a, b = zip(*parts)
+        return b"".join(a), b"".join(b)
+
+
+def certain_cuts(pieces: list[bytes]) -> re.Pattern:
+    """Places that no token of either side spans. A's word pattern ends a piece
+    between a printable character and a space or line feed, between a letter or
+    digit and a mark, and behind a line feed between two printable characters; B's merges can't cross a byte pair that is inside no
+    piece, so the following bytes that no piece holds behind any of the others are taken."""
+    inside = {(x, y) for raw in pieces for x, y in zip(raw, raw[1:])}
+    places = []
+    for follows, before in ((b" \n", _ALNUM + _MARKS), (_MARKS, _ALNUM)):
+        free = bytes(y for y in follows if not any((x, y) in inside for x in before))
+        if free:
+            places.append(b"(?<=[" + re.escape(before) + b"])(?=[" + re.escape(free) + b"])")
+    if not any((10, x) in inside for x in _ALNUM + _MARKS):  # behind a single line feed
+        places.append(rb"(?<=[!-~]\n)(?=[!-~])")
+    return re.compile(b"|".join(places)) if places else re.compile(b"(?!)")
 
 
 # -- alignment of a batch ---------------------------------------------------
