@@ -18,11 +18,18 @@ The plan (driver, on the histogram, in runs of equal bins):
 3. actual documents take the places of the rounded sizes, largest first;
 4. small lengths, largest first, go into the bin that they fill best.
 
+How many groups and which lengths count as large are tried in several pairs
+(``SCHEMES``) on the histogram, and the plan with the fewest bins is kept: few
+large sizes suit configurations of two or three pieces with hardly any
+rounding, more sizes suit configurations of up to six. At a share of 2 no two
+large pieces fit together, so that scheme alone is best-fit decreasing, and the
+kept plan is never worse than it.
+
 Placing is distributed: the plan is a table of runs (length, first rank, how
 many, first sequence, offset), and each piece finds its run by its rank among
 the pieces of its length. Ranks come from counts per (length, bucket) and a
 window inside each bucket, so a length shared by a third of all pieces is
-split over all buckets.
+split over all buckets; the most frequent length sets their number.
 
 Defined results: a NULL or empty text has only the end id (one token); a NULL
 id is kept; repeated rows are separate documents; an empty table packs into
@@ -35,7 +42,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -47,8 +54,12 @@ from playlens.config import materialize
 from playlens.llm.common import ship
 from playlens.llm.libtokens import default_tokenizer, library_encoder
 
-#: Buckets of the ranks of equally long pieces.
-RANK_BUCKETS = 256
+#: Fewest buckets of the ranks of equally long pieces, and pieces of a bucket.
+RANK_BUCKETS, BUCKET_PIECES = 256, 1 << 17
+#: (groups, small share) of the plans that are compared.
+SCHEMES = ((340, 3), (120, 6), (1, 2))
+#: Runs of a plan up to which it is broadcast (40 bytes each).
+BROADCAST_RUNS = 200_000
 
 
 # -- pieces -----------------------------------------------------------------
@@ -224,9 +235,16 @@ def fullest_bin(sizes: np.ndarray, left: np.ndarray, capacity: int) -> np.ndarra
     return column
 
 
-def plan_bins(counts: dict[int, int], capacity: int, groups: int = 340, small_share: int = 3) -> list[Bins]:
+def plan_bins(counts: dict[int, int], capacity: int, schemes: Sequence[tuple[int, int]] = SCHEMES) -> list[Bins]:
     """Bins for ``counts`` (length -> how many); ranks number the pieces of a
-    length from 0, each used once."""
+    length from 0, each used once. Of the plans of all ``schemes`` (groups,
+    small share) the first with the fewest bins."""
+    plans = [plan_scheme(counts, capacity, *scheme) for scheme in schemes]
+    return min(plans, key=lambda bins: sum(b.count for b in bins))
+
+
+def plan_scheme(counts: dict[int, int], capacity: int, groups: int, small_share: int) -> list[Bins]:
+    """The plan with lengths over ``capacity / small_share`` in ``groups`` groups."""
     bins = [Bins(counts[capacity], [(capacity, 0)])] if counts.get(capacity) else []
     large = {k: n for k, n in counts.items() if capacity // small_share < k < capacity and n}
     small = {k: n for k, n in counts.items() if 0 < k <= capacity // small_share and n}
@@ -316,11 +334,11 @@ def plan_rows(bins: list[Bins]) -> list[tuple[int, int, int, int, int]]:
 
 
 # -- placing ----------------------------------------------------------------
-def with_rank(pieces: DataFrame, length_col: str = "length", row_col: str = "_row") -> DataFrame:
+def with_rank(pieces: DataFrame, length_col: str = "length", row_col: str = "_row", buckets: int = RANK_BUCKETS) -> DataFrame:
     """``pieces`` plus ``_rank``, 0.. among the pieces of one length."""
-    dealt = pieces.withColumn("_bucket", F.pmod(F.xxhash64(row_col), F.lit(RANK_BUCKETS)))
+    dealt = pieces.withColumn("_bucket", F.pmod(F.xxhash64(row_col), F.lit(buckets)))
     counts = dealt.groupBy(length_col, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    in_order = Window.partitionBy(length_col).orderBy("_bucket")  # at most RANK_BUCKETS rows a length
+    in_order = Window.partitionBy(length_col).orderBy("_bucket")  # at most ``buckets`` rows a length
     bases = counts.select(length_col, "_bucket", (F.sum("_n").over(in_order) - F.col("_n")).alias("_base"))
     inside = Window.partitionBy(length_col, "_bucket").orderBy(row_col)
     ranked = dealt.withColumn("_place", F.row_number().over(inside) - 1)
@@ -331,19 +349,19 @@ def with_rank(pieces: DataFrame, length_col: str = "length", row_col: str = "_ro
     )
 
 
-def pack(pieces: DataFrame, capacity: int = 1024, groups: int = 340) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = 1024, schemes: Sequence[tuple[int, int]] = SCHEMES) -> DataFrame:
     """``pieces`` (with ``length``) plus sequence_id and offset."""
     spark = pieces.sparkSession
     stored = materialize(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
     # At most ``capacity`` rows reach the driver.
     counts = {r["length"]: r["n"] for r in stored.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    runs = plan_rows(plan_bins(counts, capacity, groups))
+    runs = plan_rows(plan_bins(counts, capacity, schemes))
     schema = "_len long, _lo long, _count long, _sequence long, _offset long"
     plan = spark.createDataFrame(runs, schema)
-    ranked = with_rank(stored)
-    # The plan's rows are bounded by the distinct lengths and configurations, not by the corpus.
+    ranked = with_rank(stored, buckets=max(RANK_BUCKETS, -(-max(counts.values(), default=0) // BUCKET_PIECES)))
+    # The plan's rows follow the distinct lengths and configurations, not the corpus.
     placed = ranked.join(
-        F.broadcast(plan),
+        F.broadcast(plan) if len(runs) <= BROADCAST_RUNS else plan,
         (F.col("length") == F.col("_len"))
         & (F.col("_rank") >= F.col("_lo"))
         & (F.col("_rank") < F.col("_lo") + F.col("_count")),

@@ -7,6 +7,7 @@ import os
 import random
 import sys
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -156,9 +157,65 @@ def test_packing_plan_places_every_piece_once():
                 assert used <= 1.01 * bound
 
 
+def _best_fit_decreasing(lengths, capacity):
+    rooms: list[int] = []
+    for length in sorted(lengths, reverse=True):
+        fits = [i for i, room in enumerate(rooms) if room >= length]
+        if fits:
+            rooms[min(fits, key=lambda i: rooms[i])] -= length
+        else:
+            rooms.append(capacity - length)
+    return len(rooms)
+
+
+@pytest.mark.parametrize("low,high,n", [(1, 64, 300), (10, 27, 400), (13, 44, 300), (17, 22, 100), (1, 9, 200), (30, 40, 50)])
+def test_packing_plan_against_best_fit_decreasing(low, high, n):
+    rng = random.Random(low * high)
+    for _ in range(3):
+        lengths = [rng.randint(low, high) for _ in range(n)]
+        used = sum(b.count for b in packing.plan_bins(Counter(lengths), 64))
+        assert -(-sum(lengths) // 64) <= used <= _best_fit_decreasing(lengths, 64)
+
+
+def test_packing_plan_uses_configurations_of_many_pieces():
+    rng = random.Random(1)
+    counts = Counter(rng.randint(150, 419) for _ in range(200_000))
+    assert sum(b.count for b in packing.plan_bins(counts, 1024)) < 56_400
+
+
+def _fewest_bins(lengths, capacity):
+    """Exact: depth-first over the open rooms, longest first."""
+    lengths, best = sorted(lengths, reverse=True), len(lengths)
+
+    def go(at, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if at == len(lengths):
+            best = len(rooms)
+            return
+        for room in sorted(set(rooms)):
+            if room >= lengths[at]:
+                i = rooms.index(room)
+                go(at + 1, [*rooms[:i], room - lengths[at], *rooms[i + 1 :]])
+        go(at + 1, [*rooms, capacity - lengths[at]])
+
+    go(0, [])
+    return best
+
+
+def test_packing_plan_near_the_exact_optimum():
+    rng = random.Random(5)
+    for _ in range(20):
+        lengths = [rng.randint(8, 40) for _ in range(9)]
+        used = sum(b.count for b in packing.plan_bins(Counter(lengths), 64))
+        best = _fewest_bins(lengths, 64)
+        assert best <= used <= best + 1
+
+
 def test_general_knapsack_layers():
     counts = {100: 40, 150: 30, 210: 20, 333: 10}
-    bins = packing.plan_bins(counts, 1024, groups=100, small_share=12)
+    bins = packing.plan_scheme(counts, 1024, groups=100, small_share=12)
     assert sum(b.count * len(b.items) for b in bins) == 100
     assert sum(b.count for b in bins) <= 1 + -(-sum(k * c for k, c in counts.items()) // 1024)
 
