@@ -4,15 +4,20 @@ Texts are lower-cased (A-Z), cut into pieces at ``. , ; : ! ?`` and 0x0A-0x0D
 and into words at space and tab. Per language (NULL: ``und``) n counts all
 words and f(phrase) all contiguous occurrences inside pieces.
 
-1. **Counting.** Every task counts the windows of its texts in HAT-tries, one a
+1. **Pruning.** A phrase is at most as frequent as its rarest word, so a word
+   under ``min_count`` ends windows as a separator does. Words are counted by
+   64-bit hash (pre-aggregated in every task, summed by Spark) and the frequent
+   hashes set bits of one map of ``MAP_BITS`` bits, which every task gets. A
+   shared bit only keeps a rare word in, so results are exact at any load.
+2. **Counting.** Every task counts the windows of its texts in HAT-tries, one a
    language (``hattrie``). When they hold over ``ENTRIES`` windows, whole
    subtrees leave as one run in word-id order; phrases are dealt to prefix partitions by
    a hash of their first three words, so neither a common word nor a common
    pair lands in one task. Inside a partition a run is front coded: a phrase
    writes only the words it does not share with the one before.
-2. **Merging.** A task reads the runs of a prefix partition one partition at a
+3. **Merging.** A task reads the runs of a prefix partition one partition at a
    time and merges them; only phrases of ``min_count`` occurrences go on.
-3. **Scoring** is DataFrame work over the frequent phrases: both parts of a
+4. **Scoring** is DataFrame work over the frequent phrases: both parts of a
    frequent phrase are frequent themselves, so joins of that table with itself
    give l and r; all arithmetic is exact (decimals).
 
@@ -26,13 +31,17 @@ ids are not read; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import struct
+import zlib
+from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest as word_hash
 
 from playlens.config import materialize
 from playlens.llm.batches import text_slices
@@ -47,29 +56,94 @@ ENTRIES, VOCABULARY = 1_000_000, 1 << 19
 CHUNK = 1 << 19
 #: Prefix partitions to a shuffle partition.
 SPREAD = 2
+#: Bits of the map of frequent words (4 MB).
+MAP_BITS = 1 << 25
+#: Prefix partition of the numbers of pruned words.
+PRUNED = -1
 #: Piece separators become line feeds.
 _PIECES = bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9)
 
 
 # -- counting ---------------------------------------------------------------
 class WordIds(dict):
-    """word -> id from 1 upwards, in order of appearance."""
+    """The words of a language -> id, the place in ``words`` (shared by all
+    languages of a task) in order of appearance, or 0 for a rare word."""
+
+    def __init__(self, lang: str, words: list[bytes], frequent: bytes):
+        self.seed, self.words, self.frequent = word_seed(lang), words, frequent
 
     def __missing__(self, word: bytes) -> int:
-        self[word] = found = len(self) + 1
+        at = word_hash(word, self.seed) & MAP_BITS - 1
+        found = 0
+        if self.frequent[at >> 3] >> (at & 7) & 1:
+            found = len(self.words)
+            self.words.append(word)
+        self[word] = found
         return found
 
 
+def word_seed(lang: str) -> int:
+    return zlib.crc32(lang.encode())
+
+
+def word_counts(lang_texts: Iterator[tuple[str, list[bytes]]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(word hashes, counts), pre-aggregated over some ``VOCABULARY`` words."""
+    held: dict[str, Counter] = {}
+
+    def leave() -> tuple[np.ndarray, np.ndarray]:
+        n = sum(map(len, held.values()))
+        found = chain.from_iterable(map(word_hash, c, repeat(word_seed(lang))) for lang, c in held.items())
+        counts = chain.from_iterable(c.values() for c in held.values())
+        return np.fromiter(found, np.uint64, n).view(np.int64), np.fromiter(counts, np.int64, n)
+
+    for lang, texts in lang_texts:
+        counter = held.setdefault(lang, Counter())
+        for text in texts:
+            counter.update(text.lower().translate(_PIECES).split())
+        if sum(map(len, held.values())) > VOCABULARY:
+            yield leave()
+            held.clear()
+    yield leave()
+
+
+def frequent_words(texts: DataFrame, min_count: int) -> bytes:
+    """The map of words that may have ``min_count`` occurrences in their
+    language, from texts (lang, text). Its bits come to the driver: ``MAP_BITS``
+    whatever the corpus."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found, n in word_counts(_lang_texts(batches)):
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], ["h", "n"])
+
+    words = texts.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
+    at = F.col("h").bitwiseAND(F.lit(MAP_BITS - 1).cast("long"))
+    slots = words.select(F.shiftright(at, 6).cast("int").alias("slot"), F.expr("shiftleft(1L, cast(h & 63 as int))").alias("bit"))
+    rows = slots.groupBy("slot").agg(F.bit_or("bit").alias("bits")).toArrow()
+    bits = np.zeros(MAP_BITS // 64, "<i8")
+    bits[rows["slot"].to_numpy()] = rows["bits"].to_numpy()
+    return bits.tobytes()
+
+
+def _lang_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
+    """The texts of a slice of rows, by language."""
+    for part, texts in text_slices(batches, 1):
+        langs = part.column(0).to_pylist()
+        for lang in dict.fromkeys(langs):
+            yield lang, [t for t, x in zip(texts, langs) if x == lang]
+
+
 class TaskCounts:
     """The tries of one task and what leaves them. Windows wait until ``CHUNK``
     of a language can be dealt to its trie at once."""
 
-    def __init__(self, buckets: int, entries: int = ENTRIES):
-        self.buckets, self.entries = buckets, entries
+    def __init__(self, buckets: int, entries: int = ENTRIES, frequent: bytes = b"\xff" * (MAP_BITS // 8)):
+        self.buckets, self.entries, self.frequent = buckets, entries, frequent
         self._renew()
 
     def _renew(self) -> None:
-        self.ids = WordIds()
+        self.words = [b""]
+        self.ids: dict[str, WordIds] = {}
+        self.pruned: dict[str, int] = {}
         self.hashes = np.zeros(1, np.uint64)
         self.tries: dict[str, HatTrie] = {}
         self.waiting: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
@@ -95,14 +169,19 @@ class TaskCounts:
             yield from self._wait(lang, held, lengths, len(held))
 
     def _wait(self, lang: str, words: list[bytes], lengths: list[int] | None, n: int) -> Iterator[tuple[str, int, bytes]]:
-        ids = np.fromiter(map(self.ids.__getitem__, words), np.int64, len(words))
+        known = self.ids.get(lang)
+        if known is None:
+            known = self.ids[lang] = WordIds(lang, self.words, self.frequent)
+        ids = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
         pieces = np.zeros(len(ids), np.int64) if lengths is None else np.repeat(np.arange(len(lengths)), lengths)
-        first, rest = windows(ids, pieces)
-        self.waiting.setdefault(lang, []).append((first[:n], rest[:n]))
-        self.n_waiting[lang] = self.n_waiting.get(lang, 0) + n
+        first, rest = windows(ids, pieces + np.cumsum(ids == 0))  # a rare word opens a piece, and is left out
+        kept = np.flatnonzero(ids[:n])
+        self.pruned[lang] = self.pruned.get(lang, 0) + n - len(kept)
+        self.waiting.setdefault(lang, []).append((first[kept], rest[kept]))
+        self.n_waiting[lang] = self.n_waiting.get(lang, 0) + len(kept)
         if self.n_waiting[lang] >= CHUNK:
             self._insert(lang)
-        if sum(self.n_waiting.values()) >= 4 * CHUNK or len(self.ids) > VOCABULARY:
+        if sum(self.n_waiting.values()) >= 4 * CHUNK or self.many_words():
             for other in list(self.waiting):
                 self._insert(other)
         if self.full():
@@ -116,15 +195,18 @@ class TaskCounts:
             self.tries.setdefault(lang, HatTrie()).insert(first, rest)
 
     def full(self) -> bool:
-        return sum(t.size for t in self.tries.values()) > self.entries or len(self.ids) > VOCABULARY
+        return sum(t.size for t in self.tries.values()) > self.entries or self.many_words()
+
+    def many_words(self) -> bool:
+        return sum(map(len, self.ids.values())) > VOCABULARY
 
     def spill(self, everything: bool = False) -> Iterator[tuple[str, int, bytes]]:
         """(language, prefix partition, front-coded run) of the subtrees that leave."""
-        everything = everything or len(self.ids) > VOCABULARY
+        everything = everything or self.many_words()
         if everything:
             for lang in list(self.waiting):
                 self._insert(lang)
-        words = [b"", *self.ids]
+        words = self.words
         known = len(self.hashes)
         self.hashes = np.concatenate([self.hashes, word_hashes(words[known:])])
         total = sum(t.size for t in self.tries.values())
@@ -135,6 +217,7 @@ class TaskCounts:
                 columns = [first] + [rest >> (ID_BITS * k) & ID_MASK for k in range(WORDS - 1)]
                 yield from coded_runs(lang, *phrase_counts(columns, count), words, self.hashes, self.buckets)
         if everything:
+            yield from ((lang, PRUNED, struct.pack("<q", n)) for lang, n in self.pruned.items() if n)
             self._renew()
 
 
@@ -250,16 +333,17 @@ def frequent_phrases(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hold("phrases")
-        state = TaskCounts(buckets, entries)
-        for part, texts in text_slices(batches, 1):
-            langs = part.column(0).to_pylist()
-            for lang in dict.fromkeys(langs):
-                yield from _run_batches(state.add(lang, [t for t, x in zip(texts, langs) if x == lang]))
+        state = TaskCounts(buckets, entries, frequent.value)
+        for lang, texts in _lang_texts(batches):
+            yield from _run_batches(state.add(lang, texts))
         yield from _run_batches(state.spill(everything=True))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, runs in _run_groups(batches):
-            phrases, totals, single = merged(runs, min_count)
+        for lang, bucket, runs in _run_groups(batches):
+            if bucket == PRUNED:
+                phrases, totals, single = [], np.zeros(0, np.int64), sum(struct.unpack("<q", r)[0] for r in runs)
+            else:
+                phrases, totals, single = merged(runs, min_count)
             found = [lang] * (len(phrases) + 1), [*phrases, b""], [*totals.tolist(), single]
             kinds = (pa.string(), pa.binary(), pa.int64())
             columns = [pa.array(c, t) for c, t in zip(found, kinds)]
@@ -268,6 +352,7 @@ def frequent_phrases(
 
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(UNDETERMINED)).alias("lang")
     texts = docs.select(lang, F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
+    frequent = spark.sparkContext.broadcast(frequent_words(texts, min_count))
     runs = texts.mapInArrow(count, "lang string, bucket long, run binary")
     # lang is part of the key, so a partition of one language is never met with another's
     dealt = runs.repartition("bucket", "lang").sortWithinPartitions("bucket", "lang")
@@ -292,18 +377,18 @@ def _run_batches(runs: Iterator[tuple[str, int, bytes]]) -> Iterator[pa.RecordBa
         yield batch()
 
 
-def _run_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
+def _run_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, list[bytes]]]:
     """The runs of one language and prefix partition at a time."""
     key, held = None, []
     for batch in batches:
         for lang, bucket, run in zip(*(c.to_pylist() for c in batch.columns)):
             if (lang, bucket) != key:
                 if held:
-                    yield key[0], held
+                    yield *key, held
                 key, held = (lang, bucket), []
             held.append(run)
     if held:
-        yield key[0], held
+        yield *key, held
 
 
 # -- scoring ----------------------------------------------------------------

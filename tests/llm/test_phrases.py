@@ -101,6 +101,19 @@ def test_collocations_equal_brute_force(spark):
     assert found(phrases.collocations(docs, min_count=3, covered=50, top=7)) == brute(rows, 3, 50, 7)
 
 
+def test_rare_words_end_windows_and_count_in_n(spark):
+    rng = random.Random(8)
+    rows = [(" ".join(w if rng.random() < 0.7 else f"junk{rng.randint(0, 400)}" for w in rng.choices("abcd", k=60)), rng.choice(["en", "de"])) for _ in range(80)]
+    docs = make_docs(spark, [(i, t, lang) for i, (t, lang) in enumerate(rows)])
+    assert found(phrases.collocations(docs, min_count=12)) == brute(rows, 12)
+    texts = docs.selectExpr("lang", "text")
+    bits = phrases.frequent_words(texts, 12)
+    assert len(bits) * 8 == phrases.MAP_BITS
+    known = phrases.WordIds("en", [b""], bits)
+    assert all(known[w] > 0 for w in (b"a", b"b", b"c", b"d"))
+    assert sum(known[b"never%d" % i] > 0 for i in range(1000)) < 5
+
+
 def test_odd_rows_and_empty_table(spark):
     rows = [(r[1], "en") for r in ODD_ROWS] * 3
     docs = make_docs(spark, [(i, t) for i, (t, _) in enumerate(rows)])
