@@ -97,6 +97,49 @@ def add_month_counter(
     return monthly.filter(F.col(month_col).isNotNull()).withColumn(out_col, (F.row_number().over(w) - 1).cast("int"))
 
 
+def fill_calendar(
+    monthly: DataFrame,
+    key_cols: list[str] | tuple[str, ...] = ("userid",),
+    month_col: str = "timestamp_month",
+    value_col: str = "avg_session_duration_sec",
+    fill: str = "previous",
+    out_col: str = "count_months",
+) -> DataFrame:
+    """The series on a regular calendar: every month from a key's first to its
+    last, counted from 0, so that lag 12 is a year. ``fill`` gives a missing
+    month (and a month with a NULL value) NULL (``"null"``), 0 (``"zero"``),
+    the value before it (``"previous"``) or the line between its neighbours
+    (``"linear"``); ``filled`` marks them. One row per key and month is
+    expected; rows without a month are left out. NULL keys are a key."""
+    if fill not in ("null", "zero", "previous", "linear"):
+        raise ValueError("fill must be 'null', 'zero', 'previous' or 'linear'")
+    present = monthly.filter(F.col(month_col).isNotNull())
+    # Each row brings the months up to the next one: no spine to join with.
+    w = Window.partitionBy(*key_cols).orderBy(F.col(month_col).asc())
+    following = F.lead(F.col(month_col)).over(w)
+    until = F.coalesce(F.add_months(following, -1), F.col(month_col).cast("date"))
+    months = F.sequence(F.col(month_col).cast("date"), until, F.expr("interval 1 month"))
+    spans = present.select(*key_cols, F.col(value_col), months.alias("_months"))
+    rows = spans.select(*key_cols, F.col(value_col), F.posexplode("_months").alias("_at", "_month"))
+    kind = monthly.schema[month_col].dataType
+    rows = rows.select(
+        *key_cols,
+        F.col("_month").cast(kind).alias(month_col),
+        F.when(F.col("_at") == 0, F.col(value_col)).alias("_own"),
+    ).withColumn(out_col, (F.row_number().over(w) - 1).cast("int"))
+    before, after = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
+    own, t = F.col("_own"), F.col(out_col)
+    last = F.last(own, True).over(before)
+    if fill == "linear":
+        at = F.when(own.isNotNull(), t)
+        t0, t1 = F.last(at, True).over(before), F.first(at, True).over(after)
+        line = last + (F.first(own, True).over(after) - last) * F.try_divide(t - t0, t1 - t0)
+        value = F.coalesce(own, line)
+    else:
+        value = {"null": own, "zero": F.coalesce(own, F.lit(0.0)), "previous": last}[fill]
+    return rows.select(*key_cols, month_col, out_col, value.alias(value_col), own.isNull().alias("filled"))
+
+
 def top_user_monthly_series(
     sessions: DataFrame,
     user_col: str = "userid",

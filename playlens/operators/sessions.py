@@ -87,18 +87,27 @@ def session_index(
     ``session_col``. NULL timestamps form the bucket that sorts first.
     """
     gap = _check_gap(session_gap_sec)
+    return number_index(bucket_index(plays, gap, user_col, ts_col), gap, user_col, session_col)
+
+
+def bucket_index(plays: DataFrame, gap: int, user_col: str = "userid", ts_col: str = "timestamp") -> DataFrame:
+    """The index before numbering: ``first_ts``, ``last_ts`` and ``n_plays``
+    of every (user, bucket)."""
+    return plays.groupBy(F.col(user_col), _bucket(ts_col, gap).alias("bucket")).agg(
+        F.min(F.col(ts_col)).alias("first_ts"),
+        F.max(F.col(ts_col)).alias("last_ts"),
+        F.count(F.lit(1)).alias("n_plays"),
+    )
+
+
+def number_index(buckets: DataFrame, gap: int, user_col: str = "userid", session_col: str = "session_id") -> DataFrame:
+    """``bucket_index`` with whole seconds and session numbers."""
     # whole seconds are a monotone function of the timestamp, so the bucket's
     # first/last second come from its min/max timestamp after aggregating
     idx = (
-        plays.groupBy(F.col(user_col), _bucket(ts_col, gap).alias("bucket"))
-        .agg(
-            F.min(F.col(ts_col)).alias("first_ts"),
-            F.max(F.col(ts_col)).alias("_last_ts"),
-            F.count(F.lit(1)).alias("n_plays"),
-        )
-        .withColumn("first_sec", epoch_seconds("first_ts"))
-        .withColumn("last_sec", epoch_seconds("_last_ts"))
-        .drop("_last_ts")
+        buckets.withColumn("first_sec", epoch_seconds("first_ts"))
+        .withColumn("last_sec", epoch_seconds("last_ts"))
+        .drop("last_ts")
     )
     if gap < SMALL_GAP_SEC:
         return _number_two_level(idx, gap, user_col, session_col)

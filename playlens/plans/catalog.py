@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from playlens.config import scratch_path
 from playlens.functions.stats import numeric_summary, present
 from playlens.functions.time import as_wall_clock, calendar_start, epoch_seconds, seconds_to
-from playlens.operators import charts, profile, sarima, seasonal, series, sessions, trees, trend
+from playlens.operators import charts, profile, sarima, seasonal, series, sessions, sessionstore, trees, trend
 from playlens.plans import oracle as O
 from playlens.plans.inputs import (
     EVENT_GAP,
@@ -125,6 +125,19 @@ def _durations_idx(spark, sf, gap=EVENT_GAP):
     return per.select("userid", "session_id", "session_duration_sec")
 
 
+@register("stored_session_durations", f"""{_S20}
+SELECT userid, session_id, session_duration_sec, n_plays FROM durations""")
+def _stored_durations(spark, sf):
+    """The sessions of a store that got the plays in two interleaved batches,
+    the second one twice."""
+    path, plays = scratch_path(spark, "session-store"), event_plays(spark, sf)
+    late = F.pmod(F.xxhash64("musicbrainz_track_id"), F.lit(2)) == 1
+    for name, part in (("early", plays.filter(~late)), ("late", plays.filter(late)), ("late", plays.filter(late))):
+        sessionstore.append_plays(part, path, name, EVENT_GAP)
+    per = sessions.sessions_from_index(sessionstore.stored_index(spark, path, EVENT_GAP))
+    return per.select("userid", "session_id", "session_duration_sec", "n_plays")
+
+
 @register("session_duration_stats", f"""{_S20}
 SELECT count(session_duration_sec) AS count, round(avg(session_duration_sec), 6) AS mean,
   round(stddev_samp(session_duration_sec), 6) AS stddev,
@@ -238,6 +251,29 @@ def _month_counter(spark, sf):
     )
 
 
+@register("calendar_series", f"""{_SOU},
+{_MONTHLY},
+spine AS (
+  SELECT userid, unnest(generate_series(min(timestamp_month), max(timestamp_month), INTERVAL 1 MONTH)) AS timestamp_month
+  FROM monthly GROUP BY userid),
+regular AS (
+  SELECT s.userid, s.timestamp_month, m.avg_session_duration_sec AS own,
+    row_number() OVER (PARTITION BY s.userid ORDER BY s.timestamp_month) - 1 AS t
+  FROM spine s LEFT JOIN monthly m ON m.userid = s.userid AND m.timestamp_month = s.timestamp_month),
+sides AS (
+  SELECT *, last_value(own IGNORE NULLS) OVER b AS v0, first_value(own IGNORE NULLS) OVER a AS v1,
+    max(CASE WHEN own IS NOT NULL THEN t END) OVER b AS t0, min(CASE WHEN own IS NOT NULL THEN t END) OVER a AS t1
+  FROM regular
+  WINDOW b AS (PARTITION BY userid ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+    a AS (PARTITION BY userid ORDER BY t ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
+SELECT userid, timestamp_month, CAST(t AS INTEGER) AS count_months, own IS NULL AS filled,
+  round(CASE WHEN own IS NOT NULL THEN own ELSE v0 + (v1 - v0) * (CAST(t - t0 AS DOUBLE) / (t1 - t0)) END, 6) AS avg_session_duration_sec
+FROM sides""")
+def _calendar_series(spark, sf):
+    m = series.monthly_session_duration(series.user_sessions_from_index(order_index(spark, sf)))
+    return series.fill_calendar(m, fill="linear")
+
+
 @register("top_user_monthly_series", f"""{_SOU},
 top AS (SELECT userid FROM (SELECT DISTINCT userid, session_id FROM sessions) GROUP BY userid
         ORDER BY count(*) DESC, userid ASC NULLS FIRST LIMIT 1),
