@@ -7,8 +7,11 @@ words and f(phrase) all contiguous occurrences inside pieces.
 1. **Pruning.** A phrase is at most as frequent as its rarest word, so a word
    under ``min_count`` ends windows as a separator does. Words are counted by
    64-bit hash (pre-aggregated in every task, summed by Spark) and the frequent
-   hashes set bits of one map of ``MAP_BITS`` bits, which every task gets. A
-   shared bit only keeps a rare word in, so results are exact at any load.
+   hashes set bits of one map of ``MAP_BITS`` bits, which every task gets. Pairs
+   of the remaining neighbours are counted the same way, by ``SLOT_BITS`` bits of
+   their hash in sorted runs, and windows end between the words of a rare pair
+   (a map of ``PAIR_BITS`` bits). A shared bit or hash only keeps a rare word or
+   pair in, so results are exact at any load.
 2. **Counting.** Every task counts the windows of its texts in HAT-tries, one a
    language (``hattrie``). When they hold over ``ENTRIES`` windows, whole
    subtrees leave as one run in word-id order; phrases are dealt to prefix partitions by
@@ -33,6 +36,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from itertools import chain, repeat
@@ -58,6 +62,10 @@ CHUNK = 1 << 19
 SPREAD = 2
 #: Bits of the map of frequent words (4 MB).
 MAP_BITS = 1 << 25
+#: Bits of a pair's hash that are counted, and of the map of frequent pairs (16 MB).
+SLOT_BITS, PAIR_BITS = 40, 1 << 27
+#: Pairs that a task holds before they are summed, and distinct ones before they leave.
+PAIRS_HELD, PAIRS_LEAVE = 1 << 22, 1 << 21
 #: Prefix partition of the numbers of pruned words.
 PRUNED = -1
 #: Piece separators become line feeds.
@@ -67,17 +75,21 @@ _PIECES = bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9)
 # -- counting ---------------------------------------------------------------
 class WordIds(dict):
     """The words of a language -> id, the place in ``words`` (shared by all
-    languages of a task) in order of appearance, or 0 for a rare word."""
+    languages of a task) in order of appearance, or 0 for a rare word. The
+    word's hash goes to the same place of ``codes``."""
 
-    def __init__(self, lang: str, words: list[bytes], frequent: bytes):
+    def __init__(self, lang: str, words: list[bytes], frequent: bytes, codes: array | None = None):
         self.seed, self.words, self.frequent = word_seed(lang), words, frequent
+        self.codes = array("Q", [0]) if codes is None else codes
 
     def __missing__(self, word: bytes) -> int:
-        at = word_hash(word, self.seed) & MAP_BITS - 1
+        code = word_hash(word, self.seed)
+        at = code & MAP_BITS - 1
         found = 0
         if self.frequent[at >> 3] >> (at & 7) & 1:
             found = len(self.words)
             self.words.append(word)
+            self.codes.append(code)
         self[word] = found
         return found
 
@@ -116,14 +128,150 @@ def frequent_words(texts: DataFrame, min_count: int) -> bytes:
             yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], ["h", "n"])
 
     words = texts.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
-    at = F.col("h").bitwiseAND(F.lit(MAP_BITS - 1).cast("long"))
-    slots = words.select(F.shiftright(at, 6).cast("int").alias("slot"), F.expr("shiftleft(1L, cast(h & 63 as int))").alias("bit"))
+    return _bit_map(words, MAP_BITS)
+
+
+def _bit_map(hashes: DataFrame, size: int) -> bytes:
+    """The bits set by the hashes of a column ``h``."""
+    at = F.col("h").bitwiseAND(F.lit(size - 1).cast("long"))
+    slots = hashes.select(F.shiftright(at, 6).cast("int").alias("slot"), F.expr("shiftleft(1L, cast(h & 63 as int))").alias("bit"))
     rows = slots.groupBy("slot").agg(F.bit_or("bit").alias("bits")).toArrow()
-    bits = np.zeros(MAP_BITS // 64, "<i8")
+    bits = np.zeros(size // 64, "<i8")
     bits[rows["slot"].to_numpy()] = rows["bits"].to_numpy()
     return bits.tobytes()
 
 
+def pair_slots(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """The hash of a pair of words, from theirs."""
+    key = first * np.uint64(0x9E3779B97F4A7C15) ^ (second << np.uint64(31) | second >> np.uint64(33))
+    key *= np.uint64(0xBF58476D1CE4E5B9)
+    key ^= key >> np.uint64(32)
+    return key * np.uint64(0x94D049BB133111EB) >> np.uint64(64 - SLOT_BITS)
+
+
+class PairCounts:
+    """The pairs of one task, summed by hash, and the sorted runs that leave."""
+
+    def __init__(self, buckets: int, frequent: bytes):
+        self.buckets, self.frequent = buckets, frequent
+        self.waiting: list[np.ndarray] = []
+        self.n_waiting = 0
+        self.slots, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self._renew()
+
+    def _renew(self) -> None:
+        self.words, self.codes, self.ids = [b""], array("Q", [0]), {}
+
+    def add(self, lang: str, texts: list[bytes]) -> Iterator[tuple[int, bytes]]:
+        """Count the pairs of some texts; yields the runs that leave meanwhile."""
+        for words, pieces in _piece_words(texts):
+            known = self.ids.get(lang)
+            if known is None:
+                known = self.ids[lang] = WordIds(lang, self.words, self.frequent, self.codes)
+            ids = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+            pair = (pieces[1:] == pieces[:-1]) & (ids[1:] > 0) & (ids[:-1] > 0)
+            codes = np.array(self.codes, np.uint64)[ids]
+            self.waiting.append(pair_slots(codes[:-1][pair], codes[1:][pair]).view(np.int64))
+            self.n_waiting += len(self.waiting[-1])
+            if self.n_waiting > PAIRS_HELD:
+                self._sum()
+            if len(self.slots) > PAIRS_LEAVE:
+                yield from self.leave()
+            if sum(map(len, self.ids.values())) > VOCABULARY:
+                self._renew()
+
+    def _sum(self) -> None:
+        slots = np.concatenate([self.slots, *self.waiting])
+        counts = np.concatenate([self.counts, np.ones(self.n_waiting, np.int64)])
+        self.slots, self.counts = summed(slots, counts)
+        self.waiting, self.n_waiting = [], 0
+
+    def leave(self) -> Iterator[tuple[int, bytes]]:
+        """(bucket, run) of everything held."""
+        self._sum()
+        bucket = self.slots % self.buckets
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.searchsorted(bucket[order], np.arange(self.buckets + 1))
+        for k in range(self.buckets):
+            part = order[cuts[k] : cuts[k + 1]]
+            if len(part):
+                yield k, encode_pairs(self.slots[part], self.counts[part])
+        self.slots, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+
+def summed(slots: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct slots in ascending order with the sums of their counts."""
+    order = np.argsort(slots)
+    slots = slots[order]
+    starts = np.flatnonzero(np.concatenate([np.ones(min(1, len(slots)), bool), slots[1:] != slots[:-1]]))
+    return slots[starts], np.add.reduceat(counts[order], starts) if len(starts) else counts
+
+
+def encode_pairs(slots: np.ndarray, counts: np.ndarray) -> bytes:
+    """Ascending slots as differences, byte by byte, and counts; compressed."""
+    import zstandard
+
+    steps = np.diff(slots, prepend=0).astype("<i8").view(np.uint8).reshape(-1, 8)
+    small = np.minimum(counts, 255).astype(np.uint8)
+    large = counts[counts >= 255].astype("<i8")
+    head = np.array([len(slots)], "<i8")
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(x.tobytes() for x in (head, steps.T, small, large)))
+
+
+def decode_pairs(run: bytes) -> tuple[np.ndarray, np.ndarray]:
+    import zstandard
+
+    raw = zstandard.ZstdDecompressor().decompress(run)
+    n = int(np.frombuffer(raw, "<i8", 1)[0])
+    steps = np.ascontiguousarray(np.frombuffer(raw, np.uint8, 8 * n, 8).reshape(8, n).T).view("<i8").ravel()
+    counts = np.frombuffer(raw, np.uint8, n, 8 + 8 * n).astype(np.int64)
+    counts[counts == 255] = np.frombuffer(raw, "<i8", offset=8 + 9 * n)
+    return np.cumsum(steps), counts
+
+
+def frequent_pairs(texts: DataFrame, min_count: int, frequent, buckets: int) -> bytes:
+    """The map of neighbours that may have ``min_count`` occurrences in their
+    language, from texts (lang, text) and the broadcast map of words."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("phrases")
+        state = PairCounts(buckets, frequent.value)
+        kinds = {"bucket": pa.int64(), "run": pa.binary()}
+        for lang, texts in _lang_texts(batches):
+            yield from _run_batches(state.add(lang, texts), kinds)
+        yield from _run_batches(state.leave(), kinds)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, runs in _run_groups(batches):
+            slots, counts = summed(*(np.concatenate(c) for c in zip(*map(decode_pairs, runs))))
+            yield pa.RecordBatch.from_arrays([pa.array(slots[counts >= min_count])], ["h"])
+
+    runs = texts.mapInArrow(count, "bucket long, run binary")
+    pairs = runs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(merge, "h long")
+    return _bit_map(pairs, PAIR_BITS)
+
+
+def _piece_words(texts: list[bytes]) -> Iterator[tuple[list[bytes], np.ndarray]]:
+    """Words with the numbers of their pieces, some ``CHUNK`` at a time. A part
+    that a long piece goes on after opens with the last word before it."""
+    held: list[bytes] = []
+    lengths: list[int] = []
+    for text in texts:
+        for piece in text.lower().translate(_PIECES).split(b"\n"):
+            words = piece.split()
+            while len(words) > CHUNK:
+                yield words[:CHUNK], np.zeros(CHUNK, np.int64)
+                words = words[CHUNK - 1 :]
+            if words:
+                held += words
+                lengths.append(len(words))
+            if len(held) > CHUNK:
+                yield held, np.repeat(np.arange(len(lengths)), lengths)
+                held, lengths = [], []
+    if held:
+        yield held, np.repeat(np.arange(len(lengths)), lengths)
+
+
 def _lang_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
     """The texts of a slice of rows, by language."""
     for part, texts in text_slices(batches, 1):
@@ -136,12 +284,15 @@ class TaskCounts:
     """The tries of one task and what leaves them. Windows wait until ``CHUNK``
     of a language can be dealt to its trie at once."""
 
-    def __init__(self, buckets: int, entries: int = ENTRIES, frequent: bytes = b"\xff" * (MAP_BITS // 8)):
+    def __init__(
+        self, buckets: int, entries: int = ENTRIES, frequent: bytes = b"\xff" * (MAP_BITS // 8), pairs: bytes | None = None
+    ):
         self.buckets, self.entries, self.frequent = buckets, entries, frequent
+        self.pairs = None if pairs is None else np.frombuffer(pairs, np.uint8)
         self._renew()
 
     def _renew(self) -> None:
-        self.words = [b""]
+        self.words, self.codes = [b""], array("Q", [0])
         self.ids: dict[str, WordIds] = {}
         self.pruned: dict[str, int] = {}
         self.hashes = np.zeros(1, np.uint64)
@@ -171,10 +322,11 @@ class TaskCounts:
     def _wait(self, lang: str, words: list[bytes], lengths: list[int] | None, n: int) -> Iterator[tuple[str, int, bytes]]:
         known = self.ids.get(lang)
         if known is None:
-            known = self.ids[lang] = WordIds(lang, self.words, self.frequent)
+            known = self.ids[lang] = WordIds(lang, self.words, self.frequent, self.codes)
         ids = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
         pieces = np.zeros(len(ids), np.int64) if lengths is None else np.repeat(np.arange(len(lengths)), lengths)
-        first, rest = windows(ids, pieces + np.cumsum(ids == 0))  # a rare word opens a piece, and is left out
+        # a rare word opens a piece, and is left out; the second word of a rare pair opens one
+        first, rest = windows(ids, pieces + np.cumsum((ids == 0) | self._opens(ids)))
         kept = np.flatnonzero(ids[:n])
         self.pruned[lang] = self.pruned.get(lang, 0) + n - len(kept)
         self.waiting.setdefault(lang, []).append((first[kept], rest[kept]))
@@ -187,6 +339,15 @@ class TaskCounts:
         if self.full():
             yield from self.spill()
 
+    def _opens(self, ids: np.ndarray) -> np.ndarray:
+        """Whether a word is the second one of a rare pair."""
+        opens = np.zeros(len(ids), bool)
+        if self.pairs is not None:
+            codes = np.array(self.codes, np.uint64)[ids]
+            at = pair_slots(codes[:-1], codes[1:]).view(np.int64) & PAIR_BITS - 1
+            opens[1:] = self.pairs[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 0
+        return opens
+
     def _insert(self, lang: str) -> None:
         parts = self.waiting.pop(lang, [])
         self.n_waiting[lang] = 0
@@ -333,13 +494,14 @@ def frequent_phrases(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hold("phrases")
-        state = TaskCounts(buckets, entries, frequent.value)
+        state = TaskCounts(buckets, entries, frequent.value, pairs.value)
+        kinds = {"lang": pa.string(), "bucket": pa.int64(), "run": pa.binary()}
         for lang, texts in _lang_texts(batches):
-            yield from _run_batches(state.add(lang, texts))
-        yield from _run_batches(state.spill(everything=True))
+            yield from _run_batches(state.add(lang, texts), kinds)
+        yield from _run_batches(state.spill(everything=True), kinds)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, bucket, runs in _run_groups(batches):
+        for (lang, bucket), runs in _run_groups(batches):
             if bucket == PRUNED:
                 phrases, totals, single = [], np.zeros(0, np.int64), sum(struct.unpack("<q", r)[0] for r in runs)
             else:
@@ -353,23 +515,23 @@ def frequent_phrases(
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(UNDETERMINED)).alias("lang")
     texts = docs.select(lang, F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
     frequent = spark.sparkContext.broadcast(frequent_words(texts, min_count))
+    pairs = spark.sparkContext.broadcast(frequent_pairs(texts, min_count, frequent, buckets))
     runs = texts.mapInArrow(count, "lang string, bucket long, run binary")
     # lang is part of the key, so a partition of one language is never met with another's
     dealt = runs.repartition("bucket", "lang").sortWithinPartitions("bucket", "lang")
     return dealt.mapInArrow(merge, "lang string, phrase string, f long")
 
 
-def _run_batches(runs: Iterator[tuple[str, int, bytes]]) -> Iterator[pa.RecordBatch]:
+def _run_batches(runs: Iterator[tuple], kinds: dict[str, pa.DataType]) -> Iterator[pa.RecordBatch]:
+    """Rows whose last column is a run, in batches of some MB."""
     held, size = [], 0
-    names = ["lang", "bucket", "run"]
 
     def batch() -> pa.RecordBatch:
-        kinds = (pa.string(), pa.int64(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), kinds)], names)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), kinds.values())], list(kinds))
 
     for row in runs:
         held.append(row)
-        size += len(row[2])
+        size += len(row[-1])
         if size > 1 << 22 or len(held) == 1000:
             yield batch()
             held, size = [], 0
@@ -377,18 +539,18 @@ def _run_batches(runs: Iterator[tuple[str, int, bytes]]) -> Iterator[pa.RecordBa
         yield batch()
 
 
-def _run_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, list[bytes]]]:
-    """The runs of one language and prefix partition at a time."""
+def _run_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[bytes]]]:
+    """The runs of equal keys (all columns but the last) at a time, from sorted rows."""
     key, held = None, []
     for batch in batches:
-        for lang, bucket, run in zip(*(c.to_pylist() for c in batch.columns)):
-            if (lang, bucket) != key:
+        for *found, run in zip(*(c.to_pylist() for c in batch.columns)):
+            if tuple(found) != key:
                 if held:
-                    yield *key, held
-                key, held = (lang, bucket), []
+                    yield key, held
+                key, held = tuple(found), []
             held.append(run)
     if held:
-        yield *key, held
+        yield key, held
 
 
 # -- scoring ----------------------------------------------------------------

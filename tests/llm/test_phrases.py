@@ -127,3 +127,50 @@ def test_scores_are_exact_beyond_64_bits(spark):
     counted = spark.createDataFrame(rows, "lang string, phrase string, f long")
     got = phrases.scored(counted, covered=80, top=10).first()
     assert got["score"] == 2000000 * big // (2 * big + 4) and (got["l"], got["r"], got["n"]) == (big + 1, big + 3, 2 * big)
+
+
+@pytest.mark.parametrize("chunk,leave", [(1 << 19, 1 << 21), (40, 30)])
+def test_pair_runs_hold_every_neighbour(monkeypatch, chunk, leave):
+    """Sums of runs equal plain counts, also across parts of a long piece."""
+    monkeypatch.setattr(phrases, "CHUNK", chunk)
+    monkeypatch.setattr(phrases, "PAIRS_HELD", leave)
+    monkeypatch.setattr(phrases, "PAIRS_LEAVE", leave)
+    monkeypatch.setattr(phrases, "VOCABULARY", 1 << 19 if leave > 30 else 20)
+    rows = random_rows(11, 60, long_piece=900)
+    state = phrases.PairCounts(5, b"\xff" * (phrases.MAP_BITS // 8))
+    runs = [run for text, lang in rows for run in state.add(lang or "und", [text.encode()])] + list(state.leave())
+    got, want = Counter(), Counter()
+    for bucket, run in runs:
+        slots, counts = phrases.decode_pairs(run)
+        assert (slots % 5 == bucket).all() and (slots[1:] > slots[:-1]).all()
+        got.update(dict(zip(slots.tolist(), counts.tolist())))
+    for text, lang in rows:
+        seed = phrases.word_seed(lang or "und")
+        for piece in re.split("[.,;:!?\x0a-\x0d]", re.sub("[A-Z]", lambda m: m.group().lower(), text)):
+            codes = phrases.np.array([phrases.word_hash(w.encode(), seed) for w in re.findall("[^\x20\x09]+", piece)], phrases.np.uint64)
+            want.update(phrases.pair_slots(codes[:-1], codes[1:]).tolist() if len(codes) else [])
+    assert got == want
+
+
+def test_counts_over_a_byte_survive_a_pair_run():
+    slots, counts = phrases.np.array([0, 5, (1 << 40) - 1]), phrases.np.array([1, 255, 1 << 40])
+    got = phrases.decode_pairs(phrases.encode_pairs(slots, counts))
+    assert got[0].tolist() == slots.tolist() and got[1].tolist() == counts.tolist()
+    none = phrases.decode_pairs(phrases.encode_pairs(slots[:0], counts[:0]))
+    assert len(none[0]) == len(none[1]) == 0
+
+
+def test_rare_pairs_end_windows(spark):
+    """Frequent words whose neighbours are mostly rare: fewer windows, same phrases."""
+    rng = random.Random(4)
+    vocab = [f"v{i}" for i in range(120)]
+    rows = [(" ".join(rng.choices(vocab, k=80) + ["open", "source", "code"]), rng.choice(["en", "de"])) for _ in range(100)]
+    docs = make_docs(spark, [(i, t, lang) for i, (t, lang) in enumerate(rows)])
+    assert found(phrases.collocations(docs, min_count=9)) == brute(rows, 9)
+    words = phrases.frequent_words(docs.selectExpr("lang", "text"), 9)
+    pairs = phrases.frequent_pairs(docs.selectExpr("lang", "text"), 9, spark.sparkContext.broadcast(words), 4)
+    assert len(pairs) * 8 == phrases.PAIR_BITS
+    state = phrases.TaskCounts(4, frequent=words, pairs=pairs)
+    everything = phrases.TaskCounts(4, frequent=words)
+    size = [sum(len(r) for _, _, r in [*s.add("en", [t.encode() for t, x in rows if x == "en"]), *s.spill(True)]) for s in (state, everything)]
+    assert size[0] < size[1] / 2
