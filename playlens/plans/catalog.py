@@ -31,9 +31,12 @@ from playlens.sources import sinks
 from playlens.sources.plays import (
     PLAY_COLUMNS,
     event_plays,
+    good_plays,
     load_track_data,
     order_plays,
+    plays_to_raw,
     read_raw_tsv,
+    scan_lines,
     write_raw_tsv,
 )
 
@@ -440,6 +443,58 @@ def _tsv_scan(spark, sf):
     return read_raw_tsv(spark, path, exact=True)
 
 
+def _write_log(spark, sf, name: str) -> str:
+    """The events as a plain log: one line each, nothing escaped. By event id, a
+    title is quoted, partly quoted, opens a quote or is missing with its tab, or the
+    timestamp is none."""
+    kind = F.col("musicbrainz_track_id").cast("long") % 6
+    title = (
+        F.when(kind == 0, F.concat(F.lit('"'), "artist_name", F.lit('"')))
+        .when(kind == 1, F.concat("artist_name", F.lit(' "live" take')))
+        .when(kind == 2, F.concat(F.lit('"'), "artist_name"))
+        .otherwise(F.col("artist_name"))
+    )
+    time = F.when(kind == 4, F.lit("unknown")).otherwise(F.col("timestamp"))
+    fields = [F.coalesce(c, F.lit("")) for c in (F.col("userid"), time, *map(F.col, ("musicbrainz_artist_id", "artist_name", "musicbrainz_track_id")))]
+    path = scratch_path(spark, name)
+    line = F.concat_ws("\t", *fields, F.when(kind != 3, title))
+    plays_to_raw(event_plays(spark, sf)).select(line.alias("value")).write.text(path)
+    return path
+
+
+# The same log; a scan with default quoting drops the marks of a quoted title and of one whose quote stays open.
+_LOG = f"""{_EP},
+log AS (SELECT *, CAST(musicbrainz_track_id AS BIGINT) % 6 AS kind,
+          CASE WHEN CAST(musicbrainz_track_id AS BIGINT) % 6 <> 4 THEN strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%fZ') ELSE 'unknown' END AS stamp,
+          CASE CAST(musicbrainz_track_id AS BIGINT) % 6 WHEN 0 THEN '"' || artist_name || '"' WHEN 1 THEN artist_name || ' "live" take'
+            WHEN 2 THEN '"' || artist_name WHEN 3 THEN NULL ELSE artist_name END AS title FROM plays)"""
+
+
+@register("tsv_scan_quoted", f"""{_LOG}
+SELECT userid, stamp AS "timestamp", musicbrainz_artist_id, artist_name, musicbrainz_track_id,
+  CASE WHEN kind IN (0, 2) THEN artist_name ELSE title END AS track_name FROM log""")
+def _tsv_scan_quoted(spark, sf):
+    return read_raw_tsv(spark, _write_log(spark, sf, "plain_log"))
+
+
+@register("tsv_rejected", f"""{_LOG}
+SELECT CASE kind WHEN 3 THEN 'fields' ELSE 'timestamp' END AS reason,
+  concat_ws(chr(9), userid, stamp, coalesce(musicbrainz_artist_id, ''), artist_name, musicbrainz_track_id, title) AS line
+FROM log WHERE kind IN (3, 4)""")
+def _tsv_rejected(spark, sf):
+    path = scratch_path(spark, "rejected")
+    sinks.write_rejected(scan_lines(spark, _write_log(spark, sf, "plain_log")), path)
+    return sinks.read_rejected(spark, path)
+
+
+@register("tsv_good_plays", f"""{_LOG}
+SELECT userid, "timestamp", musicbrainz_artist_id, artist_name, musicbrainz_track_id,
+  CASE WHEN kind IN (0, 2) THEN artist_name ELSE title END AS track_name FROM log WHERE kind NOT IN (3, 4)""")
+def _tsv_good(spark, sf):
+    good = good_plays(scan_lines(spark, _write_log(spark, sf, "plain_log")))
+    return good.withColumn("timestamp", as_wall_clock("timestamp"))
+
+
 @register("timestamp_parse", f"{_EP}\nSELECT musicbrainz_track_id, \"timestamp\" FROM plays")
 def _ts_parse(spark, sf):
     path = scratch_path(spark, "timestamp_parse")

@@ -111,6 +111,38 @@ def load_track_data(spark: SparkSession, path: str, quoting: bool = True, exact:
     return parse_timestamps(read_raw_tsv(spark, path, quoting=quoting, exact=exact))
 
 
+#: Why a line of the log is rejected.
+BLANK_LINE, WRONG_FIELDS, BAD_TIMESTAMP = "blank", "fields", "timestamp"
+
+
+def scan_lines(spark: SparkSession, path: str, quoting: bool = True) -> DataFrame:
+    """S1 + S2 with every line of the log kept: the six columns, ``line`` (the
+    text as it stands in the file) and ``reason``, NULL for a good line.
+
+    A line is rejected if it is blank, has not exactly six fields, or its
+    timestamp is given but can't be parsed; its columns hold what could be read.
+    Good and rejected rows together are the lines of the file.
+    """
+    options = {"sep": "\t", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
+    if not quoting:
+        options["quote"] = ""
+    schema = StructType([*RAW_PLAYS_SCHEMA.fields, StructField("_bad", StringType(), True)])
+    fields = F.from_csv("value", ", ".join(f"{f.name} string" for f in schema), options)
+    out = spark.read.text(path).select(F.col("value").alias("line"), fields.alias("_f")).select("line", "_f.*")
+    out = parse_timestamps(out.withColumn("_given", F.col("timestamp")))
+    reason = (
+        F.when(F.trim("line") == "", F.lit(BLANK_LINE))
+        .when(F.col("_bad").isNotNull(), F.lit(WRONG_FIELDS))
+        .when(F.col("_given").isNotNull() & F.col("timestamp").isNull(), F.lit(BAD_TIMESTAMP))
+    )
+    return out.select(*PLAY_COLUMNS, "line", reason.alias("reason"))
+
+
+def good_plays(scanned: DataFrame) -> DataFrame:
+    """The typed plays of the lines that are not rejected."""
+    return scanned.where("reason IS NULL").select(*PLAY_COLUMNS)
+
+
 def plays_to_raw(plays: DataFrame) -> DataFrame:
     """Typed plays -> the six-string TSV layout (inverse of S2)."""
     return plays.select(

@@ -29,6 +29,16 @@ def read_tsv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return read_exact_tsv(spark, path, StructType.fromDDL(schema), header=True)
 
 
+def write_rejected(scanned: DataFrame, path: str) -> None:
+    """The rejected lines of ``plays.scan_lines`` with their reasons, written in
+    parallel as Parquet, so that they can be mended and read again."""
+    scanned.where("reason IS NOT NULL").select("reason", "line").write.mode("overwrite").parquet(path)
+
+
+def read_rejected(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("reason string, line string").parquet(path)
+
+
 def write_coefficients(coefs: DataFrame, path: str) -> None:
     """The fitted model table ``(keys, model, params, slope, intercept)`` as
     Parquet - the distributed replacement for pickling one estimator."""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from playlens.config import scratch_path
 from playlens.sources import sinks
-from playlens.sources.plays import RAW_PLAYS_SCHEMA, load_track_data, read_raw_tsv, write_raw_tsv
+from playlens.sources.plays import RAW_PLAYS_SCHEMA, good_plays, load_track_data, read_raw_tsv, scan_lines, write_raw_tsv
 
 LINES = [
     "u1\t2009-05-04T23:08:57Z\tart1\tArtist\ttr1\t\"Heroes\"",
@@ -80,3 +80,30 @@ def test_entry_smoke(spark):
     assert [f.name for f in df.schema.fields] == ["track_name", "play_count"]
     assert 0 < len(rows) <= 10
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_good_and_rejected_lines_are_the_file(spark):
+    """Every line is kept with its text: blank and white lines, too few and too
+    many fields, bad and missing timestamps."""
+    lines = [*LINES, "", "  ", "u4\t\ta\tb\tc\td", "u5\t2009-05-05T00:00:00Z\ta\tb\tc\td\textra"]
+    path = os.path.join(tempfile.mkdtemp(prefix="playlens-test-"), "plays.tsv")
+    with open(path, "w") as f:
+        f.write("\n".join(lines) + "\n")
+    scanned = scan_lines(spark, path)
+    rows = scanned.collect()
+    assert sorted(r["line"] for r in rows) == sorted(lines)
+    reasons = {r["line"]: r["reason"] for r in rows}
+    assert [reasons[x] for x in lines] == [None, None, "timestamp", "fields", "blank", "blank", None, "fields"]
+    good = {r["musicbrainz_track_id"]: r["track_name"] for r in good_plays(scanned).collect()}
+    assert good == {"tr1": "Heroes", "tr2": 'Song "x" y', "c": "d"}
+    verbatim = good_plays(scan_lines(spark, path, quoting=False)).where("musicbrainz_track_id = 'tr1'").first()
+    assert verbatim["track_name"] == '"Heroes"'
+    out = scratch_path(spark, "rejected-test")
+    sinks.write_rejected(scanned, out)
+    assert sinks.read_rejected(spark, out).count() + good_plays(scanned).count() == len(lines)
+
+
+def test_rejects_of_an_empty_log(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="playlens-test-"), "plays.tsv")
+    open(path, "w").close()
+    assert scan_lines(spark, path).count() == 0
