@@ -13,7 +13,6 @@ adds the space itself. Both give byte spans over the same bytes.
    token the covering A token. The union of both directions is every pair of
    overlapping tokens.
 3. **Groups.** Offsets where tokens of both sides end cut them into groups.
-   A certain cut is such an offset, so groups are written once for a fragment.
 4. **Counts.** A block (documents of about ``BLOCK_BYTES``) keeps its links as
    numbers into the block's own list of distinct id pairs. Only that list, with
    the number of documents of each pair, is summed over the corpus; the sums
@@ -34,7 +33,6 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +44,7 @@ from playlens.llm.batches import text_slices
 from playlens.llm.common import ship
 from playlens.llm.fragments import SINGLE_WORD
 from playlens.llm.libtokens import byte_symbols, default_tokenizer
-from playlens.llm.workercache import ENTRY_BYTES, KEY_BYTES, BoundedCache, hold
+from playlens.llm.workercache import BoundedCache, hold
 
 #: Text of a block, whose links are kept as numbers into one list of pairs.
 BLOCK_BYTES = 4 << 20
@@ -56,7 +54,6 @@ _ALNUM = b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 _MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: The space of sentencepiece pieces (a fixed value of the public format).
 _SPACE = "▁"
-_NO_TOKENS = (b"", b"", b"")
 
 
 @lru_cache(maxsize=1)
@@ -69,13 +66,11 @@ def default_pieces() -> str:
 
 # -- spans ------------------------------------------------------------------
 class TwoEncoders(BoundedCache):
-    """fragment -> (A ids, B ids, written groups), ids as little-endian uint32,
-    or None where the joined bytes of either side differ from the fragment.
-    ``older`` holds what was kept before."""
+    """fragment -> (A ids, B ids) as little-endian uint32, or None where the
+    joined bytes of either side differ from the fragment."""
 
     def __init__(self, path_a: str, path_b: str):
         super().__init__(FRAGMENT_BYTES)
-        self.older: dict[bytes, tuple[bytes, bytes, bytes] | None] = {}
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
@@ -107,99 +102,35 @@ class TwoEncoders(BoundedCache):
             return bytes([int(piece[3:5], 16)])
         return b"" if self.b.is_control(i) or self.b.is_unknown(i) else piece.replace(_SPACE, " ").encode()
 
-    def keep(self, key: bytes, value: tuple[bytes, bytes, bytes] | None, value_bytes: int = 0) -> None:
-        """Remember a fragment; when half the bytes are taken, what was kept
-        becomes the older half, and what that is not asked for again goes."""
-        if len(key) > KEY_BYTES:
-            return
-        self.taken += len(key) + value_bytes + ENTRY_BYTES
-        if 2 * self.taken > self.limit:
-            self.older = dict(self)
-            self.clear()
-            self.taken = len(key) + value_bytes + ENTRY_BYTES
-        self[key] = value
-
-    def learn(self, fragments: list[bytes]) -> Iterator[tuple[bytes, tuple[bytes, bytes, bytes] | None]]:
-        """Encode distinct fragments, B's side in one call. Tokens of both sides
-        end with a fragment, so its groups are the same in every text."""
-        if not fragments:
-            return
-        texts = [f.decode("utf-8", "replace") for f in fragments]
-        ids_a = []
-        for fragment, text in zip(fragments, texts):
-            if SINGLE_WORD.fullmatch(fragment):  # one pre-token of A
-                ids_a.append([t.id for t in self.model.tokenize(fragment.decode("latin-1").translate(self.symbols))])
-            else:
-                ids_a.append(self.a.encode(text, add_special_tokens=False).ids)
-        of_a = reproduced(fragments, ids_a, self.bytes_a)
-        of_b = reproduced(fragments, self._b(texts), self.bytes_b)
-        coded = [(x, y) if x and y else _NO_TOKENS[:2] for x, y in zip(of_a, of_b)]
-        bases = np.concatenate([[0], np.cumsum([len(f) + 2 for f in fragments])[:-1]]).astype(np.int64)
-        sides = [spans([c[k] for c in coded], size, bases) for k, size in enumerate((self.size_a, self.size_b))]
-        for fragment, (x, y), groups in zip(fragments, coded, group_texts(*sides, len(coded), self)):
-            yield fragment, (x, y, groups) if x else None
-
-    def _b(self, texts: list[str]) -> list[list[int]]:
-        """B's ids of fragments; the model adds a space to a text, so one that
+    def __missing__(self, fragment: bytes) -> tuple[bytes, bytes] | None:
+        text = fragment.decode("utf-8", "replace")
+        if SINGLE_WORD.fullmatch(fragment):  # one pre-token of A
+            a = [t.id for t in self.model.tokenize(fragment.decode("latin-1").translate(self.symbols))]
+        else:
+            a = self.a.encode(text, add_special_tokens=False).ids
+        b = self._b(text)
+        same = b"".join([self.bytes_a[i] for i in a]) == fragment == b"".join([self.bytes_b[i] for i in b])
+        found = (array("I", a).tobytes(), array("I", b).tobytes()) if same else None
+        self.keep(fragment, found, sum(map(len, found)) if found else 0)
+        return found
+
+    def _b(self, text: str) -> list[int]:
+        """B's ids of a fragment; the model adds a space to a text, so one that
         starts without is encoded behind a sign that no piece joins to it."""
-        out = self.b.encode([t[1:] if t[0] == " " else "\n" + t for t in texts], num_threads=1)
-        n = len(self.line)
-        for k, (text, ids) in enumerate(zip(texts, out)):
-            if text[0] != " ":
-                out[k] = ids[n:] if ids[:n] == self.line else self.b.encode(text)
-            elif text == " " and self.trailing:
-                out[k] = self.trailing
-        return out
+        if text[0] == " ":
+            return self.trailing if text == " " and self.trailing else self.b.encode(text[1:])
+        ids = self.b.encode("\n" + text)
+        return ids[len(self.line) :] if ids[: len(self.line)] == self.line else self.b.encode(text)
 
     def encode(self, text: bytes) -> tuple[bytes, bytes] | None:
         """Ids of both sides, None for a text without tokens."""
-        found = self.encode_all([text])[0]
-        return found[:2] if found[0] else None
-
-    def encode_all(self, texts: list[bytes]) -> list[tuple[bytes, bytes, bytes]]:
-        """Ids of both sides and the written groups of every text; empty for
-        one without tokens."""
-        parts = [self.cut.split(b" " + t) if t else [] for t in texts]
-        of_a, of_b, of_groups = dict.fromkeys(chain.from_iterable(parts)), {}, {}
-        unknown, bad = [], set()
-
-        def put(fragment: bytes, found: tuple[bytes, bytes, bytes] | None) -> None:
-            of_a[fragment], of_b[fragment], of_groups[fragment] = found or _NO_TOKENS
-            if not found:
-                bad.add(fragment)
-
-        for fragment in of_a:
-            found = self.get(fragment, self)
-            if found is self:
-                found = self.older.get(fragment, self)
-                if found is self:
-                    unknown.append(fragment)
-                    continue
-                self.keep(fragment, found, sum(map(len, found)) if found else 0)
-            put(fragment, found)
-        for fragment, found in self.learn(unknown):
-            self.keep(fragment, found, sum(map(len, found)) if found else 0)
-            put(fragment, found)
-        a, b, groups = of_a.__getitem__, of_b.__getitem__, of_groups.__getitem__
-        return [
-            (b"".join(map(a, p)), b"".join(map(b, p)), b";".join(map(groups, p))) if not bad or bad.isdisjoint(p) else _NO_TOKENS
-            for p in parts
-        ]
-
-
-def reproduced(fragments: list[bytes], ids: list[list[int]], token_bytes: list[bytes]) -> list[bytes]:
-    """The ids of every fragment as little-endian uint32, empty where its tokens'
-    bytes differ from it."""
-    flat = array("I", chain.from_iterable(ids))
-    tokens = list(map(token_bytes.__getitem__, flat))
-    cuts = [0, *accumulate(map(len, ids))]
-    raw = flat.tobytes()
-    coded = [raw[4 * i : 4 * j] for i, j in zip(cuts, cuts[1:])]
-    ends = [0, *accumulate(map(len, tokens))]
-    lengths = [ends[j] - ends[i] for i, j in zip(cuts, cuts[1:])]
-    if lengths == list(map(len, fragments)) and b"".join(tokens) == b"".join(fragments):
-        return coded
-    return [c if b"".join(tokens[i:j]) == f else b"" for c, f, i, j in zip(coded, fragments, cuts, cuts[1:])]
+        if not text:
+            return None
+        parts = list(map(self.__getitem__, self.cut.split(b" " + text)))
+        if None in parts:
+            return None
+        a, b = zip(*parts)
+        return b"".join(a), b"".join(b)
 
 
 def certain_cuts(pieces: list[bytes]) -> re.Pattern:
@@ -247,8 +178,8 @@ def overlaps(a, b) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([i, k[other]]), np.concatenate([j, m[other]])
 
 
-def group_texts(a, b, n_docs: int, encoders: TwoEncoders) -> list[bytes]:
-    """The written groups of every text, from the tokens of both sides."""
+def group_texts(a, b, n_docs: int, encoders: TwoEncoders) -> tuple[np.ndarray, list[bytes]]:
+    """The number of groups of every document and their written form."""
     ends_a, ends_b = a["end"].to_numpy(), b["end"].to_numpy()
     cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
     side = np.concatenate([np.searchsorted(cuts, ends_a) * 2, np.searchsorted(cuts, ends_b) * 2 + 1])
@@ -258,25 +189,27 @@ def group_texts(a, b, n_docs: int, encoders: TwoEncoders) -> list[bytes]:
     separator = np.where(last, 1 + side % 2, 0)
     written = (np.concatenate([a["id"], b["id"]])[order] + separator * encoders.n).tolist()
     bounds = np.searchsorted(doc, np.arange(n_docs + 1)).tolist()
-    return [b"".join(map(encoders.written.__getitem__, written[i:j]))[:-1] for i, j in zip(bounds, bounds[1:])]
+    texts = [b"".join(map(encoders.written.__getitem__, written[i:j]))[:-1] for i, j in zip(bounds, bounds[1:])]
+    n_groups = np.bincount(doc[last & (side % 2 == 1)], minlength=n_docs)
+    return n_groups, texts
 
 
 def align(texts: list[bytes], encoders: TwoEncoders) -> dict[str, list | np.ndarray]:
     """The columns of a batch of texts, and the id pairs of its links in
     document order (``pairs``, A id in the upper half)."""
-    coded = encoders.encode_all(texts)
+    coded = [encoders.encode(t) or (b"", b"") for t in texts]
     bases = np.concatenate([[0], np.cumsum([len(t) + 2 for t in texts])[:-1]]).astype(np.int64)
     a = spans([c[0] for c in coded], encoders.size_a, bases)
     b = spans([c[1] for c in coded], encoders.size_b, bases)
     i, j = overlaps(a, b)
     order = np.argsort(i, kind="stable")
     i, j = i[order], j[order]
-    written = [c[2] for c in coded]
+    n_groups, written = group_texts(a, b, len(texts), encoders)
     doc = a["doc"].to_numpy()[i]
     return {
         "n_a": np.bincount(a["doc"], minlength=len(texts)),
         "n_b": np.bincount(b["doc"], minlength=len(texts)),
-        "n_groups": np.array([w.count(b";") + bool(w) for w in written], np.int64),
+        "n_groups": n_groups,
         "n_links": np.bincount(doc, minlength=len(texts)),
         "groups_sha256": [hashlib.sha256(w).hexdigest() if w else "" for w in written],
         "groups": written,
