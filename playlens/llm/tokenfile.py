@@ -34,9 +34,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from playlens.config import materialize, scratch_path
+from playlens.llm.batches import text_slices
 from playlens.llm.common import ship
 from playlens.llm.eliasfano import EliasFano
-from playlens.llm.libtokens import default_tokenizer, library_encoder
+from playlens.llm.libtokens import ENCODED_BYTES, ENCODED_ROWS, default_tokenizer, library_encoder
+from playlens.llm.workercache import give_back
 
 MAGIC = b"EFTOK1\0\0"
 #: magic, width of an id, documents, NULL ids, smallest id, bytes of the three sections
@@ -145,13 +147,13 @@ def write_token_files(
         encoder, writer, first = library_encoder(path), None, None
         width = 2 if encoder.tokenizer.get_vocab_size() <= 1 << 16 and end_id < 1 << 16 else 4
         end = struct.pack("<I", end_id)
-        for batch in batches:
-            texts = batch.column(3).cast(pa.binary()).fill_null(b"").to_pylist()
-            for k, (doc_id, text) in enumerate(zip(batch.column(0).to_pylist(), texts)):
+        for batch, texts in text_slices(batches, 3, ENCODED_BYTES, ENCODED_ROWS):
+            for k, (doc_id, ids) in enumerate(zip(batch.column(0).to_pylist(), encoder.encode_all(texts))):
                 if writer is None:
                     uri = f"{folder}/shard-{uuid.uuid4().hex}.tok"
                     writer, first = ShardWriter(uri, width), [batch.column(c)[k].as_py() for c in range(3)]
-                writer.add(doc_id, np.frombuffer(encoder.encode(text) + end, dtype="<u4"))
+                writer.add(doc_id, np.frombuffer(ids + end, dtype="<u4"))
+        give_back()
         if writer is not None:
             writer.close()
             row = [*first, uri, len(writer.ends), writer.total]

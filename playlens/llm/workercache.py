@@ -66,3 +66,28 @@ class BoundedCache(dict):
             self.clear()
             self.taken = len(key) + value_bytes + ENTRY_BYTES
         self[key] = value
+
+    def values_of(self, keys: list[bytes], make: Callable[[list[bytes]], list[bytes]]) -> list[bytes]:
+        """The values of distinct keys; those that are not kept are made
+        together. If they don't fit, only the entries in use stay."""
+        found = list(map(self.get, keys))
+        new = [k for k, v in zip(keys, found) if v is None]
+        if not new:
+            return found
+        made = make(new)
+        rest = iter(made)
+        found = [next(rest) if v is None else v for v in found]
+        taken = _entry_bytes(new, made)
+        if self.taken + taken > self.limit:
+            self.clear()
+            new, made = keys, found
+            self.taken, taken = 0, _entry_bytes(new, made)
+        if taken > self.limit:
+            return found
+        self.update((k, v) for k, v in zip(new, made) if len(k) <= KEY_BYTES)
+        self.taken += taken
+        return found
+
+
+def _entry_bytes(keys: list[bytes], values: list[bytes]) -> int:
+    return sum(map(len, keys)) + sum(map(len, values)) + ENTRY_BYTES * len(keys)

@@ -18,7 +18,7 @@ from llm_frames import ODD_ROWS, make_docs  # noqa: E402
 from playlens.llm import bpe, packing, queries, tokenfile  # noqa: E402
 from playlens.llm.eliasfano import EliasFano  # noqa: E402
 from playlens.llm.fragments import split, splits_plainly  # noqa: E402
-from playlens.llm.libtokens import default_tokenizer, library_encoder  # noqa: E402
+from playlens.llm.libtokens import LibraryEncoder, default_tokenizer, library_encoder  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 PIECES = ["a", "b", "é", " ", ".", ",", "\n", "'s", "1", "!", "the", " the", "ß", "  ", "\t", "×", "\xa0", "\x1c", "_", "漢", "😀", " ", "<|endoftext|>", "\x00"]
@@ -51,6 +51,32 @@ def test_both_encoders_equal_the_library(library):
     assert plain > 1000
 
 
+def test_a_slice_of_texts_equals_the_library(library):
+    """Signs, contractions and rare pairs of letters, in slices with texts that don't split plainly."""
+    fast = LibraryEncoder(default_tokenizer())
+    rng = random.Random(7)
+    pool = [" ", " ", "\n", ".", ",", "'", "'s", "'ve", "#", "##", "-", "%", "1", "22", "qx", "jvz", "fq", "s", "the", "é", "ç", "É", "!", "\t", "  ", "漢"]
+    batch = ["".join(rng.choices(pool[:23] if i % 4 else pool, k=rng.randint(0, 9))).encode() for i in range(20_000)]
+    assert sum(splits_plainly(t, fast.special) for t in batch) > 4000
+    for limit in (fast.cache.limit, 4000, 0):  # an entry less or more must not matter
+        fast.cache.limit = limit
+        for k in range(0, len(batch), 2000):
+            for text, ids in zip(batch[k : k + 2000], fast.encode_all(batch[k : k + 2000])):
+                assert np.frombuffer(ids, "<u4").tolist() == library.encode(text.decode(), add_special_tokens=False).ids, text
+
+
+def test_new_words_of_a_slice_reach_the_library_together():
+    """One call of the library for the new words of a slice, none for known ones."""
+    fast, calls = LibraryEncoder(default_tokenizer()), []
+    inner = fast.words._ids
+    fast.words._ids = lambda words: calls.append(len(words)) or inner(words)
+    texts = [f"alpha{'n' * k} beta gamma".encode() for k in range(40)]
+    first = fast.encode_all(texts)
+    assert len(calls) == 1 and calls[0] >= 40
+    assert fast.encode_all(texts) == first and len(calls) == 1
+    assert fast.encode_all([]) == [] and fast.encode_all([b"", b""]) == [b"", b""]
+
+
 def test_long_pieces_and_broken_ids(library):
     own = bpe.forced_boundary_bpe(default_tokenizer())
     t = "ab" * 3000 + "é" * 500 + "thandea" * 900 + "~" * 5000
