@@ -51,8 +51,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from playlens.config import materialize
+from playlens.llm.batches import text_slices
 from playlens.llm.common import ship
-from playlens.llm.libtokens import default_tokenizer, library_encoder
+from playlens.llm.libtokens import ENCODED_BYTES, ENCODED_ROWS, default_tokenizer, library_encoder
+from playlens.llm.workercache import give_back
 
 #: Fewest buckets of the ranks of equally long pieces, and pieces of a bucket.
 RANK_BUCKETS, BUCKET_PIECES = 256, 1 << 17
@@ -86,16 +88,16 @@ def token_pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = library_encoder(path), struct.pack("<I", end_id)
-        for batch in batches:
+        for batch, texts in text_slices(batches, 1, ENCODED_BYTES, ENCODED_ROWS):
             columns = [[] for _ in names]
-            texts = batch.column(1).cast(pa.binary()).fill_null(b"").to_pylist()
-            for doc_id, text in zip(batch.column(0).to_pylist(), texts):
-                ids = encoder.encode(text) + end
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode_all(texts)):
+                ids += end
                 for piece, (start, length) in enumerate(piece_bounds(len(ids) // 4, capacity)):
                     own = ids[4 * start : 4 * (start + length)]
                     for column, value in zip(columns, (doc_id, piece, start, length, zlib.crc32(own), own)):
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+        give_back()
 
     out = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = "id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids

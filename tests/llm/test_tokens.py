@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import os
 import random
+import struct
 import sys
 import zlib
 from collections import Counter
@@ -77,6 +78,21 @@ def test_new_words_of_a_slice_reach_the_library_together():
     assert fast.encode_all([]) == [] and fast.encode_all([b"", b""]) == [b"", b""]
 
 
+def test_pieces_are_encoded_by_slices(spark, monkeypatch):
+    """All texts of a slice reach the encoder in one call, and each gets its own ids."""
+
+    class Slices:
+        def encode_all(self, texts):
+            return [struct.pack(f"<{len(t) + 1}I", *[len(texts)] * (len(t) + 1)) for t in texts]
+
+    monkeypatch.setattr(packing, "library_encoder", lambda path: Slices())
+    docs = make_docs(spark, [(i, "x" * i) for i in range(9)]).coalesce(1)
+    rows = sorted(packing.token_pieces(docs, capacity=100).collect())
+    assert [(r["id"], r["length"]) for r in rows] == [(i, i + 2) for i in range(9)]
+    for r in rows:
+        assert r["ids_crc32"] == zlib.crc32(struct.pack(f"<{r['length']}I", *[9] * (r["length"] - 1), 2))
+
+
 def test_long_pieces_and_broken_ids(library):
     own = bpe.forced_boundary_bpe(default_tokenizer())
     t = "ab" * 3000 + "é" * 500 + "thandea" * 900 + "~" * 5000
