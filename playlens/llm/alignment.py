@@ -6,8 +6,10 @@ adds the space itself. Both give byte spans over the same bytes.
 
 1. **Spans.** A text is cut where no token of A or B can span (``certain_cuts``:
    A's word pattern ends there, and the byte pair is inside none of B's pieces).
-   Each distinct fragment is encoded by the libraries once per worker while its
-   bounded cache holds it. Fragments whose joined bytes differ leave the text without tokens.
+   Texts that ``splits_plainly`` are cut together, by the pairs of bytes inside no token of
+   either side, and each distinct fragment of a slice is looked up once. A fragment is encoded
+   by the libraries while the worker's bounded cache doesn't hold it, together with the
+   other new ones. Fragments whose joined bytes differ leave the text without tokens.
 2. **Links.** Per batch, keyed by document, ``pandas.merge_asof`` finds for the
    start of each A token the B token that covers it, and for the start of each B
    token the covering A token. The union of both directions is every pair of
@@ -33,6 +35,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +45,8 @@ from pyspark.sql import functions as F
 from playlens.config import materialize
 from playlens.llm.batches import text_slices
 from playlens.llm.common import ship
-from playlens.llm.fragments import SINGLE_WORD
-from playlens.llm.libtokens import byte_symbols, default_tokenizer
+from playlens.llm.fragments import byte_pairs, encode_fragments, single_words, splits_plainly
+from playlens.llm.libtokens import WordModel, byte_symbols, default_tokenizer
 from playlens.llm.workercache import BoundedCache, hold
 
 #: Text of a block, whose links are kept as numbers into one list of pairs.
@@ -54,6 +57,9 @@ _ALNUM = b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 _MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: The space of sentencepiece pieces (a fixed value of the public format).
 _SPACE = "▁"
+#: What marks an id of side B, and a fragment that isn't reproduced.
+_SIDE_B, _GONE = np.uint32(1 << 31), np.uint32(0xFFFFFFFF)
+_LOST = _GONE.tobytes()
 
 
 @lru_cache(maxsize=1)
@@ -66,8 +72,9 @@ def default_pieces() -> str:
 
 # -- spans ------------------------------------------------------------------
 class TwoEncoders(BoundedCache):
-    """fragment -> (A ids, B ids) as little-endian uint32, or None where the
-    joined bytes of either side differ from the fragment."""
+    """fragment -> its A ids and then its B ids with ``_SIDE_B`` added, as
+    little-endian uint32; ``_LOST`` where the joined bytes of either side
+    differ from the fragment."""
 
     def __init__(self, path_a: str, path_b: str):
         super().__init__(FRAGMENT_BYTES)
@@ -88,7 +95,8 @@ class TwoEncoders(BoundedCache):
         self.size_a = np.array([len(x) for x in self.bytes_a])
         self.size_b = np.array([len(x) for x in self.bytes_b])
         self.cut = certain_cuts(self.bytes_b)
-        self.model, self.symbols = self.a.model, str.maketrans({chr(b): c for b, c in byte_symbols().items()})
+        self.words = WordModel(self.a.model)
+        self.inside_b = byte_pairs(self.bytes_b)
         end = self.b.encode("x ")[len(self.b.encode("x")) :]
         self.line = self.b.encode("\n")
         self.trailing = end if b"".join(map(self.bytes_b.__getitem__, end)) == b" " else None
@@ -102,17 +110,34 @@ class TwoEncoders(BoundedCache):
             return bytes([int(piece[3:5], 16)])
         return b"" if self.b.is_control(i) or self.b.is_unknown(i) else piece.replace(_SPACE, " ").encode()
 
-    def __missing__(self, fragment: bytes) -> tuple[bytes, bytes] | None:
-        text = fragment.decode("utf-8", "replace")
-        if SINGLE_WORD.fullmatch(fragment):  # one pre-token of A
-            a = [t.id for t in self.model.tokenize(fragment.decode("latin-1").translate(self.symbols))]
-        else:
-            a = self.a.encode(text, add_special_tokens=False).ids
-        b = self._b(text)
-        same = b"".join([self.bytes_a[i] for i in a]) == fragment == b"".join([self.bytes_b[i] for i in b])
-        found = (array("I", a).tobytes(), array("I", b).tobytes()) if same else None
-        self.keep(fragment, found, sum(map(len, found)) if found else 0)
-        return found
+    def _together(self, fragments: list[bytes]) -> list[bytes]:
+        """The values of new fragments, few calls of the libraries for all."""
+        texts = [f.decode("utf-8", "replace") for f in fragments]
+        words = single_words(fragments)
+        a = dict(zip(words, self.words.ids(words)))
+        a = [a[f] if f in a else _packed(self.a.encode(t, add_special_tokens=False).ids) for f, t in zip(fragments, texts)]
+        # B adds a space to a text, so a fragment without goes behind a sign that no piece joins to it
+        b = self.b.encode([t[1:] if t[0] == " " else "\n" + t for t in texts], num_threads=1)
+        n = len(self.line)
+        for k, t in enumerate(texts):
+            if t[0] != " " and b[k][:n] == self.line:
+                b[k] = b[k][n:]
+            elif t[0] != " " or t == " ":
+                b[k] = self._b(t)
+        counts, flat = np.array([len(x) for x in b]), np.fromiter(chain.from_iterable(b), "<u4")
+        lost = [
+            x != f or y != f
+            for f, x, y in zip(fragments, self._joined(b"".join(a), [len(x) // 4 for x in a], self.bytes_a), self._joined(flat, counts, self.bytes_b))
+        ]
+        coded, ends = (flat | _SIDE_B).tobytes(), [0, *(4 * np.cumsum(counts)).tolist()]
+        return [_LOST if gone else x + coded[i:j] for gone, x, i, j in zip(lost, a, ends, ends[1:])]
+
+    @staticmethod
+    def _joined(ids: bytes | np.ndarray, counts: list[int] | np.ndarray, table: list[bytes]) -> list[bytes]:
+        """The bytes that each fragment's ids (``counts`` of them) stand for."""
+        raw = [table[i] for i in np.frombuffer(ids, "<u4").tolist()]
+        ends = [0, *np.cumsum(counts).tolist()]
+        return [b"".join(raw[i:j]) for i, j in zip(ends, ends[1:])]
 
     def _b(self, text: str) -> list[int]:
         """B's ids of a fragment; the model adds a space to a text, so one that
@@ -124,13 +149,32 @@ class TwoEncoders(BoundedCache):
 
     def encode(self, text: bytes) -> tuple[bytes, bytes] | None:
         """Ids of both sides, None for a text without tokens."""
-        if not text:
-            return None
-        parts = list(map(self.__getitem__, self.cut.split(b" " + text)))
-        if None in parts:
-            return None
-        a, b = zip(*parts)
-        return b"".join(a), b"".join(b)
+        ids, _ = self.encode_all([text])
+        return tuple(part.astype("<u4").tobytes() for part, _ in ids) if len(ids[0][0]) else None
+
+    def encode_all(self, texts: list[bytes]) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+        """((ids, their texts' numbers) of side A, the same of side B) and
+        which texts have tokens."""
+        spaced = [b" " + t if t else b"" for t in texts]
+        plain = [splits_plainly(t) for t in spaced]
+        ready = list(compress(spaced, plain))
+        coded = iter(encode_fragments(ready, self, self._together, self.words.inside, self.inside_b) if ready else [])
+        parts = [None if p else self.cut.split(t) for t, p in zip(spaced, plain)]
+        rest = list(set(chain.from_iterable(x for x in parts if x)) - {b""})
+        value = dict(zip(rest, self.values_of(rest, self._together))) | {b"": b""}
+        coded = [next(coded) if x is None else b"".join(map(value.__getitem__, x)) for x in parts]
+        ids = np.frombuffer(b"".join(coded), "<u4")
+        doc = np.repeat(np.arange(len(texts)), [len(c) // 4 for c in coded])
+        has = np.array([len(c) > 0 for c in coded], bool)
+        has[doc[ids == _GONE]] = False
+        if not has.all():
+            ids, doc = ids[has[doc]], doc[has[doc]]
+        side_b = ids >= _SIDE_B
+        return [(ids[~side_b].astype(np.int64), doc[~side_b]), ((ids[side_b] - _SIDE_B).astype(np.int64), doc[side_b])], has
+
+
+def _packed(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
 
 
 def certain_cuts(pieces: list[bytes]) -> re.Pattern:
@@ -150,19 +194,15 @@ def certain_cuts(pieces: list[bytes]) -> re.Pattern:
 
 
 # -- alignment of a batch ---------------------------------------------------
-def spans(coded: list[bytes], sizes: np.ndarray, bases: np.ndarray):
+def spans(ids: np.ndarray, doc: np.ndarray, sizes: np.ndarray, bases: np.ndarray):
     """A frame of the tokens of all documents: doc, id, start and end, with
     positions that go on from one document to the next."""
     import pandas as pd
 
-    counts = np.array([len(c) // 4 for c in coded])
-    ids = np.frombuffer(b"".join(coded), "<u4").astype(np.int64)
-    doc = np.repeat(np.arange(len(coded)), counts)
     width = sizes[ids]
     ends = np.cumsum(width)
-    offsets = np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int64)
-    before = np.concatenate([[0], ends])[offsets]
-    ends = ends - before[doc] + bases[doc]
+    before = np.concatenate([[0], ends])[np.searchsorted(doc, np.arange(len(bases)))]
+    ends = ends + (bases - before)[doc]
     return pd.DataFrame({"doc": doc, "id": ids, "start": ends - width, "end": ends, "at": np.arange(len(ids))})
 
 
@@ -197,10 +237,9 @@ def group_texts(a, b, n_docs: int, encoders: TwoEncoders) -> tuple[np.ndarray, l
 def align(texts: list[bytes], encoders: TwoEncoders) -> dict[str, list | np.ndarray]:
     """The columns of a batch of texts, and the id pairs of its links in
     document order (``pairs``, A id in the upper half)."""
-    coded = [encoders.encode(t) or (b"", b"") for t in texts]
+    sides, _ = encoders.encode_all(texts)
     bases = np.concatenate([[0], np.cumsum([len(t) + 2 for t in texts])[:-1]]).astype(np.int64)
-    a = spans([c[0] for c in coded], encoders.size_a, bases)
-    b = spans([c[1] for c in coded], encoders.size_b, bases)
+    a, b = (spans(*side, sizes, bases) for side, sizes in zip(sides, (encoders.size_a, encoders.size_b)))
     i, j = overlaps(a, b)
     order = np.argsort(i, kind="stable")
     i, j = i[order], j[order]

@@ -126,3 +126,35 @@ def test_fragments_equal_whole_texts():
             import numpy as np
 
             assert [np.frombuffer(x, "<u4").tolist() for x in found] == [[i for i, _ in a], [i for i, _ in b]], text
+
+
+def test_a_slice_of_texts_equals_whole_texts():
+    """Accented words, signs, contractions and rare pairs of letters, with texts that don't split plainly."""
+    import numpy as np
+
+    rng = random.Random(8)
+    plain, encoders = Plain(), alignment.TwoEncoders(default_tokenizer(), alignment.default_pieces())
+    pool = [" ", " ", "\n", ".", ",", "'", "'s", "'ve", "#", "##", "-", "%", "1", "22", "qx", "jvz", "fq", "s", "the", "é", "ç", "É", "ŉ", "ſ", "\t", "  ", "漢"]
+    texts = ["".join(rng.choices(pool[:24] if i % 4 else pool, k=rng.randint(0, 9))) for i in range(6000)]
+    for limit in (encoders.limit, 4000, 0):
+        encoders.limit = limit
+        for k in range(0, len(texts), 1500):
+            part = texts[k : k + 1500]
+            sides, _ = encoders.encode_all([t.encode() for t in part])
+            bounds = [np.searchsorted(doc, np.arange(len(part) + 1)) for _, doc in sides]
+            for i, text in enumerate(part):
+                found = [ids[at[i] : at[i + 1]].tolist() for (ids, _), at in zip(sides, bounds)]
+                assert found == [[x for x, _ in tokens] for tokens in plain.tokens(text)], text
+
+
+def test_new_fragments_of_a_slice_reach_the_libraries_together():
+    """Accented word ends are cut, so that words and not runs of words are kept; known ones need no call."""
+    encoders, calls = alignment.TwoEncoders(default_tokenizer(), alignment.default_pieces()), []
+    inner = encoders._together
+    encoders._together = lambda fragments: calls.append(len(fragments)) or inner(fragments)
+    words = ["été", "passé", "né", "idé", "café"]
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices(words, k=8)).encode() for _ in range(300)]
+    first = alignment.align(texts, encoders)["groups"]
+    assert len(calls) == 1 and calls[0] <= 6 * len(words)
+    assert alignment.align(texts, encoders)["groups"] == first and len(calls) == 1
