@@ -47,12 +47,12 @@ from playlens.llm.batches import text_slices
 from playlens.llm.common import ship
 from playlens.llm.fragments import byte_pairs, encode_fragments, single_words, splits_plainly
 from playlens.llm.libtokens import WordModel, byte_symbols, default_tokenizer
-from playlens.llm.workercache import BoundedCache, hold
+from playlens.llm.workercache import BoundedCache, give_back, hold
 
 #: Text of a block, whose links are kept as numbers into one list of pairs.
 BLOCK_BYTES = 4 << 20
 #: Bytes of a worker's cache of fragments.
-FRAGMENT_BYTES = 64 << 20
+FRAGMENT_BYTES = 40 << 20
 _ALNUM = b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 _MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: The space of sentencepiece pieces (a fixed value of the public format).
@@ -286,6 +286,7 @@ def aligned_blocks(docs: DataFrame, id_col: str, text_col: str, path_a: str, pat
                 held, size, k = [], 0, k + 1
         if held:
             yield from block_rows(first + k, held)
+        give_back()
 
     out = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return out.mapInArrow(run, _ALIGNED)
