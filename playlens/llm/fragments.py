@@ -10,7 +10,7 @@ it. Two rules give certain cuts without running the tokenizer:
   white space or by ``.`` / ``,``; any non-space followed by white space; a
   line feed followed by a non-space).
 
-The fast path cuts before space, line feed, ``.`` and ``,`` and behind line feeds with one
+The fast path cuts before space, line feed, ``.`` and ``,`` with one
 ``replace`` chain and one ``split`` over the bytes of a text. It is taken only
 when every such cut is certain under the second rule, which is checked on the
 byte classes of the text with plain substring searches; other texts take the
@@ -85,7 +85,7 @@ def split(text: bytes) -> list[bytes]:
     """The fragments of a text for which ``splits_plainly`` holds, in order;
     their concatenation is the text."""
     return (
-        text.replace(b" ", b"\0 ").replace(b"\n", b"\0\n\0").replace(b".", b"\0.").replace(b",", b"\0,").split(MARK)
+        text.replace(b" ", b"\0 ").replace(b"\n", b"\0\n").replace(b".", b"\0.").replace(b",", b"\0,").split(MARK)
     )
 
 
@@ -102,8 +102,8 @@ def byte_pairs(tokens: Iterable[bytes]) -> np.ndarray:
 def fragment_array(texts: list[bytes], inside: np.ndarray, other: np.ndarray | None = None) -> tuple[pa.Array, np.ndarray]:
     """The fragments of all texts, for which ``splits_plainly`` holds, and how
     many of them lie before each text and at the end. Beside the cuts of
-    ``split``, words are cut from the signs behind them (the pre-tokenizer ends
-    a run of letters or digits there), and characters whose bytes are
+    ``split``, line feeds are cut from what follows, words from the signs behind
+    them (the pre-tokenizer ends a run of letters or digits there), and characters whose bytes are
     neighbours ``inside`` no token are cut, but not before an apostrophe, which
     may be read as a contraction then. Cuts at pairs inside a token of an
     ``other`` vocabulary are left out."""
